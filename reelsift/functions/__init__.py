@@ -11,6 +11,7 @@ from reelsift.functions.columns import (  # noqa: F401
     label,
     norm,
     release_year,
+    round6,
     to_double_array,
     uniform,
     unit_vector,

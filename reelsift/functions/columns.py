@@ -79,6 +79,14 @@ def uniform(*parts, seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+def round6(x) -> Column:
+    """Round to 6 places half away from zero on ``x * 1e6`` (the same IEEE steps
+    as C's ``round``), so ranks and outputs agree with other engines even when
+    the shortest decimal form of ``x`` ends in 5 at the seventh place."""
+    v = _c(x)
+    return F.signum(v) * F.floor(F.abs(v) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+
+
 def to_double_array(v) -> Column:
     return _c(v).cast("array<double>")
 

@@ -1,14 +1,118 @@
-"""Candidate recall: top lists, genre index, multi-channel recall."""
+"""Candidate recall: top lists, genre index, multi-channel recall.
+
+The serving side of the reference recalls per user from three channels: the
+top items of each genre of the user's history, the global top items by
+average rating, and the global newest items; then removes the history.  Here
+all users are recalled in one job: each user gets a list of channel *keys*
+(its history genres plus the two global keys), and one equi-join against the
+small channel table (key -> at most ``per_genre``/``top``/``latest`` items)
+produces the candidates.  The channel table is broadcast behind a checked
+row count, so the users side is never shuffled for it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelsift.functions import genre_array
+from reelsift.operators.item_features import item_profile
+from reelsift.operators.user_features import last_item
+from reelsift.plans.joins import checked_broadcast
+
+# Recall sizes of the reference's serving side.
+PER_GENRE = 20
+TOP_RATED = 100
+LATEST = 100
+KEY_TOP_RATED = "#top_rating"
+KEY_LATEST = "#top_year"
+GENRE_KEY_PREFIX = "g:"
 
 
 def genre_index(items: DataFrame) -> DataFrame:
     """A10: genre -> sorted item ids (one row per genre)."""
     g = items.select("item_id", F.explode(genre_array("genres")).alias("genre"))
     return g.groupBy("genre").agg(F.count(F.lit(1)).alias("item_count"), F.array_sort(F.collect_list("item_id")).alias("item_ids"))
+
+
+def _sort_cols(by: str):
+    if by == "rating":
+        return [F.col("average_rating").desc(), F.col("item_id").asc()]
+    if by in ("releaseYear", "release_year", "year"):
+        return [F.col("release_year").desc(), F.col("item_id").asc()]
+    return [F.col("item_id").asc()]
+
+
+def top_items(profile: DataFrame, n: int, by: str = "rating") -> DataFrame:
+    """The n first items by average rating or release year (desc, then item_id).
+
+    ``orderBy().limit()`` plans as TakeOrderedAndProject: each task keeps its
+    own n best and one final merge keeps n, so no full sort happens.
+    Any other ``by`` keeps item_id order (the reference leaves it unsorted).
+    """
+    ranked = profile.orderBy(*_sort_cols(by)).limit(n)
+    return ranked.withColumn("top_rank", F.row_number().over(Window.orderBy(*_sort_cols(by))))
+
+
+def top_items_per_genre(profile: DataFrame, n: int, by: str = "rating") -> DataFrame:
+    """The n first items of every genre at once (genre, item_id, genre_rank).
+
+    A rank-limit window: Spark inserts a WindowGroupLimit before the shuffle,
+    so each map task sends at most n rows per genre.
+    """
+    g = profile.select("item_id", "average_rating", "release_year", F.explode("genre_list").alias("genre"))
+    w = Window.partitionBy("genre").orderBy(*_sort_cols(by))
+    return g.withColumn("genre_rank", F.row_number().over(w)).where(F.col("genre_rank") <= n)
+
+
+def channel_table(profile: DataFrame, per_genre: int = PER_GENRE, top: int = TOP_RATED, latest: int = LATEST) -> DataFrame:
+    """Recall channels as rows (key, item_id, channel); at most
+    per_genre x genres + top + latest rows."""
+    by_genre = top_items_per_genre(profile, per_genre).select(
+        F.concat(F.lit(GENRE_KEY_PREFIX), "genre").alias("key"), "item_id", F.lit("genre").alias("channel")
+    )
+    rated = top_items(profile, top, "rating").select(F.lit(KEY_TOP_RATED).alias("key"), "item_id", F.lit("top_rating").alias("channel"))
+    newest = top_items(profile, latest, "releaseYear").select(F.lit(KEY_LATEST).alias("key"), "item_id", F.lit("latest").alias("channel"))
+    return by_genre.unionByName(rated).unionByName(newest)
+
+
+def user_channel_keys(ratings: DataFrame, items: DataFrame, with_global: bool = True, with_genres: bool = True) -> DataFrame:
+    """(user_id, history_item, key): the channel keys each user recalls from.
+
+    History is each user's last item (the serving side keeps one per user).
+    """
+    hist = last_item(ratings).withColumnRenamed("item_id", "history_item")
+    genres = items.select(F.col("item_id").alias("history_item"), genre_array("genres").alias("g"))
+    keyed = hist.join(checked_broadcast(genres), "history_item", "left")
+    parts = []
+    if with_genres:
+        parts.append(F.transform(F.coalesce("g", F.array().cast("array<string>")), lambda x: F.concat(F.lit(GENRE_KEY_PREFIX), x)))
+    if with_global:
+        parts.append(F.array(F.lit(KEY_TOP_RATED), F.lit(KEY_LATEST)))
+    keys = parts[0] if len(parts) == 1 else F.concat(*parts)
+    return keyed.select("user_id", "history_item", F.explode(F.array_distinct(keys)).alias("key"))
+
+
+def recall(
+    ratings: DataFrame,
+    items: DataFrame,
+    per_genre: int = PER_GENRE,
+    top: int = TOP_RATED,
+    latest: int = LATEST,
+    with_global: bool = True,
+    with_genres: bool = True,
+    remove_history: bool = True,
+) -> DataFrame:
+    """R9 (J8 + J9 - J10, U1): candidates per user with the channels that found them.
+
+    Output: user_id, history_item, item_id, channels (sorted array).
+    Grouping by (user_id, item_id) reuses the user_id partitioning of the
+    user side, so the union de-duplication adds no shuffle.
+    """
+    profile = item_profile(items, ratings)
+    channels = checked_broadcast(channel_table(profile, per_genre, top, latest))
+    keys = user_channel_keys(ratings, items, with_global, with_genres)
+    pairs = keys.join(channels, "key")
+    if remove_history:
+        pairs = pairs.where(F.col("item_id") != F.col("history_item"))
+    return pairs.groupBy("user_id", "history_item", "item_id").agg(F.array_sort(F.collect_set("channel")).alias("channels"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelsift.functions import round6
 from reelsift.plans.registry import ORACLE, QUERIES
 
 _MODULES = [
@@ -39,9 +40,9 @@ def normalise(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.FloatType):
-            c = F.round(c.cast("double"), 6)
+            c = round6(c.cast("double"))
         elif isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, 6)
+            c = round6(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
