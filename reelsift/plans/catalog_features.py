@@ -207,25 +207,25 @@ def filter_min_history(spark, d):
     return _user_feats(spark, d, 100).select("user_id", "item_id", "user_rating_count")
 
 
-_LATEST_ITEM_SQL = """SELECT item_id, release_year, coalesce(movie_genre1, '') AS movie_genre1,
+LATEST_ITEM_SQL = """SELECT item_id, release_year, coalesce(movie_genre1, '') AS movie_genre1,
        coalesce(movie_genre2, '') AS movie_genre2, coalesce(movie_genre3, '') AS movie_genre3,
        movie_rating_count, movie_avg_rating, movie_rating_stddev
 FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY ts DESC, user_id DESC) AS rn FROM user_feats) x
 WHERE rn = 1"""
 
 
-@query("latest_item_features", _LATEST_ITEM_SQL, LABELLED_SQL, ITEM_FEATURES_SQL, user_features_sql(100))
+@query("latest_item_features", LATEST_ITEM_SQL, LABELLED_SQL, ITEM_FEATURES_SQL, user_features_sql(100))
 def latest_item_features(spark, d):
     return itf.latest_item_features(training_samples(spark, d))
 
 
-_LATEST_USER_SQL = """SELECT user_id, user_rated_movie1, user_rated_movie2, user_rated_movie3, user_rated_movie4,
+LATEST_USER_SQL = """SELECT user_id, user_rated_movie1, user_rated_movie2, user_rated_movie3, user_rated_movie4,
        user_rated_movie5, user_rating_count, user_avg_release_year, user_release_year_stddev, user_avg_rating,
        user_rating_stddev, user_genre1, user_genre2, user_genre3, user_genre4, user_genre5
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, item_id DESC) AS rn FROM user_feats) x
 WHERE rn = 1"""
 
 
-@query("latest_user_features", _LATEST_USER_SQL, LABELLED_SQL, ITEM_FEATURES_SQL, user_features_sql(100))
+@query("latest_user_features", LATEST_USER_SQL, LABELLED_SQL, ITEM_FEATURES_SQL, user_features_sql(100))
 def latest_user_features(spark, d):
     return uf.latest_user_features(training_samples(spark, d))

@@ -150,7 +150,7 @@ def sequence_string(spark, d):
     return s.select("user_id", F.size(toks).cast("bigint").alias("n_tokens"), F.get(toks, 0).alias("first_item"))
 
 
-_PAIRS_SQL = f"""
+PAIRS_SQL = f"""
 pairs AS (
   SELECT r.user_id, r.item_id, r.rating, u.emb AS u_emb, e.emb AS i_emb
   FROM ratings r SEMI JOIN items i ON r.item_id = i.item_id
@@ -164,7 +164,7 @@ def _pair_frames(spark, d):
     return r, i, ie, ue
 
 
-@query("cosine_scores", f"SELECT user_id, item_id, round({sql_cos100('u_emb', 'i_emb')}, 6) AS cosine FROM pairs", UEMB_SQL, _PAIRS_SQL)
+@query("cosine_scores", f"SELECT user_id, item_id, round({sql_cos100('u_emb', 'i_emb')}, 6) AS cosine FROM pairs", UEMB_SQL, PAIRS_SQL)
 def cosine_scores(spark, d):
     r, i, ie, ue = _pair_frames(spark, d)
     known = r.join(i.select("item_id"), "item_id", "left_semi")
@@ -174,7 +174,7 @@ def cosine_scores(spark, d):
 
 @query("pair_scores",
        f"SELECT user_id, item_id, rating, round(coalesce({sql_cos100('u_emb', 'i_emb')}, -1), 6) AS score FROM pairs",
-       UEMB_SQL, _PAIRS_SQL)
+       UEMB_SQL, PAIRS_SQL)
 def pair_scores(spark, d):
     r, i, ie, ue = _pair_frames(spark, d)
     return rk.score_pairs(r, r, i, ue, ie)
@@ -182,7 +182,7 @@ def pair_scores(spark, d):
 
 @query("user_item_scores",
        f"SELECT user_id, item_id, round(coalesce({sql_cos100('u_emb', 'i_emb')}, -1), 6) AS score FROM pairs",
-       UEMB_SQL, _PAIRS_SQL)
+       UEMB_SQL, PAIRS_SQL)
 def user_item_scores(spark, d):
     r, i, ie, ue = _pair_frames(spark, d)
     return rk.score_pairs(r, r, i, ue, ie).select("user_id", "item_id", "score")
@@ -197,13 +197,13 @@ def _banded_sql() -> str:
             f"{s} < 0 AS is_fallback FROM pairs")
 
 
-@query("pair_scores_banded", _banded_sql(), UEMB_SQL, _PAIRS_SQL)
+@query("pair_scores_banded", _banded_sql(), UEMB_SQL, PAIRS_SQL)
 def pair_scores_banded(spark, d):
     r, i, ie, ue = _pair_frames(spark, d)
     return rk.score_pairs(r, r, i, ue, ie, banded=True, seed=0)
 
 
-_SCORED_SQL = f"""
+SCORED_SQL = f"""
 scored AS (
   SELECT c.user_id, c.item_id, coalesce({sql_cos100('u.emb', 'e.emb')}, -1) AS score
   FROM cands c LEFT JOIN uemb u ON c.user_id = u.user_id LEFT JOIN item_emb e ON c.item_id = e.item_id),
@@ -211,7 +211,7 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 6) DESC, item_id) AS rank FROM scored)"""
 
 
-@query("rank_users_embedding", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked", *RECALL_CTES, UEMB_SQL, _SCORED_SQL)
+@query("rank_users_embedding", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked", *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def rank_users_embedding(spark, d):
     r, i, ie, ue = _pair_frames(spark, d)
     c = rc.recall(r, i).select("user_id", "item_id")
@@ -229,13 +229,13 @@ def rank_users_positional(spark, d):
     return rk.rank_for_users(c, None, None, "positional").select("user_id", "item_id", "score", "rank")
 
 
-@query("recommend_top5", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked WHERE rank <= 5", *RECALL_CTES, UEMB_SQL, _SCORED_SQL)
+@query("recommend_top5", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked WHERE rank <= 5", *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def recommend_top5(spark, d):
     r, i = views(spark, d)
     return rk.recommend(r, i, cv.item_emb(spark, d), k=5)
 
 
-@query("recommend_all_users", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked WHERE rank <= 5", *RECALL_CTES, UEMB_SQL, _SCORED_SQL)
+@query("recommend_all_users", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked WHERE rank <= 5", *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def recommend_all_users(spark, d):
     r, i = views(spark, d)
     users = r.select("user_id").distinct()
@@ -252,7 +252,7 @@ def _fallback_sql() -> str:
                  FROM ranked WHERE rank <= 5) x"""
 
 
-@query("recommend_with_fallback", _fallback_sql(), *RECALL_CTES, UEMB_SQL, _SCORED_SQL)
+@query("recommend_with_fallback", _fallback_sql(), *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def recommend_with_fallback(spark, d):
     r, i = views(spark, d)
     return rk.recommend(r, i, cv.item_emb(spark, d), k=5, fallback=True, seed=0).select("user_id", "item_id", "score", "is_fallback", "rank")
