@@ -71,9 +71,16 @@ def train_item2vec(
     iterations: int = ITEM2VEC_ITERATIONS,
     seed: int = 42,
     min_count: int = 5,
-    partitions: int = 1,
+    partitions: int | None = None,
 ):
-    """Skip-gram item2vec with Spark ML's Word2Vec on the ``items`` column."""
+    """Skip-gram item2vec with Spark ML's Word2Vec on the ``items`` column.
+
+    ``partitions`` defaults to the session's default parallelism: Word2Vec
+    trains one model slice per partition and averages them each iteration,
+    so a single partition would leave the cluster idle.
+    """
+    if partitions is None:
+        partitions = sequences.sparkSession.sparkContext.defaultParallelism
     w2v = Word2Vec(
         vectorSize=dim, windowSize=window, maxIter=iterations, minCount=min_count, seed=seed,
         numPartitions=partitions, inputCol="items", outputCol="_w2v", maxSentenceLength=MAX_SEQUENCE,
@@ -92,7 +99,7 @@ def synonyms(model, item_id, n: int = 20) -> DataFrame:
     return model.findSynonyms(str(item_id), n).select(F.col("word").cast("bigint").alias("item_id"), F.col("similarity"))
 
 
-def embedding_job(ratings: DataFrame, dim: int = ITEM2VEC_DIM, seed: int = 42, partitions: int = 1):
+def embedding_job(ratings: DataFrame, dim: int = ITEM2VEC_DIM, seed: int = 42, partitions: int | None = None):
     """E5: sequences -> item2vec -> item vectors -> user vectors.  Returns (item_emb, user_emb, model)."""
     model = train_item2vec(item_sequences(ratings), dim=dim, seed=seed, partitions=partitions)
     iv = item_vectors(model)

@@ -229,3 +229,51 @@ WHERE rn = 1"""
 @query("latest_user_features", LATEST_USER_SQL, LABELLED_SQL, ITEM_FEATURES_SQL, user_features_sql(100))
 def latest_user_features(spark, d):
     return uf.latest_user_features(training_samples(spark, d))
+
+
+# ---- the seven point-in-time windows, one query each (W1-W7) ---------------------
+
+def _win(spark, d, *cols):
+    return _user_feats(spark, d, 100).select("user_id", "item_id", *cols)
+
+
+_WIN_CTES = (LABELLED_SQL, ITEM_FEATURES_SQL, user_features_sql(100))
+
+
+@query("win_positive_history",
+       "SELECT user_id, item_id, user_rated_movie1, user_rated_movie2, user_rated_movie3, user_rated_movie4, user_rated_movie5 FROM user_feats",
+       *_WIN_CTES)
+def win_positive_history(spark, d):
+    return _win(spark, d, *[f"user_rated_movie{i}" for i in range(1, 6)])
+
+
+@query("win_rating_count", "SELECT user_id, item_id, user_rating_count FROM user_feats", *_WIN_CTES)
+def win_rating_count(spark, d):
+    return _win(spark, d, "user_rating_count")
+
+
+@query("win_avg_year", "SELECT user_id, item_id, user_avg_release_year FROM user_feats", *_WIN_CTES)
+def win_avg_year(spark, d):
+    return _win(spark, d, "user_avg_release_year")
+
+
+@query("win_year_stddev", "SELECT user_id, item_id, user_release_year_stddev FROM user_feats", *_WIN_CTES)
+def win_year_stddev(spark, d):
+    return _win(spark, d, "user_release_year_stddev")
+
+
+@query("win_avg_rating", "SELECT user_id, item_id, user_avg_rating FROM user_feats", *_WIN_CTES)
+def win_avg_rating(spark, d):
+    return _win(spark, d, "user_avg_rating")
+
+
+@query("win_rating_stddev", "SELECT user_id, item_id, user_rating_stddev FROM user_feats", *_WIN_CTES)
+def win_rating_stddev(spark, d):
+    return _win(spark, d, "user_rating_stddev")
+
+
+@query("win_user_genres",
+       "SELECT user_id, item_id, user_genre1, user_genre2, user_genre3, user_genre4, user_genre5 FROM user_feats",
+       *_WIN_CTES)
+def win_user_genres(spark, d):
+    return _win(spark, d, *[f"user_genre{i}" for i in range(1, 6)])

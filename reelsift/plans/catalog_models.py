@@ -37,8 +37,8 @@ _GENRE_IDX_SQL = """genre_idx AS (
 
 @query("genre_index_labels", "SELECT genre, genre_index FROM genre_idx", _GENRES_SQL, _GENRE_IDX_SQL)
 def genre_index_labels(spark, d):
-    model, _ = encode.genre_indexer(cv.items(spark, d))
-    return spark.createDataFrame([(g, i) for i, g in enumerate(model.labels)], "genre string, genre_index bigint")
+    model, g = encode.genre_indexer(cv.items(spark, d))
+    return model.transform(g).select("genre", F.col("genre_index").cast("bigint").alias("genre_index")).distinct()
 
 
 @query("multi_hot_genres",
