@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelsift.functions import POSITIVE_THRESHOLD
+from reelsift.operators.positions import HEAVY_ROWS, heavy_keys, heavy_positions, split_heavy
 
 # item2vec settings of the reference's embedding job.
 ITEM2VEC_DIM = 10
@@ -19,16 +20,27 @@ ITEM2VEC_ITERATIONS = 10
 MAX_SEQUENCE = 1000
 
 
-def item_sequences(ratings: DataFrame, threshold: float = POSITIVE_THRESHOLD, max_len: int = MAX_SEQUENCE) -> DataFrame:
+def item_sequences(ratings: DataFrame, threshold: float = POSITIVE_THRESHOLD, max_len: int = MAX_SEQUENCE,
+                   heavy_rows: int | None = HEAVY_ROWS) -> DataFrame:
     """Liked items of each user in time order, as ``items`` (array<string>) chunks.
 
     Rows: user_id, chunk (0-based), items, item_seq (space-joined).  A user's
     sequence is cut into pieces of at most ``max_len`` so no group is
-    unbounded; the position comes from one row_number over (ts, item_id).
+    unbounded.  Positions come from a row_number over (ts, item_id); users
+    with more than ``heavy_rows`` liked items get exact positions from the
+    range-partitioned path instead, so no task sorts a whole heavy user.
     """
     liked = ratings.where(F.col("rating") >= threshold).select("user_id", "item_id", "ts")
-    pos = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "item_id")) - 1
-    chunked = liked.withColumn("pos", pos).withColumn("chunk", F.floor(F.col("pos") / max_len))
+    heavy = heavy_keys(liked, "user_id", heavy_rows) if heavy_rows else []
+    by_user = Window.partitionBy("user_id").orderBy("ts", "item_id")
+    if not heavy:
+        positioned = liked.withColumn("pos", F.row_number().over(by_user) - 1)
+    else:
+        light, hot, _ = split_heavy(liked, "user_id", heavy)
+        positioned = light.withColumn("pos", (F.row_number().over(by_user) - 1).cast("bigint")).unionByName(
+            heavy_positions(hot, "user_id", ["ts", "item_id"], sum(n for _, n in heavy))
+        )
+    chunked = positioned.withColumn("chunk", F.floor(F.col("pos") / max_len))
     seqs = chunked.groupBy("user_id", "chunk").agg(F.array_sort(F.collect_list(F.struct("pos", "item_id"))).alias("s"))
     items = F.transform("s", lambda x: x["item_id"].cast("string"))
     return seqs.select("user_id", F.col("chunk").cast("bigint").alias("chunk"), items.alias("items")).withColumn(

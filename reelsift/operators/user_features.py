@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from reelsift.functions import fmt2, genre_array
 from reelsift.operators.item_features import latest_per_key
+from reelsift.operators.positions import BLOCK_ROWS, HEAVY_ROWS, blocks, heavy_keys, heavy_positions, split_heavy
 
 USER_HISTORY = 100  # fixed value: rows before the current one
 SLOTS = 5  # fixed value: recent items and preferred genres kept as columns
@@ -48,19 +49,11 @@ def preferred_genres(genre_strings: Column, pre_split: bool = False) -> Column:
     return F.transform(F.array_sort(runs), lambda r: r["genre"])
 
 
-def add_user_features(samples: DataFrame, history: int = USER_HISTORY, keep_first: bool = False) -> DataFrame:
-    """Point-in-time user features for each labelled sample.
-
-    ``samples`` needs user_id, item_id, ts, rating, label, release_year, genres.
-    Numeric nulls become 0 (P11) before formatting (P13); samples with at most
-    one prior rating are dropped (P3) unless ``keep_first``.
-    """
-    w = history_window(history)
+def _window_features(samples: DataFrame, w, base: list[str]) -> DataFrame:
     positive_items = F.reverse(F.collect_list(F.when(F.col("label") == 1, F.col("item_id"))).over(w))
     # each rating's genre string is split once, before the window
     positive_genres = F.collect_list(F.when(F.col("label") == 1, F.split("genres", "[|]"))).over(w)
     genres = preferred_genres(positive_genres, pre_split=True)
-    base = [c for c in samples.columns if c != "genres"]
     feats = samples.select(
         *base,
         positive_items.alias("_hist"),
@@ -72,7 +65,7 @@ def add_user_features(samples: DataFrame, history: int = USER_HISTORY, keep_firs
         genres.alias("_genres"),
     )
     zero = F.lit(0.0)
-    out = feats.select(
+    return feats.select(
         *base,
         *[F.get("_hist", i).alias(f"user_rated_movie{i + 1}") for i in range(SLOTS)],
         "user_rating_count",
@@ -82,6 +75,40 @@ def add_user_features(samples: DataFrame, history: int = USER_HISTORY, keep_firs
         fmt2(F.coalesce(F.nanvl("_rating_sd", zero), zero)).alias("user_rating_stddev"),
         *[F.get("_genres", i).alias(f"user_genre{i + 1}") for i in range(SLOTS)],
     )
+
+
+def add_user_features(
+    samples: DataFrame,
+    history: int = USER_HISTORY,
+    keep_first: bool = False,
+    heavy_rows: int | None = HEAVY_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    heavy: list[tuple] | None = None,
+) -> DataFrame:
+    """Point-in-time user features for each labelled sample.
+
+    ``samples`` needs user_id, item_id, ts, rating, label, release_year, genres.
+    Numeric nulls become 0 (P11) before formatting (P13); samples with at most
+    one prior rating are dropped (P3) unless ``keep_first``.
+
+    Users with more than ``heavy_rows`` samples (``heavy``: precomputed
+    (user_id, rows) list, else detected here) take the blocked path of
+    ``positions``: the same window over (user, block) with ``history`` rows
+    of copied context, so no task holds a whole heavy user.
+    """
+    base = [c for c in samples.columns if c != "genres"]
+    if heavy is None:
+        heavy = heavy_keys(samples, "user_id", heavy_rows) if heavy_rows else []
+    if not heavy:
+        out = _window_features(samples, history_window(history), base)
+    else:
+        light, hot_rows, _ = split_heavy(samples, "user_id", heavy)
+        plain = _window_features(light, history_window(history), base)
+        positioned = heavy_positions(hot_rows, "user_id", ["ts", "item_id"], sum(n for _, n in heavy), block_rows)
+        blocked = blocks(positioned, block_rows, history)
+        w = Window.partitionBy("user_id", "_block").orderBy("pos").rowsBetween(-history, -1)
+        hot = _window_features(blocked, w, base + ["_ctx"]).where(~F.col("_ctx")).drop("_ctx")
+        out = plain.unionByName(hot)
     return out if keep_first else out.where(F.col("user_rating_count") > 1)
 
 

@@ -65,3 +65,36 @@ def test_latest_per_key_and_profile(spark):
     assert p[1].highest_rating == 5.0 and p[1].lowest_rating == 4.0 and p[1].rating_count == 2
     dist = {x.rating: x.percentage for x in rating_distribution(r).collect()}
     assert abs(sum(dist.values()) - 1.0) < 1e-12
+
+
+def _canon_rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_heavy_user_blocked_path_matches_plain(spark):
+    from reelsift.sources import canonical as cv
+
+    r, i = cv.ratings(spark, "/root/testdata/sf0.001"), cv.items(spark, "/root/testdata/sf0.001")
+    samples = itf.add_item_features(add_label(r), i).cache()
+    plain = uf.add_user_features(samples, history=5, heavy_rows=None)
+    # every user with more than 10 samples goes through range positions and 7-row blocks
+    blocked = uf.add_user_features(samples, history=5, heavy_rows=10, block_rows=7)
+    assert _canon_rows(blocked) == _canon_rows(plain)
+
+
+def test_heavy_150_row_user_frame_100(spark):
+    rows = [(1, i + 10, float(1 + i % 5), 1000 + i // 3) for i in range(150)] + [(2, 5, 4.0, 1)]
+    samples = add_label(_ratings(spark, rows)).withColumn("release_year", F.lit(2000)).withColumn("genres", F.lit("X|Y"))
+    plain = uf.add_user_features(samples, keep_first=True, heavy_rows=None)
+    blocked = uf.add_user_features(samples, keep_first=True, heavy_rows=100, block_rows=100)
+    assert _canon_rows(blocked) == _canon_rows(plain)
+
+
+def test_heavy_item_sequences_match_plain(spark):
+    from reelsift.operators.embedding import item_sequences
+    from reelsift.sources import canonical as cv
+
+    r = cv.ratings(spark, "/root/testdata/sf0.001")
+    a = item_sequences(r, max_len=4, heavy_rows=None)
+    b = item_sequences(r, max_len=4, heavy_rows=3)
+    assert _canon_rows(a.select("user_id", "chunk", "item_seq")) == _canon_rows(b.select("user_id", "chunk", "item_seq"))
