@@ -60,20 +60,24 @@ def user_embeddings(ratings: DataFrame, item_emb: DataFrame, dim: int | None = N
     vector (the reference's rule); ``"matched"`` only by those with one.
     The sum is ``Summarizer.sum`` over ML vectors: a JVM aggregate with a
     map-side partial, so nothing is exploded per dimension and a heavy user
-    is combined in every map task before the shuffle.
+    is combined in every map task before the shuffle.  Counts come from a
+    second aggregate of the same ratings; both are partitioned by user, so
+    joining them adds no shuffle.  A user none of whose items has a vector
+    gets a zero vector of ``dim`` when given (the reference writes zeros),
+    else null.
     """
-    if dim is None:
-        dim = embedding_dim(item_emb)
-    zero = array_to_vector(F.array_repeat(F.lit(0.0), dim))
     vecs = item_emb.select("item_id", array_to_vector(F.col("emb").cast("array<double>")).alias("v"))
-    joined = ratings.select("user_id", "item_id").join(vecs, "item_id", "left")
-    agg = joined.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_all"),
-        F.count("v").alias("n_matched"),
-        Summarizer.sum(F.coalesce(F.col("v"), zero)).alias("s"),
-    )
-    n = F.col("n_all") if divisor == "all" else F.greatest(F.col("n_matched"), F.lit(1))
-    return agg.select("user_id", F.transform(vector_to_array("s"), lambda x: x / n).alias("emb"))
+    pairs = ratings.select("user_id", "item_id")
+    sums = pairs.join(vecs, "item_id").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_matched"), Summarizer.sum(F.col("v")).alias("s")
+    ).select("user_id", "n_matched", vector_to_array("s").alias("s"))
+    counts = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_all"))
+    joined = counts.join(sums, "user_id", "left")
+    n = F.col("n_all") if divisor == "all" else F.col("n_matched")
+    total = F.col("s")
+    if dim is not None:
+        total = F.coalesce(total, F.array_repeat(F.lit(0.0), dim))
+    return joined.select("user_id", F.transform(total, lambda x: x / n).alias("emb"))
 
 
 def train_item2vec(
@@ -115,5 +119,5 @@ def embedding_job(ratings: DataFrame, dim: int = ITEM2VEC_DIM, seed: int = 42, p
     """E5: sequences -> item2vec -> item vectors -> user vectors.  Returns (item_emb, user_emb, model)."""
     model = train_item2vec(item_sequences(ratings), dim=dim, seed=seed, partitions=partitions)
     iv = item_vectors(model)
-    uv = user_embeddings(ratings, iv, dim=dim)
+    uv = user_embeddings(ratings, iv, dim=dim)  # dim is known: zero vectors for users without vectors
     return iv, uv, model

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelsift.operators.cumulative import ROWS_PER_RANGE, running_totals
+
 
 def rmse(df: DataFrame, label: str = "rating", prediction: str = "prediction") -> DataFrame:
     """Root mean square error as a one-row frame (same as RegressionEvaluator('rmse'))."""
@@ -18,45 +20,28 @@ def probability_of_positive(col: str = "probability"):
     return vector_to_array(col)[1]
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "p") -> DataFrame:
+def auc(df: DataFrame, label: str = "label", score: str = "p", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """C11: exact area under ROC and under PR, as BinaryClassificationMetrics
     computes them with no down-sampling (numBins = 0).
 
-    One aggregate per distinct score (positives, negatives), cumulative sums
-    over the scores in descending order, trapezoids between consecutive
-    points.  ROC starts at (0, 0); PR starts at (0, precision of the first
-    threshold).  Work is proportional to the rows; the cumulative window runs
-    over the distinct scores only.
+    One aggregate per distinct score (positives, negatives); running sums
+    over the scores in descending order (``running_totals``: range-bucketed,
+    never one task); then each point's trapezoid only needs the previous
+    point, which is the running sum minus the row's own counts -- so no
+    ordered ``lag`` is needed.  ROC starts at (0, 0); PR starts at
+    (0, precision of the first threshold).
     """
     per = df.groupBy(F.col(score).alias("s")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("tp_n"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("fp_n"),
     )
-    run = Window.orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy()
-    cum = per.select(
-        "s",
-        F.sum("tp_n").over(run).alias("tp"),
-        F.sum("fp_n").over(run).alias("fp"),
-        F.sum("tp_n").over(whole).alias("P"),
-        F.sum("fp_n").over(whole).alias("N"),
-    )
-    pts = cum.select(
-        "s",
-        (F.col("fp") / F.col("N")).alias("fpr"),
-        (F.col("tp") / F.col("P")).alias("tpr"),
-        (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-    )
-    order = Window.orderBy(F.col("s").desc())
-    first_prec = F.first("precision").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    steps = pts.select(
-        (F.col("fpr") - F.coalesce(F.lag("fpr").over(order), F.lit(0.0))).alias("dx"),
-        (F.col("tpr") + F.coalesce(F.lag("tpr").over(order), F.lit(0.0))).alias("roc_y2"),
-        (F.col("tpr") - F.coalesce(F.lag("tpr").over(order), F.lit(0.0))).alias("dr"),
-        (F.col("precision") + F.coalesce(F.lag("precision").over(order), first_prec)).alias("pr_y2"),
-    )
-    # ROC curve also ends at (1, 1), which the last threshold already reaches.
-    return steps.agg(
-        F.sum(F.col("dx") * F.col("roc_y2") / 2).alias("auc_roc"),
-        F.sum(F.col("dr") * F.col("pr_y2") / 2).alias("auc_pr"),
+    cum = running_totals(per, "s", ["tp_n", "fp_n"], descending=True, rows_per_range=rows_per_range)
+    tp, fp, P, N = F.col("cum_tp_n"), F.col("cum_fp_n"), F.col("total_tp_n"), F.col("total_fp_n")
+    tp0, fp0 = tp - F.col("tp_n"), fp - F.col("fp_n")
+    prec = tp / (tp + fp)
+    prec0 = F.when(tp0 + fp0 == 0, prec).otherwise(tp0 / (tp0 + fp0))
+    steps = cum.select(
+        ((fp - fp0) / N * ((tp + tp0) / P) / 2).alias("roc"),
+        ((tp - tp0) / P * (prec + prec0) / 2).alias("pr"),
     )
+    return steps.agg(F.sum("roc").alias("auc_roc"), F.sum("pr").alias("auc_pr"))

@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelsift.functions import cosine100, genre_array, round6, uniform
+from reelsift.functions import cosine100, dot, genre_array, round6, uniform, unit_vector
 from reelsift.operators.embedding import user_embeddings
 from reelsift.operators.item_features import item_profile
-from reelsift.operators.recall import recall
+from reelsift.operators.recall import catalog_bounds, channel_bound, channel_table, recall, user_channel_keys
+from reelsift.plans.joins import broadcast_within
 from reelsift.operators.user_features import last_item
 
 MISSING_SCORE = -1.0  # fixed value: sentinel score when a vector is missing
@@ -90,6 +91,35 @@ def fallback_score(user="user_id", item="item_id", seed: int = 0) -> Column:
     return uniform(user, item, seed=seed) * 100.0
 
 
+def unit_dot100(a, b) -> Column:
+    """Cosine x 100 of two pre-normalised vectors; null when either is missing
+    (a zero vector normalises to null) or the sizes differ."""
+    ok = a.isNotNull() & b.isNotNull() & (F.size(a) == F.size(b))
+    return F.when(ok, dot(a, b) * 100.0)
+
+
+def _scored_candidates(ratings: DataFrame, items: DataFrame, item_emb: DataFrame, user_emb: DataFrame) -> DataFrame:
+    """(user_id, item_id, score) for every recalled candidate, embedding mode.
+
+    Item unit vectors ride on the small channel table (broadcast when its
+    bound, 20 x genres + 200 rows, is within the limit); channel keys and
+    user unit vectors are both aggregated by
+    user, so their join needs no new shuffle, and neither does the
+    (user, item) de-duplication nor the per-user rank after it: the
+    candidate pairs are never shuffled.
+    """
+    n_items, n_genres = catalog_bounds(items)
+    profile = item_profile(items, ratings)
+    unit_items = item_emb.select("item_id", unit_vector("emb").alias("i_unit"))
+    channels = channel_table(profile).select("key", "item_id").join(unit_items, "item_id", "left")
+    channels = broadcast_within(channels, channel_bound(n_genres))
+    keys = user_channel_keys(ratings, items, n_items=n_items)
+    users = user_emb.select("user_id", unit_vector("emb").alias("u_unit"))
+    pairs = keys.join(users, "user_id", "left").join(channels, "key").where(F.col("item_id") != F.col("history_item"))
+    scored = pairs.select("user_id", "item_id", F.coalesce(unit_dot100(F.col("u_unit"), F.col("i_unit")), F.lit(MISSING_SCORE)).alias("score"))
+    return scored.groupBy("user_id", "item_id").agg(F.max("score").alias("score"))
+
+
 def recommend(
     ratings: DataFrame,
     items: DataFrame,
@@ -108,10 +138,14 @@ def recommend(
     re-ranked, as the serving side does after its cut.
     Output: user_id, item_id, score, rank (and is_fallback with fallback).
     """
-    cands = recall(ratings, items).select("user_id", "item_id")
-    if mode == "embedding" and user_emb is None:
-        user_emb = user_embeddings(ratings, item_emb, dim=dim)
-    ranked = rank_for_users(cands, user_emb, item_emb, mode).where(F.col("rank") <= k)
+    if mode == "embedding":
+        if user_emb is None:
+            user_emb = user_embeddings(ratings, item_emb, dim=dim)
+        ranked = rank_within(_scored_candidates(ratings, items, item_emb, user_emb), "user_id")
+    else:
+        cands = recall(ratings, items, with_channels=False).select("user_id", "item_id")
+        ranked = rank_for_users(cands, None, None, mode)
+    ranked = ranked.where(F.col("rank") <= k)
     if not fallback:
         return ranked.select("user_id", "item_id", "score", "rank")
     missing = F.col("score") == F.lit(MISSING_SCORE)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from reelsift.functions import genre_array
 from reelsift.operators.item_features import item_profile
 from reelsift.operators.user_features import last_item
-from reelsift.plans.joins import checked_broadcast
+from reelsift.plans.joins import broadcast_within
 
 # Recall sizes of the reference's serving side.
 PER_GENRE = 20
@@ -29,10 +29,19 @@ KEY_LATEST = "#top_year"
 GENRE_KEY_PREFIX = "g:"
 
 
-def genre_index(items: DataFrame) -> DataFrame:
-    """A10: genre -> sorted item ids (one row per genre)."""
+GENRE_LIST_CHUNK = 100_000  # item-id range per inverted-index row
+
+
+def genre_index(items: DataFrame, chunk: int = GENRE_LIST_CHUNK) -> DataFrame:
+    """A10: genre inverted index, list form: (genre, chunk, item_count, sorted item_ids).
+
+    One row per genre and item-id range of width ``chunk``, so a list never
+    holds more than ``chunk`` ids however large a genre grows (the exploded
+    (item_id, genre) form is ``explode_genres``).
+    """
     g = items.select("item_id", F.explode(genre_array("genres")).alias("genre"))
-    return g.groupBy("genre").agg(F.count(F.lit(1)).alias("item_count"), F.array_sort(F.collect_list("item_id")).alias("item_ids"))
+    part = F.floor(F.col("item_id") / chunk).cast("bigint").alias("chunk")
+    return g.groupBy("genre", part).agg(F.count(F.lit(1)).alias("item_count"), F.array_sort(F.collect_list("item_id")).alias("item_ids"))
 
 
 def _sort_cols(by: str):
@@ -76,14 +85,34 @@ def channel_table(profile: DataFrame, per_genre: int = PER_GENRE, top: int = TOP
     return by_genre.unionByName(rated).unionByName(newest)
 
 
-def user_channel_keys(ratings: DataFrame, items: DataFrame, with_global: bool = True, with_genres: bool = True) -> DataFrame:
+def catalog_bounds(items: DataFrame) -> tuple[int, int]:
+    """(items, distinct genres): two small jobs over the items table only.
+
+    They bound the sizes of the genre table (one row per item) and of the
+    channel table (per_genre x genres + top + latest rows).
+    """
+    n_items = items.count()
+    n_genres = items.select(F.explode(genre_array("genres")).alias("g")).distinct().count()
+    return n_items, n_genres
+
+
+def channel_bound(n_genres: int, per_genre: int = PER_GENRE, top: int = TOP_RATED, latest: int = LATEST) -> int:
+    return per_genre * n_genres + top + latest
+
+
+def user_channel_keys(ratings: DataFrame, items: DataFrame, with_global: bool = True, with_genres: bool = True,
+                      n_items: int | None = None) -> DataFrame:
     """(user_id, history_item, key): the channel keys each user recalls from.
 
     History is each user's last item (the serving side keeps one per user).
+    The item -> genres table is broadcast when the item count allows it, so
+    the users side keeps its user_id partitioning.
     """
     hist = last_item(ratings).withColumnRenamed("item_id", "history_item")
     genres = items.select(F.col("item_id").alias("history_item"), genre_array("genres").alias("g"))
-    keyed = hist.join(checked_broadcast(genres), "history_item", "left")
+    if n_items is None:
+        n_items = items.count()
+    keyed = hist.join(broadcast_within(genres, n_items), "history_item", "left")
     parts = []
     if with_genres:
         parts.append(F.transform(F.coalesce("g", F.array().cast("array<string>")), lambda x: F.concat(F.lit(GENRE_KEY_PREFIX), x)))
@@ -102,17 +131,21 @@ def recall(
     with_global: bool = True,
     with_genres: bool = True,
     remove_history: bool = True,
+    with_channels: bool = True,
 ) -> DataFrame:
     """R9 (J8 + J9 - J10, U1): candidates per user with the channels that found them.
 
-    Output: user_id, history_item, item_id, channels (sorted array).
+    Output: user_id, history_item, item_id[, channels (sorted array)].
     Grouping by (user_id, item_id) reuses the user_id partitioning of the
     user side, so the union de-duplication adds no shuffle.
     """
+    n_items, n_genres = catalog_bounds(items)
     profile = item_profile(items, ratings)
-    channels = checked_broadcast(channel_table(profile, per_genre, top, latest))
-    keys = user_channel_keys(ratings, items, with_global, with_genres)
+    channels = broadcast_within(channel_table(profile, per_genre, top, latest), channel_bound(n_genres, per_genre, top, latest))
+    keys = user_channel_keys(ratings, items, with_global, with_genres, n_items=n_items)
     pairs = keys.join(channels, "key")
     if remove_history:
         pairs = pairs.where(F.col("item_id") != F.col("history_item"))
+    if not with_channels:
+        return pairs.select("user_id", "history_item", "item_id").distinct()
     return pairs.groupBy("user_id", "history_item", "item_id").agg(F.array_sort(F.collect_set("channel")).alias("channels"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelsift.functions import POSITIVE_THRESHOLD, label, uniform
+from reelsift.operators.cumulative import ROWS_PER_RANGE, running_totals
 
 
 def add_label(ratings: DataFrame, threshold: float = POSITIVE_THRESHOLD) -> DataFrame:
@@ -48,25 +49,22 @@ def random_split(df: DataFrame, train_fraction: float, seed: int, keys=("user_id
     return df.where(u < train_fraction), df.where(u >= train_fraction)
 
 
-def time_split_point(df: DataFrame, quantile: float = 0.8, relative_error: float = 0.05, ts_col: str = "ts") -> DataFrame:
+def time_split_point(df: DataFrame, quantile: float = 0.8, relative_error: float = 0.05, ts_col: str = "ts",
+                     rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """X3 split point as a one-row frame ``split_ts``.
 
     ``relative_error > 0``: Spark's Greenwald-Khanna sketch
     (``percentile_approx``, accuracy 1/relative_error), merged map-side.
     ``relative_error == 0``: the exact lower quantile (``percentile_disc``
     semantics: smallest value whose cumulative share reaches ``quantile``),
-    computed from per-value counts, so no task ever holds all the rows.
+    computed from per-value counts with range-bucketed running totals, so no
+    task ever holds all the rows or all the distinct values.
     """
     if relative_error > 0:
         return df.agg(F.percentile_approx(ts_col, quantile, int(round(1.0 / relative_error))).cast("bigint").alias("split_ts"))
     counts = df.groupBy(F.col(ts_col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy()
-    cum = counts.select(
-        "v",
-        F.sum("n").over(whole.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
-        F.sum("n").over(whole).alias("total"),
-    )
-    return cum.where(F.col("cum") >= F.lit(quantile) * F.col("total")).agg(F.min("v").cast("bigint").alias("split_ts"))
+    cum = running_totals(counts, "v", ["n"], rows_per_range=rows_per_range)
+    return cum.where(F.col("cum_n") >= F.lit(quantile) * F.col("total_n")).agg(F.min("v").cast("bigint").alias("split_ts"))
 
 
 def split_by_time(df: DataFrame, quantile: float = 0.8, relative_error: float = 0.05, ts_col: str = "ts") -> tuple[DataFrame, DataFrame, int]:

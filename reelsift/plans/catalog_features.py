@@ -142,14 +142,15 @@ def explode_genres(spark, d):
 
 @query(
     "genre_index",
-    f"""SELECT genre, count(*) AS item_count, string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY item_id) AS item_ids
-        FROM (SELECT item_id, unnest({sql_genre_list('genres')}) AS genre FROM items) g GROUP BY genre""",
+    f"""SELECT genre, CAST(floor(item_id / 100000) AS BIGINT) AS chunk, count(*) AS item_count,
+               string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY item_id) AS item_ids
+        FROM (SELECT item_id, unnest({sql_genre_list('genres')}) AS genre FROM items) g GROUP BY 1, 2""",
 )
 def genre_index(spark, d):
     from reelsift.operators.recall import genre_index as gi
 
     return gi(cv.items(spark, d)).select(
-        "genre", "item_count", F.array_join(F.transform("item_ids", lambda x: x.cast("string")), " ").alias("item_ids")
+        "genre", "chunk", "item_count", F.array_join(F.transform("item_ids", lambda x: x.cast("string")), " ").alias("item_ids")
     )
 
 

@@ -43,6 +43,11 @@ from reelsift.sources import kv as skr
 _EMB_LONG = "SELECT item_id, generate_subscripts(emb, 1) - 1 AS dim, round(CAST(unnest(emb) AS DOUBLE), 6) AS value FROM item_emb"
 
 
+def _user_vectors(spark, d):
+    ie = cv.item_emb(spark, d)
+    return emb.user_embeddings(cv.ratings(spark, d), ie, dim=emb.embedding_dim(ie))
+
+
 def _long(df, id_col):
     return df.select(id_col, F.posexplode("emb").alias("dim", "value"))
 
@@ -113,7 +118,7 @@ def src_item_emb(spark, d):
        "SELECT user_id, d - 1 AS dim, round(CAST(CAST(v AS FLOAT) AS DOUBLE), 6) AS value FROM uemb_long", UEMB_SQL)
 def src_user_emb(spark, d):
     path = scratch_dir(spark) + "/user_emb_txt"
-    ue = emb.user_embeddings(cv.ratings(spark, d), cv.item_emb(spark, d))
+    ue = _user_vectors(spark, d)
     sk.write_embeddings(ue, path, "user_id")
     return _long(src.read_embeddings(spark, path, "user_id"), "user_id")
 
@@ -222,7 +227,7 @@ def sink_item_emb(spark, d):
 @query("sink_user_emb", "SELECT user_id, len(emb) AS n_values FROM uemb", UEMB_SQL)
 def sink_user_emb(spark, d):
     path = scratch_dir(spark) + "/user_emb_txt"
-    sk.write_embeddings(emb.user_embeddings(cv.ratings(spark, d), cv.item_emb(spark, d)), path, "user_id")
+    sk.write_embeddings(_user_vectors(spark, d), path, "user_id")
     p = F.split(F.col("value"), ":")
     return spark.read.text(path).select(F.get(p, 0).cast("bigint").alias("user_id"), F.size(F.split(F.get(p, 1), " ")).alias("n_values"))
 
@@ -247,7 +252,7 @@ def sink_kv_item_emb(spark, d):
        UEMB_SQL)
 def sink_kv_user_emb(spark, d):
     path = scratch_dir(spark) + "/kv"
-    ue = emb.user_embeddings(cv.ratings(spark, d), cv.item_emb(spark, d))
+    ue = _user_vectors(spark, d)
     skv.write_kv(skv.to_kv_embeddings(ue, skv.USER_EMB_PREFIX, "user_id", as_of=_as_of(spark, d)), path)
     kv = skr.read_kv(spark, path, skv.USER_EMB_PREFIX)
     return kv.select("key", F.size(F.split("value", " ")).alias("n_values"), "expires_at")
@@ -259,7 +264,7 @@ def sink_kv_ttl(spark, d):
     earlier; read one hour after the last rating, only the user entries live."""
     path = scratch_dir(spark) + "/kv"
     t = _as_of(spark, d)
-    ue = emb.user_embeddings(cv.ratings(spark, d), cv.item_emb(spark, d))
+    ue = _user_vectors(spark, d)
     skv.write_kv(skv.to_kv_embeddings(ue, skv.USER_EMB_PREFIX, "user_id", as_of=t), path)
     skv.write_kv(skv.to_kv_embeddings(cv.item_emb(spark, d), skv.ITEM_EMB_PREFIX, "item_id", as_of=t - 2 * skv.DAY_SECONDS), path)
     read_at = t + 3600

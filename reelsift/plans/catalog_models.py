@@ -154,7 +154,7 @@ knn AS (
 def knn_exact(spark, d):
     r = cv.ratings(spark, d)
     ie = cv.item_emb(spark, d)
-    ue = emb.user_embeddings(r, ie)
+    ue = emb.user_embeddings(r, ie, dim=emb.embedding_dim(ie))
     out = neighbors.exact_top_k(spark, ue.select(F.col("user_id").alias("seed_id"), F.col("emb").alias("vec")),
                                 ie.select("item_id", F.col("emb").alias("vec")), 5, "euclidean", descending=False)
     return out.select(F.col("seed_id").alias("user_id"), "item_id", F.col("score").alias("distance"), "rank")

@@ -22,3 +22,13 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     if small.count() <= max_rows:
         return F.broadcast(small)
     return small
+
+
+def broadcast_within(df: DataFrame, bound_rows: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` when ``bound_rows`` -- a proven upper bound on its row
+    count, computed by the caller from cheap inputs -- is within ``max_rows``.
+
+    Unlike ``checked_broadcast`` this never evaluates ``df`` itself, so a
+    small frame derived from big data costs no extra pass.
+    """
+    return F.broadcast(df) if bound_rows <= max_rows else df

@@ -77,3 +77,31 @@ def test_splits_are_complete_and_disjoint(spark):
 def test_vector_helpers(spark):
     df = spark.createDataFrame([(Vectors.dense([0.2, 0.8]),)], ["probability"])
     assert df.select(evaluate.probability_of_positive("probability").alias("p")).first().p == 0.8
+
+
+def test_running_totals_ranges_match_single_range(spark):
+    from reelsift.operators.cumulative import running_totals
+
+    rng = np.random.default_rng(3)
+    rows = [(float(v), int(a), int(b)) for v, a, b in zip(rng.permutation(500) / 7.0, rng.integers(0, 5, 500), rng.integers(0, 5, 500))]
+    df = spark.createDataFrame(rows, "v double, a bigint, b bigint")
+    for desc in (False, True):
+        one = sorted(tuple(r) for r in running_totals(df, "v", ["a", "b"], desc).collect())
+        many = sorted(tuple(r) for r in running_totals(df, "v", ["a", "b"], desc, rows_per_range=37).collect())
+        assert one == many
+        ordered = sorted(rows, key=lambda r: -r[0] if desc else r[0])
+        assert max(x[3] for x in one) == sum(r[1] for r in ordered)
+
+
+def test_auc_and_time_split_with_many_ranges(spark):
+    rng = np.random.default_rng(11)
+    rows = [(int(l), float(round(s, 3))) for l, s in zip(rng.integers(0, 2, 3000), rng.random(3000))]
+    df = spark.createDataFrame(rows, "label int, p double")
+    a = evaluate.auc(df).collect()[0]
+    b = evaluate.auc(df, rows_per_range=50).collect()[0]
+    assert math.isclose(a.auc_roc, b.auc_roc, rel_tol=1e-12) and math.isclose(a.auc_pr, b.auc_pr, rel_tol=1e-12)
+    r = cv.ratings(spark, SF)
+    ts = sorted(x.ts for x in r.select("ts").collect())
+    want = ts[math.ceil(0.8 * len(ts)) - 1]
+    assert smp.time_split_point(r, 0.8, 0.0).first()[0] == want
+    assert smp.time_split_point(r, 0.8, 0.0, rows_per_range=20).first()[0] == want
