@@ -45,25 +45,34 @@ def rank_within(df: DataFrame, key: str, score: str = "score", rank_col: str = "
     return df.withColumn(rank_col, F.row_number().over(w))
 
 
-def rank_items(pairs: DataFrame, items: DataFrame, ratings: DataFrame, item_emb: DataFrame, mode: str = "embedding") -> DataFrame:
+def rank_items(pairs: DataFrame, items: DataFrame, ratings: DataFrame, item_emb: DataFrame, mode: str = "embedding",
+               n_items: int | None = None, n_vectors: int | None = None) -> DataFrame:
     """Score each (user_id, history_item, item_id) candidate against the history item.
 
     embedding: cosine of the two item vectors (-1 when either is missing);
     content: genre overlap and the candidate's average rating.
+    The per-item lookups (vectors or profiles) are broadcast when their row
+    counts (items-side counts, never the pairs) are within the limit, so the
+    pairs keep their user partitioning for the per-user rank.
     """
     if mode == "embedding":
-        e = item_emb.select("item_id", "emb")
-        scored = pairs.join(e.withColumnRenamed("item_id", "history_item").withColumnRenamed("emb", "h_emb"), "history_item", "left").join(
+        if n_vectors is None:
+            n_vectors = item_emb.count()
+        e = broadcast_within(item_emb.select("item_id", unit_vector("emb").alias("u")), n_vectors)
+        scored = pairs.join(e.select(F.col("item_id").alias("history_item"), F.col("u").alias("h_u")), "history_item", "left").join(
             e, "item_id", "left"
         )
-        scored = scored.select("user_id", "history_item", "item_id", emb_score("h_emb", "emb").alias("score"))
+        score = F.coalesce(unit_dot100(F.col("h_u"), F.col("u")), F.lit(MISSING_SCORE))
+        scored = scored.select("user_id", "history_item", "item_id", score.alias("score"))
     else:
-        prof = item_profile(items, ratings).select("item_id", "genre_list", "average_rating")
+        if n_items is None:
+            n_items = items.count()
+        prof = broadcast_within(item_profile(items, ratings).select("item_id", "genre_list", "average_rating"), n_items)
         h = prof.select(F.col("item_id").alias("history_item"), F.col("genre_list").alias("h_genres"))
+        empty = F.array().cast("array<string>")
         scored = pairs.join(h, "history_item", "left").join(prof, "item_id", "left").select(
             "user_id", "history_item", "item_id",
-            content_score(F.coalesce("h_genres", F.array().cast("array<string>")), F.coalesce("genre_list", F.array().cast("array<string>")),
-                          F.coalesce("average_rating", F.lit(0.0))).alias("score"),
+            content_score(F.coalesce("h_genres", empty), F.coalesce("genre_list", empty), F.coalesce("average_rating", F.lit(0.0))).alias("score"),
         )
     return rank_within(scored, "user_id")
 
@@ -98,7 +107,7 @@ def unit_dot100(a, b) -> Column:
     return F.when(ok, dot(a, b) * 100.0)
 
 
-def _scored_candidates(ratings: DataFrame, items: DataFrame, item_emb: DataFrame, user_emb: DataFrame) -> DataFrame:
+def score_candidates(ratings: DataFrame, items: DataFrame, item_emb: DataFrame, user_emb: DataFrame) -> DataFrame:
     """(user_id, item_id, score) for every recalled candidate, embedding mode.
 
     Item unit vectors ride on the small channel table (broadcast when its
@@ -141,7 +150,7 @@ def recommend(
     if mode == "embedding":
         if user_emb is None:
             user_emb = user_embeddings(ratings, item_emb, dim=dim)
-        ranked = rank_within(_scored_candidates(ratings, items, item_emb, user_emb), "user_id")
+        ranked = rank_within(score_candidates(ratings, items, item_emb, user_emb), "user_id")
     else:
         cands = recall(ratings, items, with_channels=False).select("user_id", "item_id")
         ranked = rank_for_users(cands, None, None, mode)
@@ -202,5 +211,5 @@ def history_of(ratings: DataFrame) -> DataFrame:
 
 __all__ = [
     "banded_fallback", "content_score", "emb_score", "fallback_score", "rank_for_users", "rank_items",
-    "rank_within", "recommend", "score_pairs", "genre_array",
+    "rank_within", "recommend", "score_candidates", "score_pairs", "genre_array",
 ]

@@ -215,8 +215,7 @@ ranked AS (
 @query("rank_users_embedding", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked", *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def rank_users_embedding(spark, d):
     r, i, ie, ue = _pair_frames(spark, d)
-    c = rc.recall(r, i).select("user_id", "item_id")
-    return rk.rank_for_users(c, ue, ie, "embedding").select("user_id", "item_id", "score", "rank")
+    return rk.rank_within(rk.score_candidates(r, i, ie, ue), "user_id").select("user_id", "item_id", "score", "rank")
 
 
 @query("rank_users_positional",
@@ -268,7 +267,7 @@ item_scored AS (
 @query("item_item_scores", "SELECT user_id, item_id, round(score, 6) AS score FROM item_scored", *RECALL_CTES, _ITEM_PAIR_SQL)
 def item_item_scores(spark, d):
     r, i = views(spark, d)
-    c = rc.recall(r, i)
+    c = rc.recall(r, i, with_channels=False)
     return rk.rank_items(c, i, r, cv.item_emb(spark, d), "embedding").select("user_id", "item_id", "score")
 
 
@@ -278,7 +277,7 @@ def item_item_scores(spark, d):
        *RECALL_CTES, _ITEM_PAIR_SQL)
 def rank_items_embedding(spark, d):
     r, i = views(spark, d)
-    c = rc.recall(r, i)
+    c = rc.recall(r, i, with_channels=False)
     return rk.rank_items(c, i, r, cv.item_emb(spark, d), "embedding").select("user_id", "item_id", "score", "rank")
 
 
@@ -298,7 +297,7 @@ content AS (
        *RECALL_CTES, _CONTENT_SQL)
 def rank_items_content(spark, d):
     r, i = views(spark, d)
-    c = rc.recall(r, i)
+    c = rc.recall(r, i, with_channels=False)
     return rk.rank_items(c, i, r, cv.item_emb(spark, d), "content").select("user_id", "item_id", "score", "rank")
 
 

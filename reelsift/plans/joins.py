@@ -1,9 +1,12 @@
 """Join helpers: broadcast only behind a size check, with a shuffle join beyond it.
 
-``checked_broadcast`` persists the small side, counts it, and adds a broadcast
-hint only when the count is within ``max_rows``; otherwise the frame is
-returned as is and Spark plans a shuffle join (AQE may still convert it at run
-time from the measured shuffle size, and splits skewed partitions).
+``broadcast_within`` takes a proven upper bound on the small side's rows that
+the caller computed from cheap inputs (e.g. channel table <= 20 x genres +
+200 rows, from an items-only count) and never evaluates the frame itself.
+``checked_broadcast`` is the fallback when no such bound exists: it persists
+the small side and counts it.  Beyond the limit both return the frame as is
+and Spark plans a shuffle join (AQE may still convert it at run time from the
+measured shuffle size, and splits skewed partitions).
 """
 
 from __future__ import annotations
