@@ -115,9 +115,19 @@ def synonyms(model, item_id, n: int = 20) -> DataFrame:
     return model.findSynonyms(str(item_id), n).select(F.col("word").cast("bigint").alias("item_id"), F.col("similarity"))
 
 
-def embedding_job(ratings: DataFrame, dim: int = ITEM2VEC_DIM, seed: int = 42, partitions: int | None = None):
-    """E5: sequences -> item2vec -> item vectors -> user vectors.  Returns (item_emb, user_emb, model)."""
+def embedding_job(ratings: DataFrame, dim: int = ITEM2VEC_DIM, seed: int = 42, partitions: int | None = None,
+                  out_dir: str | None = None):
+    """E5: sequences -> item2vec -> item vectors -> user vectors [-> K2/K3 text files].
+
+    Returns (item_emb, user_emb, model); with ``out_dir`` the vectors are also
+    written as ``id:v1 v2 ...`` text under ``out_dir/items`` and ``out_dir/users``.
+    """
+    from reelsift.sinks.files import write_embeddings
+
     model = train_item2vec(item_sequences(ratings), dim=dim, seed=seed, partitions=partitions)
     iv = item_vectors(model)
     uv = user_embeddings(ratings, iv, dim=dim)  # dim is known: zero vectors for users without vectors
+    if out_dir is not None:
+        write_embeddings(iv, f"{out_dir}/items", "item_id")
+        write_embeddings(uv, f"{out_dir}/users", "user_id")
     return iv, uv, model

@@ -101,18 +101,28 @@ def channel_bound(n_genres: int, per_genre: int = PER_GENRE, top: int = TOP_RATE
 
 
 def user_channel_keys(ratings: DataFrame, items: DataFrame, with_global: bool = True, with_genres: bool = True,
-                      n_items: int | None = None) -> DataFrame:
+                      n_items: int | None = None, history: str = "last") -> DataFrame:
     """(user_id, history_item, key): the channel keys each user recalls from.
 
-    History is each user's last item (the serving side keeps one per user).
-    The item -> genres table is broadcast when the item count allows it, so
-    the users side keeps its user_id partitioning.
+    ``history="last"``: each user's last item (the serving side keeps one per
+    user); ``history="all"``: the genres of every rated item (history_item is
+    then the last item, kept for reference).  The item -> genres table is
+    broadcast when the item count allows it, so the users side keeps its
+    user_id partitioning.
     """
     hist = last_item(ratings).withColumnRenamed("item_id", "history_item")
     genres = items.select(F.col("item_id").alias("history_item"), genre_array("genres").alias("g"))
     if n_items is None:
         n_items = items.count()
-    keyed = hist.join(broadcast_within(genres, n_items), "history_item", "left")
+    genres = broadcast_within(genres, n_items)
+    if history == "all":
+        rated = ratings.select("user_id", F.col("item_id").alias("history_item")).join(genres, "history_item")
+        every = rated.select("user_id", F.explode("g").alias("genre")).groupBy("user_id").agg(F.collect_set("genre").alias("g"))
+        keyed = hist.join(every, "user_id", "left")
+    elif history == "last":
+        keyed = hist.join(genres, "history_item", "left")
+    else:
+        raise ValueError(f"history must be 'last' or 'all', not {history!r}")
     parts = []
     if with_genres:
         parts.append(F.transform(F.coalesce("g", F.array().cast("array<string>")), lambda x: F.concat(F.lit(GENRE_KEY_PREFIX), x)))
@@ -132,6 +142,7 @@ def recall(
     with_genres: bool = True,
     remove_history: bool = True,
     with_channels: bool = True,
+    history: str = "last",
 ) -> DataFrame:
     """R9 (J8 + J9 - J10, U1): candidates per user with the channels that found them.
 
@@ -142,9 +153,11 @@ def recall(
     n_items, n_genres = catalog_bounds(items)
     profile = item_profile(items, ratings)
     channels = broadcast_within(channel_table(profile, per_genre, top, latest), channel_bound(n_genres, per_genre, top, latest))
-    keys = user_channel_keys(ratings, items, with_global, with_genres, n_items=n_items)
+    keys = user_channel_keys(ratings, items, with_global, with_genres, n_items=n_items, history=history)
     pairs = keys.join(channels, "key")
-    if remove_history:
+    if remove_history and history == "all":
+        pairs = pairs.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    elif remove_history:
         pairs = pairs.where(F.col("item_id") != F.col("history_item"))
     if not with_channels:
         return pairs.select("user_id", "history_item", "item_id").distinct()

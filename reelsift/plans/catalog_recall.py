@@ -304,3 +304,20 @@ def rank_items_content(spark, d):
 @query("content_similarity", "SELECT user_id, item_id, round(score, 6) AS score FROM content", *RECALL_CTES, _CONTENT_SQL)
 def content_similarity(spark, d):
     return rank_items_content(spark, d).select("user_id", "item_id", "score")
+
+
+_UKEYS_ALL_SQL = f"""
+ukeys_all AS (
+  SELECT DISTINCT r.user_id, 'g:' || unnest(g.gl) AS key
+  FROM ratings r JOIN (SELECT item_id, {sql_genre_list('genres')} AS gl FROM items) g ON r.item_id = g.item_id
+  UNION SELECT user_id, '#top_rating' FROM hist
+  UNION SELECT user_id, '#top_year' FROM hist)"""
+
+
+@query("recall_history_all",
+       """SELECT DISTINCT k.user_id, c.item_id FROM ukeys_all k JOIN channels c ON k.key = c.key
+          WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.user_id = k.user_id AND r.item_id = c.item_id)""",
+       PROFILE_SQL, CHANNELS_SQL, _UKEYS_ALL_SQL)
+def recall_history_all(spark, d):
+    """R9 with the whole history: genres of every rated item, every rated item removed."""
+    return _recall(spark, d, history="all", with_channels=False).select("user_id", "item_id")

@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming code (no watermark, window, state or late-data
+semantics to match; SURVEY section 2.16), so every job here is a batch job.
+"""

@@ -57,3 +57,22 @@ def test_user_embedding_divides_by_all_ratings(spark):
     assert got == {1: [0.5, 1.0], 2: [4.0, 0.0]}
     matched = {x.user_id: x.emb for x in user_embeddings(r, e, divisor="matched").collect()}
     assert matched[1] == [1.0, 2.0]
+
+
+def test_recall_history_all_excludes_every_rated_item(spark):
+    r, i = cv.ratings(spark, SF), cv.items(spark, SF)
+    allh = rc.recall(r, i, history="all", with_channels=False)
+    assert allh.join(r, ["user_id", "item_id"]).count() == 0
+    last = rc.recall(r, i, with_channels=False).select("user_id", "item_id")
+    # every user's genre set under "all" contains its last item's genres, so only rated items can disappear
+    missing = last.join(allh.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    assert missing.join(r, ["user_id", "item_id"], "left_anti").count() == 0
+
+
+def test_embedding_job_writes_vectors(spark, tmp_out):
+    from reelsift.operators.embedding import embedding_job
+    from reelsift.sources.files import read_embeddings
+
+    iv, uv, _ = embedding_job(cv.ratings(spark, SF), out_dir=tmp_out)
+    assert read_embeddings(spark, tmp_out + "/users", "user_id").count() == uv.count()
+    assert read_embeddings(spark, tmp_out + "/items").count() == iv.count()
