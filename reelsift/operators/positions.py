@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelsift.session import checkpoint_base
+
 HEAVY_ROWS = 2_000_000  # a key with more rows than this leaves the plain window path
 BLOCK_ROWS = 500_000  # rows per block (plus the copied context) for heavy keys
 
@@ -80,6 +82,7 @@ def _local_index_fn(key: str):
 def heavy_positions(df: DataFrame, key: str, order: list[str], total_rows: int, rows_per_partition: int = BLOCK_ROWS) -> DataFrame:
     """``df`` (heavy keys only) with ``pos``: 0-based position of each row
     within its key in ``order`` (order must make rows unique within a key)."""
+    checkpoint_base(df.sparkSession)  # checkpoint() below needs the shared folder registered
     n_parts = max(1, math.ceil(total_rows / rows_per_partition))
     ranged = df.repartitionByRange(n_parts, key, *order).sortWithinPartitions(key, *order)
     schema = T.StructType(list(df.schema.fields) + [T.StructField("_pid", T.IntegerType()), T.StructField("_li", T.LongType())])

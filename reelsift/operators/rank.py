@@ -10,12 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelsift.functions import cosine100, dot, genre_array, round6, uniform, unit_vector
+from reelsift.functions import cosine100, dot, round6, uniform, unit_vector
 from reelsift.operators.embedding import user_embeddings
 from reelsift.operators.item_features import item_profile
 from reelsift.operators.recall import catalog_bounds, channel_bound, channel_table, recall, user_channel_keys
 from reelsift.plans.joins import broadcast_within
-from reelsift.operators.user_features import last_item
 
 MISSING_SCORE = -1.0  # fixed value: sentinel score when a vector is missing
 RECOMMENDATIONS = 5  # fixed value: recommendations per user
@@ -205,11 +204,7 @@ def score_pairs(pairs: DataFrame, ratings: DataFrame, items: DataFrame, user_emb
     )
 
 
-def history_of(ratings: DataFrame) -> DataFrame:
-    return last_item(ratings).withColumnRenamed("item_id", "history_item")
-
-
 __all__ = [
     "banded_fallback", "content_score", "emb_score", "fallback_score", "rank_for_users", "rank_items",
-    "rank_within", "recommend", "score_candidates", "score_pairs", "genre_array",
+    "rank_within", "recommend", "score_candidates", "score_pairs", "unit_dot100",
 ]

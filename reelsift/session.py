@@ -31,19 +31,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """Return a fresh folder under the cluster's shared checkpoint folder.
-
-    The folder comes from ``spark.checkpoint.dir`` (or the context's checkpoint
-    dir).  Only when neither is set, as in a bare test session, do we create one
-    of our own and register it as the checkpoint dir.
-    """
+def checkpoint_base(spark: SparkSession) -> str:
+    """The shared checkpoint folder: ``spark.checkpoint.dir`` (or the context's
+    checkpoint dir).  Only when neither is set, as in a bare test session, is
+    a folder of our own created and registered as the checkpoint dir."""
     sc = spark.sparkContext
-    base = sc.getCheckpointDir()
-    if not base:
-        base = spark.conf.get("spark.checkpoint.dir", None)
+    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="reelsift-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
-    return f"{base.rstrip('/')}/reelsift-{uuid.uuid4().hex}"
+    return sc.getCheckpointDir() or base
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A fresh folder under the shared checkpoint folder (round trips, KV store)."""
+    return f"{checkpoint_base(spark).rstrip('/')}/reelsift-{uuid.uuid4().hex}"

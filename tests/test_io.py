@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from reelsift.sinks import files as sk
 from reelsift.sinks import kv as skv
 from reelsift.sources import files as src
