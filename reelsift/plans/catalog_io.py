@@ -197,7 +197,7 @@ def src_kv_features(spark, d):
 
 @query("join_kv_features",
        """SELECT i.item_id, k.n_fields FROM items i LEFT JOIN (
-            SELECT item_id, 7 AS n_fields FROM (SELECT DISTINCT item_id FROM user_feats) z) k ON i.item_id = k.item_id""",
+            SELECT item_id, CAST(7 AS BIGINT) AS n_fields FROM (SELECT DISTINCT item_id FROM user_feats) z) k ON i.item_id = k.item_id""",
        *_FEATS)
 def join_kv_features(spark, d):
     path = scratch_dir(spark) + "/kv"

@@ -160,7 +160,7 @@ def knn_exact(spark, d):
     return out.select(F.col("seed_id").alias("user_id"), "item_id", F.col("score").alias("distance"), "rank")
 
 
-@query("lsh_buckets", "SELECT item_id, unnest([0, 1, 2]) AS table_idx FROM item_emb")
+@query("lsh_buckets", "SELECT item_id, CAST(unnest([0, 1, 2]) AS BIGINT) AS table_idx FROM item_emb")
 def lsh_buckets(spark, d):
     return neighbors.lsh_buckets(cv.item_emb(spark, d), seed=SEED).select("item_id", "table_idx")
 
@@ -174,7 +174,7 @@ def ann_lsh(spark, d):
 # ---- item2vec ---------------------------------------------------------------
 
 @query("item2vec_vocab",
-       "SELECT item_id, 10 AS dim FROM ratings WHERE rating >= 3.5 GROUP BY item_id HAVING count(*) >= 5")
+       "SELECT item_id, CAST(10 AS BIGINT) AS dim FROM ratings WHERE rating >= 3.5 GROUP BY item_id HAVING count(*) >= 5")
 def item2vec_vocab(spark, d):
     model = emb.train_item2vec(emb.item_sequences(cv.ratings(spark, d)), seed=SEED)
     return emb.item_vectors(model).select("item_id", F.size("emb").alias("dim"))
@@ -189,7 +189,7 @@ def synonyms_w2v(spark, d):
     return emb.synonyms(model, top, 20)
 
 
-@query("embedding_job", "SELECT DISTINCT user_id, 10 AS dim FROM ratings")
+@query("embedding_job", "SELECT DISTINCT user_id, CAST(10 AS BIGINT) AS dim FROM ratings")
 def embedding_job(spark, d):
     _, uv, _ = emb.embedding_job(cv.ratings(spark, d), seed=SEED)
     return uv.select("user_id", F.size("emb").alias("dim"))
@@ -209,8 +209,8 @@ def _als(spark, d):
 
 
 @query("als_factors",
-       """SELECT 'user' AS kind, user_id AS id, 10 AS rank FROM train GROUP BY user_id
-          UNION ALL SELECT 'item', item_id, 10 FROM train GROUP BY item_id""",
+       """SELECT 'user' AS kind, user_id AS id, CAST(10 AS BIGINT) AS rank FROM train GROUP BY user_id
+          UNION ALL SELECT 'item', item_id, CAST(10 AS BIGINT) FROM train GROUP BY item_id""",
        _SPLIT_SQL)
 def als_factors(spark, d):
     model, _, _ = _als(spark, d)

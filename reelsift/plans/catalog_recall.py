@@ -133,7 +133,7 @@ def user_embedding(spark, d):
 
 
 @query("item_sequences",
-       """SELECT user_id, 0 AS chunk, string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY ts, item_id) AS item_seq,
+       """SELECT user_id, CAST(0 AS BIGINT) AS chunk, string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY ts, item_id) AS item_seq,
                  count(*) AS seq_len
           FROM ratings WHERE rating >= 3.5 GROUP BY user_id""")
 def item_sequences(spark, d):

@@ -31,7 +31,7 @@ def sql_year(t: str, default: str = "1990", unparsed: str = "NULL") -> str:
     tt = f"trim({t})"
     slice_ = f"TRY_CAST(substr({tt}, length({tt}) - 4, 4) AS INTEGER)"
     parsed = slice_ if unparsed == "NULL" else f"coalesce({slice_}, {unparsed})"
-    return f"(CASE WHEN {t} IS NULL OR length({tt}) < 6 THEN {default} ELSE {parsed} END)"
+    return f"CAST(CASE WHEN {t} IS NULL OR length({tt}) < 6 THEN {default} ELSE {parsed} END AS BIGINT)"
 
 
 def sql_genre_list(g: str) -> str:
@@ -44,7 +44,7 @@ def sql_uniform(parts: list[str], seed: int) -> str:
     return f"(CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) / 4294967296.0)"
 
 
-LABELLED_SQL = "labelled AS (SELECT user_id, item_id, rating, ts, CASE WHEN rating >= 3.5 THEN 1 ELSE 0 END AS label FROM ratings)"
+LABELLED_SQL = "labelled AS (SELECT user_id, item_id, rating, ts, CAST(CASE WHEN rating >= 3.5 THEN 1 ELSE 0 END AS BIGINT) AS label FROM ratings)"
 
 ITEM_FEATURES_SQL = f"""
 item_stats AS (
