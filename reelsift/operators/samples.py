@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsift.functions import POSITIVE_THRESHOLD, label, uniform
@@ -22,16 +22,12 @@ def filter_positive(ratings: DataFrame, threshold: float = POSITIVE_THRESHOLD) -
 def rating_distribution(ratings: DataFrame) -> DataFrame:
     """A1 + A15: count per rating value and its share of all ratings.
 
-    One aggregation; the total is a window over the (tiny) aggregated result,
-    so the ratings are scanned once.
+    One aggregation over the ratings; the total comes from the range-bucketed
+    running totals over the (few) distinct values, so no unpartitioned window.
     """
     counts = ratings.groupBy("rating").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return counts.select(
-        "rating",
-        F.col("n").alias("rating_count"),
-        (F.col("n") / total).alias("percentage"),
-    )
+    tot = running_totals(counts, "rating", ["n"])
+    return tot.select("rating", F.col("n").alias("rating_count"), (F.col("n") / F.col("total_n")).alias("percentage"))
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int, keys=("user_id", "item_id")) -> DataFrame:
