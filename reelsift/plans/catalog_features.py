@@ -175,7 +175,10 @@ _UF_OUT = """user_id, item_id, rating, ts, label,
 
 
 def _user_feats(spark, d, history):
-    return uf.add_user_features(_item_feats(spark, d), history=history)
+    from reelsift.operators.training import build_samples
+
+    r, i = views(spark, d)
+    return build_samples(r, i, history=history)
 
 
 @query("user_features", f"SELECT {_UF_OUT} FROM user_feats", LABELLED_SQL, ITEM_FEATURES_SQL, user_features_sql(100))
