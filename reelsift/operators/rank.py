@@ -107,7 +107,10 @@ def unit_dot100(a, b) -> Column:
 
 
 def score_candidates(ratings: DataFrame, items: DataFrame, item_emb: DataFrame, user_emb: DataFrame) -> DataFrame:
-    """(user_id, item_id, score) for every recalled candidate, embedding mode.
+    """(user_id, item_id, score, missing) for every recalled candidate, embedding mode.
+
+    ``missing`` marks the -1 sentinel (a vector could not be used), so a
+    genuine score of -1 is never mistaken for it.
 
     Item unit vectors ride on the small channel table (broadcast when its
     bound, 20 x genres + 200 rows, is within the limit); channel keys and
@@ -124,8 +127,9 @@ def score_candidates(ratings: DataFrame, items: DataFrame, item_emb: DataFrame,
     keys = user_channel_keys(ratings, items, n_items=n_items)
     users = user_emb.select("user_id", unit_vector("emb").alias("u_unit"))
     pairs = keys.join(users, "user_id", "left").join(channels, "key").where(F.col("item_id") != F.col("history_item"))
-    scored = pairs.select("user_id", "item_id", F.coalesce(unit_dot100(F.col("u_unit"), F.col("i_unit")), F.lit(MISSING_SCORE)).alias("score"))
-    return scored.groupBy("user_id", "item_id").agg(F.max("score").alias("score"))
+    cos = unit_dot100(F.col("u_unit"), F.col("i_unit"))
+    scored = pairs.select("user_id", "item_id", F.coalesce(cos, F.lit(MISSING_SCORE)).alias("score"), cos.isNull().alias("missing"))
+    return scored.groupBy("user_id", "item_id").agg(F.max("score").alias("score"), F.max("missing").alias("missing"))
 
 
 def recommend(
@@ -152,11 +156,12 @@ def recommend(
         ranked = rank_within(score_candidates(ratings, items, item_emb, user_emb), "user_id")
     else:
         cands = recall(ratings, items, with_channels=False).select("user_id", "item_id")
-        ranked = rank_for_users(cands, None, None, mode)
+        ranked = rank_for_users(cands, None, None, mode).withColumn("missing", F.lit(False))
     ranked = ranked.where(F.col("rank") <= k)
     if not fallback:
         return ranked.select("user_id", "item_id", "score", "rank")
-    missing = F.col("score") == F.lit(MISSING_SCORE)
+    # only a genuinely missing score falls back (not a real cosine that happens to be -1)
+    missing = F.col("missing")
     fixed = ranked.select(
         "user_id", "item_id",
         F.when(missing, fallback_score(seed=seed)).otherwise(F.col("score")).alias("score"),

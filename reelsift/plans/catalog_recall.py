@@ -206,7 +206,8 @@ def pair_scores_banded(spark, d):
 
 SCORED_SQL = f"""
 scored AS (
-  SELECT c.user_id, c.item_id, coalesce({sql_cos100('u.emb', 'e.emb')}, -1) AS score
+  SELECT c.user_id, c.item_id, coalesce({sql_cos100('u.emb', 'e.emb')}, -1) AS score,
+         {sql_cos100('u.emb', 'e.emb')} IS NULL AS missing
   FROM cands c LEFT JOIN uemb u ON c.user_id = u.user_id LEFT JOIN item_emb e ON c.item_id = e.item_id),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 6) DESC, item_id) AS rank FROM scored)"""
@@ -247,8 +248,8 @@ def _fallback_sql() -> str:
     u = sql_uniform(["user_id", "item_id"], 0)
     return f"""SELECT user_id, item_id, round(score, 6) AS score, is_fallback,
                   row_number() OVER (PARTITION BY user_id ORDER BY round(score, 6) DESC, item_id) AS rank
-           FROM (SELECT user_id, item_id, CASE WHEN score = -1 THEN {u} * 100 ELSE score END AS score,
-                        score = -1 AS is_fallback
+           FROM (SELECT user_id, item_id, CASE WHEN missing THEN {u} * 100 ELSE score END AS score,
+                        missing AS is_fallback
                  FROM ranked WHERE rank <= 5) x"""
 
 

@@ -76,3 +76,14 @@ def test_embedding_job_writes_vectors(spark, tmp_out):
     iv, uv, _ = embedding_job(cv.ratings(spark, SF), out_dir=tmp_out)
     assert read_embeddings(spark, tmp_out + "/users", "user_id").count() == uv.count()
     assert read_embeddings(spark, tmp_out + "/items").count() == iv.count()
+
+
+def test_fallback_only_for_missing_vectors(spark):
+    r, i = cv.ratings(spark, SF), cv.items(spark, SF)
+    e = cv.item_emb(spark, SF).where(F.col("item_id") % 2 == 0)  # odd items lose their vectors
+    recs = rk.recommend(r, i, e, k=5, fallback=True, seed=1).collect()
+    assert any(x.is_fallback for x in recs) and not all(x.is_fallback for x in recs)
+    for x in recs:
+        assert x.is_fallback == (x.item_id % 2 == 1)
+        if x.is_fallback:
+            assert 0.0 <= x.score < 100.0
