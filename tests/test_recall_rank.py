@@ -79,11 +79,12 @@ def test_embedding_job_writes_vectors(spark, tmp_out):
 
 
 def test_fallback_only_for_missing_vectors(spark):
-    r, i = cv.ratings(spark, SF), cv.items(spark, SF)
-    e = cv.item_emb(spark, SF).where(F.col("item_id") % 2 == 0)  # odd items lose their vectors
-    recs = rk.recommend(r, i, e, k=5, fallback=True, seed=1).collect()
+    r, i, e = cv.ratings(spark, SF), cv.items(spark, SF), cv.item_emb(spark, SF)
+    ue = user_embeddings(r, e)
+    ue = ue.select("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(None)).otherwise(F.col("emb")).alias("emb"))
+    recs = rk.recommend(r, i, e, k=5, fallback=True, seed=1, user_emb=ue).collect()
     assert any(x.is_fallback for x in recs) and not all(x.is_fallback for x in recs)
     for x in recs:
-        assert x.is_fallback == (x.item_id % 2 == 1)
+        assert x.is_fallback == (x.user_id % 3 == 0)
         if x.is_fallback:
             assert 0.0 <= x.score < 100.0
