@@ -106,7 +106,8 @@ def unit_dot100(a, b) -> Column:
     return F.when(ok, dot(a, b) * 100.0)
 
 
-def score_candidates(ratings: DataFrame, items: DataFrame, item_emb: DataFrame, user_emb: DataFrame) -> DataFrame:
+def score_candidates(ratings: DataFrame, items: DataFrame, item_emb: DataFrame, user_emb: DataFrame,
+                     history: str = "last") -> DataFrame:
     """(user_id, item_id, score, missing) for every recalled candidate, embedding mode.
 
     ``missing`` marks the -1 sentinel (a vector could not be used), so a
@@ -124,9 +125,13 @@ def score_candidates(ratings: DataFrame, items: DataFrame, item_emb: DataFrame,
     unit_items = item_emb.select("item_id", unit_vector("emb").alias("i_unit"))
     channels = channel_table(profile).select("key", "item_id").join(unit_items, "item_id", "left")
     channels = broadcast_within(channels, channel_bound(n_genres))
-    keys = user_channel_keys(ratings, items, n_items=n_items)
+    keys = user_channel_keys(ratings, items, n_items=n_items, history=history)
     users = user_emb.select("user_id", unit_vector("emb").alias("u_unit"))
-    pairs = keys.join(users, "user_id", "left").join(channels, "key").where(F.col("item_id") != F.col("history_item"))
+    pairs = keys.join(users, "user_id", "left").join(channels, "key")
+    if history == "all":  # every rated item leaves the candidates (a shuffle on (user, item))
+        pairs = pairs.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    else:
+        pairs = pairs.where(F.col("item_id") != F.col("history_item"))
     cos = unit_dot100(F.col("u_unit"), F.col("i_unit"))
     scored = pairs.select("user_id", "item_id", F.coalesce(cos, F.lit(MISSING_SCORE)).alias("score"), cos.isNull().alias("missing"))
     return scored.groupBy("user_id", "item_id").agg(F.max("score").alias("score"), F.max("missing").alias("missing"))
@@ -142,9 +147,12 @@ def recommend(
     seed: int = 0,
     user_emb: DataFrame | None = None,
     dim: int | None = None,
+    history: str = "last",
 ) -> DataFrame:
     """Batch recommendations for every user: recall -> score -> top k [-> fallback -> re-sort].
 
+    ``history``: "last" (the serving side's single history item) or "all".
+
     With ``fallback``, a missing-vector score (-1 sentinel) inside the top k is
     replaced by a deterministic uniform in [0, 100) and the k rows are
     re-ranked, as the serving side does after its cut.
@@ -153,9 +161,9 @@ def recommend(
     if mode == "embedding":
         if user_emb is None:
             user_emb = user_embeddings(ratings, item_emb, dim=dim)
-        ranked = rank_within(score_candidates(ratings, items, item_emb, user_emb), "user_id")
+        ranked = rank_within(score_candidates(ratings, items, item_emb, user_emb, history), "user_id")
     else:
-        cands = recall(ratings, items, with_channels=False).select("user_id", "item_id")
+        cands = recall(ratings, items, with_channels=False, history=history).select("user_id", "item_id")
         ranked = rank_for_users(cands, None, None, mode).withColumn("missing", F.lit(False))
     ranked = ranked.where(F.col("rank") <= k)
     if not fallback:

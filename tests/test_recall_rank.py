@@ -88,3 +88,10 @@ def test_fallback_only_for_missing_vectors(spark):
         assert x.is_fallback == (x.user_id % 3 == 0)
         if x.is_fallback:
             assert 0.0 <= x.score < 100.0
+
+
+def test_recommend_whole_history_never_recommends_rated_items(spark):
+    r, i, e = cv.ratings(spark, SF), cv.items(spark, SF), cv.item_emb(spark, SF)
+    recs = rk.recommend(r, i, e, k=5, history="all")
+    assert recs.join(r, ["user_id", "item_id"]).count() == 0
+    assert recs.groupBy("user_id").count().where("count > 5").count() == 0
