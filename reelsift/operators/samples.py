@@ -71,3 +71,24 @@ def split_by_time(df: DataFrame, quantile: float = 0.8, relative_error: float =
     """
     split_ts = time_split_point(df, quantile, relative_error, ts_col).first()["split_ts"]
     return df.where(F.col(ts_col) <= split_ts), df.where(F.col(ts_col) > split_ts), split_ts
+
+
+def split_and_save(samples: DataFrame, path: str, fraction: float = 0.1, seed: int = 42, by: str = "random",
+                   train_fraction: float = 0.8, quantile: float = 0.8, relative_error: float = 0.05,
+                   files: int | None = None) -> tuple[str, str]:
+    """X4 (and its time-based twin): sample, split, write train and test as headered CSV.
+
+    ``by="random"``: hash-uniform ``train_fraction`` split; ``by="time"``:
+    rows at or before the ``quantile`` timestamp of the sample go to train.
+    Returns the two paths written (``path/train``, ``path/test``).
+    """
+    from reelsift.sinks.files import write_samples
+
+    small = sample_rows(samples, fraction, seed)
+    if by == "random":
+        train, test = random_split(small, train_fraction, seed)
+    elif by == "time":
+        train, test, _ = split_by_time(small, quantile, relative_error)
+    else:
+        raise ValueError(f"by must be 'random' or 'time', not {by!r}")
+    return write_samples(train, f"{path}/train", files), write_samples(test, f"{path}/test", files)

@@ -301,16 +301,12 @@ def sink_scored_pairs(spark, d):
            GROUP BY part""",
        *_FEATS)
 def sample_split_job(spark, d):
-    from reelsift.operators.samples import sample_rows, random_split
+    from reelsift.operators.samples import split_and_save
 
-    base = scratch_dir(spark)
     s = training_samples(spark, d)
-    small = sample_rows(s, 0.1, 42)
-    tr, te = random_split(small, 0.8, 42)
-    sk.write_samples(tr, base + "/train")
-    sk.write_samples(te, base + "/test")
+    tr, te = split_and_save(s, scratch_dir(spark), fraction=0.1, seed=42, by="random")
     rd = lambda p, name: spark.read.schema(s.schema).option("header", True).csv(p).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
-    return rd(base + "/train", "train").unionByName(rd(base + "/test", "test"))
+    return rd(tr, "train").unionByName(rd(te, "test"))
 
 
 # ---- projections --------------------------------------------------------------

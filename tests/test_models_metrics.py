@@ -105,3 +105,15 @@ def test_auc_and_time_split_with_many_ranges(spark):
     want = ts[math.ceil(0.8 * len(ts)) - 1]
     assert smp.time_split_point(r, 0.8, 0.0).first()[0] == want
     assert smp.time_split_point(r, 0.8, 0.0, rows_per_range=20).first()[0] == want
+
+
+def test_split_and_save_both_ways(spark, tmp_out):
+    r = cv.ratings(spark, SF)
+    for by in ("random", "time"):
+        tr, te = smp.split_and_save(r, f"{tmp_out}/{by}", fraction=0.5, seed=1, by=by)
+        a = spark.read.schema(r.schema).option("header", True).csv(tr)
+        b = spark.read.schema(r.schema).option("header", True).csv(te)
+        sample = smp.sample_rows(r, 0.5, 1)
+        assert a.count() + b.count() == sample.count() and a.join(b, ["user_id", "item_id"]).count() == 0
+        if by == "time":
+            assert a.agg(F.max("ts")).first()[0] < b.agg(F.min("ts")).first()[0]
