@@ -51,16 +51,16 @@ def scoring_job(pairs: DataFrame, ratings: DataFrame, items: DataFrame, item_emb
 def cf_job(ratings: DataFrame, seed: int = 42, top: int = cf.ALS_TOP, folds: int = cf.CV_FOLDS, cross_validate: bool = True) -> dict:
     """80/20 split -> ALS -> predictions (cold start dropped) -> RMSE -> top lists -> k-fold CV on the split's test part."""
     train, test = samples.random_split(ratings, 0.8, seed)
-    model = cf.train_als(train, seed=seed)
-    predictions = cf.predict(model, test)
+    fit = cf.train_als(train, seed=seed)
+    predictions = cf.predict(fit, test)
     out = {
-        "model": model,
+        "model": fit,
         "predictions": predictions,
         "rmse": evaluate.rmse(predictions, "rating", "prediction").first()["rmse"],
-        "user_recs": cf.user_recs(model, top),
-        "item_recs": cf.item_recs(model, top),
-        "user_subset_recs": cf.user_subset_recs(model, cf.subset_ids(train, "user_id"), top),
-        "item_subset_recs": cf.item_subset_recs(model, cf.subset_ids(train, "item_id"), top),
+        "user_recs": cf.user_recs(fit, top),
+        "item_recs": cf.item_recs(fit, top),
+        "user_subset_recs": cf.user_subset_recs(fit, cf.subset_ids(train, "user_id"), top),
+        "item_subset_recs": cf.item_subset_recs(fit, cf.subset_ids(train, "item_id"), top),
     }
     if cross_validate:
         _, metrics = cf.cross_validate_als(test, folds=folds, seed=seed)

@@ -117,3 +117,22 @@ def test_split_and_save_both_ways(spark, tmp_out):
         assert a.count() + b.count() == sample.count() and a.join(b, ["user_id", "item_id"]).count() == 0
         if by == "time":
             assert a.agg(F.max("ts")).first()[0] < b.agg(F.min("ts")).first()[0]
+
+
+def test_als_reindexes_ids_beyond_int_range(spark):
+    from reelsift.operators import cf
+
+    big = 3_000_000_000
+    r = cv.ratings(spark, SF).select((F.col("user_id") + big).alias("user_id"), (F.col("item_id") + big).alias("item_id"), "rating", "ts")
+    assert not cf.fits_int(r, "user_id")
+    fit = cf.train_als(r, seed=1)
+    assert fit.user_index is not None and fit.item_index is not None
+    f = cf.factors(fit)
+    assert f.where("kind = 'user'").count() == r.select("user_id").distinct().count()
+    assert f.agg(F.min("id")).first()[0] >= big
+    recs = cf.user_recs(fit, 3)
+    assert recs.agg(F.min("item_id")).first()[0] >= big and recs.groupBy("user_id").count().where("count <> 3").count() == 0
+    p = cf.predict(fit, r.limit(50))
+    assert p.count() == 50 and p.agg(F.min("user_id")).first()[0] >= big
+    idx = cf.dense_index(r, "user_id", "user_idx").orderBy("user_id").collect()
+    assert [x.user_idx for x in idx] == list(range(len(idx)))
