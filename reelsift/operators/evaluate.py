@@ -36,12 +36,18 @@ def auc(df: DataFrame, label: str = "label", score: str = "p", rows_per_range: i
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("fp_n"),
     )
     cum = running_totals(per, "s", ["tp_n", "fp_n"], descending=True, rows_per_range=rows_per_range)
-    tp, fp, P, N = F.col("cum_tp_n"), F.col("cum_fp_n"), F.col("total_tp_n"), F.col("total_fp_n")
+    tp, fp = F.col("cum_tp_n").cast("double"), F.col("cum_fp_n").cast("double")
+    P, N = F.col("total_tp_n").cast("double"), F.col("total_fp_n").cast("double")
     tp0, fp0 = tp - F.col("tp_n"), fp - F.col("fp_n")
-    prec = tp / (tp + fp)
-    prec0 = F.when(tp0 + fp0 == 0, prec).otherwise(tp0 / (tp0 + fp0))
+    # with no positives (or no negatives) the curve is undefined: try_divide gives null, never an error
+    prec = F.try_divide(tp, tp + fp)
+    prec0 = F.when(tp0 + fp0 == 0, prec).otherwise(F.try_divide(tp0, tp0 + fp0))
     steps = cum.select(
-        ((fp - fp0) / N * ((tp + tp0) / P) / 2).alias("roc"),
-        ((tp - tp0) / P * (prec + prec0) / 2).alias("pr"),
+        (F.try_divide(fp - fp0, N) * F.try_divide(tp + tp0, P) / 2).alias("roc"),
+        (F.try_divide(tp - tp0, P) * (prec + prec0) / 2).alias("pr"),
+    )
+    undefined = F.sum(F.when(F.col("roc").isNull(), 1).otherwise(0)) > 0
+    return steps.agg(
+        F.when(undefined, F.lit(None)).otherwise(F.sum("roc")).cast("double").alias("auc_roc"),
+        F.when(F.sum(F.when(F.col("pr").isNull(), 1).otherwise(0)) > 0, F.lit(None)).otherwise(F.sum("pr")).cast("double").alias("auc_pr"),
     )
-    return steps.agg(F.sum("roc").alias("auc_roc"), F.sum("pr").alias("auc_pr"))

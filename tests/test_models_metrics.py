@@ -136,3 +136,12 @@ def test_als_reindexes_ids_beyond_int_range(spark):
     assert p.count() == 50 and p.agg(F.min("user_id")).first()[0] >= big
     idx = cf.dense_index(r, "user_id", "user_idx").orderBy("user_id").collect()
     assert [x.user_idx for x in idx] == list(range(len(idx)))
+
+
+def test_auc_all_positive_or_all_negative_is_undefined_not_an_error(spark):
+    for label in (0, 1):
+        df = spark.createDataFrame([(label, 0.1), (label, 0.7), (label, 0.7)], "label int, p double")
+        row = evaluate.auc(df).collect()[0]
+        assert row.auc_roc is None
+    pos = spark.createDataFrame([(1, 0.1), (1, 0.7)], "label int, p double")
+    assert math.isclose(evaluate.auc(pos).collect()[0].auc_pr, 1.0)  # precision is 1 everywhere
