@@ -30,17 +30,30 @@ def rating_distribution(ratings: DataFrame) -> DataFrame:
     return tot.select("rating", F.col("n").alias("rating_count"), (F.col("n") / F.col("total_n")).alias("percentage"))
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int, keys=("user_id", "item_id")) -> DataFrame:
-    """Bernoulli sample from a per-row hash uniform (deterministic, engine-independent).
-
-    ``df.sample(fraction, seed)`` is the Spark-native alternative; it is fast
-    but its draw depends on partitioning, so it cannot be checked exactly.
+def sample_rows(df: DataFrame, fraction: float, seed: int, keys=("user_id", "item_id"), method: str = "hash") -> DataFrame:
+    """Bernoulli sample.
+
+    ``method="hash"`` (default): keep rows whose md5-derived uniform of
+    ``keys`` and the seed is below ``fraction`` -- deterministic and the same
+    in any engine, so it can be checked exactly.  ``method="native"``:
+    ``df.sample(fraction, seed)`` -- Spark's per-partition sampler; fast, but
+    its draw depends on the partitioning.
     """
+    if method == "native":
+        return df.sample(withReplacement=False, fraction=fraction, seed=seed)
     return df.where(uniform(*keys, seed=seed) < fraction)
 
 
-def random_split(df: DataFrame, train_fraction: float, seed: int, keys=("user_id", "item_id")) -> tuple[DataFrame, DataFrame]:
-    """train/test split on the same kind of hash uniform; disjoint and complete."""
+def random_split(df: DataFrame, train_fraction: float, seed: int, keys=("user_id", "item_id"),
+                 method: str = "hash") -> tuple[DataFrame, DataFrame]:
+    """train/test split, disjoint and complete.
+
+    ``method="hash"``: on a hash uniform of ``keys`` (independent of the
+    sampling draw); ``method="native"``: ``df.randomSplit``.
+    """
+    if method == "native":
+        train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed)
+        return train, test
     u = uniform(*keys, seed=seed + 1)
     return df.where(u < train_fraction), df.where(u >= train_fraction)
 

@@ -145,3 +145,12 @@ def test_auc_all_positive_or_all_negative_is_undefined_not_an_error(spark):
         assert row.auc_roc is None
     pos = spark.createDataFrame([(1, 0.1), (1, 0.7)], "label int, p double")
     assert math.isclose(evaluate.auc(pos).collect()[0].auc_pr, 1.0)  # precision is 1 everywhere
+
+
+def test_native_sampling_and_split(spark):
+    r = cv.ratings(spark, SF)
+    n = r.count()
+    s = smp.sample_rows(r, 0.5, 3, method="native").count()
+    assert 0.35 * n < s < 0.65 * n
+    tr, te = smp.random_split(r, 0.8, 3, method="native")
+    assert tr.count() + te.count() == n and tr.join(te, ["user_id", "item_id"]).count() == 0
