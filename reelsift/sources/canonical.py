@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the canonical views (shared with the SQL oracle).
 ITEM_NO_YEAR_MOD = 97  # titles without a year
@@ -39,10 +40,24 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "item_id",
         (F.ceil(F.col("m.l_quantity") / 5) * 0.5).cast("double").alias("rating"),
-        (F.unix_date(F.col("m.l_shipdate").cast("date")).cast("bigint") * EPOCH_DAY_SECONDS).alias("ts"),
+        (epoch_day(F.col("m.l_shipdate"), li.schema["l_shipdate"].dataType) * EPOCH_DAY_SECONDS).alias("ts"),
     )
 
 
+def epoch_day(ts, data_type) -> F.Column:
+    """Whole days since 1970-01-01 of a parquet timestamp, independent of the session time zone.
+
+    The files hold time-zone-less microseconds: read as TIMESTAMP_NTZ the date
+    cast is zone-free; if a session reads them as a zoned TIMESTAMP, the raw
+    microseconds are used instead of a zone-shifted date.
+    """
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.unix_date(ts.cast("date")).cast("bigint")
+    if isinstance(data_type, T.TimestampType):
+        return F.floor(F.unix_micros(ts) / F.lit(86_400_000_000)).cast("bigint")
+    return F.unix_date(ts.cast("date")).cast("bigint")
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
     sp = F.instr("p_name", " ") - 1

@@ -70,3 +70,23 @@ def test_samples_csv_round_trip(spark, tmp_out):
     sk.write_samples(df, tmp_out + "/s")
     back = sorted(spark.read.schema(df.schema).option("header", True).csv(tmp_out + "/s").collect())
     assert back[0].a == "1,234.00" and back[0].b is None and back[1].b == "x"
+
+
+def test_epoch_day_is_zone_free(spark):
+    import datetime
+
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from reelsift.sources.canonical import epoch_day
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        ntz = spark.createDataFrame([(datetime.datetime(1995, 3, 1, 0, 30),)], T.StructType([T.StructField("t", T.TimestampNTZType())]))
+        ltz = spark.createDataFrame([(1,)], "x int").select(F.expr("timestamp_micros(794017800000000)").alias("t"))  # 1995-03-01 00:30 UTC
+        a = ntz.select(epoch_day(F.col("t"), T.TimestampNTZType()).alias("d")).first().d
+        b = ltz.select(epoch_day(F.col("t"), T.TimestampType()).alias("d")).first().d
+        assert a == b == (datetime.date(1995, 3, 1) - datetime.date(1970, 1, 1)).days
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
