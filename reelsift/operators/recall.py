@@ -86,14 +86,17 @@ def channel_table(profile: DataFrame, per_genre: int = PER_GENRE, top: int = TOP
 
 
 def catalog_bounds(items: DataFrame) -> tuple[int, int]:
-    """(items, distinct genres): two small jobs over the items table only.
+    """(items, distinct genres): one small job over the items table only.
 
     They bound the sizes of the genre table (one row per item) and of the
     channel table (per_genre x genres + top + latest rows).
     """
-    n_items = items.count()
-    n_genres = items.select(F.explode(genre_array("genres")).alias("g")).distinct().count()
-    return n_items, n_genres
+    exploded = items.select(F.posexplode_outer(genre_array("genres")).alias("pos", "g"))
+    row = exploded.agg(
+        F.count(F.when(F.col("pos").isNull() | (F.col("pos") == 0), 1)).alias("n_items"),  # one row per item
+        F.count_distinct("g").alias("n_genres"),
+    ).first()
+    return int(row["n_items"]), int(row["n_genres"])
 
 
 def channel_bound(n_genres: int, per_genre: int = PER_GENRE, top: int = TOP_RATED, latest: int = LATEST) -> int:
