@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, QuantileDiscretizer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, MinMaxScaler, OneHotEncoder, QuantileDiscretizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsift.functions import genre_array
+from reelsift.operators.cumulative import running_totals
 from reelsift.operators.item_features import item_rating_variance
 
 QUANTILE_BUCKETS = 100  # fixed value: rating-count buckets
@@ -50,9 +51,36 @@ def vector_active(vec_col: str) -> F.Column:
     return F.filter(F.sequence(F.lit(0), F.size(arr) - 1), lambda i: F.get(arr, i) != 0)
 
 
+def exact_quantile_splits(df: DataFrame, col: str, n: int) -> list[float]:
+    """Bucket boundaries at the i/n quantiles, exactly, for ``Bucketizer``.
+
+    The q quantile is the smallest value whose cumulative count reaches q x
+    rows -- the same answer Spark's quantile summary gives with zero error --
+    but computed from per-value counts and range-bucketed running totals, so
+    the column is never gathered in one place; only the n - 1 boundaries reach
+    the driver.  Duplicates collapse; the ends are -inf and +inf.
+    """
+    per = df.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    cum = running_totals(per.where(F.col("v").isNotNull()), "v", ["n"])
+    probs = [i / n for i in range(1, n)]
+    row = cum.agg(*[F.min(F.when(F.col("cum_n") >= F.lit(p) * F.col("total_n"), F.col("v"))).alias(f"q{i}")
+                    for i, p in enumerate(probs)]).first()
+    inner = sorted({float(x) for x in row if x is not None}) if row is not None else []
+    return [float("-inf")] + (inner or [0.0]) + [float("inf")]
+
+
 def quantile_bucket(df: DataFrame, col: str, n: int = QUANTILE_BUCKETS, out: str | None = None, relative_error: float = 0.0) -> DataFrame:
-    """M6: quantile buckets of a numeric column (relative_error 0 = exact splits)."""
-    q = QuantileDiscretizer(inputCol=col, outputCol=out or f"{col}_bucket", numBuckets=n, relativeError=relative_error)
+    """M6: quantile buckets of a numeric column.
+
+    ``relative_error=0``: exact boundaries (``exact_quantile_splits``) applied
+    by a ``Bucketizer`` -- equal to ``QuantileDiscretizer(relativeError=0)``
+    without its whole-column summary on the driver.  Otherwise Spark's
+    ``QuantileDiscretizer`` with its distributed sketch.
+    """
+    out = out or f"{col}_bucket"
+    if relative_error <= 0:
+        return Bucketizer(splits=exact_quantile_splits(df, col, n), inputCol=col, outputCol=out).transform(df)
+    q = QuantileDiscretizer(inputCol=col, outputCol=out, numBuckets=n, relativeError=relative_error)
     return q.fit(df).transform(df)
 
 
@@ -65,12 +93,13 @@ def minmax(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 
 def rating_features(ratings: DataFrame, buckets: int = QUANTILE_BUCKETS) -> DataFrame:
-    """M8: item rating count / average / variance, then a Pipeline of
-    QuantileDiscretizer(count) and MinMaxScaler(average)."""
+    """M8: item rating count / average / variance, then a Pipeline of exact
+    quantile buckets of the count (Bucketizer on exact splits, as
+    QuantileDiscretizer with zero error would choose) and MinMaxScaler(average)."""
     stats = item_rating_variance(ratings)
     stats = VectorAssembler(inputCols=["avg_rating"], outputCol="avg_rating_vec").transform(stats)
     pipe = Pipeline(stages=[
-        QuantileDiscretizer(inputCol="rating_count", outputCol="rating_count_bucket", numBuckets=buckets, relativeError=0.0),
+        Bucketizer(splits=exact_quantile_splits(stats, "rating_count", buckets), inputCol="rating_count", outputCol="rating_count_bucket"),
         MinMaxScaler(inputCol="avg_rating_vec", outputCol="scaled_avg_rating_vec"),
     ])
     out = pipe.fit(stats).transform(stats)

@@ -154,3 +154,14 @@ def test_native_sampling_and_split(spark):
     assert 0.35 * n < s < 0.65 * n
     tr, te = smp.random_split(r, 0.8, 3, method="native")
     assert tr.count() + te.count() == n and tr.join(te, ["user_id", "item_id"]).count() == 0
+
+
+def test_exact_quantile_buckets_match_library(spark):
+    from pyspark.ml.feature import QuantileDiscretizer
+
+    from reelsift.operators import encode
+
+    st = cv.ratings(spark, SF).groupBy("item_id").agg(F.count(F.lit(1)).alias("c"))
+    for nb in (4, 10, 100):
+        lib = QuantileDiscretizer(inputCol="c", outputCol="b", numBuckets=nb, relativeError=0.0).fit(st).getSplits()
+        assert encode.exact_quantile_splits(st, "c", nb) == lib
