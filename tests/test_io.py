@@ -90,3 +90,19 @@ def test_epoch_day_is_zone_free(spark):
         assert a == b == (datetime.date(1995, 3, 1) - datetime.date(1970, 1, 1)).days
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_canonical_views_conform_and_round_trip(spark, tmp_out):
+    from reelsift import schema
+    from reelsift.operators.embedding import user_embeddings
+    from reelsift.sources import canonical as cv
+
+    sf = "/root/testdata/sf0.001"
+    frames = {"ratings": cv.ratings(spark, sf), "items": cv.items(spark, sf), "links": cv.links(spark, sf),
+              "item_emb": cv.item_emb(spark, sf)}
+    frames["user_emb"] = user_embeddings(frames["ratings"], frames["item_emb"])
+    for name, df in frames.items():
+        assert schema.conforms(df, name), (name, df.schema.simpleString())
+    frames["ratings"].write.parquet(tmp_out + "/ratings")
+    back = schema.read_table(spark, tmp_out + "/ratings", "ratings")
+    assert back.count() == frames["ratings"].count() and schema.conforms(back, "ratings")
