@@ -49,7 +49,7 @@ def preferred_genres(genre_strings: Column, pre_split: bool = False) -> Column:
     return F.transform(F.array_sort(runs), lambda r: r["genre"])
 
 
-def _window_features(samples: DataFrame, w, base: list[str]) -> DataFrame:
+def _window_features(samples: DataFrame, w, base: list[str], numeric: bool = False) -> DataFrame:
     positive_items = F.reverse(F.collect_list(F.when(F.col("label") == 1, F.col("item_id"))).over(w))
     # each rating's genre string is split once, before the window
     positive_genres = F.collect_list(F.when(F.col("label") == 1, F.split("genres", "[|]"))).over(w)
@@ -60,20 +60,28 @@ def _window_features(samples: DataFrame, w, base: list[str]) -> DataFrame:
         F.count(F.lit(1)).over(w).alias("user_rating_count"),
         F.avg("release_year").over(w).cast("int").alias("user_avg_release_year"),
         F.stddev_samp("release_year").over(w).alias("_year_sd"),
-        fmt2(F.avg("rating").over(w)).alias("user_avg_rating"),
+        F.avg("rating").over(w).alias("_avg_rating"),
         F.stddev_samp("rating").over(w).alias("_rating_sd"),
         genres.alias("_genres"),
     )
     zero = F.lit(0.0)
+    year_sd = F.coalesce(F.nanvl("_year_sd", zero), zero)
+    rating_sd = F.coalesce(F.nanvl("_rating_sd", zero), zero)
+    twins = [
+        F.col("_avg_rating").alias("user_avg_rating_num"),
+        rating_sd.alias("user_rating_stddev_num"),
+        year_sd.alias("user_release_year_stddev_num"),
+    ] if numeric else []
     return feats.select(
         *base,
         *[F.get("_hist", i).alias(f"user_rated_movie{i + 1}") for i in range(SLOTS)],
         "user_rating_count",
         F.coalesce("user_avg_release_year", F.lit(0)).alias("user_avg_release_year"),
-        fmt2(F.coalesce(F.nanvl("_year_sd", zero), zero)).alias("user_release_year_stddev"),
-        "user_avg_rating",
-        fmt2(F.coalesce(F.nanvl("_rating_sd", zero), zero)).alias("user_rating_stddev"),
+        fmt2(year_sd).alias("user_release_year_stddev"),
+        fmt2("_avg_rating").alias("user_avg_rating"),
+        fmt2(rating_sd).alias("user_rating_stddev"),
         *[F.get("_genres", i).alias(f"user_genre{i + 1}") for i in range(SLOTS)],
+        *twins,
     )
 
 
@@ -84,9 +92,13 @@ def add_user_features(
     heavy_rows: int | None = HEAVY_ROWS,
     block_rows: int = BLOCK_ROWS,
     heavy: list[tuple] | None = None,
+    numeric: bool = False,
 ) -> DataFrame:
     """Point-in-time user features for each labelled sample.
 
+    The averages and deviations are two-decimal text, as the reference
+    stores them; ``numeric=True`` adds ``*_num`` double twins for models.
+
     ``samples`` needs user_id, item_id, ts, rating, label, release_year, genres.
     Numeric nulls become 0 (P11) before formatting (P13); samples with at most
     one prior rating are dropped (P3) unless ``keep_first``.
@@ -100,14 +112,14 @@ def add_user_features(
     if heavy is None:
         heavy = heavy_keys(samples, "user_id", heavy_rows) if heavy_rows else []
     if not heavy:
-        out = _window_features(samples, history_window(history), base)
+        out = _window_features(samples, history_window(history), base, numeric)
     else:
         light, hot_rows, _ = split_heavy(samples, "user_id", heavy)
-        plain = _window_features(light, history_window(history), base)
+        plain = _window_features(light, history_window(history), base, numeric)
         positioned = heavy_positions(hot_rows, "user_id", ["ts", "item_id"], sum(n for _, n in heavy), block_rows)
         blocked = blocks(positioned, block_rows, history)
         w = Window.partitionBy("user_id", "_block").orderBy("pos").rowsBetween(-history, -1)
-        hot = _window_features(blocked, w, base + ["_ctx"]).where(~F.col("_ctx")).drop("_ctx")
+        hot = _window_features(blocked, w, base + ["_ctx"], numeric).where(~F.col("_ctx")).drop("_ctx")
         out = plain.unionByName(hot)
     return out if keep_first else out.where(F.col("user_rating_count") > 1)
 

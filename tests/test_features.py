@@ -98,3 +98,17 @@ def test_heavy_item_sequences_match_plain(spark):
     a = item_sequences(r, max_len=4, heavy_rows=None)
     b = item_sequences(r, max_len=4, heavy_rows=3)
     assert _canon_rows(a.select("user_id", "chunk", "item_seq")) == _canon_rows(b.select("user_id", "chunk", "item_seq"))
+
+
+def test_numeric_twins_match_formatted_text(spark):
+    from reelsift.sources import canonical as cv
+
+    r, i = cv.ratings(spark, "/root/testdata/sf0.001"), cv.items(spark, "/root/testdata/sf0.001")
+    samples = itf.add_item_features(add_label(r), i)
+    plain = uf.add_user_features(samples, heavy_rows=None)
+    twins = uf.add_user_features(samples, heavy_rows=None, numeric=True)
+    assert twins.columns[: len(plain.columns)] == plain.columns
+    for row in twins.limit(300).collect():
+        for text, num in (("user_avg_rating", "user_avg_rating_num"), ("user_rating_stddev", "user_rating_stddev_num"),
+                          ("user_release_year_stddev", "user_release_year_stddev_num")):
+            assert abs(float(row[text].replace(",", "")) - row[num]) <= 0.005 + 1e-9
