@@ -12,8 +12,9 @@ from reelsift.functions import fmt2, genre_slot, release_year
 TOP_RATINGS_PER_ITEM = 10  # fixed value: ratings kept per item
 
 
-def item_stats(ratings: DataFrame) -> DataFrame:
-    """A2: per item count, average and sample stddev (one rating -> 0), as two-decimal text.
+def item_stats(ratings: DataFrame, numeric: bool = False) -> DataFrame:
+    """A2: per item count, average and sample stddev (one rating -> 0), as two-decimal text
+    (``numeric=True`` adds ``*_num`` double twins).
 
     Aggregated straight from the ratings (no item columns needed), so the
     aggregation combines map-side before the shuffle on item_id.
@@ -23,11 +24,14 @@ def item_stats(ratings: DataFrame) -> DataFrame:
         F.avg("rating").alias("avg"),
         F.stddev_samp("rating").alias("sd"),
     )
+    sd = F.coalesce(F.nanvl("sd", F.lit(0.0)), F.lit(0.0))
+    twins = [F.col("avg").alias("movie_avg_rating_num"), sd.alias("movie_rating_stddev_num")] if numeric else []
     return g.select(
         "item_id",
         "movie_rating_count",
         fmt2("avg").alias("movie_avg_rating"),
-        fmt2(F.coalesce(F.nanvl("sd", F.lit(0.0)), F.lit(0.0))).alias("movie_rating_stddev"),
+        fmt2(sd).alias("movie_rating_stddev"),
+        *twins,
     )
 
 
@@ -72,7 +76,7 @@ def top_ratings(ratings: DataFrame, items: DataFrame, n: int = TOP_RATINGS_PER_I
     return known.withColumn("top_rank", F.row_number().over(w)).where(F.col("top_rank") <= n)
 
 
-def add_item_features(samples: DataFrame, items: DataFrame) -> DataFrame:
+def add_item_features(samples: DataFrame, items: DataFrame, numeric: bool = False) -> DataFrame:
     """W9 (J1, P4, P7, A2, J2): append item columns and item statistics to rating samples.
 
     Items and the per-item statistics are both keyed by item_id, so one join
@@ -81,7 +85,8 @@ def add_item_features(samples: DataFrame, items: DataFrame) -> DataFrame:
     partitioning of the samples for the second join.
     """
     with_items = samples.join(items.select("item_id", "title", "genres"), "item_id", "left")
-    stats = item_stats(samples.select("item_id", "rating"))
+    stats = item_stats(samples.select("item_id", "rating"), numeric)
+    twins = ["movie_avg_rating_num", "movie_rating_stddev_num"] if numeric else []
     return with_items.join(stats, "item_id", "left").select(
         *[c for c in samples.columns],
         release_year("title").alias("release_year"),
@@ -92,6 +97,7 @@ def add_item_features(samples: DataFrame, items: DataFrame) -> DataFrame:
         "movie_rating_count",
         "movie_avg_rating",
         "movie_rating_stddev",
+        *twins,
     )
 
 

@@ -11,11 +11,13 @@ from reelsift.operators.user_features import USER_HISTORY, add_user_features
 
 
 def build_samples(ratings: DataFrame, items: DataFrame, history: int = USER_HISTORY, heavy_rows: int | None = HEAVY_ROWS,
-                  **kw) -> DataFrame:
+                  numeric: bool = False, **kw) -> DataFrame:
     """P1 -> W9 -> W8: one wide row per rating with at least two prior ratings.
 
     Heavy users are detected on the ratings (one row per sample, cheaper than
     the joined samples) and handed to the user-feature windows.
+    ``numeric=True`` adds ``*_num`` double twins of the two-decimal text features.
     """
     heavy = heavy_keys(ratings, "user_id", heavy_rows) if heavy_rows else []
-    return add_user_features(add_item_features(add_label(ratings), items), history=history, heavy=heavy, **kw)
+    samples = add_item_features(add_label(ratings), items, numeric=numeric)
+    return add_user_features(samples, history=history, heavy=heavy, numeric=numeric, **kw)

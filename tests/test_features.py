@@ -112,3 +112,15 @@ def test_numeric_twins_match_formatted_text(spark):
         for text, num in (("user_avg_rating", "user_avg_rating_num"), ("user_rating_stddev", "user_rating_stddev_num"),
                           ("user_release_year_stddev", "user_release_year_stddev_num")):
             assert abs(float(row[text].replace(",", "")) - row[num]) <= 0.005 + 1e-9
+
+
+def test_build_samples_numeric_twins(spark):
+    from reelsift.sources import canonical as cv
+
+    r, i = cv.ratings(spark, "/root/testdata/sf0.001"), cv.items(spark, "/root/testdata/sf0.001")
+    s = build_samples(r, i, numeric=True)
+    for c in ("movie_avg_rating_num", "movie_rating_stddev_num", "user_avg_rating_num"):
+        assert c in s.columns
+    for row in s.limit(200).collect():
+        assert abs(float(row.movie_avg_rating.replace(",", "")) - row.movie_avg_rating_num) <= 0.005 + 1e-9
+    assert build_samples(r, i).columns == [c for c in s.columns if not c.endswith("_num")]
