@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import Bucketizer, MinMaxScaler, OneHotEncoder, QuantileDiscretizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -60,11 +61,14 @@ def exact_quantile_splits(df: DataFrame, col: str, n: int) -> list[float]:
     the column is never gathered in one place; only the n - 1 boundaries reach
     the driver.  Duplicates collapse; the ends are -inf and +inf.
     """
-    per = df.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    cum = running_totals(per.where(F.col("v").isNotNull()), "v", ["n"])
+    # one row per distinct value, kept while the small answer is computed, then released
+    per = df.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n")).where(F.col("v").isNotNull())
+    per = per.persist(StorageLevel.MEMORY_AND_DISK)
+    cum = running_totals(per, "v", ["n"])
     probs = [i / n for i in range(1, n)]
     row = cum.agg(*[F.min(F.when(F.col("cum_n") >= F.lit(p) * F.col("total_n"), F.col("v"))).alias(f"q{i}")
                     for i, p in enumerate(probs)]).first()
+    per.unpersist()
     inner = sorted({float(x) for x in row if x is not None}) if row is not None else []
     return [float("-inf")] + (inner or [0.0]) + [float("inf")]
 
