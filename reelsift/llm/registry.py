@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelsift.llm import minmax_dedup
+from reelsift.llm import label_propagation, minmax_dedup, mix_tree
 
 WORD = r"[^\x20\x09-\x0D]+"
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -17,10 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_propagation.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_mix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_tree.mixture(table(spark, sf_dir, "documents"))
+
+
 OP9_SQL = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_AZ}', '{_az}'), '{WORD}') AS w FROM documents),
 x AS (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0),
@@ -36,7 +44,9 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.id = d.doc_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_label_propagation": op3_label_propagation,
     "op9_minmax_dedup": op9_minmax_dedup,
+    "op10_mix_tree": op10_mix_tree,
 }
 ORACLE: dict[str, str] = {
     "op9_minmax_dedup": OP9_SQL,
