@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelsift.llm import label_propagation, minmax_dedup, mix_tree
+from reelsift.llm import label_propagation, minhash, minmax_dedup, mix_tree, packing
 
 WORD = r"[^\x20\x09-\x0D]+"
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,6 +21,14 @@ def op3_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_propagation.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprints_with_edit(table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op9_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,6 +53,8 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.id = d.doc_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_label_propagation": op3_label_propagation,
+    "op6_minhash": op6_minhash,
+    "op7_packing": op7_packing,
     "op9_minmax_dedup": op9_minmax_dedup,
     "op10_mix_tree": op10_mix_tree,
 }

@@ -157,9 +157,3 @@ def distinct_sets(s: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def long_list(values: np.ndarray, off: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(values.view(np.int64)))
-
-
-def list_of(rows: np.ndarray) -> pa.Array:
-    """A 2-d int64 array as a list column."""
-    n, k = rows.shape
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), pa.array(np.ascontiguousarray(rows).reshape(-1)))
