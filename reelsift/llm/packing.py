@@ -22,7 +22,7 @@ from reelsift.llm.scratch import written
 from reelsift.llm.textkit import slices
 
 LENGTH = 1024
-WINDOW = 64
+WINDOW = 32
 PART_TOKENS = 2 << 20  # a partition's tokens, more only beyond MOST_PARTS partitions
 MOST_PARTS = 50_000
 BLOCK_TOKENS = 1 << 14
