@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelsift.llm import label_propagation, minhash, minmax_dedup, mix_tree, packing
+from reelsift.llm import isolation_rules, label_propagation, minhash, minmax_dedup, mix_tree, packing, quality_classifier, toxicity
 
 WORD = r"[^\x20\x09-\x0D]+"
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -17,10 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return isolation_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_propagation.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprints_with_edit(table(spark, sf_dir, "documents"))
 
@@ -29,6 +37,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,9 +64,12 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.id = d.doc_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_isolation_rules": op2_isolation_rules,
     "op3_label_propagation": op3_label_propagation,
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_minhash": op6_minhash,
     "op7_packing": op7_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_minmax_dedup": op9_minmax_dedup,
     "op10_mix_tree": op10_mix_tree,
 }
