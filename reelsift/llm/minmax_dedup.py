@@ -77,7 +77,13 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80, bands: int =
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` that stay: of each group the row of its smallest doc_id (one row if that id repeats)."""
-    lost = written(near_duplicates(docs, **options).where("not kept").select("doc_id").distinct())
-    keyed = docs.where("doc_id is not null").join(lost, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return keyed.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    """Rows of ``docs`` that stay: of each group the row of its smallest doc_id.  Of rows that repeat a kept doc_id one
+    stays, rows without doc_id all stay."""
+    groups = written(near_duplicates(docs, **options).where("doc_id is not null").select("doc_id", "kept"))
+    often = written(groups.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    out = written(groups.where("not kept").select("doc_id").distinct())
+    if often.isEmpty():
+        return docs.join(out, "doc_id", "left_anti").select(docs.columns)
+    single = docs.join(out.unionByName(often).distinct(), "doc_id", "left_anti").select(docs.columns)
+    one = docs.join(often.join(out, "doc_id", "left_anti"), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    return single.unionByName(one)

@@ -111,3 +111,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     return docs.select("doc_id", "text", held.alias("held_out")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` (with all their columns) that score ``threshold`` or more: one map over the table."""
+    folded, bias = train(*labelled_sample(docs, labels, "quality", per_class, MOST_CHARS, SEED))
+    folded = folded.astype(np.float32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            yield b.filter(pa.array(score_texts(b.column("text"), folded, bias) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,16 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelsift.llm import isolation_rules, label_propagation, minhash, minmax_dedup, mix_tree, packing, quality_classifier, toxicity
-
-WORD = r"[^\x20\x09-\x0D]+"
-_AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
+import corpus_pipeline
+from reelsift.llm import chat_format, isolation_rules, label_propagation, minhash, minmax_dedup, mix_tree, packing, quality_classifier, sql, tag_paths, toxicity
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extracted(table(spark, sf_dir, "pages"))
+
+
 def op2_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isolation_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -29,6 +30,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.chat_digests(spark, table(spark, sf_dir, "conversations"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprints_with_edit(table(spark, sf_dir, "documents"))
 
@@ -49,32 +54,23 @@ def op10_mix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_tree.mixture(table(spark, sf_dir, "documents"))
 
 
-OP9_SQL = rf"""
-WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_AZ}', '{_az}'), '{WORD}') AS w FROM documents),
-x AS (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0),
-s AS (SELECT DISTINCT doc_id, w[i] || ' ' || coalesce(w[i + 1], '') AS g FROM x),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
-l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
-e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
-r AS (SELECT a AS id, a AS top FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.top),
-m AS (SELECT id, min(top) AS top FROM r GROUP BY id)
-SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.top, d.doc_id) AS component_id, coalesce(m.top, d.doc_id) = d.doc_id AS kept
-FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.id = d.doc_id
-"""
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tag_paths": op1_tag_paths,
     "op2_isolation_rules": op2_isolation_rules,
     "op3_label_propagation": op3_label_propagation,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_chat_format": op5_chat_format,
     "op6_minhash": op6_minhash,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
     "op9_minmax_dedup": op9_minmax_dedup,
     "op10_mix_tree": op10_mix_tree,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
-    "op9_minmax_dedup": OP9_SQL,
+    "op1_tag_paths": sql.OP1_SQL,
+    "op5_chat_format": sql.OP5_SQL,
+    "op9_minmax_dedup": sql.OP9_SQL,
 }
 
 

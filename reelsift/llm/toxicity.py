@@ -1,7 +1,7 @@
 """Toxicity: bags of subword vectors averaged into a linear softmax, so that unseen misspellings share n-gram vectors.
 
 A text is cut into bags of 8 words.  A single insult is lost in the average of a long text, so the text's score is that
-of its most toxic bag, and training, after a first pass over whole texts, follows that bag.
+of its most toxic bag, and training, after two passes over some bag of each, follows that bag.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ MOST_CHARS = 200_000
 BAG = 8
 DIM = 8
 EPOCHS = 20
-WHOLE_EPOCHS = 2
+ANY_EPOCHS = 2  # passes over some bag of each text before the worst one is known
+MIN_DOCS = 3
 BATCH = 64  # texts a step; fewer where there are under 3200 to learn from
 RATE = 0.25
 SEED = 43
@@ -51,6 +52,17 @@ def worst_bags(b: Bags, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return np.stack([owner[first], edge[first], edge[first + 1]], axis=1), best, owner
 
 
+def feature_documents(parts: list[Bags]) -> np.ndarray:
+    """In how many texts each feature occurs."""
+    out = np.zeros(BUCKETS, np.int64)
+    for b in parts:
+        for lo, hi in zip(b.off[:-1], b.off[1:], strict=True):
+            kinds = np.unique(b.code[lo:hi])
+            if len(kinds):
+                out[np.unique(np.concatenate([b.feature[b.at[c] : b.at[c + 1]] for c in kinds]))] += 1
+    return out
+
+
 def train(texts: list[str], label: np.ndarray, epochs: int = EPOCHS, dim: int = DIM, seed: int = SEED) -> tuple[np.ndarray, float]:
     """Folded model.  Without both classes it scores the share of the class there is (0.5 without any)."""
     if not len(label) or label.min() == label.max():
@@ -59,12 +71,14 @@ def train(texts: list[str], label: np.ndarray, epochs: int = EPOCHS, dim: int =
     rng = np.random.default_rng(seed)
     model = Model(BUCKETS, dim, rng)
     parts = [without_runs(bags(pa.array(texts[a : a + 200], pa.large_string()), lower=True)) for a in range(0, len(texts), 200)]
+    spread = feature_documents(parts)
+    model.table[spread < MIN_DOCS] = 0  # a feature of one or two texts says who wrote them, not what is toxic
     weight = np.ones(len(label))
     for e in range(epochs):
         value, _ = model.folded()
         rows = []
         for p, b in enumerate(parts):
-            if e < WHOLE_EPOCHS:  # some bag of every text, and over the epochs another
+            if e < ANY_EPOCHS:  # some bag of every text, and over the epochs another
                 edge, owner = bag_edges(b.off)
                 order = np.lexsort((rng.random(len(owner)), owner))
                 pick = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])] if len(owner) else order
@@ -75,7 +89,8 @@ def train(texts: list[str], label: np.ndarray, epochs: int = EPOCHS, dim: int =
                 code = b.code[lo:hi]
                 size = b.at[code + 1] - b.at[code]
                 feature = np.concatenate([b.feature[b.at[c] : b.at[c + 1]] for c in code])
-                rows.append((200 * p + int(i), feature, np.repeat(1 / size / len(code), size)))
+                known = spread[feature] >= MIN_DOCS
+                rows.append((200 * p + int(i), feature[known], np.repeat(1 / size / len(code), size)[known]))
         order = rng.permutation(len(rows))
         batch = min(BATCH, max(8, len(rows) // 50))
         for a in range(0, len(order), batch):
@@ -108,3 +123,15 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     return docs.select("doc_id", "text", held.alias("held_out")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def harmless(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` (with all their columns) that score under ``threshold``: one map over the table."""
+    folded, bias = train(*labelled_sample(docs, labels, "toxic", per_class, MOST_CHARS, SEED))
+    folded = folded.astype(np.float32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            yield b.filter(pa.array(score_texts(b.column("text"), folded, bias) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
