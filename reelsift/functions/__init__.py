@@ -7,6 +7,7 @@ from reelsift.functions.columns import (  # noqa: F401
     dot,
     fmt2,
     genre_array,
+    genre_pieces,
     genre_slot,
     label,
     norm,

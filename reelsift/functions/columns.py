@@ -1,7 +1,7 @@
 """Scalar column expressions shared by the operators.
 
-All of them are JVM-side expressions (higher-order functions where arrays are
-involved), so they stay inside whole-stage codegen; no Python UDF anywhere.
+All of them are JVM-side expressions, no Python UDF anywhere.  Higher-order
+functions (where arrays are involved) run interpreted, beside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -63,6 +63,12 @@ def genre_array(genres="genres") -> Column:
     return F.when(g.isNull() | (F.trim(g) == "") | (stripped == ""), empty).otherwise(F.split(stripped, _PIPE))
 
 
+def genre_pieces(genres="genres") -> Column:
+    """Genres as the feature job splits them: like ``genre_array``, but a blank string is one blank genre."""
+    g = _c(genres)
+    return F.when(g == "", F.array(F.lit(""))).otherwise(genre_array(g))
+
+
 def fmt2(x) -> Column:
     """Two-decimal text with thousands separators; rounded to 6 places first so
     the last digit does not depend on summation order."""
@@ -84,7 +90,8 @@ def round6(x) -> Column:
     as C's ``round``), so ranks and outputs agree with other engines even when
     the shortest decimal form of ``x`` ends in 5 at the seventh place."""
     v = _c(x)
-    return F.signum(v) * F.floor(F.abs(v) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+    # beyond 2**53 / 1e6 a double has no sixth place, and floor() to a long would saturate further on
+    return F.when(F.abs(v) >= 9.0e9, v).otherwise(F.signum(v) * F.floor(F.abs(v) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6))
 
 
 def to_double_array(v) -> Column:

@@ -15,37 +15,45 @@ from reelsift.operators.positions import HEAVY_ROWS, heavy_keys, heavy_positions
 ITEM2VEC_DIM = 10
 ITEM2VEC_WINDOW = 5
 ITEM2VEC_ITERATIONS = 10
-# Spark's Word2Vec cuts sentences at this length anyway; cutting them here keeps
-# every group bounded no matter how many items one user liked.
-MAX_SEQUENCE = 1000
+# Spark's Word2Vec cuts sentences at this length anyway; only its input is cut, never a result.
+SENTENCE_ITEMS = 1000
 
 
-def item_sequences(ratings: DataFrame, threshold: float = POSITIVE_THRESHOLD, max_len: int = MAX_SEQUENCE,
-                   heavy_rows: int | None = HEAVY_ROWS) -> DataFrame:
-    """Liked items of each user in time order, as ``items`` (array<string>) chunks.
+def item_sequences(ratings: DataFrame, threshold: float = POSITIVE_THRESHOLD, heavy_rows: int | None = HEAVY_ROWS) -> DataFrame:
+    """Liked items of each user in time order as rows (user_id, pos, item_id), pos from 0.
 
-    Rows: user_id, chunk (0-based), items, item_seq (space-joined).  A user's
-    sequence is cut into pieces of at most ``max_len`` so no group is
-    unbounded.  Positions come from a row_number over (ts, item_id); users
-    with more than ``heavy_rows`` liked items get exact positions from the
+    Positions come from a row_number over (ts, item_id); users with more than
+    ``heavy_rows`` liked items get the same positions from the
     range-partitioned path instead, so no task sorts a whole heavy user.
     """
     liked = ratings.where(F.col("rating") >= threshold).select("user_id", "item_id", "ts")
     heavy = heavy_keys(liked, "user_id", heavy_rows) if heavy_rows else []
     by_user = Window.partitionBy("user_id").orderBy("ts", "item_id")
     if not heavy:
-        positioned = liked.withColumn("pos", F.row_number().over(by_user) - 1)
+        positioned = liked.withColumn("pos", F.row_number().over(by_user).cast("bigint") - 1)
     else:
         light, hot, _ = split_heavy(liked, "user_id", heavy)
-        positioned = light.withColumn("pos", (F.row_number().over(by_user) - 1).cast("bigint")).unionByName(
+        positioned = light.withColumn("pos", F.row_number().over(by_user).cast("bigint") - 1).unionByName(
             heavy_positions(hot, "user_id", ["ts", "item_id"], sum(n for _, n in heavy))
         )
-    chunked = positioned.withColumn("chunk", F.floor(F.col("pos") / max_len))
-    seqs = chunked.groupBy("user_id", "chunk").agg(F.array_sort(F.collect_list(F.struct("pos", "item_id"))).alias("s"))
-    items = F.transform("s", lambda x: x["item_id"].cast("string"))
-    return seqs.select("user_id", F.col("chunk").cast("bigint").alias("chunk"), items.alias("items")).withColumn(
-        "item_seq", F.array_join("items", " ")
-    )
+    return positioned.select("user_id", "pos", "item_id")
+
+
+def sequence_strings(sequences: DataFrame) -> DataFrame:
+    """Each user's whole sequence as one space-joined string (user_id, item_seq, seq_len).
+
+    One row per user is the format, so a row is as long as that user's history; models
+    are fed from ``sentences`` instead.
+    """
+    s = sequences.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("pos", "item_id"))).alias("s"))
+    return s.select("user_id", F.array_join(F.transform("s", lambda x: x["item_id"].cast("string")), " ").alias("item_seq"), F.size("s").cast("bigint").alias("seq_len"))
+
+
+def sentences(sequences: DataFrame, max_len: int = SENTENCE_ITEMS) -> DataFrame:
+    """Word2Vec's input: (user_id, chunk, items) pieces of at most ``max_len`` items, the length it cuts at itself."""
+    cut = sequences.withColumn("chunk", F.floor(F.col("pos") / max_len).cast("bigint"))
+    s = cut.groupBy("user_id", "chunk").agg(F.array_sort(F.collect_list(F.struct("pos", "item_id"))).alias("s"))
+    return s.select("user_id", "chunk", F.transform("s", lambda x: x["item_id"].cast("string")).alias("items"))
 
 
 def embedding_dim(item_emb: DataFrame) -> int:
@@ -87,21 +95,21 @@ def train_item2vec(
     iterations: int = ITEM2VEC_ITERATIONS,
     seed: int = 42,
     min_count: int = 5,
-    partitions: int | None = None,
+    partitions: int = 1,
 ):
-    """Skip-gram item2vec with Spark ML's Word2Vec on the ``items`` column.
+    """Skip-gram item2vec with Spark ML's Word2Vec on the ``sentences`` of ``item_sequences``.
 
-    ``partitions`` defaults to the session's default parallelism: Word2Vec
-    trains one model slice per partition and averages them each iteration,
-    so a single partition would leave the cluster idle.
+    ``partitions``: Word2Vec trains one model per partition and averages them
+    each iteration, so the vectors depend on it; it is an argument with a fixed
+    default (Spark's own), never the cluster's size.  The model (vocabulary x
+    dimension) is held by the driver: Spark ML's limit.
     """
-    if partitions is None:
-        partitions = sequences.sparkSession.sparkContext.defaultParallelism
     w2v = Word2Vec(
         vectorSize=dim, windowSize=window, maxIter=iterations, minCount=min_count, seed=seed,
-        numPartitions=partitions, inputCol="items", outputCol="_w2v", maxSentenceLength=MAX_SEQUENCE,
+        numPartitions=partitions, inputCol="items", outputCol="_w2v", maxSentenceLength=SENTENCE_ITEMS,
     )
-    return w2v.fit(sequences.select("items"))
+    # Word2Vec deals sentences to its partitions in the order they come: sorted, the same data give the same vectors
+    return w2v.fit(sentences(sequences).orderBy("user_id", "chunk").select("items"))
 
 
 def item_vectors(model) -> DataFrame:
@@ -115,7 +123,7 @@ def synonyms(model, item_id, n: int = 20) -> DataFrame:
     return model.findSynonyms(str(item_id), n).select(F.col("word").cast("bigint").alias("item_id"), F.col("similarity"))
 
 
-def embedding_job(ratings: DataFrame, dim: int = ITEM2VEC_DIM, seed: int = 42, partitions: int | None = None,
+def embedding_job(ratings: DataFrame, dim: int = ITEM2VEC_DIM, seed: int = 42, partitions: int = 1,
                   out_dir: str | None = None):
     """E5: sequences -> item2vec -> item vectors -> user vectors [-> K2/K3 text files].
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import Bucketizer, MinMaxScaler, OneHotEncoder, QuantileDiscretizer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import Bucketizer, CountVectorizerModel, MinMaxScaler, OneHotEncoder, QuantileDiscretizer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsift.functions import genre_array
+from reelsift.functions import genre_pieces
 from reelsift.operators.cumulative import running_totals
 from reelsift.operators.item_features import item_rating_variance
 
@@ -26,30 +26,34 @@ def one_hot(df: DataFrame, col: str = "item_id", out: str = "one_hot") -> DataFr
 
 def genre_indexer(items: DataFrame):
     """M2: StringIndexer over exploded genres (frequency desc, ties by name)."""
-    g = items.select("item_id", F.explode(genre_array("genres")).alias("genre"))
+    g = items.select("item_id", F.explode(genre_pieces("genres")).alias("genre"))
     model = StringIndexer(inputCol="genre", outputCol="genre_index", stringOrderType="frequencyDesc").fit(g)
     return model, g
 
 
 def multi_hot(items: DataFrame) -> DataFrame:
-    """M3 (+A8, A9, M4): multi-hot genre vector per item.
+    """M3 (+A8, A9, M4): sparse multi-hot genre vector per item; a blank genre string is a genre of its own, an item
+    with a null one has no row.
 
-    The index size is the indexer's vocabulary size; the vector is built from
-    the sorted index list with native array functions (no UDF).
+    The indexer's labels are the vocabulary of a ``CountVectorizerModel``, which builds the sparse vectors in place: no
+    shuffle, nothing of the vocabulary's size per item.
     Output: item_id, genre_indexes (sorted), index_size, vector.
     """
-    model, g = genre_indexer(items)
-    size = len(model.labels)
-    idx = model.transform(g).withColumn("gi", F.col("genre_index").cast("int"))
-    per_item = idx.groupBy("item_id").agg(F.sort_array(F.collect_list("gi")).alias("genre_indexes"))
-    hot = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.when(F.array_contains("genre_indexes", i), 1.0).otherwise(0.0))
-    return per_item.select("item_id", "genre_indexes", F.lit(size).alias("index_size"), array_to_vector(hot).alias("vector"))
+    model, _ = genre_indexer(items)
+    vectors = CountVectorizerModel.from_vocabulary(list(model.labels), inputCol="_pieces", outputCol="vector", binary=True)
+    listed = items.where(F.col("genres").isNotNull()).select("item_id", genre_pieces("genres").alias("_pieces")).where(F.size("_pieces") > 0)
+    out = vectors.transform(listed)
+    return out.select("item_id", vector_active("vector").alias("genre_indexes"), vector_size("vector").alias("index_size"), "vector")
 
 
 def vector_active(vec_col: str) -> F.Column:
-    """Indexes of the non-zero entries of an ML vector column."""
-    arr = vector_to_array(vec_col)
-    return F.filter(F.sequence(F.lit(0), F.size(arr) - 1), lambda i: F.get(arr, i) != 0)
+    """Indexes of the entries of a sparse ML vector column (as OneHotEncoder and CountVectorizerModel make them)."""
+    return F.unwrap_udt(vec_col)["indices"]
+
+
+def vector_size(vec_col: str) -> F.Column:
+    """Size of a sparse ML vector column."""
+    return F.unwrap_udt(vec_col)["size"]
 
 
 def exact_quantile_splits(df: DataFrame, col: str, n: int) -> list[float]:

@@ -1,8 +1,7 @@
 """Scoring and ranking of candidates.
 
 Scores of the embedding mode are cosine x 100 with the -1 sentinel for a
-missing vector; ranks use the score rounded to 6 places, then item_id, so the
-order is total and the same in any engine.
+missing vector; ranks use the score, then item_id, so the order is total.
 """
 
 from __future__ import annotations
@@ -38,14 +37,19 @@ def content_score(genres_a, genres_b, avg_rating_b) -> Column:
     return genre_sim * GENRE_WEIGHT + r / MAX_RATING * RATING_WEIGHT
 
 
-def rank_within(df: DataFrame, key: str, score: str = "score", rank_col: str = "rank") -> DataFrame:
-    """Rank rows of each ``key`` by rounded score desc, then item_id."""
-    w = Window.partitionBy(key).orderBy(round6(score).desc(), F.col("item_id").asc())
+def rank_within(df: DataFrame, key: str, score: str = "score", rank_col: str = "rank", rounded: bool = False) -> DataFrame:
+    """Rank rows of each ``key`` by score desc, then item_id.
+
+    ``rounded`` takes scores that agree to 6 places as ties, for comparisons
+    with an engine whose sums differ in the last bits.
+    """
+    by = round6(score) if rounded else F.col(score)
+    w = Window.partitionBy(key).orderBy(by.desc(), F.col("item_id").asc())
     return df.withColumn(rank_col, F.row_number().over(w))
 
 
 def rank_items(pairs: DataFrame, items: DataFrame, ratings: DataFrame, item_emb: DataFrame, mode: str = "embedding",
-               n_items: int | None = None, n_vectors: int | None = None) -> DataFrame:
+               n_items: int | None = None, n_vectors: int | None = None, rounded: bool = False) -> DataFrame:
     """Score each (user_id, history_item, item_id) candidate against the history item.
 
     embedding: cosine of the two item vectors (-1 when either is missing);
@@ -73,10 +77,11 @@ def rank_items(pairs: DataFrame, items: DataFrame, ratings: DataFrame, item_emb:
             "user_id", "history_item", "item_id",
             content_score(F.coalesce("h_genres", empty), F.coalesce("genre_list", empty), F.coalesce("average_rating", F.lit(0.0))).alias("score"),
         )
-    return rank_within(scored, "user_id")
+    return rank_within(scored, "user_id", rounded=rounded)
 
 
-def rank_for_users(candidates: DataFrame, user_emb: DataFrame | None, item_emb: DataFrame | None, mode: str = "embedding") -> DataFrame:
+def rank_for_users(candidates: DataFrame, user_emb: DataFrame | None, item_emb: DataFrame | None, mode: str = "embedding",
+                   rounded: bool = False) -> DataFrame:
     """Score (user_id, item_id) candidates for their user.
 
     embedding: cosine(user vector, item vector), -1 when missing;
@@ -91,7 +96,7 @@ def rank_for_users(candidates: DataFrame, user_emb: DataFrame | None, item_emb:
         w = Window.partitionBy("user_id")
         pos = F.row_number().over(w.orderBy("item_id"))
         scored = candidates.withColumn("score", (F.count(F.lit(1)).over(w) - pos + 1).cast("double"))
-    return rank_within(scored, "user_id")
+    return rank_within(scored, "user_id", rounded=rounded)
 
 
 def fallback_score(user="user_id", item="item_id", seed: int = 0) -> Column:
@@ -148,6 +153,7 @@ def recommend(
     user_emb: DataFrame | None = None,
     dim: int | None = None,
     history: str = "last",
+    rounded: bool = False,
 ) -> DataFrame:
     """Batch recommendations for every user: recall -> score -> top k [-> fallback -> re-sort].
 
@@ -161,7 +167,7 @@ def recommend(
     if mode == "embedding":
         if user_emb is None:
             user_emb = user_embeddings(ratings, item_emb, dim=dim)
-        ranked = rank_within(score_candidates(ratings, items, item_emb, user_emb, history), "user_id")
+        ranked = rank_within(score_candidates(ratings, items, item_emb, user_emb, history), "user_id", rounded=rounded)
     else:
         cands = recall(ratings, items, with_channels=False, history=history).select("user_id", "item_id")
         ranked = rank_for_users(cands, None, None, mode).withColumn("missing", F.lit(False))
@@ -175,7 +181,7 @@ def recommend(
         F.when(missing, fallback_score(seed=seed)).otherwise(F.col("score")).alias("score"),
         missing.alias("is_fallback"),
     )
-    return rank_within(fixed, "user_id")
+    return rank_within(fixed, "user_id", rounded=rounded)
 
 
 def banded_fallback(rating="rating", u: Column | None = None) -> Column:

@@ -29,19 +29,14 @@ KEY_LATEST = "#top_year"
 GENRE_KEY_PREFIX = "g:"
 
 
-GENRE_LIST_CHUNK = 100_000  # item-id range per inverted-index row
+def genre_index(items: DataFrame) -> DataFrame:
+    """A10: genre inverted index as rows (genre, item_id, item_count), item_count of the whole genre.
 
-
-def genre_index(items: DataFrame, chunk: int = GENRE_LIST_CHUNK) -> DataFrame:
-    """A10: genre inverted index, list form: (genre, chunk, item_count, sorted item_ids).
-
-    One row per genre and item-id range of width ``chunk``, so a list never
-    holds more than ``chunk`` ids however large a genre grows (the exploded
-    (item_id, genre) form is ``explode_genres``).
+    Rows instead of one list per genre: no row grows with the catalogue.
     """
-    g = items.select("item_id", F.explode(genre_array("genres")).alias("genre"))
-    part = F.floor(F.col("item_id") / chunk).cast("bigint").alias("chunk")
-    return g.groupBy("genre", part).agg(F.count(F.lit(1)).alias("item_count"), F.array_sort(F.collect_list("item_id")).alias("item_ids"))
+    g = items.select("item_id", F.explode(genre_array("genres")).alias("genre")).distinct()
+    sizes = g.groupBy("genre").agg(F.count(F.lit(1)).alias("item_count"))
+    return g.join(sizes, "genre").select("genre", "item_id", "item_count")
 
 
 def _sort_cols(by: str):

@@ -49,7 +49,7 @@ def preferred_genres(genre_strings: Column, pre_split: bool = False) -> Column:
     return F.transform(F.array_sort(runs), lambda r: r["genre"])
 
 
-def _window_features(samples: DataFrame, w, base: list[str], numeric: bool = False) -> DataFrame:
+def _window_features(samples: DataFrame, w, base: list[str], numeric: bool = False, lists: bool = False) -> DataFrame:
     positive_items = F.reverse(F.collect_list(F.when(F.col("label") == 1, F.col("item_id"))).over(w))
     # each rating's genre string is split once, before the window
     positive_genres = F.collect_list(F.when(F.col("label") == 1, F.split("genres", "[|]"))).over(w)
@@ -72,6 +72,7 @@ def _window_features(samples: DataFrame, w, base: list[str], numeric: bool = Fal
         rating_sd.alias("user_rating_stddev_num"),
         year_sd.alias("user_release_year_stddev_num"),
     ] if numeric else []
+    whole = [F.col("_hist").alias("positive_history"), F.col("_genres").alias("preferred_genres")] if lists else []
     return feats.select(
         *base,
         *[F.get("_hist", i).alias(f"user_rated_movie{i + 1}") for i in range(SLOTS)],
@@ -82,6 +83,7 @@ def _window_features(samples: DataFrame, w, base: list[str], numeric: bool = Fal
         fmt2(rating_sd).alias("user_rating_stddev"),
         *[F.get("_genres", i).alias(f"user_genre{i + 1}") for i in range(SLOTS)],
         *twins,
+        *whole,
     )
 
 
@@ -93,11 +95,14 @@ def add_user_features(
     block_rows: int = BLOCK_ROWS,
     heavy: list[tuple] | None = None,
     numeric: bool = False,
+    lists: bool = False,
 ) -> DataFrame:
     """Point-in-time user features for each labelled sample.
 
     The averages and deviations are two-decimal text, as the reference
-    stores them; ``numeric=True`` adds ``*_num`` double twins for models.
+    stores them; ``numeric=True`` adds ``*_num`` double twins for models, and
+    ``lists=True`` the whole lists that the five slots are cut from:
+    ``positive_history`` (newest first) and ``preferred_genres``.
 
     ``samples`` needs user_id, item_id, ts, rating, label, release_year, genres.
     Numeric nulls become 0 (P11) before formatting (P13); samples with at most
@@ -112,14 +117,14 @@ def add_user_features(
     if heavy is None:
         heavy = heavy_keys(samples, "user_id", heavy_rows) if heavy_rows else []
     if not heavy:
-        out = _window_features(samples, history_window(history), base, numeric)
+        out = _window_features(samples, history_window(history), base, numeric, lists)
     else:
         light, hot_rows, _ = split_heavy(samples, "user_id", heavy)
-        plain = _window_features(light, history_window(history), base, numeric)
+        plain = _window_features(light, history_window(history), base, numeric, lists)
         positioned = heavy_positions(hot_rows, "user_id", ["ts", "item_id"], sum(n for _, n in heavy), block_rows)
         blocked = blocks(positioned, block_rows, history)
         w = Window.partitionBy("user_id", "_block").orderBy("pos").rowsBetween(-history, -1)
-        hot = _window_features(blocked, w, base + ["_ctx"], numeric).where(~F.col("_ctx")).drop("_ctx")
+        hot = _window_features(blocked, w, base + ["_ctx"], numeric, lists).where(~F.col("_ctx")).drop("_ctx")
         out = plain.unionByName(hot)
     return out if keep_first else out.where(F.col("user_rating_count") > 1)
 

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reelsift.functions import genre_array
+from reelsift.functions import genre_pieces
 from reelsift.operators import item_features as itf
 from reelsift.operators import samples as smp
 from reelsift.operators import user_features as uf
 from reelsift.plans.common import (
+    BLANKED_ITEMS_SQL,
     ITEM_FEATURES_SQL,
     LABELLED_SQL,
+    blanked_items,
     labelled,
     sql_genre_list,
+    sql_genre_pieces,
     sql_year,
     user_features_sql,
     views,
@@ -134,24 +137,21 @@ def distinct_users(spark, d):
 
 @query(
     "explode_genres",
-    f"SELECT item_id, unnest({sql_genre_list('genres')}) AS genre FROM items",
+    f"SELECT item_id, unnest({sql_genre_pieces('genres')}) AS genre FROM ({BLANKED_ITEMS_SQL}) i",
 )
 def explode_genres(spark, d):
-    return cv.items(spark, d).select("item_id", F.explode(genre_array("genres")).alias("genre"))
+    return blanked_items(spark, d).select("item_id", F.explode(genre_pieces("genres")).alias("genre"))
 
 
 @query(
     "genre_index",
-    f"""SELECT genre, CAST(floor(item_id / 100000) AS BIGINT) AS chunk, count(*) AS item_count,
-               string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY item_id) AS item_ids
-        FROM (SELECT item_id, unnest({sql_genre_list('genres')}) AS genre FROM items) g GROUP BY 1, 2""",
+    f"""SELECT genre, item_id, count(*) OVER (PARTITION BY genre) AS item_count
+        FROM (SELECT DISTINCT item_id, unnest({sql_genre_list('genres')}) AS genre FROM items) g""",
 )
 def genre_index(spark, d):
     from reelsift.operators.recall import genre_index as gi
 
-    return gi(cv.items(spark, d)).select(
-        "genre", "chunk", "item_count", F.array_join(F.transform("item_ids", lambda x: x.cast("string")), " ").alias("item_ids")
-    )
+    return gi(cv.items(spark, d))
 
 
 _ITEM_FEAT_COLS = """user_id, item_id, rating, ts, label, release_year, genres, movie_genre1, movie_genre2, movie_genre3,
@@ -245,10 +245,13 @@ _WIN_CTES = (LABELLED_SQL, ITEM_FEATURES_SQL, user_features_sql(100))
 
 
 @query("win_positive_history",
-       "SELECT user_id, item_id, user_rated_movie1, user_rated_movie2, user_rated_movie3, user_rated_movie4, user_rated_movie5 FROM user_feats",
+       """SELECT user_id, item_id, array_to_string(list_reverse(_hist), ',') AS positive_history, len(_hist) AS history_length
+          FROM uf_genres WHERE user_rating_count > 1""",
        *_WIN_CTES)
 def win_positive_history(spark, d):
-    return _win(spark, d, *[f"user_rated_movie{i}" for i in range(1, 6)])
+    f = uf.add_user_features(_item_feats(spark, d), lists=True)
+    text = F.array_join(F.transform("positive_history", lambda x: x.cast("string")), ",")
+    return f.select("user_id", "item_id", text.alias("positive_history"), F.size("positive_history").alias("history_length"))
 
 
 @query("win_rating_count", "SELECT user_id, item_id, user_rating_count FROM user_feats", *_WIN_CTES)
@@ -277,7 +280,8 @@ def win_rating_stddev(spark, d):
 
 
 @query("win_user_genres",
-       "SELECT user_id, item_id, user_genre1, user_genre2, user_genre3, user_genre4, user_genre5 FROM user_feats",
+       "SELECT user_id, item_id, array_to_string(_genres, ',') AS preferred_genres, len(_genres) AS n_genres FROM uf_genres WHERE user_rating_count > 1",
        *_WIN_CTES)
 def win_user_genres(spark, d):
-    return _win(spark, d, *[f"user_genre{i}" for i in range(1, 6)])
+    f = uf.add_user_features(_item_feats(spark, d), lists=True)
+    return f.select("user_id", "item_id", F.array_join("preferred_genres", ",").alias("preferred_genres"), F.size("preferred_genres").alias("n_genres"))

@@ -195,16 +195,69 @@ def src_kv_features(spark, d):
     return f.select("item_id", F.explode("features").alias("field", "value"))
 
 
+_ITEM_KV_SQL = _unpivot_sql(LATEST_ITEM_SQL, "item_id", "mf", skv.ITEM_FEATURE_FIELDS)
+_USER_KV_SQL = _unpivot_sql(LATEST_USER_SQL, "user_id", "uf", skv.USER_FEATURE_FIELDS)
+
+
+def _user_kv(spark, d):
+    path = scratch_dir(spark) + "/kv"
+    skv.write_kv(skv.user_feature_kv(uf.latest_user_features(training_samples(spark, d))), path)
+    return path
+
+
+@query("src_kv_user_features", f"SELECT CAST(split_part(key, ':', 2) AS BIGINT) AS user_id, field, value FROM ({_USER_KV_SQL}) u", *_FEATS)
+def src_kv_user_features(spark, d):
+    f = skr.read_kv_features(spark, _user_kv(spark, d), skv.USER_FEATURE_PREFIX, "user_id")
+    return f.select("user_id", F.explode("features").alias("field", "value"))
+
+
 @query("join_kv_features",
-       """SELECT i.item_id, k.n_fields FROM items i LEFT JOIN (
-            SELECT item_id, CAST(7 AS BIGINT) AS n_fields FROM (SELECT DISTINCT item_id FROM user_feats) z) k ON i.item_id = k.item_id""",
+       f"SELECT i.item_id, u.field, u.value FROM items i LEFT JOIN ({_ITEM_KV_SQL}) u ON u.key = 'mf:' || CAST(i.item_id AS VARCHAR)",
        *_FEATS)
 def join_kv_features(spark, d):
     path = scratch_dir(spark) + "/kv"
     skv.write_kv(skv.item_feature_kv(itf.latest_item_features(training_samples(spark, d))), path)
     f = skr.read_kv_features(spark, path, skv.ITEM_FEATURE_PREFIX, "item_id")
-    return cv.items(spark, d).select("item_id").join(f, "item_id", "left").select("item_id", F.size("features").alias("n_fields")) \
-        .withColumn("n_fields", F.when(F.col("n_fields") >= 0, F.col("n_fields")))
+    return cv.items(spark, d).select("item_id").join(f, "item_id", "left").select("item_id", F.explode_outer("features").alias("field", "value"))
+
+
+@query("join_kv_user_features",
+       f"SELECT x.user_id, u.field, u.value FROM (SELECT DISTINCT user_id FROM ratings) x LEFT JOIN ({_USER_KV_SQL}) u ON u.key = 'uf:' || CAST(x.user_id AS VARCHAR)",
+       *_FEATS)
+def join_kv_user_features(spark, d):
+    f = skr.read_kv_features(spark, _user_kv(spark, d), skv.USER_FEATURE_PREFIX, "user_id")
+    users = cv.ratings(spark, d).select("user_id").distinct()
+    return users.join(f, "user_id", "left").select("user_id", F.explode_outer("features").alias("field", "value"))
+
+
+@query("src_feature_switch", f"SELECT true AS enabled, key, field, value FROM ({_ITEM_KV_SQL}) u", *_FEATS)
+def src_feature_switch(spark, d):
+    """Loaded with the switch on, and (no rows) with it off."""
+    path = scratch_dir(spark) + "/kv"
+    skv.write_kv(skv.item_feature_kv(itf.latest_item_features(training_samples(spark, d))), path)
+    parts = [
+        skr.load_features(spark, on, path, skv.ITEM_FEATURE_PREFIX).select(
+            F.lit(on).alias("enabled"), F.concat(F.lit("mf:"), F.col("item_id").cast("string")).alias("key"), F.explode("features").alias("field", "value"))
+        for on in (True, False)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("sink_kv_overwrite", f"""SELECT 'i2vEmb:' || CAST(item_id AS VARCHAR) AS key, generate_subscripts(emb, 1) - 1 AS dim,
+         round(CAST(unnest(emb) AS DOUBLE) * CASE WHEN item_id % 2 = 0 THEN 2 ELSE 1 END, 6) AS value FROM item_emb""")
+def sink_kv_overwrite(spark, d):
+    """All items written, then the even ones again with doubled vectors: one entry a key, the later one."""
+    path = scratch_dir(spark) + "/kv"
+    ie = cv.item_emb(spark, d)
+    skv.write_kv(skv.to_kv_embeddings(ie, skv.ITEM_EMB_PREFIX, "item_id"), path)
+    again = ie.where(F.col("item_id") % 2 == 0).withColumn("emb", F.transform("emb", lambda x: x * 2))
+    skv.write_kv(skv.to_kv_embeddings(again, skv.ITEM_EMB_PREFIX, "item_id"), path)
+    return _kv_values(skr.read_kv(spark, path, skv.ITEM_EMB_PREFIX))
+
+
+def _kv_values(kv, *keep: str):
+    v = kv.select("key", *keep, F.posexplode(F.split("value", " ")).alias("dim", "v"))
+    return v.select("key", *keep, "dim", F.col("v").cast("float").alias("value"))
 
 
 @query("sink_samples_csv",
@@ -216,20 +269,24 @@ def sink_samples_csv(spark, d):
     return spark.read.schema(s.schema).option("header", True).csv(path)
 
 
-@query("sink_item_emb", "SELECT item_id, len(emb) AS n_values FROM item_emb")
+def _text_values(spark, path, id_col: str):
+    p = F.split(F.col("value"), ":")
+    v = spark.read.text(path).select(F.get(p, 0).cast("bigint").alias(id_col), F.posexplode(F.split(F.get(p, 1), " ")).alias("dim", "v"))
+    return v.select(id_col, "dim", F.col("v").cast("float").alias("value"))
+
+
+@query("sink_item_emb", "SELECT item_id, generate_subscripts(emb, 1) - 1 AS dim, round(CAST(unnest(emb) AS DOUBLE), 6) AS value FROM item_emb")
 def sink_item_emb(spark, d):
     path = scratch_dir(spark) + "/item_emb_txt"
     sk.write_embeddings(cv.item_emb(spark, d), path, "item_id")
-    p = F.split(F.col("value"), ":")
-    return spark.read.text(path).select(F.get(p, 0).cast("bigint").alias("item_id"), F.size(F.split(F.get(p, 1), " ")).alias("n_values"))
+    return _text_values(spark, path, "item_id")
 
 
-@query("sink_user_emb", "SELECT user_id, len(emb) AS n_values FROM uemb", UEMB_SQL)
+@query("sink_user_emb", "SELECT user_id, d - 1 AS dim, round(CAST(v AS FLOAT)::DOUBLE, 6) AS value FROM uemb_long", UEMB_SQL)
 def sink_user_emb(spark, d):
     path = scratch_dir(spark) + "/user_emb_txt"
     sk.write_embeddings(_user_vectors(spark, d), path, "user_id")
-    p = F.split(F.col("value"), ":")
-    return spark.read.text(path).select(F.get(p, 0).cast("bigint").alias("user_id"), F.size(F.split(F.get(p, 1), " ")).alias("n_values"))
+    return _text_values(spark, path, "user_id")
 
 
 _ASOF = "(SELECT max(ts) FROM ratings)"
@@ -240,22 +297,30 @@ def _as_of(spark, d):
 
 
 @query("sink_kv_item_emb",
-       f"SELECT 'i2vEmb:' || CAST(item_id AS VARCHAR) AS key, len(emb) AS n_values, {_ASOF} + 86400 AS expires_at FROM item_emb")
+       f"""SELECT 'i2vEmb:' || CAST(item_id AS VARCHAR) AS key, {_ASOF} + 86400 AS expires_at,
+                  generate_subscripts(emb, 1) - 1 AS dim, round(CAST(unnest(emb) AS DOUBLE), 6) AS value FROM item_emb""")
 def sink_kv_item_emb(spark, d):
     path = _kv_item_emb(spark, d, as_of=_as_of(spark, d))
-    kv = skr.read_kv(spark, path, skv.ITEM_EMB_PREFIX)
-    return kv.select("key", F.size(F.split("value", " ")).alias("n_values"), "expires_at")
+    return _kv_values(skr.read_kv(spark, path, skv.ITEM_EMB_PREFIX), "expires_at")
 
 
 @query("sink_kv_user_emb",
-       f"SELECT 'uEmb:' || CAST(user_id AS VARCHAR) AS key, len(emb) AS n_values, {_ASOF} + 86400 AS expires_at FROM uemb",
+       f"""SELECT 'uEmb:' || CAST(user_id AS VARCHAR) AS key, {_ASOF} + 86400 AS expires_at, d - 1 AS dim,
+                  round(CAST(v AS FLOAT)::DOUBLE, 6) AS value FROM uemb_long""",
        UEMB_SQL)
 def sink_kv_user_emb(spark, d):
     path = scratch_dir(spark) + "/kv"
     ue = _user_vectors(spark, d)
     skv.write_kv(skv.to_kv_embeddings(ue, skv.USER_EMB_PREFIX, "user_id", as_of=_as_of(spark, d)), path)
-    kv = skr.read_kv(spark, path, skv.USER_EMB_PREFIX)
-    return kv.select("key", F.size(F.split("value", " ")).alias("n_values"), "expires_at")
+    return _kv_values(skr.read_kv(spark, path, skv.USER_EMB_PREFIX), "expires_at")
+
+
+@query("src_kv_user_emb", "SELECT user_id, d - 1 AS dim, round(CAST(v AS FLOAT)::DOUBLE, 6) AS value FROM uemb_long", UEMB_SQL)
+def src_kv_user_emb(spark, d):
+    path = scratch_dir(spark) + "/kv"
+    skv.write_kv(skv.to_kv_embeddings(_user_vectors(spark, d), skv.USER_EMB_PREFIX, "user_id"), path)
+    e = skr.read_kv_embeddings(spark, path, skv.USER_EMB_PREFIX, "user_id")
+    return _long(e, "user_id").select("user_id", "dim", F.col("value").cast("float").alias("value"))
 
 
 @query("sink_kv_ttl", "SELECT 'uEmb' AS prefix, count(*) AS live FROM uemb", UEMB_SQL)
@@ -279,7 +344,7 @@ def sink_kv_ttl(spark, d):
 def sink_recs_csv(spark, d):
     path = scratch_dir(spark) + "/recs"
     r, i = views(spark, d)
-    sk.write_recommendations(rk.recommend(r, i, cv.item_emb(spark, d), k=5), path)
+    sk.write_recommendations(rk.recommend(r, i, cv.item_emb(spark, d), k=5, rounded=True), path)
     return spark.read.schema("user_id bigint, item_id bigint, score double").csv(path)
 
 
@@ -406,6 +471,15 @@ def join_known_emb(spark, d):
     return e.select("item_id", F.size("emb").alias("n_dims"))
 
 
+@query("join_known_user_emb", "SELECT u.user_id, len(u.emb) AS n_dims FROM uemb u SEMI JOIN (SELECT user_id FROM ratings WHERE rating >= 3.5) k ON u.user_id = k.user_id", UEMB_SQL)
+def join_known_user_emb(spark, d):
+    """User vectors read from entries, attached to the users of a table (here: those who liked something)."""
+    path = scratch_dir(spark) + "/kv"
+    skv.write_kv(skv.to_kv_embeddings(_user_vectors(spark, d), skv.USER_EMB_PREFIX, "user_id"), path)
+    known = cv.ratings(spark, d).where("rating >= 3.5").select("user_id").distinct()
+    return skr.read_kv_embeddings(spark, path, skv.USER_EMB_PREFIX, "user_id").join(known, "user_id", "left_semi").select("user_id", F.size("emb").alias("n_dims"))
+
+
 @query("join_known_ratings",
        "SELECT r.user_id, r.item_id, r.rating FROM ratings r JOIN items i ON r.item_id = i.item_id")
 def join_known_ratings(spark, d):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from reelsift.functions import cosine100, dot
 from reelsift.operators import cf, encode, evaluate, neighbors
 from reelsift.operators import embedding as emb
 from reelsift.operators import samples as smp
@@ -11,8 +13,9 @@ from reelsift.operators.item_features import item_profile
 from reelsift.operators.recall import top_items
 from reelsift.operators.user_features import last_item
 from reelsift.plans.catalog_recall import PROFILE_SQL, UEMB_SQL, sql_cos100
-from reelsift.plans.common import sql_genre_list, sql_uniform, views
+from reelsift.plans.common import BLANKED_ITEMS_SQL, blanked_items, sql_genre_pieces, sql_uniform, views
 from reelsift.plans.registry import query
+from reelsift.session import written
 from reelsift.sources import canonical as cv
 
 SEED = 42
@@ -25,19 +28,19 @@ def one_hot_items(spark, d):
     o = encode.one_hot(cv.items(spark, d), "item_id", "vec")
     return o.select(
         "item_id",
-        F.size(encode.vector_to_array("vec")).alias("vec_size"),
+        encode.vector_size("vec").alias("vec_size"),
         F.get(encode.vector_active("vec"), 0).alias("active_index"),
     )
 
 
-_GENRES_SQL = f"genres_long AS (SELECT item_id, unnest({sql_genre_list('genres')}) AS genre FROM items)"
+_GENRES_SQL = f"genres_long AS (SELECT item_id, unnest({sql_genre_pieces('genres')}) AS genre FROM ({BLANKED_ITEMS_SQL}) i)"
 _GENRE_IDX_SQL = """genre_idx AS (
   SELECT genre, row_number() OVER (ORDER BY count(*) DESC, genre) - 1 AS genre_index FROM genres_long GROUP BY genre)"""
 
 
 @query("genre_index_labels", "SELECT genre, genre_index FROM genre_idx", _GENRES_SQL, _GENRE_IDX_SQL)
 def genre_index_labels(spark, d):
-    model, g = encode.genre_indexer(cv.items(spark, d))
+    model, g = encode.genre_indexer(blanked_items(spark, d))
     return model.transform(g).select("genre", F.col("genre_index").cast("bigint").alias("genre_index")).distinct()
 
 
@@ -47,9 +50,9 @@ def genre_index_labels(spark, d):
           FROM genres_long g JOIN genre_idx x ON g.genre = x.genre GROUP BY g.item_id""",
        _GENRES_SQL, _GENRE_IDX_SQL)
 def multi_hot_genres(spark, d):
-    m = encode.multi_hot(cv.items(spark, d))
-    act = F.array_join(F.transform(encode.vector_active("vector"), lambda i: i.cast("string")), ",")
-    return m.select("item_id", F.size(encode.vector_to_array("vector")).alias("vec_size"), act.alias("active"))
+    m = encode.multi_hot(blanked_items(spark, d))
+    act = F.array_join(F.transform("genre_indexes", lambda i: i.cast("string")), ",")
+    return m.select("item_id", F.col("index_size").alias("vec_size"), act.alias("active"))
 
 
 _STATS_SQL = "stats AS (SELECT item_id, count(*) AS rating_count, avg(rating) AS avg_rating, var_samp(rating) AS rating_var FROM ratings GROUP BY item_id)"
@@ -100,7 +103,7 @@ sim AS (
           WHERE rank <= 20""",
        _SIM_SQL)
 def similar_items_exact(spark, d):
-    return neighbors.similar_items(spark, cv.item_emb(spark, d), 20)
+    return neighbors.similar_items(spark, cv.item_emb(spark, d), 20, rounded=True)
 
 
 _POOL_SQL = f"""
@@ -117,7 +120,7 @@ def _recall_by_embedding(spark, d, descending):
     ie = cv.item_emb(spark, d)
     pool = top_items(item_profile(i, r), 10000, "rating").select("item_id").join(ie, "item_id", "left")
     seeds = last_item(r).join(ie, "item_id").select(F.col("user_id").alias("seed_id"), F.col("emb").alias("vec"))
-    out = neighbors.exact_top_k(spark, seeds, pool.select("item_id", F.col("emb").alias("vec")), 20, "cosine", descending)
+    out = neighbors.exact_top_k(spark, seeds, pool.select("item_id", F.col("emb").alias("vec")), 20, "cosine", descending, rounded=True)
     return out.select(F.col("seed_id").alias("user_id"), "item_id", "score", "rank")
 
 
@@ -156,19 +159,37 @@ def knn_exact(spark, d):
     ie = cv.item_emb(spark, d)
     ue = emb.user_embeddings(r, ie, dim=emb.embedding_dim(ie))
     out = neighbors.exact_top_k(spark, ue.select(F.col("user_id").alias("seed_id"), F.col("emb").alias("vec")),
-                                ie.select("item_id", F.col("emb").alias("vec")), 5, "euclidean", descending=False)
+                                ie.select("item_id", F.col("emb").alias("vec")), 5, "euclidean", descending=False, rounded=True)
     return out.select(F.col("seed_id").alias("user_id"), "item_id", F.col("score").alias("distance"), "rank")
 
 
-@query("lsh_buckets", "SELECT item_id, CAST(unnest([0, 1, 2]) AS BIGINT) AS table_idx FROM item_emb")
+@query("lsh_buckets", "SELECT item_id, CAST(unnest([0, 1, 2]) AS BIGINT) AS table_idx, true AS is_projection FROM item_emb")
 def lsh_buckets(spark, d):
-    return neighbors.lsh_buckets(cv.item_emb(spark, d), seed=SEED).select("item_id", "table_idx")
+    """Buckets, each compared with the projection of the item's vector on the model's hash directions."""
+    ie = cv.item_emb(spark, d)
+    model, _ = neighbors.lsh_model(ie, seed=SEED)
+    direction = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in neighbors.lsh_directions(model, emb.embedding_dim(ie))])
+    b = neighbors.lsh_buckets(ie, seed=SEED).join(ie, "item_id")
+    at = dot(F.get(direction, F.col("table_idx")), F.col("emb").cast("array<double>")) / neighbors.LSH_BUCKET_LENGTH
+    # next to a bucket's edge the recovered direction's last digits may tip it over
+    ok = (F.col("bucket") == F.floor(at)) | (F.abs(at - F.round(at)) < 1e-4)
+    return b.select("item_id", "table_idx", ok.alias("is_projection"))
 
 
-@query("ann_lsh")
+@query("ann_lsh", "SELECT true AS has_k, true AS exact_distances, true AS within_all")
 def ann_lsh(spark, d):
+    """The approximate neighbours, held against exact distances of all items."""
     ie = cv.item_emb(spark, d)
-    return neighbors.ann(ie, neighbors.centroid(ie), 5, seed=SEED)
+    key = neighbors.centroid(ie)
+    center = F.array(*[F.lit(float(x)) for x in key])
+    gap = F.zip_with(F.col("emb").cast("array<double>"), center, lambda x, y: (x - y) * (x - y))
+    exact = ie.select("item_id", F.sqrt(F.aggregate(gap, F.lit(0.0), lambda a, x: a + x)).alias("true_distance"))
+    found = neighbors.ann(ie, key, 5, seed=SEED).join(exact, "item_id", "left")
+    return found.agg(
+        (F.count(F.lit(1)) == 5).alias("has_k"),
+        F.bool_and(F.abs(F.col("distance") - F.col("true_distance")) < 1e-6).alias("exact_distances"),
+        F.bool_and(F.col("true_distance").isNotNull()).alias("within_all"),
+    )
 
 
 # ---- item2vec ---------------------------------------------------------------
@@ -180,13 +201,19 @@ def item2vec_vocab(spark, d):
     return emb.item_vectors(model).select("item_id", F.size("emb").alias("dim"))
 
 
-@query("synonyms_w2v")
+@query("synonyms_w2v", "SELECT CAST(unnest(range(1, 21)) AS BIGINT) AS rank, true AS is_cosine, true AS is_best")
 def synonyms_w2v(spark, d):
     r = cv.ratings(spark, d)
     model = emb.train_item2vec(emb.item_sequences(r), seed=SEED)
     # seed item: the most liked item (ties: smallest id), taken from the data
     top = smp.filter_positive(r).groupBy("item_id").count().orderBy(F.col("count").desc(), "item_id").first()["item_id"]
-    return emb.synonyms(model, top, 20)
+    found = emb.synonyms(model, top, 20).withColumn("rank", F.row_number().over(Window.orderBy(F.col("similarity").desc())))
+    vectors = written(emb.item_vectors(model).select("item_id", F.col("emb").cast("array<double>").alias("emb")))
+    best = neighbors.similar_items(spark, vectors, 20, vectors.where(F.col("item_id") == int(top))).select(F.col("rank").alias("r"), (F.col("score") / 100).alias("s"))
+    seed = vectors.where(F.col("item_id") == int(top)).select(F.col("emb").alias("seed_emb"))
+    out = found.join(vectors, "item_id").join(best, F.col("rank") == F.col("r")).crossJoin(F.broadcast(seed))  # one seed row
+    close = lambda x: F.abs(F.col("similarity") - x) < 1e-4
+    return out.select("rank", close(cosine100("emb", "seed_emb") / 100).alias("is_cosine"), close(F.col("s")).alias("is_best"))
 
 
 @query("embedding_job", "SELECT DISTINCT user_id, CAST(10 AS BIGINT) AS dim FROM ratings")
@@ -218,12 +245,17 @@ def als_factors(spark, d):
 
 
 @query("als_predictions",
-       """SELECT user_id, item_id FROM test
+       """SELECT user_id, item_id, true AS is_product FROM test
           WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""",
        _SPLIT_SQL)
 def als_predictions(spark, d):
     model, _, test = _als(spark, d)
-    return cf.predict(model, test).select("user_id", "item_id")
+    f = cf.factors(model)
+    u = f.where("kind = 'user'").select(F.col("id").alias("user_id"), F.col("features").alias("uf"))
+    i = f.where("kind = 'item'").select(F.col("id").alias("item_id"), F.col("features").alias("itf"))
+    p = cf.predict(model, test).join(u, "user_id").join(i, "item_id")
+    product = dot(F.col("uf").cast("array<double>"), F.col("itf").cast("array<double>"))
+    return p.select("user_id", "item_id", (F.abs(F.col("prediction") - product) < 1e-3).alias("is_product"))
 
 
 @query("als_user_recs",
@@ -311,10 +343,22 @@ def cv_folds(spark, d):
     return cf.with_folds(cv.ratings(spark, d)).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("als_cv")
+@query("als_cv", "SELECT CAST(0.01 AS DOUBLE) AS reg_param, true AS is_mean_of_folds")
 def als_cv(spark, d):
+    """The cross-validator's metric, held against fitting and measuring each fold by hand."""
+    r = written(cv.ratings(spark, d))
+    folds = 3
+    _, metrics = cf.cross_validate_als(r, folds=folds, seed=SEED)
+    by_hand = [cf.fold_rmse(r, f, folds, seed=SEED) for f in range(folds)]
+    same = abs(sum(by_hand) / folds - metrics[0]) < 1e-3
+    return spark.createDataFrame([(0.01, bool(same))], "reg_param double, is_mean_of_folds boolean")
+
+
+@query("als_cv_10", "SELECT CAST(0.01 AS DOUBLE) AS reg_param, true AS in_scale")
+def als_cv_10(spark, d):
+    """The reference's ten folds; the error of a rating of 0.5 to 5 is within the scale."""
     _, metrics = cf.cross_validate_als(cv.ratings(spark, d), folds=10, seed=SEED)
-    return spark.createDataFrame([(0.01, float(m)) for m in metrics], "reg_param double, avg_rmse double")
+    return spark.createDataFrame([(0.01, bool(0 < m < 4.5)) for m in metrics], "reg_param double, in_scale boolean")
 
 
 # ---- sampling and splitting ---------------------------------------------------

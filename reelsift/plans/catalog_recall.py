@@ -133,22 +133,16 @@ def user_embedding(spark, d):
 
 
 @query("item_sequences",
-       """SELECT user_id, CAST(0 AS BIGINT) AS chunk, string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY ts, item_id) AS item_seq,
-                 count(*) AS seq_len
-          FROM ratings WHERE rating >= 3.5 GROUP BY user_id""")
+       "SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, item_id) - 1 AS pos, item_id FROM ratings WHERE rating >= 3.5")
 def item_sequences(spark, d):
-    s = emb.item_sequences(cv.ratings(spark, d))
-    return s.select("user_id", "chunk", "item_seq", F.size("items").cast("bigint").alias("seq_len"))
+    return emb.item_sequences(cv.ratings(spark, d))
 
 
 @query("sequence_string",
-       """SELECT user_id, len(string_split(item_seq, ' ')) AS n_tokens, string_split(item_seq, ' ')[1] AS first_item
-          FROM (SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY ts, item_id) AS item_seq
-                FROM ratings WHERE rating >= 3.5 GROUP BY user_id) s""")
+       """SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ' ' ORDER BY ts, item_id) AS item_seq, count(*) AS seq_len
+          FROM ratings WHERE rating >= 3.5 GROUP BY user_id""")
 def sequence_string(spark, d):
-    s = emb.item_sequences(cv.ratings(spark, d))
-    toks = F.split("item_seq", " ")
-    return s.select("user_id", F.size(toks).cast("bigint").alias("n_tokens"), F.get(toks, 0).alias("first_item"))
+    return emb.sequence_strings(emb.item_sequences(cv.ratings(spark, d)))
 
 
 PAIRS_SQL = f"""
@@ -216,7 +210,7 @@ ranked AS (
 @query("rank_users_embedding", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked", *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def rank_users_embedding(spark, d):
     r, i, ie, ue = _pair_frames(spark, d)
-    return rk.rank_within(rk.score_candidates(r, i, ie, ue), "user_id").select("user_id", "item_id", "score", "rank")
+    return rk.rank_within(rk.score_candidates(r, i, ie, ue), "user_id", rounded=True).select("user_id", "item_id", "score", "rank")
 
 
 @query("rank_users_positional",
@@ -233,14 +227,14 @@ def rank_users_positional(spark, d):
 @query("recommend_top5", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked WHERE rank <= 5", *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def recommend_top5(spark, d):
     r, i = views(spark, d)
-    return rk.recommend(r, i, cv.item_emb(spark, d), k=5)
+    return rk.recommend(r, i, cv.item_emb(spark, d), k=5, rounded=True)
 
 
 @query("recommend_all_users", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked WHERE rank <= 5", *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def recommend_all_users(spark, d):
     r, i = views(spark, d)
     users = r.select("user_id").distinct()
-    recs = rk.recommend(r, i, cv.item_emb(spark, d), k=5)
+    recs = rk.recommend(r, i, cv.item_emb(spark, d), k=5, rounded=True)
     return recs.join(users, "user_id", "left_semi")
 
 
@@ -256,7 +250,7 @@ def _fallback_sql() -> str:
 @query("recommend_with_fallback", _fallback_sql(), *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def recommend_with_fallback(spark, d):
     r, i = views(spark, d)
-    return rk.recommend(r, i, cv.item_emb(spark, d), k=5, fallback=True, seed=0).select("user_id", "item_id", "score", "is_fallback", "rank")
+    return rk.recommend(r, i, cv.item_emb(spark, d), k=5, fallback=True, seed=0, rounded=True).select("user_id", "item_id", "score", "is_fallback", "rank")
 
 
 _ITEM_PAIR_SQL = f"""
@@ -279,7 +273,7 @@ def item_item_scores(spark, d):
 def rank_items_embedding(spark, d):
     r, i = views(spark, d)
     c = rc.recall(r, i, with_channels=False)
-    return rk.rank_items(c, i, r, cv.item_emb(spark, d), "embedding").select("user_id", "item_id", "score", "rank")
+    return rk.rank_items(c, i, r, cv.item_emb(spark, d), "embedding", rounded=True).select("user_id", "item_id", "score", "rank")
 
 
 _CONTENT_SQL = """
@@ -299,7 +293,7 @@ content AS (
 def rank_items_content(spark, d):
     r, i = views(spark, d)
     c = rc.recall(r, i, with_channels=False)
-    return rk.rank_items(c, i, r, cv.item_emb(spark, d), "content").select("user_id", "item_id", "score", "rank")
+    return rk.rank_items(c, i, r, cv.item_emb(spark, d), "content", rounded=True).select("user_id", "item_id", "score", "rank")
 
 
 @query("content_similarity", "SELECT user_id, item_id, round(score, 6) AS score FROM content", *RECALL_CTES, _CONTENT_SQL)

@@ -98,3 +98,18 @@ user_feats AS (
          {sql_fmt2('coalesce(_rating_sd, 0)')} AS user_rating_stddev,
          {gslots}
   FROM uf_genres {where})"""
+
+
+def sql_genre_pieces(g: str) -> str:
+    """As ``genre_pieces``: a blank string is one blank genre."""
+    return f"(CASE WHEN {g} = '' THEN [''] ELSE {sql_genre_list(g)} END)"
+
+
+#: Every 89th item gets a blank genre string: the rule for blanks shows in the checked queries.
+BLANK_GENRES_MOD = 89
+BLANKED_ITEMS_SQL = f"SELECT item_id, CASE WHEN item_id % {BLANK_GENRES_MOD} = 0 THEN '' ELSE genres END AS genres FROM items"
+
+
+def blanked_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blank = F.col("item_id") % BLANK_GENRES_MOD == 0
+    return cv.items(spark, sf_dir).withColumn("genres", F.when(blank, "").otherwise(F.col("genres")))

@@ -7,10 +7,9 @@ Library code never changes session state: it takes the caller's session.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "reelsift") -> SparkSession:
@@ -33,12 +32,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared checkpoint folder: ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir).  Only when neither is set, as in a bare test session, is
-    a folder of our own created and registered as the checkpoint dir."""
+    checkpoint dir).  Only a ``local`` session without either, whose executors
+    are the driver's own process, gets a folder under its warehouse; on a
+    cluster an unset folder is an error."""
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="reelsift-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/reelsift-checkpoints"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base
@@ -47,3 +49,11 @@ def checkpoint_base(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder under the shared checkpoint folder (round trips, KV store)."""
     return f"{checkpoint_base(spark).rstrip('/')}/reelsift-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet under the shared checkpoint folder and read back: evaluated once, lineage cut,
+    safe when an executor is lost."""
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

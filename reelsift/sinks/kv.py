@@ -9,6 +9,7 @@ real store, without collecting to the driver.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -91,9 +92,15 @@ def user_feature_kv(latest_users: DataFrame, as_of: int | None = None, ttl: int
     return _feature_kv(latest_users, USER_FEATURE_PREFIX, "user_id", USER_FEATURE_FIELDS, as_of, ttl)
 
 
-def write_kv(kv: DataFrame, path: str, mode: str = "append") -> str:
-    """Write entries partitioned by prefix (K4-K8)."""
-    kv.write.mode(mode).partitionBy("prefix").parquet(path)
+def write_kv(kv: DataFrame, path: str, mode: str = "append", version: int | None = None) -> str:
+    """Write entries partitioned by prefix (K4-K8).
+
+    An entry replaces an earlier one of its key, as a store's ``set`` does: rows
+    carry the write's ``version`` (by default the time in nanoseconds) and
+    readers keep the newest row of a key.
+    """
+    stamp = time.time_ns() if version is None else version
+    kv.withColumn("version", F.lit(stamp).cast("bigint")).write.mode(mode).partitionBy("prefix").parquet(path)
     return path
 
 

@@ -13,8 +13,14 @@ from pyspark.sql import functions as F
 from reelsift.sources.files import parse_vector, read_embeddings
 
 
+KV_SCHEMA = "key string, value string, features map<string,string>, expires_at bigint, version bigint, prefix string"
+
+
 def read_kv(spark: SparkSession, path: str, prefix: str, as_of: int | None = None) -> DataFrame:
-    kv = spark.read.parquet(path).where(F.col("prefix") == prefix)
+    """Entries of a prefix: the newest write of each key, without those expired at ``as_of``."""
+    kv = spark.read.schema(KV_SCHEMA).parquet(path).where(F.col("prefix") == prefix)
+    row = F.max_by(F.struct("value", "features", "expires_at"), F.col("version")).alias("r")
+    kv = kv.groupBy("prefix", "key").agg(row).select("prefix", "key", "r.value", "r.features", "r.expires_at")
     if as_of is not None:
         kv = kv.where(F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(as_of)))
     return kv
@@ -42,3 +48,10 @@ def load_embeddings(spark: SparkSession, source: str, path: str, prefix: str | N
     if source == "kv":
         return read_kv_embeddings(spark, path, prefix, id_col, as_of)
     raise ValueError(f"unknown embedding source {source!r}")
+
+
+def load_features(spark: SparkSession, enabled: bool, path: str, prefix: str, id_col: str = "item_id", as_of: int | None = None) -> DataFrame:
+    """The optional feature load: the prefix's feature maps when ``enabled``, else no rows (of the same columns)."""
+    if enabled:
+        return read_kv_features(spark, path, prefix, id_col, as_of)
+    return spark.createDataFrame([], f"{id_col} bigint, features map<string,string>")

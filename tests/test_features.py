@@ -95,9 +95,31 @@ def test_heavy_item_sequences_match_plain(spark):
     from reelsift.sources import canonical as cv
 
     r = cv.ratings(spark, "/root/testdata/sf0.001")
-    a = item_sequences(r, max_len=4, heavy_rows=None)
-    b = item_sequences(r, max_len=4, heavy_rows=3)
-    assert _canon_rows(a.select("user_id", "chunk", "item_seq")) == _canon_rows(b.select("user_id", "chunk", "item_seq"))
+    a = item_sequences(r, heavy_rows=None)
+    b = item_sequences(r, heavy_rows=3)
+    assert a.columns == b.columns and _canon_rows(a) == _canon_rows(b)
+
+
+def test_sequences_are_whole_and_only_sentences_are_cut(spark):
+    from reelsift.operators.embedding import item_sequences, sentences, sequence_strings
+
+    n = 1001
+    r = _ratings(spark, [(1, 100_000 * (i % 3) + i, 4.0, i) for i in range(n)] + [(2, 7, 5.0, 1), (2, 8, 1.0, 2)])
+    s = item_sequences(r)
+    assert s.where("user_id = 1").count() == n and s.agg(F.max("pos")).first()[0] == n - 1
+    whole = {x.user_id: x for x in sequence_strings(s).collect()}
+    assert whole[1].seq_len == n and whole[1].item_seq.split(" ") == [str(100_000 * (i % 3) + i) for i in range(n)]
+    assert whole[2].item_seq == "7"
+    cut = {(x.user_id, x.chunk): x["items"] for x in sentences(s).collect()}
+    assert sorted((k, len(v)) for k, v in cut.items()) == [((1, 0), 1000), ((1, 1), 1), ((2, 0), 1)]
+
+
+def test_whole_lists_extend_the_slots(spark):
+    rows = [(1, i, 4.0, i) for i in range(12)]
+    samples = add_label(_ratings(spark, rows)).withColumn("release_year", F.lit(2000)).withColumn("genres", F.lit("A|B|C|D|E|F|G"))
+    last = uf.add_user_features(samples, lists=True).orderBy(F.desc("ts")).first()
+    assert last.positive_history == list(range(10, -1, -1)) and last.preferred_genres == list("ABCDEFG")
+    assert [last[f"user_rated_movie{i}"] for i in range(1, 6)] == last.positive_history[:5]
 
 
 def test_numeric_twins_match_formatted_text(spark):

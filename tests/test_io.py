@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from reelsift.sinks import files as sk
 from reelsift.sinks import kv as skv
 from reelsift.sources import files as src
@@ -106,3 +108,37 @@ def test_canonical_views_conform_and_round_trip(spark, tmp_out):
     frames["ratings"].write.parquet(tmp_out + "/ratings")
     back = schema.read_table(spark, tmp_out + "/ratings", "ratings")
     assert back.count() == frames["ratings"].count() and schema.conforms(back, "ratings")
+
+
+def test_kv_last_write_of_a_key_wins(spark, tmp_out):
+    from reelsift.sinks import kv as skv
+    from reelsift.sources import kv as skr
+
+    e = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "item_id bigint, emb array<float>")
+    skv.write_kv(skv.to_kv_embeddings(e, "i2vEmb"), tmp_out)
+    skv.write_kv(skv.to_kv_embeddings(e, "i2vEmb"), tmp_out)
+    assert skr.read_kv_embeddings(spark, tmp_out, "i2vEmb").count() == 2
+    skv.write_kv(skv.to_kv_embeddings(e.where("item_id = 2").withColumn("emb", F.array(F.lit(9.0))), "i2vEmb"), tmp_out)
+    assert {r.item_id: r.emb for r in skr.read_kv_embeddings(spark, tmp_out, "i2vEmb").collect()} == {1: [1.0], 2: [9.0]}
+    skv.write_kv(skv.to_kv_embeddings(e.where("item_id = 1"), "i2vEmb", as_of=0, ttl=10), tmp_out)  # newest, and expired at 50
+    assert [r.item_id for r in skr.read_kv_embeddings(spark, tmp_out, "i2vEmb", as_of=50).collect()] == [2]
+
+
+def test_feature_switch(spark, tmp_out):
+    from reelsift.sources import kv as skr
+
+    off = skr.load_features(spark, False, tmp_out, "mf")
+    assert off.columns == ["item_id", "features"] and off.count() == 0
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
+    import types
+
+    import pytest
+
+    from reelsift import session
+
+    conf = types.SimpleNamespace(get=lambda k, d=None: d)
+    sc = types.SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_base(types.SimpleNamespace(sparkContext=sc, conf=conf))
