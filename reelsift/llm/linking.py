@@ -83,15 +83,24 @@ def link_groups(docs: DataFrame, base: DataFrame, to_sets: Callable, percent: in
     rows = written(rows.join(written(mixed), "key", "left_semi"))
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
     main = written(sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).select("key", F.col("m.comp").alias("main")))
-    rows = rows.join(main, "key")
-    minor = rows.where("comp <> main").select("key", F.col("id").alias("i"), F.col("comp").alias("ci"))
+    rows = written(rows.join(main, "key"))
+    # against the largest component's first document: the shingles shared with it, and those beside (few, in a family
+    # of copies).  Two rows share at most the smaller count of the former and what their latter have in common.
+    pair = written(rows.select("main", "id").distinct())
+    pivot, own = sets.select(F.col("id").alias("main"), F.col("shingles").alias("p")), sets.select("id", F.col("shingles").alias("s"))
+    about = pair.join(pivot, "main").join(own, "id").select("main", "id", F.size("s").alias("n"), F.size(F.array_intersect("s", "p")).alias("c"), F.array_except("s", "p").alias("r"))
+    rows = written(rows.join(written(about), ["main", "id"]))
+    minor = rows.where("comp <> main").select("key", *(F.col(x).alias(x + "i") for x in ("id", "comp", "n", "c", "r")))
+    rest = rows.select("key", *(F.col(x).alias(x + "j") for x in ("id", "comp", "n", "c", "r")))
+    need = F.ceil(percent * (F.col("ni") + F.col("nj")) / F.lit(100.0 + percent) - F.lit(1e-9)) - F.least("ci", "cj")
+    reach = F.when(need <= 0, True).when(F.least(F.size("ri"), F.size("rj")) < need, False).otherwise(F.size(F.array_intersect("ri", "rj")) >= need)
     apart = (
-        written(minor).join(written(rows.select("key", F.col("id").alias("j"), F.col("comp").alias("cj"))), "key").where("ci <> cj")
-        .select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"), F.least("ci", "cj").alias("ca"), F.greatest("ci", "cj").alias("cb"))
+        written(minor).join(rest, "key").where(F.col("compi") != F.col("compj")).where(reach)
+        .select(F.least("idi", "idj").alias("a"), F.greatest("idi", "idj").alias("b"))
         .distinct()
     )
     apart = apart.join(written(first), ["a", "b"], "left_anti")
-    links = _verified(apart.select("a", "b"), sets, percent)
+    links = _verified(apart, sets, percent)
     more = written(links.join(label.select(F.col("id").alias("a"), F.col("comp").alias("x")), "a", "left").join(label.select(F.col("id").alias("b"), F.col("comp").alias("y")), "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")).distinct())
     merged = components(more).select(F.col("id").alias("comp"), F.col("comp").alias("top"))
     whole = label.select("id", "comp").unionByName(merged.select(F.col("comp").alias("id"), F.col("comp"))).groupBy("id").agg(F.min("comp").alias("comp"))
