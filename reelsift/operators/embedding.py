@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reelsift.functions import POSITIVE_THRESHOLD
 from reelsift.operators.positions import HEAVY_ROWS, heavy_keys, heavy_positions, split_heavy
+from reelsift.plans.joins import broadcast_within, row_bytes
 
 # item2vec settings of the reference's embedding job.
 ITEM2VEC_DIM = 10
@@ -56,9 +57,14 @@ def sentences(sequences: DataFrame, max_len: int = SENTENCE_ITEMS) -> DataFrame:
     return s.select("user_id", "chunk", F.transform("s", lambda x: x["item_id"].cast("string")).alias("items"))
 
 
+def vector_bounds(item_emb: DataFrame) -> tuple[int, int]:
+    """(rows, longest vector): one small job over the vectors' table."""
+    row = item_emb.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("emb")).alias("d")).first()
+    return int(row["n"]), max(0, int(row["d"] or 0))
+
+
 def embedding_dim(item_emb: DataFrame) -> int:
-    row = item_emb.agg(F.max(F.size("emb")).alias("d")).first()
-    return int(row["d"] or 0)
+    return vector_bounds(item_emb)[1]
 
 
 def user_embeddings(ratings: DataFrame, item_emb: DataFrame, dim: int | None = None, divisor: str = "all") -> DataFrame:
@@ -66,26 +72,25 @@ def user_embeddings(ratings: DataFrame, item_emb: DataFrame, dim: int | None = N
 
     ``divisor="all"`` divides by every rating, including items without a
     vector (the reference's rule); ``"matched"`` only by those with one.
-    The sum is ``Summarizer.sum`` over ML vectors: a JVM aggregate with a
-    map-side partial, so nothing is exploded per dimension and a heavy user
-    is combined in every map task before the shuffle.  Counts come from a
-    second aggregate of the same ratings; both are partitioned by user, so
-    joining them adds no shuffle.  A user none of whose items has a vector
-    gets a zero vector of ``dim`` when given (the reference writes zeros),
-    else null.
+    One pass over the ratings: the sum is ``Summarizer.sum`` over ML vectors (a
+    zero vector where the item has none), a JVM aggregate with a map-side
+    partial, so nothing is exploded per dimension and a heavy user is combined
+    in every map task before the shuffle.  A user none of whose items has a
+    vector gets a zero vector of ``dim`` when given (the reference writes
+    zeros), else null.
     """
-    vecs = item_emb.select("item_id", array_to_vector(F.col("emb").cast("array<double>")).alias("v"))
-    pairs = ratings.select("user_id", "item_id")
-    sums = pairs.join(vecs, "item_id").groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_matched"), Summarizer.sum(F.col("v")).alias("s")
-    ).select("user_id", "n_matched", vector_to_array("s").alias("s"))
-    counts = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_all"))
-    joined = counts.join(sums, "user_id", "left")
+    rows, width = vector_bounds(item_emb)
+    vecs = broadcast_within(item_emb.select("item_id", F.col("emb").cast("array<double>").alias("e")), rows, row_bytes(width))
+    rated = ratings.select("user_id", "item_id").join(vecs, "item_id", "left")
+    zero = F.array_repeat(F.lit(0.0), width)
+    sums = rated.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_all"), F.count("e").alias("n_matched"),
+        Summarizer.sum(array_to_vector(F.coalesce("e", zero))).alias("s"),
+    )
     n = F.col("n_all") if divisor == "all" else F.col("n_matched")
-    total = F.col("s")
-    if dim is not None:
-        total = F.coalesce(total, F.array_repeat(F.lit(0.0), dim))
-    return joined.select("user_id", F.transform(total, lambda x: x / n).alias("emb"))
+    missing = F.array_repeat(F.lit(0.0), dim) if dim is not None else F.lit(None).cast("array<double>")
+    total = F.when(F.col("n_matched") > 0, F.transform(vector_to_array("s"), lambda x: x / n)).otherwise(missing)
+    return sums.select("user_id", total.alias("emb"))
 
 
 def train_item2vec(

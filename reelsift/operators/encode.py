@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import Bucketizer, CountVectorizerModel, MinMaxScaler, OneHotEncoder, QuantileDiscretizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from reelsift.functions import genre_pieces
 from reelsift.operators.cumulative import running_totals
 from reelsift.operators.item_features import item_rating_variance
+from reelsift.session import written
 
 QUANTILE_BUCKETS = 100  # fixed value: rating-count buckets
 
@@ -65,14 +65,11 @@ def exact_quantile_splits(df: DataFrame, col: str, n: int) -> list[float]:
     the column is never gathered in one place; only the n - 1 boundaries reach
     the driver.  Duplicates collapse; the ends are -inf and +inf.
     """
-    # one row per distinct value, kept while the small answer is computed, then released
     per = df.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n")).where(F.col("v").isNotNull())
-    per = per.persist(StorageLevel.MEMORY_AND_DISK)
     cum = running_totals(per, "v", ["n"])
     probs = [i / n for i in range(1, n)]
     row = cum.agg(*[F.min(F.when(F.col("cum_n") >= F.lit(p) * F.col("total_n"), F.col("v"))).alias(f"q{i}")
                     for i, p in enumerate(probs)]).first()
-    per.unpersist()
     inner = sorted({float(x) for x in row if x is not None}) if row is not None else []
     return [float("-inf")] + (inner or [0.0]) + [float("inf")]
 
@@ -104,7 +101,7 @@ def rating_features(ratings: DataFrame, buckets: int = QUANTILE_BUCKETS) -> Data
     """M8: item rating count / average / variance, then a Pipeline of exact
     quantile buckets of the count (Bucketizer on exact splits, as
     QuantileDiscretizer with zero error would choose) and MinMaxScaler(average)."""
-    stats = item_rating_variance(ratings)
+    stats = written(item_rating_variance(ratings))  # read by the splits, the scaler and the transform
     stats = VectorAssembler(inputCols=["avg_rating"], outputCol="avg_rating_vec").transform(stats)
     pipe = Pipeline(stages=[
         Bucketizer(splits=exact_quantile_splits(stats, "rating_count", buckets), inputCol="rating_count", outputCol="rating_count_bucket"),

@@ -115,9 +115,9 @@ ITEM_FEATURE_COLUMNS = [
 def latest_per_key(df: DataFrame, key: str, order_cols: list[str], keep: list[str]) -> DataFrame:
     """The row with the largest ``order_cols`` per ``key``, as an aggregate.
 
-    ``max(struct(order..., payload...))`` is a plain hash aggregate: it
-    combines map-side, so a hot key costs one row per map task, not a sort of
-    all its rows (which ``row_number() = 1`` would need).
+    ``max(struct(order..., payload...))`` combines map-side, so a hot key costs
+    one row per map task in the shuffle, which ``row_number() = 1`` would not.
+    (Spark plans it as a sort aggregate: struct buffers are not hashed.)
     """
     packed = F.max(F.struct(*[F.col(c) for c in order_cols], *[F.col(c).alias(f"__{c}") for c in keep])).alias("m")
     return df.groupBy(key).agg(packed).select(key, *[F.col(f"m.__{c}").alias(c) for c in keep])

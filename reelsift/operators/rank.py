@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelsift.functions import cosine100, dot, round6, uniform, unit_vector
-from reelsift.operators.embedding import user_embeddings
+from reelsift.operators.embedding import user_embeddings, vector_bounds
 from reelsift.operators.item_features import item_profile
-from reelsift.operators.recall import catalog_bounds, channel_bound, channel_table, recall, user_channel_keys
-from reelsift.plans.joins import broadcast_within
+from reelsift.operators.recall import catalog_bounds, channel_bound, channel_table, recall, user_channel_keys, with_seen
+from reelsift.plans.joins import broadcast_within, row_bytes
 
 MISSING_SCORE = -1.0  # fixed value: sentinel score when a vector is missing
 RECOMMENDATIONS = 5  # fixed value: recommendations per user
@@ -49,28 +49,25 @@ def rank_within(df: DataFrame, key: str, score: str = "score", rank_col: str = "
 
 
 def rank_items(pairs: DataFrame, items: DataFrame, ratings: DataFrame, item_emb: DataFrame, mode: str = "embedding",
-               n_items: int | None = None, n_vectors: int | None = None, rounded: bool = False) -> DataFrame:
+               rounded: bool = False) -> DataFrame:
     """Score each (user_id, history_item, item_id) candidate against the history item.
 
     embedding: cosine of the two item vectors (-1 when either is missing);
     content: genre overlap and the candidate's average rating.
-    The per-item lookups (vectors or profiles) are broadcast when their row
-    counts (items-side counts, never the pairs) are within the limit, so the
-    pairs keep their user partitioning for the per-user rank.
+    The per-item lookups (vectors or profiles) are broadcast when their bytes
+    (rows and lengths from the items side, never the pairs) are within the
+    limit, so the pairs keep their user partitioning for the per-user rank.
     """
     if mode == "embedding":
-        if n_vectors is None:
-            n_vectors = item_emb.count()
-        e = broadcast_within(item_emb.select("item_id", unit_vector("emb").alias("u")), n_vectors)
+        e = broadcast_within(item_emb.select("item_id", unit_vector("emb").alias("u")), (b := vector_bounds(item_emb))[0], row_bytes(b[1]))
         scored = pairs.join(e.select(F.col("item_id").alias("history_item"), F.col("u").alias("h_u")), "history_item", "left").join(
             e, "item_id", "left"
         )
         score = F.coalesce(unit_dot100(F.col("h_u"), F.col("u")), F.lit(MISSING_SCORE))
         scored = scored.select("user_id", "history_item", "item_id", score.alias("score"))
     else:
-        if n_items is None:
-            n_items = items.count()
-        prof = broadcast_within(item_profile(items, ratings).select("item_id", "genre_list", "average_rating"), n_items)
+        n_items, _, chars = catalog_bounds(items)
+        prof = broadcast_within(item_profile(items, ratings).select("item_id", "genre_list", "average_rating"), n_items, row_bytes(1, 2 * chars))
         h = prof.select(F.col("item_id").alias("history_item"), F.col("genre_list").alias("h_genres"))
         empty = F.array().cast("array<string>")
         scored = pairs.join(h, "history_item", "left").join(prof, "item_id", "left").select(
@@ -125,18 +122,18 @@ def score_candidates(ratings: DataFrame, items: DataFrame, item_emb: DataFrame,
     (user, item) de-duplication nor the per-user rank after it: the
     candidate pairs are never shuffled.
     """
-    n_items, n_genres = catalog_bounds(items)
+    bounds = catalog_bounds(items)
+    bound = channel_bound(bounds[1])
     profile = item_profile(items, ratings)
     unit_items = item_emb.select("item_id", unit_vector("emb").alias("i_unit"))
     channels = channel_table(profile).select("key", "item_id").join(unit_items, "item_id", "left")
-    channels = broadcast_within(channels, channel_bound(n_genres))
-    keys = user_channel_keys(ratings, items, n_items=n_items, history=history)
+    channels = broadcast_within(channels, bound, row_bytes(vector_bounds(item_emb)[1], bounds[2]))
+    keys = user_channel_keys(ratings, items, bounds=bounds, history=history)
     users = user_emb.select("user_id", unit_vector("emb").alias("u_unit"))
+    if history == "all":  # every rated item leaves the candidates
+        keys = with_seen(keys, ratings, channels, bound)
     pairs = keys.join(users, "user_id", "left").join(channels, "key")
-    if history == "all":  # every rated item leaves the candidates (a shuffle on (user, item))
-        pairs = pairs.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    else:
-        pairs = pairs.where(F.col("item_id") != F.col("history_item"))
+    pairs = pairs.where(~F.array_contains("seen", F.col("item_id")) if history == "all" else F.col("item_id") != F.col("history_item"))
     cos = unit_dot100(F.col("u_unit"), F.col("i_unit"))
     scored = pairs.select("user_id", "item_id", F.coalesce(cos, F.lit(MISSING_SCORE)).alias("score"), cos.isNull().alias("missing"))
     return scored.groupBy("user_id", "item_id").agg(F.max("score").alias("score"), F.max("missing").alias("missing"))
@@ -206,11 +203,14 @@ def score_pairs(pairs: DataFrame, ratings: DataFrame, items: DataFrame, user_emb
     With ``banded``, negative scores are replaced inside the rating's band and
     flagged ``is_fallback`` (the band uses the true rating: never evaluate on it).
     """
-    users = ratings.select("user_id").distinct()
-    known = pairs.join(users, "user_id", "left_semi").join(items.select("item_id"), "item_id", "left_semi")
-    scored = known.join(user_emb.withColumnRenamed("emb", "u_emb"), "user_id", "left").join(
-        item_emb.select("item_id", F.col("emb").alias("i_emb")), "item_id", "left"
-    )
+    # item vectors first: they are one side of known items, and the user vectors then ride through no item shuffle
+    rows, width = vector_bounds(item_emb)
+    known = items.select("item_id").join(item_emb.select("item_id", F.col("emb").alias("i_emb")), "item_id", "left")
+    known = broadcast_within(known, rows + catalog_bounds(items)[0], row_bytes(width))
+    scored = pairs.join(known, "item_id")
+    if ratings is not pairs:  # pairs of the ratings themselves have known users only
+        scored = scored.join(ratings.select("user_id").distinct(), "user_id", "left_semi")
+    scored = scored.join(user_emb.withColumnRenamed("emb", "u_emb"), "user_id", "left")
     s = emb_score("u_emb", "i_emb")
     out = scored.select("user_id", "item_id", "rating", s.alias("score"))
     if not banded:

@@ -6,8 +6,8 @@ average rating, and the global newest items; then removes the history.  Here
 all users are recalled in one job: each user gets a list of channel *keys*
 (its history genres plus the two global keys), and one equi-join against the
 small channel table (key -> at most ``per_genre``/``top``/``latest`` items)
-produces the candidates.  The channel table is broadcast behind a checked
-row count, so the users side is never shuffled for it.
+produces the candidates.  The channel table is broadcast behind a byte
+bound, so the users side is never shuffled for it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from reelsift.functions import genre_array
 from reelsift.operators.item_features import item_profile
 from reelsift.operators.user_features import last_item
-from reelsift.plans.joins import broadcast_within
+from reelsift.plans.joins import broadcast_within, row_bytes
 
 # Recall sizes of the reference's serving side.
 PER_GENRE = 20
@@ -80,18 +80,19 @@ def channel_table(profile: DataFrame, per_genre: int = PER_GENRE, top: int = TOP
     return by_genre.unionByName(rated).unionByName(newest)
 
 
-def catalog_bounds(items: DataFrame) -> tuple[int, int]:
-    """(items, distinct genres): one small job over the items table only.
+def catalog_bounds(items: DataFrame) -> tuple[int, int, int]:
+    """(items, distinct genres, longest genre string): one small job over the items table only.
 
     They bound the sizes of the genre table (one row per item) and of the
     channel table (per_genre x genres + top + latest rows).
     """
-    exploded = items.select(F.posexplode_outer(genre_array("genres")).alias("pos", "g"))
+    exploded = items.select(F.length("genres").alias("chars"), F.posexplode_outer(genre_array("genres")).alias("pos", "g"))
     row = exploded.agg(
         F.count(F.when(F.col("pos").isNull() | (F.col("pos") == 0), 1)).alias("n_items"),  # one row per item
         F.count_distinct("g").alias("n_genres"),
+        F.coalesce(F.max("chars"), F.lit(0)).alias("chars"),
     ).first()
-    return int(row["n_items"]), int(row["n_genres"])
+    return int(row["n_items"]), int(row["n_genres"]), int(row["chars"])
 
 
 def channel_bound(n_genres: int, per_genre: int = PER_GENRE, top: int = TOP_RATED, latest: int = LATEST) -> int:
@@ -99,7 +100,7 @@ def channel_bound(n_genres: int, per_genre: int = PER_GENRE, top: int = TOP_RATE
 
 
 def user_channel_keys(ratings: DataFrame, items: DataFrame, with_global: bool = True, with_genres: bool = True,
-                      n_items: int | None = None, history: str = "last") -> DataFrame:
+                      bounds: tuple[int, int, int] | None = None, history: str = "last") -> DataFrame:
     """(user_id, history_item, key): the channel keys each user recalls from.
 
     ``history="last"``: each user's last item (the serving side keeps one per
@@ -110,9 +111,8 @@ def user_channel_keys(ratings: DataFrame, items: DataFrame, with_global: bool =
     """
     hist = last_item(ratings).withColumnRenamed("item_id", "history_item")
     genres = items.select(F.col("item_id").alias("history_item"), genre_array("genres").alias("g"))
-    if n_items is None:
-        n_items = items.count()
-    genres = broadcast_within(genres, n_items)
+    n_items, _, chars = bounds or catalog_bounds(items)
+    genres = broadcast_within(genres, n_items, row_bytes(chars=2 * chars))
     if history == "all":
         rated = ratings.select("user_id", F.col("item_id").alias("history_item")).join(genres, "history_item")
         every = rated.select("user_id", F.explode("g").alias("genre")).groupBy("user_id").agg(F.collect_set("genre").alias("g"))
@@ -130,6 +130,18 @@ def user_channel_keys(ratings: DataFrame, items: DataFrame, with_global: bool =
     return keyed.select("user_id", "history_item", F.explode(F.array_distinct(keys)).alias("key"))
 
 
+def with_seen(keys: DataFrame, ratings: DataFrame, channels: DataFrame, bound: int) -> DataFrame:
+    """``keys`` with ``seen``: the channels' items that the user has rated.
+
+    Only ratings of channel items count, and there are at most ``bound`` of
+    those, so a user's list is bounded and rides on the user's keys: the
+    candidates are filtered where they arise and never shuffled.
+    """
+    few = broadcast_within(channels.select("item_id").distinct(), bound)
+    seen = ratings.select("user_id", "item_id").join(few, "item_id", "left_semi").groupBy("user_id").agg(F.collect_set("item_id").alias("seen"))
+    return keys.join(seen, "user_id", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<bigint>")))
+
+
 def recall(
     ratings: DataFrame,
     items: DataFrame,
@@ -148,15 +160,18 @@ def recall(
     Grouping by (user_id, item_id) reuses the user_id partitioning of the
     user side, so the union de-duplication adds no shuffle.
     """
-    n_items, n_genres = catalog_bounds(items)
+    bounds = catalog_bounds(items)
     profile = item_profile(items, ratings)
-    channels = broadcast_within(channel_table(profile, per_genre, top, latest), channel_bound(n_genres, per_genre, top, latest))
-    keys = user_channel_keys(ratings, items, with_global, with_genres, n_items=n_items, history=history)
-    pairs = keys.join(channels, "key")
+    bound = channel_bound(bounds[1], per_genre, top, latest)
+    channels = broadcast_within(channel_table(profile, per_genre, top, latest), bound, row_bytes(chars=bounds[2]))
+    keys = user_channel_keys(ratings, items, with_global, with_genres, bounds=bounds, history=history)
     if remove_history and history == "all":
-        pairs = pairs.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    elif remove_history:
-        pairs = pairs.where(F.col("item_id") != F.col("history_item"))
+        keys = with_seen(keys, ratings, channels, bound)
+        pairs = keys.join(channels, "key").where(~F.array_contains("seen", F.col("item_id"))).drop("seen")
+    else:
+        pairs = keys.join(channels, "key")
+        if remove_history:
+            pairs = pairs.where(F.col("item_id") != F.col("history_item"))
     if not with_channels:
         return pairs.select("user_id", "history_item", "item_id").distinct()
     return pairs.groupBy("user_id", "history_item", "item_id").agg(F.array_sort(F.collect_set("channel")).alias("channels"))

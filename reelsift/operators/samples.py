@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,12 +89,7 @@ def split_by_time(df: DataFrame, quantile: float = 0.8, relative_error: float =
 def _split_ts(df: DataFrame, quantile: float, relative_error: float, ts_col: str) -> int:
     if relative_error > 0:
         return time_split_point(df, quantile, relative_error, ts_col).first()["split_ts"]
-    # exact: the per-timestamp counts are kept while the one number is computed, then released
-    counts = df.groupBy(F.col(ts_col).alias("v")).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
-    cum = running_totals(counts, "v", ["n"])
-    split_ts = cum.where(F.col("cum_n") >= F.lit(quantile) * F.col("total_n")).agg(F.min("v").cast("bigint")).first()[0]
-    counts.unpersist()
-    return split_ts
+    return time_split_point(df, quantile, 0.0, ts_col).first()["split_ts"]
 
 
 def split_and_save(samples: DataFrame, path: str, fraction: float = 0.1, seed: int = 42, by: str = "random",

@@ -13,6 +13,7 @@ from reelsift.plans.common import (
     ITEM_FEATURES_SQL,
     LABELLED_SQL,
     blanked_items,
+    kept_views,
     labelled,
     sql_genre_list,
     sql_genre_pieces,
@@ -159,7 +160,7 @@ _ITEM_FEAT_COLS = """user_id, item_id, rating, ts, label, release_year, genres,
 
 
 def _item_feats(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     return itf.add_item_features(smp.add_label(r), i)
 
 
@@ -177,7 +178,7 @@ _UF_OUT = """user_id, item_id, rating, ts, label,
 def _user_feats(spark, d, history):
     from reelsift.operators.training import build_samples
 
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     return build_samples(r, i, history=history)
 
 
@@ -198,7 +199,7 @@ _SAMPLE_COLS = _UF_OUT.replace("label,", "label, release_year, movie_genre1, mov
 def training_samples(spark, d):
     from reelsift.operators.training import build_samples
 
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     return build_samples(r, i)
 
 

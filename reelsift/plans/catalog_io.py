@@ -25,6 +25,7 @@ from reelsift.plans.catalog_recall import PAIRS_SQL, RECALL_CTES, SCORED_SQL, UE
 from reelsift.plans.common import (
     ITEM_FEATURES_SQL,
     LABELLED_SQL,
+    kept_views,
     sql_fmt2,
     sql_genre_list,
     sql_uniform,
@@ -343,7 +344,7 @@ def sink_kv_ttl(spark, d):
        *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def sink_recs_csv(spark, d):
     path = scratch_dir(spark) + "/recs"
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     sk.write_recommendations(rk.recommend(r, i, cv.item_emb(spark, d), k=5, rounded=True), path)
     return spark.read.schema("user_id bigint, item_id bigint, score double").csv(path)
 
@@ -353,7 +354,7 @@ def sink_recs_csv(spark, d):
        UEMB_SQL, PAIRS_SQL)
 def sink_scored_pairs(spark, d):
     path = scratch_dir(spark) + "/pairs"
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     ie = cv.item_emb(spark, d)
     sk.write_scored_pairs(rk.score_pairs(r, r, i, emb.user_embeddings(r, ie), ie), path)
     return spark.read.schema("user_id bigint, item_id bigint, rating double, score double").csv(path)

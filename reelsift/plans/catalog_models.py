@@ -13,7 +13,7 @@ from reelsift.operators.item_features import item_profile
 from reelsift.operators.recall import top_items
 from reelsift.operators.user_features import last_item
 from reelsift.plans.catalog_recall import PROFILE_SQL, UEMB_SQL, sql_cos100
-from reelsift.plans.common import BLANKED_ITEMS_SQL, blanked_items, sql_genre_pieces, sql_uniform, views
+from reelsift.plans.common import BLANKED_ITEMS_SQL, blanked_items, kept_views, sql_genre_pieces, sql_uniform
 from reelsift.plans.registry import query
 from reelsift.session import written
 from reelsift.sources import canonical as cv
@@ -64,7 +64,7 @@ _SPLITS_SQL = """splits AS (
        "SELECT item_id, rating_count, CAST(len(list_filter(qs, lambda s: s <= rating_count)) AS DOUBLE) AS bucket FROM stats JOIN splits ON true",
        _STATS_SQL, _SPLITS_SQL)
 def quantile_buckets(spark, d):
-    st = cv.ratings(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("rating_count"))
+    st = written(cv.ratings(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("rating_count")))
     return encode.quantile_bucket(st, "rating_count", 100, "bucket").select("item_id", "rating_count", "bucket")
 
 
@@ -116,7 +116,7 @@ pool_scores AS (
 
 
 def _recall_by_embedding(spark, d, descending):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     ie = cv.item_emb(spark, d)
     pool = top_items(item_profile(i, r), 10000, "rating").select("item_id").join(ie, "item_id", "left")
     seeds = last_item(r).join(ie, "item_id").select(F.col("user_id").alias("seed_id"), F.col("emb").alias("vec"))
@@ -155,7 +155,7 @@ knn AS (
           WHERE rank <= 5""",
        UEMB_SQL, _KNN_SQL)
 def knn_exact(spark, d):
-    r = cv.ratings(spark, d)
+    r = written(cv.ratings(spark, d))
     ie = cv.item_emb(spark, d)
     ue = emb.user_embeddings(r, ie, dim=emb.embedding_dim(ie))
     out = neighbors.exact_top_k(spark, ue.select(F.col("user_id").alias("seed_id"), F.col("emb").alias("vec")),
@@ -231,7 +231,7 @@ test AS (SELECT * FROM parts WHERE NOT is_train)"""
 
 
 def _als(spark, d):
-    train, test = smp.random_split(cv.ratings(spark, d), 0.8, SEED)
+    train, test = smp.random_split(written(cv.ratings(spark, d)), 0.8, SEED)
     return cf.train_als(train, seed=SEED), train, test
 
 
@@ -383,6 +383,6 @@ point AS (SELECT min(ts) AS split_ts FROM (SELECT ts, cume_dist() OVER (ORDER BY
        "SELECT user_id, item_id, CASE WHEN ts <= split_ts THEN 'train' ELSE 'test' END AS part FROM ratings JOIN point ON true",
        _TSPLIT_SQL)
 def split_by_time(spark, d):
-    tr, te, _ = smp.split_by_time(cv.ratings(spark, d), 0.8, 0.0)
+    tr, te, _ = smp.split_by_time(written(cv.ratings(spark, d)), 0.8, 0.0)
     return tr.select("user_id", "item_id", F.lit("train").alias("part")).unionByName(
         te.select("user_id", "item_id", F.lit("test").alias("part")))

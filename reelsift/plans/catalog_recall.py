@@ -9,7 +9,7 @@ from reelsift.operators import embedding as emb
 from reelsift.operators import rank as rk
 from reelsift.operators import recall as rc
 from reelsift.operators.item_features import item_profile
-from reelsift.plans.common import sql_genre_list, sql_uniform, sql_year, views
+from reelsift.plans.common import kept_views, sql_genre_list, sql_uniform, sql_year
 from reelsift.plans.registry import query
 from reelsift.sources import canonical as cv
 
@@ -65,7 +65,7 @@ RECALL_CTES = (PROFILE_SQL, CHANNELS_SQL, UKEYS_SQL)
 
 
 def _recall(spark, d, **kw):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     return rc.recall(r, i, **kw)
 
 
@@ -77,7 +77,7 @@ def _chan(c="channels"):
        "SELECT item_id, round(average_rating, 6) AS average_rating, row_number() OVER (ORDER BY average_rating DESC, item_id) AS top_rank FROM profile ORDER BY average_rating DESC, item_id LIMIT 100",
        PROFILE_SQL)
 def top_items_by_rating(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     return rc.top_items(item_profile(i, r), 100, "rating").select("item_id", "average_rating", "top_rank")
 
 
@@ -85,13 +85,13 @@ def top_items_by_rating(spark, d):
        "SELECT item_id, release_year, row_number() OVER (ORDER BY release_year DESC, item_id) AS top_rank FROM profile ORDER BY release_year DESC, item_id LIMIT 100",
        PROFILE_SQL)
 def top_items_by_year(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     return rc.top_items(item_profile(i, r), 100, "releaseYear").select("item_id", "release_year", "top_rank")
 
 
 @query("top_items_per_genre", "SELECT genre, item_id, genre_rank FROM genre_top", PROFILE_SQL, CHANNELS_SQL)
 def top_items_per_genre(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     return rc.top_items_per_genre(item_profile(i, r), 20).select("genre", "item_id", "genre_rank")
 
 
@@ -153,7 +153,7 @@ pairs AS (
 
 
 def _pair_frames(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     ie = cv.item_emb(spark, d)
     ue = emb.user_embeddings(r, ie)
     return r, i, ie, ue
@@ -219,20 +219,20 @@ def rank_users_embedding(spark, d):
           FROM cands""",
        *RECALL_CTES)
 def rank_users_positional(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     c = rc.recall(r, i).select("user_id", "item_id")
     return rk.rank_for_users(c, None, None, "positional").select("user_id", "item_id", "score", "rank")
 
 
 @query("recommend_top5", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked WHERE rank <= 5", *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def recommend_top5(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     return rk.recommend(r, i, cv.item_emb(spark, d), k=5, rounded=True)
 
 
 @query("recommend_all_users", "SELECT user_id, item_id, round(score, 6) AS score, rank FROM ranked WHERE rank <= 5", *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def recommend_all_users(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     users = r.select("user_id").distinct()
     recs = rk.recommend(r, i, cv.item_emb(spark, d), k=5, rounded=True)
     return recs.join(users, "user_id", "left_semi")
@@ -249,7 +249,7 @@ def _fallback_sql() -> str:
 
 @query("recommend_with_fallback", _fallback_sql(), *RECALL_CTES, UEMB_SQL, SCORED_SQL)
 def recommend_with_fallback(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     return rk.recommend(r, i, cv.item_emb(spark, d), k=5, fallback=True, seed=0, rounded=True).select("user_id", "item_id", "score", "is_fallback", "rank")
 
 
@@ -261,7 +261,7 @@ item_scored AS (
 
 @query("item_item_scores", "SELECT user_id, item_id, round(score, 6) AS score FROM item_scored", *RECALL_CTES, _ITEM_PAIR_SQL)
 def item_item_scores(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     c = rc.recall(r, i, with_channels=False)
     return rk.rank_items(c, i, r, cv.item_emb(spark, d), "embedding").select("user_id", "item_id", "score")
 
@@ -271,7 +271,7 @@ def item_item_scores(spark, d):
                  row_number() OVER (PARTITION BY user_id ORDER BY round(score, 6) DESC, item_id) AS rank FROM item_scored""",
        *RECALL_CTES, _ITEM_PAIR_SQL)
 def rank_items_embedding(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     c = rc.recall(r, i, with_channels=False)
     return rk.rank_items(c, i, r, cv.item_emb(spark, d), "embedding", rounded=True).select("user_id", "item_id", "score", "rank")
 
@@ -291,7 +291,7 @@ content AS (
                  row_number() OVER (PARTITION BY user_id ORDER BY round(score, 6) DESC, item_id) AS rank FROM content""",
        *RECALL_CTES, _CONTENT_SQL)
 def rank_items_content(spark, d):
-    r, i = views(spark, d)
+    r, i = kept_views(spark, d)
     c = rc.recall(r, i, with_channels=False)
     return rk.rank_items(c, i, r, cv.item_emb(spark, d), "content", rounded=True).select("user_id", "item_id", "score", "rank")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelsift.operators.samples import add_label
+from reelsift.session import written
 from reelsift.sources import canonical as cv
 
 
@@ -13,6 +14,12 @@ def views(spark: SparkSession, sf_dir: str):
     return cv.ratings(spark, sf_dir), cv.items(spark, sf_dir)
 
 
+def kept_views(spark: SparkSession, sf_dir: str):
+    """``views`` for queries that use the ratings more than once: derived from lineitem and orders once, written to the
+    shared checkpoint folder and read from there."""
+    return written(cv.ratings(spark, sf_dir)), cv.items(spark, sf_dir)
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_label(cv.ratings(spark, sf_dir))
 

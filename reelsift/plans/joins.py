@@ -1,37 +1,27 @@
-"""Join helpers: broadcast only behind a size check, with a shuffle join beyond it.
-
-``broadcast_within`` takes a proven upper bound on the small side's rows that
-the caller computed from cheap inputs (e.g. channel table <= 20 x genres +
-200 rows, from an items-only count) and never evaluates the frame itself.
-``checked_broadcast`` is the fallback when no such bound exists: it persists
-the small side and counts it.  Beyond the limit both return the frame as is
-and Spark plans a shuffle join (AQE may still convert it at run time from the
-measured shuffle size, and splits skewed partitions).
+"""Join helper: broadcast only behind a byte bound, with a shuffle join beyond it.
+
+The caller gives a proven upper bound on the small side's rows, computed from
+cheap inputs (e.g. channel table <= 20 x genres + 200 rows, from an items-only
+count), and the bytes of a row (a vector counts 8 bytes a number).  Beyond the
+limit the frame is returned as it is and Spark plans a shuffle join (AQE may
+still convert it at run time from the measured size, and splits skewed
+partitions).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we broadcast on a checked row count (rows, not bytes: every
-# caller passes narrow frames, a few ids and at most one vector per row).
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 << 20
+ID_ROW_BYTES = 64  # a few ids and short keys
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    small = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if small.count() <= max_rows:
-        return F.broadcast(small)
-    return small
+def row_bytes(numbers: int = 0, chars: int = 0) -> int:
+    """Bytes of a row with a vector of ``numbers`` doubles and ``chars`` characters of text, beside its ids."""
+    return ID_ROW_BYTES + 8 * numbers + 4 * chars
 
 
-def broadcast_within(df: DataFrame, bound_rows: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when ``bound_rows`` -- a proven upper bound on its row
-    count, computed by the caller from cheap inputs -- is within ``max_rows``.
-
-    Unlike ``checked_broadcast`` this never evaluates ``df`` itself, so a
-    small frame derived from big data costs no extra pass.
-    """
-    return F.broadcast(df) if bound_rows <= max_rows else df
+def broadcast_within(df: DataFrame, bound_rows: int, per_row: int = ID_ROW_BYTES, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast ``df`` when ``bound_rows`` x ``per_row`` bytes is within the limit; ``df`` is never evaluated for it."""
+    return F.broadcast(df) if bound_rows * per_row <= (MAX_BROADCAST_BYTES if max_bytes is None else max_bytes) else df

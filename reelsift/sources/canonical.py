@@ -6,9 +6,9 @@ links(item_id, imdb_id, tmdb_id)
 item_emb(item_id, emb ARRAY<FLOAT>)
 
 Only the columns each view needs are read, so parquet scans get a pruned
-ReadSchema.  The ratings de-duplication is an aggregate (max of a struct)
-rather than a window, so it combines map-side and a hot (user, item) key never
-lands in one sort.
+ReadSchema.  The ratings de-duplication is a hash aggregate (max of a packed
+number) rather than a window, so it combines map-side and a hot (user, item)
+key never lands in one sort.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ ITEM_NO_YEAR_MOD = 97  # titles without a year
 ITEM_MISSING_MOD = 101  # rated items without an item row
 LINK_MISSING_MOD = 53  # items without a links row
 EPOCH_DAY_SECONDS = 86400
+ORDER_DIGITS = 13  # digits of an order key; a longer one is an error, not another result
+LINE_UNIT = 1000  # line number x 1000 + half stars
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,16 +33,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    latest = (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
-        .agg(F.max(F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_quantity")).alias("m"))
-    )
+    day = epoch_day(F.col("l_shipdate"), li.schema["l_shipdate"].dataType)
+    steps = F.ceil(F.col("l_quantity") / 5)  # the rating in half stars
+    # (day, order, line) in one number with the rating in its last digits: the latest row is a plain maximum, which
+    # hashes and combines map-side (a struct's maximum would sort)
+    packed = (
+        day.cast("decimal(7,0)") * F.lit(str(10**ORDER_DIGITS)).cast("decimal(14,0)") + F.col("l_orderkey").cast(f"decimal({ORDER_DIGITS},0)")
+    ).cast("decimal(22,0)") * F.lit(LINE_UNIT * 1000).cast("decimal(7,0)") + (F.col("l_linenumber") * LINE_UNIT + steps).cast("decimal(7,0)")
+    latest = li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")).agg(F.max(packed).alias("m"))
+    first_day = F.floor(F.col("m") / F.lit(str(10 ** (ORDER_DIGITS + 6))).cast("decimal(20,0)"))
     return latest.select(
         "user_id",
         "item_id",
-        (F.ceil(F.col("m.l_quantity") / 5) * 0.5).cast("double").alias("rating"),
-        (epoch_day(F.col("m.l_shipdate"), li.schema["l_shipdate"].dataType) * EPOCH_DAY_SECONDS).alias("ts"),
+        ((F.col("m") % LINE_UNIT).cast("bigint") * 0.5).alias("rating"),
+        (first_day.cast("bigint") * EPOCH_DAY_SECONDS).alias("ts"),
     )
 
 

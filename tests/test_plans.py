@@ -53,3 +53,62 @@ def test_scans_read_only_needed_columns(spark):
     assert lineitem and all(len(s.split(",")) == 5 for s in lineitem)
     orders = [s for s in schemas if "o_custkey" in s]
     assert orders and all(len(s.split(",")) == 2 for s in orders)
+
+
+def _frames(spark):
+    from reelsift.sources import canonical as cv
+
+    d = "/root/testdata/sf0.001"
+    return cv.ratings(spark, d), cv.items(spark, d), cv.item_emb(spark, d)
+
+
+def _executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_queries_derive_the_ratings_once(spark):
+    import __spark_entry__ as e
+
+    for name in ("recommend_top5", "pair_scores_banded", "training_samples", "recall_history_all"):
+        df = e.queries()[name](spark, "/root/testdata/sf0.001")
+        plan = _executed(df)
+        assert plan.count("lineitem") <= 1 and plan.count("orders.parquet") <= 1, name
+
+
+def test_broadcasts_follow_bytes_and_rows_stay_equal(spark, monkeypatch):
+    from reelsift.operators import rank, recall
+    from reelsift.plans import joins
+
+    r, i, e = _frames(spark)
+
+    def run():
+        frames = [
+            recall.recall(r, i, with_channels=False),
+            recall.recall(r, i, with_channels=False, history="all"),
+            rank.recommend(r, i, e, rounded=True),
+            rank.rank_items(recall.recall(r, i, with_channels=False), i, r, e, rounded=True),
+        ]
+        places = lambda r: tuple(round(x, 6) if isinstance(x, float) else x for x in r)  # noqa: E731  sums differ in the last bits
+        return [sorted(map(places, f.collect())) for f in frames], [_executed(f) for f in frames]
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small, plans = run()
+        assert all("BroadcastHashJoin" in p for p in plans)
+        monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 0)
+        large, plans = run()
+        assert not any("BroadcastHashJoin" in p for p in plans)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert small == large
+
+
+def test_whole_history_is_filtered_without_an_anti_join(spark):
+    from reelsift.operators import recall
+
+    r, i, _ = _frames(spark)
+    df = recall.recall(r, i, with_channels=False, history="all")
+    plan = _executed(df)
+    assert "LeftAnti" not in plan and "array_contains" in plan
+    rated = {(x.user_id, x.item_id) for x in r.collect()}
+    assert not any((x.user_id, x.item_id) in rated for x in df.collect())
