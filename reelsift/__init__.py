@@ -6,6 +6,14 @@ trained models use Spark ML estimators.  The most used entry points are
 re-exported here; see README.md for the module map.
 """
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# functions that run in Python workers travel with their code: executors need no copy of this package on their path
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
+
 from reelsift.operators.cf import cross_validate_als, predict, train_als  # noqa: F401
 from reelsift.operators.embedding import item_sequences, train_item2vec, user_embeddings  # noqa: F401
 from reelsift.operators.encode import minmax, multi_hot, one_hot, quantile_bucket, rating_features  # noqa: F401
