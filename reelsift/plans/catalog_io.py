@@ -21,7 +21,7 @@ from reelsift.plans.catalog_features import (
     _user_feats,
     training_samples,
 )
-from reelsift.plans.catalog_recall import PAIRS_SQL, RECALL_CTES, SCORED_SQL, UEMB_SQL, sql_cos100
+from reelsift.plans.catalog_recall import PAIRS_SQL, RECALL_CTES, SCORED_SQL, UEMB_SQL, _fallback_sql, sql_cos100
 from reelsift.plans.common import (
     ITEM_FEATURES_SQL,
     LABELLED_SQL,
@@ -486,3 +486,16 @@ def join_known_user_emb(spark, d):
 def join_known_ratings(spark, d):
     r, i = views(spark, d)
     return r.join(i.select("item_id"), "item_id").select("user_id", "item_id", "rating")
+
+
+@query("job_files_to_recs", _fallback_sql(), *RECALL_CTES, UEMB_SQL, SCORED_SQL)
+def job_files_to_recs(spark, d):
+    """Ratings, items and two vector files (the second a later version of some ids) to everybody's recommendations."""
+    from reelsift.plans.jobs import files_to_recommendations
+
+    base, ie = scratch_dir(spark), cv.item_emb(spark, d)
+    old = ie.withColumn("emb", F.when(F.col("item_id") % 2 == 0, F.reverse("emb")).otherwise(F.col("emb")))
+    sk.write_embeddings(old, base + "/a", "item_id")
+    sk.write_embeddings(ie.where(F.col("item_id") % 2 == 0), base + "/b", "item_id")
+    recs = files_to_recommendations(spark, _ratings_csv(spark, d), _items_csv(spark, d), [base + "/a", base + "/b"], base + "/recs", rounded=True)
+    return recs.select("user_id", "item_id", "score", "is_fallback", "rank")

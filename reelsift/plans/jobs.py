@@ -9,7 +9,8 @@ the job back to the raw tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelsift.operators import cf, evaluate, samples
 from reelsift.operators import embedding as emb
@@ -17,9 +18,10 @@ from reelsift.operators.item_features import latest_item_features
 from reelsift.operators.rank import recommend, score_pairs
 from reelsift.operators.training import build_samples
 from reelsift.operators.user_features import latest_user_features
-from reelsift.session import checkpoint_base
+from reelsift.session import checkpoint_base, written
 from reelsift.sinks import files as sk
 from reelsift.sinks import kv as skv
+from reelsift.sources import files as src
 
 
 def feature_job(ratings: DataFrame, items: DataFrame, out_dir: str, by: str = "random", seed: int = 42,
@@ -40,6 +42,24 @@ def recommendation_job(ratings: DataFrame, items: DataFrame, item_emb: DataFrame
     return sk.write_recommendations(recommend(ratings, items, item_emb, k=k, fallback=fallback, seed=seed), out_path)
 
 
+def files_to_recommendations(spark: SparkSession, ratings_path: str, items_path: str, item_emb_paths: list[str], out_path: str | None = None,
+                             k: int = 5, fallback: bool = True, seed: int = 0, rounded: bool = False) -> DataFrame:
+    """Strict file loads -> recommendations for every user [-> lines].
+
+    Later vector files win; lines that the strict loaders refuse are skipped.
+    The ratings are parsed once and kept in the shared checkpoint folder.
+    """
+    ratings = written(src.load_ratings_strict(spark, ratings_path).withColumn("rating", F.col("rating").cast("double")))
+    items = written(src.load_items_strict(spark, items_path))
+    year = F.when(F.col("release_year") != 0, F.concat(F.lit(" ("), F.col("release_year").cast("string"), F.lit(")"))).otherwise(F.lit(""))
+    items = items.select("item_id", F.concat("title", year).alias("title"), "genres")
+    item_emb = written(src.read_embeddings_multi(spark, item_emb_paths))
+    recs = written(recommend(ratings, items, item_emb, k=k, fallback=fallback, seed=seed, rounded=rounded, dim=emb.embedding_dim(item_emb)))
+    if out_path is not None:
+        sk.write_recommendations(recs, out_path)
+    return recs
+
+
 def scoring_job(pairs: DataFrame, ratings: DataFrame, items: DataFrame, item_emb: DataFrame, out_path: str,
                 user_emb: DataFrame | None = None, seed: int = 0) -> str:
     """Hold-out pairs scored by user/item vector cosine, banded fallback for negative scores, written as CSV."""
