@@ -375,6 +375,22 @@ def sample_split_job(spark, d):
     return rd(tr, "train").unionByName(rd(te, "test"))
 
 
+@query("sample_split_job_time",
+       f"""SELECT part, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM (
+             SELECT ts, CASE WHEN ts <= (SELECT min(ts) FROM (SELECT ts, cume_dist() OVER (ORDER BY ts) AS cd FROM picked) c WHERE cd >= 0.8)
+                             THEN 'train' ELSE 'test' END AS part FROM picked) x
+           GROUP BY part""",
+       *_FEATS, f"picked AS (SELECT * FROM user_feats WHERE {sql_uniform(['user_id', 'item_id'], 42)} < 0.1)")
+def sample_split_job_time(spark, d):
+    from reelsift.operators.samples import split_and_save
+
+    s = training_samples(spark, d)
+    tr, te = split_and_save(s, scratch_dir(spark), fraction=0.1, seed=42, by="time", relative_error=0.0)
+    rd = lambda p, name: spark.read.schema(s.schema).option("header", True).csv(p).agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")).select(F.lit(name).alias("part"), "n", "first_ts", "last_ts")
+    return rd(tr, "train").unionByName(rd(te, "test"))
+
+
 # ---- projections --------------------------------------------------------------
 
 @query("release_year", f"SELECT item_id, {sql_year('title')} AS release_year FROM items")

@@ -386,3 +386,15 @@ def split_by_time(spark, d):
     tr, te, _ = smp.split_by_time(written(cv.ratings(spark, d)), 0.8, 0.0)
     return tr.select("user_id", "item_id", F.lit("train").alias("part")).unionByName(
         te.select("user_id", "item_id", F.lit("test").alias("part")))
+
+
+@query("split_by_time_approx", "SELECT true AS whole, true AS ordered, true AS within_error")
+def split_by_time_approx(spark, d):
+    """The default split point (a sketch of error 0.05): complete, in time order, its share of training rows near 0.8."""
+    r = written(cv.ratings(spark, d))
+    tr, te, _ = smp.split_by_time(r)
+    a, b = tr.agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("hi")), te.agg(F.count(F.lit(1)).alias("m"), F.min("ts").alias("lo"))
+    n, m, hi, lo = (a.crossJoin(b)).select("n", "m", "hi", "lo").first()  # one row each
+    ties = r.where(F.col("ts") == hi).count()  # rows of the split's own time all go to training
+    share = n / (n + m)
+    return spark.createDataFrame([(n + m == r.count(), hi < lo, 0.75 <= share <= 0.85 + ties / (n + m))], "whole boolean, ordered boolean, within_error boolean")
