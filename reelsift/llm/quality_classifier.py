@@ -13,10 +13,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsift.llm.subword import BUCKETS, Bags, Model, bags, labelled_sample, sigmoid
+from reelsift.llm.subword import BUCKETS, SLICE, Bags, Model, bags, labelled_sample, sigmoid
 from reelsift.llm.textkit import mix, shingles, slices
 
-PER_CLASS = 2_000  # labelled texts of each class to learn from
+PER_CLASS = 1_500  # labelled texts of each class to learn from
 MOST_CHARS = 200_000  # longer texts are scored, but not learnt from
 DIM = 8
 EPOCHS = 6
@@ -105,7 +105,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
     folded, bias = train(*labelled_sample(docs, labels, "quality", per_class, MOST_CHARS, SEED))
     folded = folded.astype(np.float32)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             s = score_texts(b.column("text"), folded, bias)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -119,7 +119,7 @@ def accepted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, thr
     folded = folded.astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             yield b.filter(pa.array(score_texts(b.column("text"), folded, bias) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

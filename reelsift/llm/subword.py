@@ -1,7 +1,7 @@
 """Subword vectors: hashed features of words, documents as averages of them, and training in numpy.
 
-A word's features are the word itself and its character n-grams (3 to 5, with edge marks), hashed into one table of
-learned vectors; its vector is their mean.  A linear softmax over two classes reads an average of word vectors.  For
+A word's features are the word itself and its character n-grams (with edge marks), hashed into one table of learned
+vectors; its vector is their mean.  A linear softmax over two classes reads an average of word vectors.  For
 scoring, table and softmax fold into one number a feature (the difference of the two logits), so a model is 1 MB and a
 batch of texts costs one pass over its different words.
 """
@@ -16,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelsift.llm.sampling import smallest
 from reelsift.llm.textkit import hash_spans, mix, words
 
 BUCKETS = 1 << 18
+SLICE = 1 << 20  # text bytes scored at once
 NGRAMS = (3, 4, 5)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -41,13 +43,13 @@ class Bags:
         return np.add.reduceat(value[self.feature].astype(np.float64), self.at[:-1]) / np.diff(self.at)
 
 
-def bags(texts: pa.Array, lower: bool, buckets: int = BUCKETS) -> Bags:
+def bags(texts: pa.Array, lower: bool, buckets: int = BUCKETS, ngrams: tuple[int, ...] = NGRAMS) -> Bags:
     w = words(texts)
     h = hash_spans(w, lower)
     code, hashes = pd.factorize(h)
     first = np.empty(len(hashes), np.int64)
     first[code[::-1]] = np.arange(len(h))[::-1]
-    feature, at = word_features(w.data, w.start[first], w.end[first], hashes.astype(np.uint64), lower, buckets)
+    feature, at = word_features(w.data, w.start[first], w.end[first], hashes.astype(np.uint64), lower, buckets, ngrams)
     return Bags(w.off, code, feature, at, hashes, h)
 
 
@@ -61,10 +63,10 @@ def without_runs(b: Bags) -> Bags:
     return Bags(off, b.code[keep], b.feature, b.at, b.hashes, b.word_hash[keep])
 
 
-def word_features(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray, lower: bool, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def word_features(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray, lower: bool, buckets: int, ngrams: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Feature buckets of each word, flat, with offsets: the word, then its n-grams of characters."""
     if not len(start):
-        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
     n = end - start
     room = np.concatenate([[0], np.cumsum(n + 2)])
     flat = np.full(room[-1], 0x3C, np.uint8)  # <word>
@@ -82,19 +84,19 @@ def word_features(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes:
     found, whose = [hashes], [np.arange(len(length))]
     acc = np.zeros(len(point), np.uint64)
     place = np.arange(len(point))
-    for k in range(1, max(NGRAMS) + 1):
+    for k in range(1, max(ngrams) + 1):
         m = len(point) - k + 1
         if m <= 0:
             break
         acc = mix(acc[:m] * _SPREAD + point[k - 1 :])
-        if k in NGRAMS:
+        if k in ngrams:
             inside = place[:m] + k <= last[:m]
             found.append(acc[inside] + np.uint64(k))
             whose.append(owner[:m][inside])
     whose, found = np.concatenate(whose), np.concatenate(found)
     order = np.argsort(whose, kind="stable")
     counts = np.bincount(whose, minlength=len(length))
-    return (found[order] % np.uint64(buckets)).astype(np.int64), np.concatenate([[0], np.cumsum(counts)])
+    return (found[order] % np.uint64(buckets)).astype(np.int32), np.concatenate([[0], np.cumsum(counts)])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int, seed: int) -> tuple[list[str], np.ndarray]:
@@ -104,7 +106,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     known = known.groupBy("doc_id").agg(F.min(label).alias("label"))
     order = F.xxhash64("doc_id", F.lit(seed))
-    ids = known.where("label = 0").orderBy(order).limit(per_class).unionByName(known.where("label = 1").orderBy(order).limit(per_class))
+    ids = smallest(known.where("label = 0"), order, per_class).unionByName(smallest(known.where("label = 1"), order, per_class))
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where(F.length(F.coalesce("text", F.lit(""))) <= most_chars)
     rows = sorted((r["doc_id"], r["text"] or "", r["label"]) for r in rows.limit(4 * per_class).collect())
     return [r[1] for r in rows], np.array([r[2] for r in rows], np.int64)
