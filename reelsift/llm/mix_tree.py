@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelsift.llm.numbering import totals_before
 from reelsift.llm.scratch import written
 from reelsift.llm.textkit import slices, words
 
@@ -87,8 +88,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     base = sized.join(per, F.col("source").eqNullSafe(F.col("src"))).drop("src").withColumn("block", F.pmod(order, F.col("blocks")))
     base = base.withColumn("w", F.col("size") * F.col("rows"))
     block = base.groupBy("source", "block").agg(F.sum("w").alias("bw"), F.first("extra").alias("extra"), F.first("full").alias("full"), F.first("blocks").alias("blocks"))
-    upto = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    block = written(block.withColumn("at", F.coalesce(F.sum("bw").over(upto), F.lit(0))))
+    block = written(totals_before(block, "source", "block", "bw"))
     again = {r["source"]: r["m"] for r in block.where("at < extra").groupBy("source").agg((F.max("block") + 1).alias("m")).collect()}
 
     draws = np.array([i[3] * i[5] + again.get(i[0], 0) for i in info], np.int64)

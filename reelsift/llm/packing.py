@@ -15,9 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelsift.llm.numbering import totals_before
 from reelsift.llm.scratch import written
 from reelsift.llm.textkit import slices
 
@@ -29,7 +30,6 @@ BLOCK_TOKENS = 1 << 14
 MOST_BLOCKS = 200_000
 END = 0
 
-_ENCODERS: dict = {}
 
 
 def vocabulary() -> str:
@@ -41,14 +41,16 @@ def vocabulary() -> str:
 
 def encoder(path: str | None = None):
     """Byte-level BPE of a ranks file; its ids equal those of the same vocabulary's JSON (tested)."""
-    if path not in _ENCODERS:
-        import public_tokenizers
-        import tiktoken
+    import public_tokenizers
+    import tiktoken
 
+    # kept with the library, which stays loaded in a worker: this module's own state arrives anew with each task
+    kept = tiktoken.__dict__.setdefault("_encodings_by_ranks_file", {})
+    if path not in kept:
         with open(path or vocabulary(), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        _ENCODERS[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODERS[path]
+        kept[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return kept[path]
 
 
 def _tokens(path: str | None, end: int):
@@ -168,9 +170,8 @@ def packed(docs: DataFrame, path: str | None = None, length: int = LENGTH, windo
     per = F.broadcast(per) if per.count() <= 100_000 else per
     dealt = tokens.withColumn("h", h).join(per, F.col("source").eqNullSafe(F.col("s"))).withColumn("block", F.pmod("h", F.col("blocks")))
     block = dealt.groupBy("source", "block", "total").agg(F.sum("n").alias("w"))
-    upto = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    middle = F.coalesce(F.sum("w").over(upto), F.lit(0)) + F.col("w") / 2
-    block = written(block.withColumn("part", F.least(F.lit(parts - 1), F.floor(middle / F.col("total") * parts)).cast("int")))
+    middle = F.col("at") + F.col("w") / 2
+    block = written(totals_before(block, "source", "block", "w").withColumn("part", F.least(F.lit(parts - 1), F.floor(middle / F.col("total") * parts)).cast("int")))
     sums = sorted(block.groupBy("part").agg(F.sum("w").alias("w")).collect())  # MOST_PARTS rows at most
     first, starts = 0, []
     for r in sums:
