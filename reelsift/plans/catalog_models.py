@@ -19,6 +19,7 @@ from reelsift.session import written
 from reelsift.sources import canonical as cv
 
 SEED = 42
+W2V_PARTITIONS = 8  # models averaged an iteration; what is checked does not depend on it
 
 # ---- encoders ---------------------------------------------------------------
 
@@ -197,14 +198,14 @@ def ann_lsh(spark, d):
 @query("item2vec_vocab",
        "SELECT item_id, CAST(10 AS BIGINT) AS dim FROM ratings WHERE rating >= 3.5 GROUP BY item_id HAVING count(*) >= 5")
 def item2vec_vocab(spark, d):
-    model = emb.train_item2vec(emb.item_sequences(cv.ratings(spark, d)), seed=SEED)
+    model = emb.train_item2vec(emb.item_sequences(cv.ratings(spark, d)), seed=SEED, partitions=W2V_PARTITIONS)
     return emb.item_vectors(model).select("item_id", F.size("emb").alias("dim"))
 
 
 @query("synonyms_w2v", "SELECT CAST(unnest(range(1, 21)) AS BIGINT) AS rank, true AS is_cosine, true AS is_best")
 def synonyms_w2v(spark, d):
     r = cv.ratings(spark, d)
-    model = emb.train_item2vec(emb.item_sequences(r), seed=SEED)
+    model = emb.train_item2vec(emb.item_sequences(r), seed=SEED, partitions=W2V_PARTITIONS)
     # seed item: the most liked item (ties: smallest id), taken from the data
     top = smp.filter_positive(r).groupBy("item_id").count().orderBy(F.col("count").desc(), "item_id").first()["item_id"]
     found = emb.synonyms(model, top, 20).withColumn("rank", F.row_number().over(Window.orderBy(F.col("similarity").desc())))
@@ -218,7 +219,7 @@ def synonyms_w2v(spark, d):
 
 @query("embedding_job", "SELECT DISTINCT user_id, CAST(10 AS BIGINT) AS dim FROM ratings")
 def embedding_job(spark, d):
-    _, uv, _ = emb.embedding_job(cv.ratings(spark, d), seed=SEED)
+    _, uv, _ = emb.embedding_job(cv.ratings(spark, d), seed=SEED, partitions=W2V_PARTITIONS)
     return uv.select("user_id", F.size("emb").alias("dim"))
 
 
