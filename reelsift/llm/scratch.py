@@ -1,15 +1,6 @@
-"""Tables written to the cluster's shared checkpoint folder: they cut lineage and survive a lost executor."""
+"""Tables written to the cluster's shared checkpoint folder: they cut lineage, survive a lost executor, and carry no
+partitioning over, so later joins shuffle both sides and AQE can split a hot key."""
 
-from __future__ import annotations
+from reelsift.session import written
 
-from pyspark.sql import DataFrame
-
-from reelsift.session import scratch_dir
-
-
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written once as Parquet under ``spark.checkpoint.dir`` and read back (no partitioning carried over, so
-    later joins shuffle both sides and AQE can split a hot key)."""
-    path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["written"]
