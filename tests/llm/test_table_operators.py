@@ -49,6 +49,48 @@ def test_equal_texts_share_a_shard(spark):
     assert len(where["hot"]) <= 5  # 1500 copies, 450 rows a shard
 
 
+def shards_of(got, text):
+    where = {}
+    for r in got:
+        where.setdefault(text[r.doc_id], set()).add(r.shard)
+    return where
+
+
+def test_large_groups_keep_together_among_small_ones(spark):
+    """A third of the rows is one text, the others are groups of two to 80 rows: no room is left by itself."""
+    rows = [(i, "hot") for i in range(4000)]
+    while len(rows) < 12_000:
+        n = min(12_000 - len(rows), (2, 7, 30, 80)[len(rows) % 4])
+        rows += [(len(rows) + i, f"group {len(rows)}") for i in range(n)]
+    got = label_propagation.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 40).collect()
+    check_shards(got, rows, 40)
+    where = shards_of(got, dict(rows))
+    assert len(where["hot"]) == 14  # 300 rows a shard: 13 whole shards and a rest
+    cut = {t: len(s) for t, s in where.items() if len(s) > 1 and t != "hot"}
+    assert len(cut) < 40 and sum(cut.values()) - len(cut) <= 40  # each cut fills a shard
+
+
+def test_copies_of_one_id_over_a_quota(spark):
+    rows = [(None, "same")] * 500 + [(i, f"text {i}") for i in range(500)]
+    got = label_propagation.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 10).collect()
+    check_shards(got, rows, 10)
+    assert len({r.shard for r in got if r.doc_id is None}) == 5
+
+
+def test_rounds_go_on_until_nothing_fits(spark, monkeypatch):
+    monkeypatch.setattr(label_propagation, "HUBS_PER_SHARD", 2)
+    rows = [(i, f"pair {i // 2}") for i in range(4000)]
+    got = label_propagation.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 8).collect()
+    check_shards(got, rows, 8)
+    assert all(len(s) == 1 for s in shards_of(got, dict(rows)).values()) and all(r.linked for r in got)
+
+
+def test_place_cuts_only_what_fits_nowhere():
+    free = [10, 10, 10]
+    assert label_propagation.place([(1, 14, {2: 9}), (2, 9, {2: 5}), (3, 3, {})], free) == {1: [(10, 2), (4, 1)], 2: [(9, 0)], 3: [(3, 1)]}
+    assert free == [1, 3, 0]
+
+
 def slow_targets(sizes, weights):
     left, capped = 1.5 * sum(sizes), {}
     while True:
