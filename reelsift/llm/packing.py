@@ -10,6 +10,8 @@ last tokens of a partition form sequences of descending powers of two, without p
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -39,17 +41,32 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Added tokens of the vocabulary's JSON beside a ranks file, none without a JSON.  ``tokenizers`` finds them inside
+    texts too."""
+    beside = f"{os.path.splitext(path)[0]}.json"
+    if not os.path.exists(beside):
+        return {}
+    with open(beside, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", [])
+    for t in added:
+        if any(t[k] for k in ("single_word", "lstrip", "rstrip", "normalized")) or sum(o["content"].startswith(t["content"]) for o in added) > 1:
+            raise ValueError(f"added token {t['content']!r} of {beside} is not matched by its bytes alone")
+    return {t["content"]: t["id"] for t in added}
+
+
 def encoder(path: str | None = None):
-    """Byte-level BPE of a ranks file; its ids equal those of the same vocabulary's JSON (tested)."""
+    """Byte-level BPE of a ranks file, with its added tokens; its ids equal those of the same vocabulary's JSON (tested)."""
     import public_tokenizers
     import tiktoken
 
     # kept with the library, which stays loaded in a worker: this module's own state arrives anew with each task
     kept = tiktoken.__dict__.setdefault("_encodings_by_ranks_file", {})
     if path not in kept:
-        with open(path or vocabulary(), "rb") as f:
+        place = path or vocabulary()
+        with open(place, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        kept[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        kept[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens(place))
     return kept[path]
 
 
@@ -57,7 +74,7 @@ def _tokens(path: str | None, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in slices(batches, "text"):
-            ids = [np.append(enc.encode_to_numpy(t or "", disallowed_special=()), np.uint32(end)) for t in b.column("text").to_pylist()]
+            ids = [np.append(enc.encode_to_numpy(t or "", allowed_special="all"), np.uint32(end)) for t in b.column("text").to_pylist()]
             n = np.array([len(x) for x in ids], np.int64)
             raw = pa.array([x.astype("<u2" if enc.max_token_value < 65_536 else "<u4").tobytes() for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(n), raw], names=["doc_id", "source", "n", "ids"])

@@ -373,6 +373,20 @@ def test_packing(spark, odd, odd_rows, none, monkeypatch):
     assert packing.packed(none).count() == 0
 
 
+def test_added_tokens_inside_texts(spark):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [end, f"a{end}", f"a {end}  b", f"{end}{end}x", f" \n {end} \n ", f"<|{end}|>", "<|endoftext|", "<|ENDOFTEXT|>", f"é{end}🙂", f"don{end}'t"]
+    got = packing.tokenized(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("doc_id", "'s' as source", "text")).collect()
+    for r in got:
+        assert np.frombuffer(bytes(r.ids), "<u2").tolist() == [*tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids, 0] and r.n == len(r.ids) // 2
+    assert len(got) == len(texts)
+
+
 def test_deal_keeps_the_mixture():
     amounts = np.array([50_000, 30_000, 15_000, 4_999, 1, 0])
     got = np.zeros(6, np.int64)
