@@ -127,10 +127,12 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as they are taken, with the columns of ``docs``; a document cut at a
-    source's mark keeps its first words (joined by one space)."""
+    source's mark keeps its first words (joined by one space).  Rows that share a doc_id (or have none) are taken each by
+    the plan of their own length; those of equal doc_id, source and length share alike."""
     plan = mix_plan(docs, **options).select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_size"), F.explode("placements").alias("_p"))
-    plan = written(plan.dropDuplicates(["_d", "_s", "_p"]))
-    both = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")))
+    plan = written(plan)
+    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")  # as textkit counts words
+    both = docs.withColumn("_n", size).join(plan, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_n") == F.col("_size")))
     tokens = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
     text = F.when(F.col("_p.words") < F.col("_size"), F.concat_ws(" ", F.slice(tokens, 1, F.greatest(F.lit(1), F.col("_p.words")).cast("int")))).otherwise(F.col("text"))
     return both.withColumn("text", text).select(*docs.columns)

@@ -150,6 +150,21 @@ def test_mixed_documents(spark, odd, none):
     assert mix_tree.mixed_documents(none).count() == 0
 
 
+def test_mixed_documents_of_null_and_repeated_ids(spark):
+    texts = ["a", "a b", "a  b\tc", "\u00a0x y\x0bz w", " ".join("w" * 9), "", None, "\n "]
+    rows = [(d, " ".join([t] * k) if t else t, s) for d in (None, 1, 2) for s in ("s0", "s1", None) for t in texts for k in (1, 1, 3)]
+    docs = spark.createDataFrame([*rows, *[(10 + i, "one two three", f"s{i % 2}") for i in range(40)]], "doc_id long, text string, source string")
+    want, got = Counter(), Counter()
+    for r in mix_tree.mixture(docs).collect():
+        want[r.doc_id, r.source, "rows"] += len(r.placements)
+        want[r.doc_id, r.source, "words"] += r.taken
+    mixed = mix_tree.mixed_documents(docs).collect()
+    for r in mixed:
+        got[r.doc_id, r.source, "rows"] += 1
+        got[r.doc_id, r.source, "words"] += len(split(r.text))
+    assert got == want and len(mixed) <= 2 * docs.count()
+
+
 def test_pipeline(spark, odd, none, labels, tmp_path):
     import corpus_pipeline
     from reelsift.llm.scratch import written
