@@ -24,14 +24,16 @@ KERNEL = np.array([0.25, 0.5, 0.25])
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|math|iframe|object|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?:svg|math)(?![a-zA-Z0-9:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|math|iframe|object|select)(?![a-zA-Z0-9:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<tag>/?[a-zA-Z][a-zA-Z0-9:-]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<odd>/?[a-zA-Z][a-zA-Z0-9:-]*)[^<>]*>"  # an unbalanced quote in the attributes
     r"|<[/a-zA-Z][^<>]*\Z",
     re.S | re.I,
 )
-_ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+#: name, value; matches follow each other, so that a name never starts inside another name or a value
+_ATTR = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _PUNCTUATION = re.compile(r"[.,;:!?¿¡…。、，]")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())

@@ -75,6 +75,22 @@ def test_main_text_of_broken_pages():
     assert tag_paths.main_text("<body>" + "<div>" * 3000 + "<p>deep, it is.</p>") == "deep, it is."
 
 
+@pytest.mark.parametrize("attr", ['href="/hidden-costs"', 'title="The hidden cost"', 'data-hidden="false"', 'data-url="/posts/hidden-gems"', 'data-id="menu"', 'href="/news?id=share"', "title='a class=ad b'", "data-x=id=menu", 'aria-hidden="false"', 'title = "hidden"', 'data-role="menu" x'])
+def test_attributes_are_read_by_their_own_names(attr):
+    assert tag_paths.main_text(f"<article><p>One, <a {attr}>two</a>.</p></article>") == "One, two."
+    assert tag_paths.main_text(f"<article {attr}><p>One, two.</p></article>") == "One, two."
+
+
+@pytest.mark.parametrize("attr", ["hidden", "HIDDEN", 'hidden=""', 'x="1" hidden', 'x="1"hidden', 'x=1 id="menu"', "x class=ad", "class = 'b ad'", 'role="menu"', 'aria-hidden="true"', 'style="display: none"'])
+def test_hidden_and_named_elements_are_left_out(attr):
+    assert tag_paths.main_text(f"<article><p>One, <span {attr}>two</span>.</p></article>") == "One, ."
+
+
+@pytest.mark.parametrize("mark", ['<svg class="i"/>', "<svg/>", '<math a=">" />', '<svg a="/"><title>t</title><path d="x"/></svg>', "<svg><path/></svg>", "<svg-icon></svg-icon>", "<title-bar></title-bar>"])
+def test_text_after_pictures_stays(mark):
+    assert tag_paths.main_text(f"<article><p>a</p>{mark}<p>b text</p></article>") == "a\n\nb text"
+
+
 def test_extracted_rows(spark):
     rows = [(1, "u", PAGE % ("article", "article"), "x"), (1, "u", PAGE % ("article", "article"), "y"), (None, None, None, None), (2, None, "", "t")]
     got = tag_paths.extracted(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
