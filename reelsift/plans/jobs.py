@@ -88,7 +88,8 @@ def cf_job(ratings: DataFrame, seed: int = 42, top: int = cf.ALS_TOP, folds: int
     return out
 
 
-def embedding_job(ratings: DataFrame, out_dir: str | None = None, seed: int = 42) -> dict:
-    """Liked-item sequences -> item2vec -> item and user vectors [-> text files]."""
-    iv, uv, model = emb.embedding_job(ratings, seed=seed, out_dir=out_dir)
+def embedding_job(ratings: DataFrame, out_dir: str | None = None, seed: int = 42, partitions: int = 8) -> dict:
+    """Liked-item sequences -> item2vec in ``partitions`` tasks, averaged each iteration -> item and user vectors
+    [-> text files]."""
+    iv, uv, model = emb.embedding_job(ratings, seed=seed, out_dir=out_dir, partitions=partitions)
     return {"item_emb": iv, "user_emb": uv, "model": model}

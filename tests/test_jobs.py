@@ -32,3 +32,15 @@ def test_cf_job(spark):
     assert math.isfinite(out["rmse"]) and out["rmse"] > 0
     assert out["user_recs"].groupBy("user_id").count().where("count > 10").count() == 0
     assert len(out["cv_avg_rmse"]) == 1
+
+
+def test_embedding_job_trains_in_several_tasks(spark, monkeypatch):
+    from reelsift.operators import embedding
+    from reelsift.plans import jobs
+
+    train, seen = embedding.train_item2vec, []
+    monkeypatch.setattr(embedding, "train_item2vec", lambda *a, **k: (seen.append(k), train(*a, **k))[1])
+    ratings = spark.createDataFrame([(u, i, 5.0, u * 100 + i) for u in range(30) for i in range(20)], "user_id long, item_id long, rating double, ts long")
+    for partitions, options in ((8, {}), (3, {"partitions": 3})):
+        assert jobs.embedding_job(ratings, **options)["user_emb"].count() == 30
+        assert seen.pop()["partitions"] == partitions
