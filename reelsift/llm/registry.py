@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from reelsift.llm import chat_format, isolation_rules, label_propagation, minhash, minmax_dedup, mix_tree, packing, quality_classifier, sql, tag_paths, toxicity
+from reelsift.llm import chat_format, decontamination, isolation_rules, label_propagation, minhash, minmax_dedup, mix_tree, packing, quality_classifier, sql, tag_paths, toxicity
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,6 +54,10 @@ def op10_mix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_tree.mixture(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tag_paths": op1_tag_paths,
     "op2_isolation_rules": op2_isolation_rules,
@@ -65,12 +69,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_minmax_dedup": op9_minmax_dedup,
     "op10_mix_tree": op10_mix_tree,
+    "op11_suffix_arrays": op11_suffix_arrays,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
     "op1_tag_paths": sql.OP1_SQL,
     "op5_chat_format": sql.OP5_SQL,
     "op9_minmax_dedup": sql.OP9_SQL,
+    "op11_suffix_arrays": sql.OP11_SQL,
 }
 
 

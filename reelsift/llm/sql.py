@@ -1,6 +1,7 @@
 """DuckDB SQL of the training-data queries that SQL can express."""
 
 WORD = r"[^\x20\x09-\x0D]+"
+TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # the generated pages have one template: blocks of an article are closed or opened by p and h1 tags
@@ -41,3 +42,18 @@ m AS (SELECT id, min(top) AS top FROM r GROUP BY id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.top, d.doc_id) AS component_id, coalesce(m.top, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.id = d.doc_id
 """
+
+OP11_SQL = rf"""
+WITH b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_AZ}', '{_az}'), '{TOKEN}') AS w FROM benchmark),
+i AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0),
+v AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM i),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_AZ}', '{_az}'), '{TOKEN}') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+g AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM p, (SELECT DISTINCT n FROM v) WHERE i + n - 1 <= len(w)),
+o AS (SELECT doc_id, i, n, item_id FROM g JOIN v USING (n, g)),
+h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM o) GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM o) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
