@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from reelsift.llm import chat_format, decontamination, isolation_rules, label_propagation, minhash, minmax_dedup, mix_tree, packing, quality_classifier, sql, tag_paths, toxicity
+from reelsift.llm import chat_format, decontamination, isolation_rules, label_propagation, minhash, minmax_dedup, mix_tree, packing, quality_classifier, spelling, sql, tag_paths, toxicity
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,6 +58,10 @@ def op11_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_gram_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tag_paths": op1_tag_paths,
     "op2_isolation_rules": op2_isolation_rules,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minmax_dedup": op9_minmax_dedup,
     "op10_mix_tree": op10_mix_tree,
     "op11_suffix_arrays": op11_suffix_arrays,
+    "op12_gram_blocks": op12_gram_blocks,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
