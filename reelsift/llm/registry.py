@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from reelsift.llm import chat_format, decontamination, isolation_rules, label_propagation, minhash, minmax_dedup, mix_tree, packing, quality_classifier, spelling, sql, tag_paths, toxicity
+from reelsift.llm import chat_format, decontamination, isolation_rules, label_propagation, minhash, minmax_dedup, mix_tree, packing, quality_classifier, spelling, sql, tag_paths, token_alignment, toxicity
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -62,6 +62,10 @@ def op12_gram_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tag_paths": op1_tag_paths,
     "op2_isolation_rules": op2_isolation_rules,
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_tree": op10_mix_tree,
     "op11_suffix_arrays": op11_suffix_arrays,
     "op12_gram_blocks": op12_gram_blocks,
+    "op13_fragments": op13_fragments,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
