@@ -1,27 +1,25 @@
 """User-side features: point-in-time windows, profiles, last item.
 
-All user windows share one spec: partition by user, order by (ts, item_id),
-the ``history`` rows *before* the current one.  Every window column is built
-in one ``select`` so Spark plans one shuffle, one sort and one Window node.
+All user features share one frame: the ``history`` rows of the same user
+*before* the current one by (ts, item_id).  One shuffle and one sort bring a
+user's rows together; ``sliding`` then keeps running totals from which the
+total ``history`` rows earlier is taken away.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelsift.functions import fmt2, genre_array
 from reelsift.operators.item_features import latest_per_key
 from reelsift.operators.positions import BLOCK_ROWS, HEAVY_ROWS, blocks, heavy_keys, heavy_positions, split_heavy
+from reelsift.operators.sliding import add_frames
 
 USER_HISTORY = 100  # fixed value: rows before the current one
 SLOTS = 5  # fixed value: recent items and preferred genres kept as columns
 
 
-def history_window(history: int = USER_HISTORY):
-    return Window.partitionBy("user_id").orderBy("ts", "item_id").rowsBetween(-history, -1)
-
-
 def preferred_genres(genre_strings: Column, pre_split: bool = False) -> Column:
     """Genres of a list of ``A|B|C`` strings (or, with ``pre_split``, of
     genre arrays), by frequency desc then name.
@@ -49,24 +47,10 @@ def preferred_genres(genre_strings: Column, pre_split: bool = False) -> Column:
     return F.transform(F.array_sort(runs), lambda r: r["genre"])
 
 
-def _window_features(samples: DataFrame, w, base: list[str], numeric: bool = False, lists: bool = False) -> DataFrame:
-    positive_items = F.reverse(F.collect_list(F.when(F.col("label") == 1, F.col("item_id"))).over(w))
-    # each rating's genre string is split once, before the window
-    positive_genres = F.collect_list(F.when(F.col("label") == 1, F.split("genres", "[|]"))).over(w)
-    genres = preferred_genres(positive_genres, pre_split=True)
-    feats = samples.select(
-        *base,
-        positive_items.alias("_hist"),
-        F.count(F.lit(1)).over(w).alias("user_rating_count"),
-        F.avg("release_year").over(w).cast("int").alias("user_avg_release_year"),
-        F.stddev_samp("release_year").over(w).alias("_year_sd"),
-        F.avg("rating").over(w).alias("_avg_rating"),
-        F.stddev_samp("rating").over(w).alias("_rating_sd"),
-        genres.alias("_genres"),
-    )
+def _frame_features(samples: DataFrame, keys: list[str], order: list[str], history: int, base: list[str], numeric: bool = False, lists: bool = False) -> DataFrame:
+    feats = add_frames(samples, keys, order, base, history, None if lists else SLOTS)
     zero = F.lit(0.0)
-    year_sd = F.coalesce(F.nanvl("_year_sd", zero), zero)
-    rating_sd = F.coalesce(F.nanvl("_rating_sd", zero), zero)
+    year_sd, rating_sd = F.coalesce("_year_sd", zero), F.coalesce("_rating_sd", zero)
     twins = [
         F.col("_avg_rating").alias("user_avg_rating_num"),
         rating_sd.alias("user_rating_stddev_num"),
@@ -77,7 +61,7 @@ def _window_features(samples: DataFrame, w, base: list[str], numeric: bool = Fal
         *base,
         *[F.get("_hist", i).alias(f"user_rated_movie{i + 1}") for i in range(SLOTS)],
         "user_rating_count",
-        F.coalesce("user_avg_release_year", F.lit(0)).alias("user_avg_release_year"),
+        F.coalesce(F.col("_avg_year").cast("int"), F.lit(0)).alias("user_avg_release_year"),
         fmt2(year_sd).alias("user_release_year_stddev"),
         fmt2("_avg_rating").alias("user_avg_rating"),
         fmt2(rating_sd).alias("user_rating_stddev"),
@@ -110,21 +94,20 @@ def add_user_features(
 
     Users with more than ``heavy_rows`` samples (``heavy``: precomputed
     (user_id, rows) list, else detected here) take the blocked path of
-    ``positions``: the same window over (user, block) with ``history`` rows
+    ``positions``: the same frames over (user, block) with ``history`` rows
     of copied context, so no task holds a whole heavy user.
     """
     base = [c for c in samples.columns if c != "genres"]
     if heavy is None:
         heavy = heavy_keys(samples, "user_id", heavy_rows) if heavy_rows else []
     if not heavy:
-        out = _window_features(samples, history_window(history), base, numeric, lists)
+        out = _frame_features(samples, ["user_id"], ["ts", "item_id"], history, base, numeric, lists)
     else:
         light, hot_rows, _ = split_heavy(samples, "user_id", heavy)
-        plain = _window_features(light, history_window(history), base, numeric, lists)
+        plain = _frame_features(light, ["user_id"], ["ts", "item_id"], history, base, numeric, lists)
         positioned = heavy_positions(hot_rows, "user_id", ["ts", "item_id"], sum(n for _, n in heavy), block_rows)
         blocked = blocks(positioned, block_rows, history)
-        w = Window.partitionBy("user_id", "_block").orderBy("pos").rowsBetween(-history, -1)
-        hot = _window_features(blocked, w, base + ["_ctx"], numeric, lists).where(~F.col("_ctx")).drop("_ctx")
+        hot = _frame_features(blocked, ["user_id", "_block"], ["pos"], history, base + ["_ctx"], numeric, lists).where(~F.col("_ctx")).drop("_ctx")
         out = plain.unionByName(hot)
     return out if keep_first else out.where(F.col("user_rating_count") > 1)
 

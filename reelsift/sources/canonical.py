@@ -22,8 +22,8 @@ ITEM_NO_YEAR_MOD = 97  # titles without a year
 ITEM_MISSING_MOD = 101  # rated items without an item row
 LINK_MISSING_MOD = 53  # items without a links row
 EPOCH_DAY_SECONDS = 86400
-ORDER_DIGITS = 13  # digits of an order key; a longer one is an error, not another result
-LINE_UNIT = 1000  # line number x 1000 + half stars
+# Bits of the packed number below the day (15 bits): a key that does not fit is an error, not another result.
+ORDER_BITS, LINE_BITS, STEP_BITS = 40, 4, 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,19 +34,20 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     day = epoch_day(F.col("l_shipdate"), li.schema["l_shipdate"].dataType)
-    steps = F.ceil(F.col("l_quantity") / 5)  # the rating in half stars
-    # (day, order, line) in one number with the rating in its last digits: the latest row is a plain maximum, which
-    # hashes and combines map-side (a struct's maximum would sort)
-    packed = (
-        day.cast("decimal(7,0)") * F.lit(str(10**ORDER_DIGITS)).cast("decimal(14,0)") + F.col("l_orderkey").cast(f"decimal({ORDER_DIGITS},0)")
-    ).cast("decimal(22,0)") * F.lit(LINE_UNIT * 1000).cast("decimal(7,0)") + (F.col("l_linenumber") * LINE_UNIT + steps).cast("decimal(7,0)")
+    steps = F.ceil(F.col("l_quantity") / 5).cast("bigint")  # the rating in half stars
+    # (day, order, line) and the rating in one long: the latest row is a plain maximum, which hashes and combines
+    # map-side inside generated code (a struct's maximum would sort)
+    packed, fits = F.lit(0).cast("bigint"), F.lit(True)
+    for part, bits in ((day, 63 - ORDER_BITS - LINE_BITS - STEP_BITS), (F.col("l_orderkey"), ORDER_BITS), (F.col("l_linenumber").cast("bigint"), LINE_BITS), (steps, STEP_BITS)):
+        packed = F.shiftleft(packed, bits).bitwiseOR(part)
+        fits = fits & part.between(0, (1 << bits) - 1)
+    packed = F.when(fits | fits.isNull(), packed).otherwise(F.raise_error(F.lit("a day, order key, line number or quantity is outside the packed range")).cast("bigint"))
     latest = li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")).agg(F.max(packed).alias("m"))
-    first_day = F.floor(F.col("m") / F.lit(str(10 ** (ORDER_DIGITS + 6))).cast("decimal(20,0)"))
     return latest.select(
         "user_id",
         "item_id",
-        ((F.col("m") % LINE_UNIT).cast("bigint") * 0.5).alias("rating"),
-        (first_day.cast("bigint") * EPOCH_DAY_SECONDS).alias("ts"),
+        (F.col("m").bitwiseAND((1 << STEP_BITS) - 1) * 0.5).alias("rating"),
+        (F.shiftright("m", ORDER_BITS + LINE_BITS + STEP_BITS) * EPOCH_DAY_SECONDS).alias("ts"),
     )
 
 
