@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelsift.llm.numbering import totals_before
-from reelsift.llm.scratch import written
+from reelsift.llm.scratch import small_table, written
 from reelsift.llm.textkit import slices, words
 
 WEIGHTS = (5, 2, 1)
@@ -26,6 +26,7 @@ MOST = 2
 ROWS_PER_BLOCK = 128
 MOST_BLOCKS = 65_536
 SHARDS = 16
+POSITION_BITS = 6  # a shard's positions in so many powers of two of runs
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], share: float = SHARE, most: float = MOST) -> list[float]:
@@ -81,7 +82,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
         full = min(int(t // r["total"]), most) if r["total"] else 0
         blocks = min(MOST_BLOCKS, max(1, math.ceil(r["n"] / ROWS_PER_BLOCK)))
         info.append((r["source"], r["total"], float(t), full, round(t) - full * r["total"], blocks))
-    per = spark.createDataFrame(info, "src string, source_size long, target double, full long, extra long, blocks long")
+    per = small_table(spark, info, "src string, source_size long, target double, full long, extra long, blocks long")
     per = F.broadcast(per) if len(info) <= 100_000 else per
 
     order = F.xxhash64("doc_id", F.lit(seed))
@@ -94,7 +95,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     draws = np.array([i[3] * i[5] + again.get(i[0], 0) for i in info], np.int64)
     quota = splitting_tree(draws, shards, np.random.default_rng(seed)).T if len(info) else np.zeros((0, shards), np.int64)
     bounds = [(i[0], [int(x) for x in np.concatenate([[0], np.cumsum(q)[:-1]])], int(max(1, d)), _step(int(d))) for i, q, d in zip(info, quota, draws, strict=True)]
-    cut = spark.createDataFrame(bounds, "src string, bounds array<long>, draws long, step long")
+    cut = small_table(spark, bounds, "src string, bounds array<long>, draws long, step long")
     cut = F.broadcast(cut) if len(info) <= 100_000 else cut
 
     where = block.select(F.col("source").alias("s"), F.col("block").alias("b"), "at")
@@ -127,7 +128,7 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as they are taken, with the columns of ``docs``; a document cut at a
-    source's mark keeps its first words (joined by one space).  Rows that share a doc_id (or have none) are taken each by
+    source's mark keeps its first words (joined by one space).  Partitions hold whole runs of a shard's positions, in order.  Rows that share a doc_id (or have none) are taken each by
     the plan of their own length; those of equal doc_id, source and length share alike."""
     plan = mix_plan(docs, **options).select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_size"), F.explode("placements").alias("_p"))
     plan = written(plan)
@@ -135,4 +136,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     both = docs.withColumn("_n", size).join(plan, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_n") == F.col("_size")))
     tokens = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
     text = F.when(F.col("_p.words") < F.col("_size"), F.concat_ws(" ", F.slice(tokens, 1, F.greatest(F.lit(1), F.col("_p.words")).cast("int")))).otherwise(F.col("text"))
-    return both.withColumn("text", text).select(*docs.columns)
+    # dealt as the tree drew it: runs of one shard and one range of positions, each in the order of its shuffle
+    shard, span = F.col("_p.shard"), F.shiftright("_p.position", 64 - POSITION_BITS)
+    dealt = both.withColumn("text", text).repartition(shard, span).sortWithinPartitions(shard, "_p.position")
+    return dealt.select(*docs.columns)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsift.llm.numbering import totals_before
-from reelsift.llm.scratch import written
+from reelsift.llm.scratch import small_table, written
 from reelsift.llm.textkit import slices
 
 LENGTH = 1024
@@ -78,6 +78,8 @@ def _tokens(path: str | None, end: int):
             n = np.array([len(x) for x in ids], np.int64)
             raw = pa.array([x.astype("<u2" if enc.max_token_value < 65_536 else "<u4").tobytes() for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(n), raw], names=["doc_id", "source", "n", "ids"])
+            del ids, raw
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return run
 
@@ -194,8 +196,7 @@ def packed(docs: DataFrame, path: str | None = None, length: int = LENGTH, windo
     for r in sums:
         starts.append((r["part"], first))
         first += r["w"] // length + (r["w"] % length).bit_count()
-    spark = docs.sparkSession
-    where = block.join(F.broadcast(spark.createDataFrame(starts, "part int, first_sequence long")), "part")
+    where = block.join(F.broadcast(small_table(docs.sparkSession, starts, "part int, first_sequence long")), "part")
     where = where.select(F.col("source").alias("s2"), F.col("block").alias("b2"), "part", "first_sequence")
     where = F.broadcast(where) if where.count() <= 2 * MOST_BLOCKS else where
     rows = dealt.join(where, F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") == F.col("b2")))

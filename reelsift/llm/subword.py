@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +45,8 @@ class Bags:
 def bags(texts: pa.Array, lower: bool, buckets: int = BUCKETS, ngrams: tuple[int, ...] = NGRAMS) -> Bags:
     w = words(texts)
     h = hash_spans(w, lower)
-    code, hashes = pd.factorize(h)
+    kinds = pa.array(h).dictionary_encode()  # numbered in order of appearance
+    code, hashes = kinds.indices.to_numpy().astype(np.int64), kinds.dictionary.to_numpy()
     first = np.empty(len(hashes), np.int64)
     first[code[::-1]] = np.arange(len(h))[::-1]
     feature, at = word_features(w.data, w.start[first], w.end[first], hashes.astype(np.uint64), lower, buckets, ngrams)
