@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from reelsift.functions import cosine100, dot
-from reelsift.operators import cf, encode, evaluate, neighbors
+from reelsift.operators import cf, encode, evaluate, neighbors, products
 from reelsift.operators import embedding as emb
 from reelsift.operators import samples as smp
 from reelsift.operators.item_features import item_profile
@@ -275,6 +275,58 @@ def als_item_recs(spark, d):
     return cf.item_recs(model).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_recs"))
 
 
+def _recs_against_library(model, of):
+    """Each place of each list, held against Spark ML's product of all users and items: the same score, and the product
+    of the two factors."""
+    other = "item" if of == "user" else "user"
+    mine = (cf.user_recs if of == "user" else cf.item_recs)(model)
+    theirs = cf.library_recs(model, of).select(f"{of}_id", "rank", F.col("score").alias("their_score"))
+    f = cf.factors(model)
+    vec = lambda kind: f.where(F.col("kind") == kind).select(F.col("id").alias(f"{kind}_id"), F.col("features").cast("array<double>").alias(f"{kind}_vec"))
+    both = mine.join(theirs, [f"{of}_id", "rank"], "full").join(vec(of), f"{of}_id", "left").join(vec(other), f"{other}_id", "left")
+    close = lambda x: F.coalesce(F.abs(F.col("score") - x) < 1e-4, F.lit(False))
+    return both.select(f"{of}_id", F.col("rank").cast("bigint").alias("rank"), close(F.col("their_score")).alias("same_score"), close(dot("user_vec", "item_vec")).alias("is_product"))
+
+
+@query("als_user_recs_values",
+       """SELECT user_id, unnest(range(1, least(10, (SELECT count(DISTINCT item_id) FROM train)) + 1)) AS rank, true AS same_score, true AS is_product
+          FROM train GROUP BY user_id""",
+       _SPLIT_SQL)
+def als_user_recs_values(spark, d):
+    return _recs_against_library(_als(spark, d)[0], "user")
+
+
+@query("als_item_recs_values",
+       """SELECT item_id, unnest(range(1, least(10, (SELECT count(DISTINCT user_id) FROM train)) + 1)) AS rank, true AS same_score, true AS is_product
+          FROM train GROUP BY item_id""",
+       _SPLIT_SQL)
+def als_item_recs_values(spark, d):
+    return _recs_against_library(_als(spark, d)[0], "item")
+
+
+# Inner products of the tables' own vectors: a user's last item's vector against all items, checked value by value.
+_PRODUCTS_SQL = """
+last_items AS (SELECT user_id, arg_max(item_id, (ts, item_id)) AS item_id FROM ratings GROUP BY user_id),
+pulled AS (SELECT item_id, list_transform(CAST(emb AS DOUBLE[]), lambda x: x * (1 + item_id % 7)) AS v FROM item_emb),
+products AS (
+  SELECT l.user_id, p.item_id, list_sum(list_transform(list_zip(CAST(e.emb AS DOUBLE[]), p.v), lambda z: z[1] * z[2])) AS score
+  FROM last_items l JOIN item_emb e ON l.item_id = e.item_id JOIN pulled p ON true)"""
+
+
+@query("top_products",
+       """SELECT user_id, item_id, round(score, 6) AS score, rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM products) x
+          WHERE rank <= 10""",
+       _PRODUCTS_SQL)
+def top_products(spark, d):
+    """The exact search on vectors of very different lengths (item vectors times 1 to 7)."""
+    ie = cv.item_emb(spark, d)
+    users = last_item(cv.ratings(spark, d)).join(ie, "item_id").select(F.col("user_id").alias("seed_id"), F.col("emb").alias("vec"))
+    pulled = F.transform(F.col("emb").cast("array<double>"), lambda x: x * (1 + F.col("item_id") % 7))
+    found = products.best_products(users, ie.select("item_id", pulled.alias("vec")), 10)
+    return found.select(F.col("seed_id").alias("user_id"), "item_id", "score", "rank")
+
+
 @query("subset_ids", "SELECT DISTINCT user_id FROM ratings ORDER BY user_id LIMIT 3")
 def subset_ids(spark, d):
     return cf.subset_ids(cv.ratings(spark, d), "user_id", 3)
