@@ -1,20 +1,21 @@
-"""Key-value sinks (K4-K8): feature-store entries as a partitioned parquet table.
+"""Key-value sinks (K4-K8): feature-store entries in the generations of ``sources.kv_store``.
 
 A row is ``(prefix, key, value, features, expires_at)``: vector entries fill
 ``value`` (``v1 v2 ...``), feature entries fill ``features`` (a string map).
 ``expires_at = as_of + ttl`` replaces the store's TTL; readers drop expired
-rows.  ``foreach_entry`` hands each partition to a user's own client for a
-real store, without collecting to the driver.
+rows and compaction removes them.  ``foreach_entry`` hands each partition to a
+user's own client for a real store, without collecting to the driver.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelsift.sources import kv_store
+
 DAY_SECONDS = 24 * 60 * 60
 DEFAULT_TTL = DAY_SECONDS  # fixed value: 24 h expiry of the embedding entries
 ITEM_EMB_PREFIX = "i2vEmb"
@@ -92,15 +93,18 @@ def user_feature_kv(latest_users: DataFrame, as_of: int | None = None, ttl: int
     return _feature_kv(latest_users, USER_FEATURE_PREFIX, "user_id", USER_FEATURE_FIELDS, as_of, ttl)
 
 
-def write_kv(kv: DataFrame, path: str, mode: str = "append", version: int | None = None) -> str:
-    """Write entries partitioned by prefix (K4-K8).
+def write_kv(kv: DataFrame, path: str, mode: str = "append", version: int | None = None, buckets: int = kv_store.BUCKETS, compact_after: int = kv_store.COMPACT_AFTER) -> str:
+    """Write entries as a new generation of the store (K4-K8); ``overwrite`` replaces the whole store.
 
-    An entry replaces an earlier one of its key, as a store's ``set`` does: rows
-    carry the write's ``version`` (by default the time in nanoseconds) and
-    readers keep the newest row of a key.
+    An entry replaces an earlier one of its key, as a store's ``set`` does.  Generations are numbered by the store, not
+    by a clock; a ``version`` of the caller's must be larger than any before it, and two writes of one version are an
+    error.  After ``compact_after`` generations the store is compacted.
     """
-    stamp = time.time_ns() if version is None else version
-    kv.withColumn("version", F.lit(stamp).cast("bigint")).write.mode(mode).partitionBy("prefix").parquet(path)
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"unknown mode {mode!r}")
+    kv_store.add(kv, path, version, whole=mode == "overwrite", n_buckets=buckets)
+    if len(kv_store.live(kv.sparkSession, path)) > compact_after:
+        kv_store.compact(kv.sparkSession, path)
     return path
 
 

@@ -1,29 +1,28 @@
 """Key-value snapshot sources.
 
-The key-value store is a parquet table ``(prefix, key, value, features,
-expires_at)`` partitioned by ``prefix``; readers filter on prefix (partition
-pruning) and drop entries expired at their ``as_of`` time.
+The key-value store is a folder of generations (``kv_store``), each partitioned
+by prefix and key bucket; readers see the newest entry of a key, read only the
+prefix (and the buckets of the keys) asked for, and drop entries expired at
+their ``as_of`` time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelsift.sources import kv_store
 from reelsift.sources.files import parse_vector, read_embeddings
 
 
-KV_SCHEMA = "key string, value string, features map<string,string>, expires_at bigint, version bigint, prefix string"
-
-
-def read_kv(spark: SparkSession, path: str, prefix: str, as_of: int | None = None) -> DataFrame:
-    """Entries of a prefix: the newest write of each key, without those expired at ``as_of``."""
-    kv = spark.read.schema(KV_SCHEMA).parquet(path).where(F.col("prefix") == prefix)
-    row = F.max_by(F.struct("value", "features", "expires_at"), F.col("version")).alias("r")
-    kv = kv.groupBy("prefix", "key").agg(row).select("prefix", "key", "r.value", "r.features", "r.expires_at")
+def read_kv(spark: SparkSession, path: str, prefix: str, as_of: int | None = None, keys: Sequence[str] | None = None) -> DataFrame:
+    """Entries of a prefix (of the given whole keys only): the newest write of each key, without those expired at ``as_of``."""
+    kv = kv_store.newest(spark, path, prefix, keys).drop("version", "bucket")
     if as_of is not None:
         kv = kv.where(F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(as_of)))
-    return kv
+    return kv.select("prefix", "key", "value", "features", "expires_at")
 
 
 def read_kv_embeddings(spark: SparkSession, path: str, prefix: str, id_col: str = "item_id", as_of: int | None = None) -> DataFrame:
