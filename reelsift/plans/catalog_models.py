@@ -10,6 +10,7 @@ from reelsift.operators import cf, encode, evaluate, neighbors, products
 from reelsift.operators import embedding as emb
 from reelsift.operators import samples as smp
 from reelsift.operators.item_features import item_profile
+from reelsift.operators.lsh_join import lsh_neighbours
 from reelsift.operators.recall import top_items
 from reelsift.operators.user_features import last_item
 from reelsift.plans.catalog_recall import PROFILE_SQL, UEMB_SQL, sql_cos100
@@ -193,6 +194,26 @@ def ann_lsh(spark, d):
     )
 
 
+@query("lsh_join",
+       """SELECT seed_id, rank, true AS is_cosine, true AS not_above_exact, true AS recall_90 FROM (
+            SELECT seed_id, row_number() OVER (PARTITION BY seed_id ORDER BY score DESC, item_id) AS rank FROM sim) x WHERE rank <= 20""",
+       _SIM_SQL)
+def lsh_join(spark, d):
+    """Twenty neighbours of every item by the LSH join, each held against the exact list: the pair's cosine, no better
+    than the exact neighbour of its rank, and nine in ten of all exact neighbours found."""
+    ie = cv.item_emb(spark, d)
+    found = written(lsh_neighbours(ie, 20, tables=4, bits=4, probes=6, seed=SEED))
+    exact = written(neighbors.similar_items(spark, ie, 20, rounded=True))
+    vec = lambda name: ie.select(F.col("item_id").alias(name), F.col("emb").cast("array<double>").alias(f"{name}_vec"))
+    hit = exact.select("seed_id", "item_id", F.lit(1).alias("hit"))
+    recall = found.join(hit, ["seed_id", "item_id"]).agg(F.count(F.lit(1)).alias("found")).join(exact.agg(F.count(F.lit(1)).alias("all")))  # one row each
+    rows = found.join(vec("seed_id"), "seed_id").join(vec("item_id"), "item_id")
+    rows = rows.join(exact.select("seed_id", "rank", F.col("score").alias("best")), ["seed_id", "rank"])
+    near = F.abs(cosine100("seed_id_vec", "item_id_vec") - F.col("score")) < 1e-6
+    return rows.join(F.broadcast(recall)).select(
+        "seed_id", F.col("rank").cast("bigint").alias("rank"), near.alias("is_cosine"), (F.col("score") <= F.col("best") + 1e-6).alias("not_above_exact"), (F.col("found") >= 0.9 * F.col("all")).alias("recall_90"))
+
+
 # ---- item2vec ---------------------------------------------------------------
 
 @query("item2vec_vocab",
