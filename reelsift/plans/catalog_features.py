@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reelsift.functions import genre_pieces
 from reelsift.operators import item_features as itf
+from reelsift.operators import profiles
 from reelsift.operators import samples as smp
 from reelsift.operators import user_features as uf
 from reelsift.plans.common import (
@@ -22,6 +23,7 @@ from reelsift.plans.common import (
     views,
 )
 from reelsift.plans.registry import query
+from reelsift.session import written
 from reelsift.sources import canonical as cv
 
 
@@ -117,6 +119,20 @@ def user_last_item(spark, d):
     return uf.last_item(cv.ratings(spark, d))
 
 
+@query(
+    "profile_updates",
+    """SELECT user_id, round(avg(rating), 6) AS average_rating, greatest(0.0, max(rating)) AS highest_rating,
+              least(5.0, min(rating)) AS lowest_rating, count(*) AS rating_count, arg_max(item_id, (ts, item_id)) AS item_id
+       FROM ratings GROUP BY user_id""",
+)
+def profile_updates(spark, d):
+    """The ratings of even days folded into a written state, those of odd days added to it."""
+    r = cv.ratings(spark, d)
+    day = F.col("ts") / cv.EPOCH_DAY_SECONDS
+    kept = written(profiles.profile_state(r.where(day % 2 == 0)))
+    return profiles.profile_of(profiles.merge_states(kept, profiles.profile_state(r.where(day % 2 != 0))))
+
+
 _LAST_SQL = "last_item AS (SELECT user_id, arg_max(item_id, (ts, item_id)) AS item_id FROM ratings GROUP BY user_id)"
 
 
