@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from reelsift.functions import genre_pieces
 from reelsift.operators.cumulative import running_totals
 from reelsift.operators.item_features import item_rating_variance
+from reelsift.operators.positions import BLOCK_ROWS, heavy_positions
+from reelsift.plans import joins
 from reelsift.session import written
 
 QUANTILE_BUCKETS = 100  # fixed value: rating-count buckets
+HEAD_LABELS = 10_000  # most frequent labels that travel to the rows; rarer ones meet them by a shuffle
 
 
 def one_hot(df: DataFrame, col: str = "item_id", out: str = "one_hot") -> DataFrame:
@@ -46,6 +49,50 @@ def multi_hot(items: DataFrame) -> DataFrame:
     return out.select("item_id", vector_active("vector").alias("genre_indexes"), vector_size("vector").alias("index_size"), "vector")
 
 
+def frequency_index(df: DataFrame, col: str, out: str = "label_index", rows_per_partition: int = BLOCK_ROWS) -> DataFrame:
+    """M2 for vocabularies the driver cannot hold: (col, n, out), values by frequency (descending; ties by value) from 0.
+
+    The order of ``StringIndexer(frequencyDesc)``, but as a table: values are counted with a map-side partial, the
+    counts are range-partitioned in that order and numbered inside each partition, and a partition's numbers start after
+    the rows of those before it.  No label reaches the driver.  Nulls have no row; an empty table gives an empty index.
+    """
+    counts = written(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")))
+    ordered = counts.withColumn("_all", F.lit(0)).withColumn("_least", -F.col("n"))
+    return heavy_positions(ordered, "_all", ["_least", col], counts.count(), rows_per_partition).select(col, "n", F.col("pos").alias(out))
+
+
+def with_index(df: DataFrame, col: str, index: DataFrame, out: str = "label_index", head_labels: int = HEAD_LABELS) -> DataFrame:
+    """``df`` with ``out`` joined back from a ``frequency_index`` of ``col`` (null where the value is null or not in it).
+
+    The index is in order of frequency, so its head holds every hot value: those (at most ``head_labels``, fewer where
+    long labels would pass the byte limit) are broadcast, and only rows of rarer values are shuffled.  A value of the tail
+    has at most rows / head labels rows, so no shuffle key is hot however skewed the column is.
+    """
+    chars, labels = index.agg(F.coalesce(F.max(F.length(F.col(col).cast("string"))), F.lit(0)), F.count(F.lit(1))).first()
+    head_labels = min(head_labels, joins.MAX_BROADCAST_BYTES // joins.row_bytes(chars=chars))
+    number = index.select(F.col(col).alias("_label"), F.col(out).alias("_at"))
+    near = df.join(F.broadcast(number.where(F.col("_at") < head_labels)), F.col(col) == F.col("_label"), "left").drop("_label")
+    if labels <= head_labels:
+        return near.withColumnRenamed("_at", out)
+    rare = number.where(F.col("_at") >= head_labels).withColumnRenamed("_at", "_far")
+    near = written(near)  # two readers; null values have no label and stay with the head
+    done = F.col("_at").isNotNull() | F.col(col).isNull()
+    rare = number.where(F.col("_at") >= head_labels)
+    far = near.where(~done).drop("_at").join(rare, F.col(col) == F.col("_label"), "left").drop("_label")
+    return near.where(done).unionByName(far).withColumnRenamed("_at", out)
+
+
+def multi_hot_spread(items: DataFrame, head_labels: int = HEAD_LABELS) -> DataFrame:
+    """M3 for large vocabularies: (item_id, genre_indexes sorted, index_size), the rows of ``multi_hot`` without its
+    vectors, from an index that stays a table.  Rows with the same item_id are one item."""
+    pieces = items.where(F.col("genres").isNotNull()).select("item_id", F.explode(genre_pieces("genres")).alias("genre"))
+    index = written(frequency_index(pieces, "genre"))
+    size = index.count()
+    indexed = with_index(pieces, "genre", index, "label_index", head_labels)
+    hot = indexed.groupBy("item_id").agg(F.array_sort(F.collect_set("label_index")).alias("genre_indexes"))
+    return hot.select("item_id", "genre_indexes", F.lit(size).cast("bigint").alias("index_size"))
+
+
 def vector_active(vec_col: str) -> F.Column:
     """Indexes of the entries of a sparse ML vector column (as OneHotEncoder and CountVectorizerModel make them)."""
     return F.unwrap_udt(vec_col)["indices"]

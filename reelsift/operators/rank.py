@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from reelsift.functions import cosine100, dot, round6, uniform, unit_vector
 from reelsift.operators.embedding import user_embeddings, vector_bounds
 from reelsift.operators.item_features import item_profile
-from reelsift.operators.recall import catalog_bounds, channel_bound, channel_table, recall, user_channel_keys, with_seen
+from reelsift.operators.recall import catalog_bounds, channel_bound, channel_table, meet_channels, recall, user_channel_keys, with_seen
 from reelsift.plans.joins import broadcast_within, row_bytes
 
 MISSING_SCORE = -1.0  # fixed value: sentinel score when a vector is missing
@@ -127,12 +127,12 @@ def score_candidates(ratings: DataFrame, items: DataFrame, item_emb: DataFrame,
     profile = item_profile(items, ratings)
     unit_items = item_emb.select("item_id", unit_vector("emb").alias("i_unit"))
     channels = channel_table(profile).select("key", "item_id").join(unit_items, "item_id", "left")
-    channels = broadcast_within(channels, bound, row_bytes(vector_bounds(item_emb)[1], bounds[2]))
+    per_row = row_bytes(vector_bounds(item_emb)[1], bounds[2])
     keys = user_channel_keys(ratings, items, bounds=bounds, history=history)
     users = user_emb.select("user_id", unit_vector("emb").alias("u_unit"))
     if history == "all":  # every rated item leaves the candidates
         keys = with_seen(keys, ratings, channels, bound)
-    pairs = keys.join(users, "user_id", "left").join(channels, "key")
+    pairs = meet_channels(keys.join(users, "user_id", "left"), channels, bound, per_row)
     pairs = pairs.where(~F.array_contains("seen", F.col("item_id")) if history == "all" else F.col("item_id") != F.col("history_item"))
     cos = unit_dot100(F.col("u_unit"), F.col("i_unit"))
     scored = pairs.select("user_id", "item_id", F.coalesce(cos, F.lit(MISSING_SCORE)).alias("score"), cos.isNull().alias("missing"))

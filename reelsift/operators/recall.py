@@ -7,7 +7,8 @@ all users are recalled in one job: each user gets a list of channel *keys*
 (its history genres plus the two global keys), and one equi-join against the
 small channel table (key -> at most ``per_genre``/``top``/``latest`` items)
 produces the candidates.  The channel table is broadcast behind a byte
-bound, so the users side is never shuffled for it.
+bound, so the users side is never shuffled for it; beyond the bound keys are
+met on a grid of user salts and list pieces, since a global key holds every user.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from reelsift.functions import genre_array
 from reelsift.operators.item_features import item_profile
 from reelsift.operators.user_features import last_item
-from reelsift.plans.joins import broadcast_within, row_bytes
+from reelsift.plans.joins import broadcast_within, meet_lists, row_bytes
 
 # Recall sizes of the reference's serving side.
 PER_GENRE = 20
@@ -99,6 +100,13 @@ def channel_bound(n_genres: int, per_genre: int = PER_GENRE, top: int = TOP_RATE
     return per_genre * n_genres + top + latest
 
 
+def meet_channels(keys: DataFrame, channels: DataFrame, bound: int, per_row: int, per_genre: int = PER_GENRE,
+                  top: int = TOP_RATED, latest: int = LATEST) -> DataFrame:
+    """Each user's keys joined with their channel lists (broadcast, or gridded beyond the byte bound)."""
+    rows = F.when(F.col("key") == KEY_TOP_RATED, top).when(F.col("key") == KEY_LATEST, latest).otherwise(per_genre)
+    return meet_lists(keys, channels, "key", "user_id", "item_id", rows, bound, per_row)
+
+
 def user_channel_keys(ratings: DataFrame, items: DataFrame, with_global: bool = True, with_genres: bool = True,
                       bounds: tuple[int, int, int] | None = None, history: str = "last") -> DataFrame:
     """(user_id, history_item, key): the channel keys each user recalls from.
@@ -163,13 +171,14 @@ def recall(
     bounds = catalog_bounds(items)
     profile = item_profile(items, ratings)
     bound = channel_bound(bounds[1], per_genre, top, latest)
-    channels = broadcast_within(channel_table(profile, per_genre, top, latest), bound, row_bytes(chars=bounds[2]))
+    channels = channel_table(profile, per_genre, top, latest)
+    sizes = (bound, row_bytes(chars=bounds[2]), per_genre, top, latest)
     keys = user_channel_keys(ratings, items, with_global, with_genres, bounds=bounds, history=history)
     if remove_history and history == "all":
         keys = with_seen(keys, ratings, channels, bound)
-        pairs = keys.join(channels, "key").where(~F.array_contains("seen", F.col("item_id"))).drop("seen")
+        pairs = meet_channels(keys, channels, *sizes).where(~F.array_contains("seen", F.col("item_id"))).drop("seen")
     else:
-        pairs = keys.join(channels, "key")
+        pairs = meet_channels(keys, channels, *sizes)
         if remove_history:
             pairs = pairs.where(F.col("item_id") != F.col("history_item"))
     if not with_channels:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reelsift.functions import cosine100, dot
 from reelsift.operators import cf, encode, evaluate, neighbors, products
 from reelsift.operators import embedding as emb
+from reelsift.operators import item2vec_blocks as i2v
 from reelsift.operators import samples as smp
 from reelsift.operators.item_features import item_profile
 from reelsift.operators.lsh_join import lsh_neighbours
@@ -57,6 +58,27 @@ def multi_hot_genres(spark, d):
     return m.select("item_id", F.col("index_size").alias("vec_size"), act.alias("active"))
 
 
+@query("multi_hot_spread",
+       """SELECT g.item_id, (SELECT count(*) FROM genre_idx) AS vec_size,
+                 string_agg(CAST(x.genre_index AS VARCHAR), ',' ORDER BY x.genre_index) AS active
+          FROM genres_long g JOIN genre_idx x ON g.genre = x.genre GROUP BY g.item_id""",
+       _GENRES_SQL, _GENRE_IDX_SQL)
+def multi_hot_spread(spark, d):
+    m = encode.multi_hot_spread(blanked_items(spark, d), head_labels=16)
+    act = F.array_join(F.transform("genre_indexes", lambda i: i.cast("string")), ",")
+    return m.select("item_id", F.col("index_size").alias("vec_size"), act.alias("active"))
+
+
+@query("rated_item_index",
+       """SELECT r.user_id, r.item_id, x.label_index FROM ratings r JOIN (
+            SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, CAST(item_id AS VARCHAR)) - 1 AS label_index FROM ratings GROUP BY item_id) x
+          ON r.item_id = x.item_id""")
+def rated_item_index(spark, d):
+    r = written(cv.ratings(spark, d).select("user_id", "item_id", F.col("item_id").cast("string").alias("label")))
+    index = written(encode.frequency_index(r, "label"))
+    return encode.with_index(r, "label", index, head_labels=1000).select("user_id", "item_id", "label_index")
+
+
 _STATS_SQL = "stats AS (SELECT item_id, count(*) AS rating_count, avg(rating) AS avg_rating, var_samp(rating) AS rating_var FROM ratings GROUP BY item_id)"
 _SPLITS_SQL = """splits AS (
   SELECT list_distinct(quantile_disc(rating_count, [i / 100 for i in range(1, 100)])) AS qs FROM stats)"""
@@ -238,6 +260,29 @@ def synonyms_w2v(spark, d):
     return out.select("rank", close(cosine100("emb", "seed_emb") / 100).alias("is_cosine"), close(F.col("s")).alias("is_best"))
 
 
+_COOCCUR = """liked AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, item_id) - 1 AS pos FROM ratings WHERE rating >= 3.5),
+often AS (SELECT item_id FROM liked GROUP BY item_id HAVING count(*) >= 5),
+placed AS (SELECT user_id, pos // 1000 AS chunk, item_id, row_number() OVER (PARTITION BY user_id, pos // 1000 ORDER BY pos) AS at FROM liked JOIN often USING (item_id)),
+cooccur AS (SELECT least(x.item_id, y.item_id) AS item_a, greatest(x.item_id, y.item_id) AS item_b, CAST(sum(6 - (y.at - x.at)) AS BIGINT) AS n
+  FROM placed x JOIN placed y ON x.user_id = y.user_id AND x.chunk = y.chunk AND y.at > x.at AND y.at <= x.at + 5 GROUP BY 1, 2)"""
+
+
+@query("item2vec_pairs", "SELECT item_a, item_b, n FROM cooccur", _COOCCUR)
+def item2vec_pairs(spark, d):
+    return i2v.cooccurrence(emb.item_sequences(cv.ratings(spark, d)))
+
+
+# the vectors' products follow the counts: a pair's mean product lies above that of items that never met
+@query("item2vec_blocks",
+       """SELECT item_id, CAST(sum(n) AS BIGINT) AS n, CAST(10 AS BIGINT) AS dim, true AS pairs_above_strangers
+          FROM (SELECT item_a AS item_id, n FROM cooccur UNION ALL SELECT item_b, n FROM cooccur) x GROUP BY item_id""", _COOCCUR)
+def item2vec_blocks(spark, d):
+    pairs = written(i2v.cooccurrence(emb.item_sequences(cv.ratings(spark, d))))
+    v = written(i2v.train_item2vec_blocks(pairs, seed=SEED))
+    gap = i2v.product_gap(v, pairs)
+    return v.join(F.broadcast(gap)).select("item_id", "n", F.size("emb").alias("dim"), (F.col("met") > F.col("unmet")).alias("pairs_above_strangers"))  # one row of means
+
+
 @query("embedding_job", "SELECT DISTINCT user_id, CAST(10 AS BIGINT) AS dim FROM ratings")
 def embedding_job(spark, d):
     _, uv, _ = emb.embedding_job(cv.ratings(spark, d), seed=SEED, partitions=W2V_PARTITIONS)
