@@ -91,6 +91,54 @@ def test_text_after_pictures_stays(mark):
     assert tag_paths.main_text(f"<article><p>a</p>{mark}<p>b text</p></article>") == "a\n\nb text"
 
 
+BODY = "".join(f"<p>Paragraph {i} of the article, which is long enough, has commas, and ends with a stop.</p>" for i in range(6))
+BLOCKS = [f"Paragraph {i} of the article, which is long enough, has commas, and ends with a stop." for i in range(6)]
+
+
+@pytest.mark.parametrize("wrap", ['class="content with-sidebar"', 'class="page no-sidebar has-comments"', 'class="main sidebar-right"', 'id="related-work"', 'class="share-buybacks"'])
+def test_wrappers_of_the_article_stay(wrap):
+    want = "\n\n".join(["Title", *BLOCKS])
+    assert tag_paths.main_text(f"<body><div {wrap}><article><h1>Title</h1>{BODY}</article></div></body>") == want
+    assert tag_paths.main_text(f"<body><div {wrap}><h1>Title</h1>{BODY}</div></body>") == want
+
+
+@pytest.mark.parametrize("part", ['<h2 id="share-price-falls">X</h2>', '<h2 id="related-work">X</h2>', '<p id="menu-of-options">X</p>', '<p id="menu">X</p>', '<section id="share-buybacks"><p>X</p></section>',
+                                  "<ul><li>X</li></ul>", "<table><tr><td>X</td></tr></table>", "<p>X</p>", '<h3 class="c">X</h3>', '<p class="plain"><a href="x">X</a> and a sentence, which is long, with marks, and more.</p>'])
+def test_short_parts_of_the_article_stay(part):
+    text = tag_paths.main_text(f"<article><h1>T</h1>{BODY}{part}{BODY}</article>").split("\n\n")
+    assert text[7].startswith("X") and text[:7] == ["T", *BLOCKS] and text[8:] == BLOCKS
+
+
+@pytest.mark.parametrize("part", ['<div class="partner-offer">Buy now</div>', '<ul class="more-links"><li><a href="x">One</a></li><li><a href="y">Two</a></li></ul>', '<ul><li><a href="x">One</a></li><li><a href="y">Two</a></li></ul>',
+                                  '<h3>See more</h3><ul class="x"><li><a href="x">One</a></li></ul><h2>Part</h2>', '<div class="user-opinions"><p>I think, as a reader, that this is right.</p></div>', '<article class="comment"><p>I think so, too.</p></article>'])
+def test_parts_that_are_not_the_article_leave(part):
+    text = tag_paths.main_text(f"<article><h1>T</h1>{BODY}{part}{BODY}</article>").split("\n\n")
+    assert [t for t in text if t != "Part"] == ["T", *BLOCKS, *BLOCKS]
+
+
+def test_ratios_decide(monkeypatch):
+    page = f'<article>{BODY}<div class="partner-offer">Buy now</div>{BODY}</article>'
+    assert "Buy now" not in tag_paths.main_text(page)
+    monkeypatch.setattr(tag_paths, "WITHIN", 0.0)
+    assert "Buy now" in tag_paths.main_text(page)
+
+
+def test_ratios_against_a_plain_sum():
+    nodes = tag_paths.parse(f'<article>{BODY}<div class="x">Buy now</div><p>Short.</p></article>')
+    chars, share, links = tag_paths.content_nodes(nodes)
+    text = [t for _, t, _ in nodes]
+    kind = ["x" if t == "Buy now" else "p" for t in text]
+    per = {}
+    for k in set(kind):
+        own = [t for t, o in zip(text, kind, strict=True) if o == k]
+        per[k] = sum(map(len, own)) / len(own) * (1 + sum(c in ".,;:!?" for t in own for c in t) / len(own))
+    ratio = [per[k] for k in kind]
+    smooth = [(ratio[max(i - 1, 0)] + 2 * ratio[i] + ratio[min(i + 1, len(ratio) - 1)]) / 4 for i in range(len(ratio))]
+    mean = sum(smooth) / len(smooth)
+    assert chars.tolist() == [len(t) for t in text] and not links.any()
+    assert np.allclose(share, [s / mean for s in smooth])
+
+
 def test_extracted_rows(spark):
     rows = [(1, "u", PAGE % ("article", "article"), "x"), (1, "u", PAGE % ("article", "article"), "y"), (None, None, None, None), (2, None, "", "t")]
     got = tag_paths.extracted(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
