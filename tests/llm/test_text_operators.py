@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm_helpers import prose, split
+from pyspark.sql import functions as F
 
 from reelsift.llm import chat_format, isolation_rules, minhash, minmax_dedup, packing, quality_classifier, tag_paths, textkit, toxicity
 
@@ -177,6 +178,70 @@ def test_forest_isolates_and_threshold_follows_labels():
     assert len(isolation_rules.Forest(np.zeros((0, 4))).score(np.ones((3, 4)))) == 3
 
 
+def test_excess_is_nothing_within_the_range_of_good_rows():
+    rng = np.random.default_rng(1)
+    good = rng.normal(0.5, 0.05, (5000, len(isolation_rules.RATIOS)))
+    x = isolation_rules.Excess(good)
+    assert (x(good) > 0).any(axis=1).mean() < 0.03 and x(good).shape == (5000, len(isolation_rules.RATIOS) + 1)
+    low, high = np.quantile(good, 0.001, axis=0), np.quantile(good, 0.999, axis=0)
+    far = x(np.stack([high + (high - np.median(good, axis=0)), low - (np.median(good, axis=0) - low)]))
+    assert np.allclose(far[0, :-1], np.log(2)) and far[0, -1] == 0
+    assert np.allclose(far[1, :-1], 0) and np.isclose(far[1, -1], np.log(2))
+    assert np.isfinite(isolation_rules.Excess(np.zeros((0, len(isolation_rules.RATIOS))))(good)).all()
+
+
+def slow_score(forest, row):
+    total = 0.0
+    for t in range(len(forest.feature)):
+        at = 0
+        while not np.isnan(forest.split[t, at]):
+            at = 2 * at + 1 + int(row[forest.feature[t, at]] >= forest.split[t, at])
+        total += forest.length[t, at]
+    return 2.0 ** (-total / len(forest.feature) / forest.norm)
+
+
+def test_verdict_follows_the_forest(spark):
+    """Kept rows are those whose path through a forest walked in plain Python is long enough; an excess alone, without
+    the forest, rejects more."""
+    docs, marked = [], []
+    for i in range(600):
+        text = prose(i, 120)
+        if i % 12 == 0:  # symbols in every second word
+            text = " ".join(w + "%%%" if j % 2 else w for j, w in enumerate(text.split(" ")))
+        docs.append((i, text))
+        marked.append((i, int(i % 12 != 0)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    known = spark.createDataFrame([m for m in marked if m[0] <= 500], "doc_id long, quality int")
+    got = {r.doc_id: r for r in isolation_rules.quality_rules(frame, known).collect()}
+    stats = isolation_rules.statistics(pa.array([t for _, t in docs], pa.string()))
+    x = np.stack([stats[c] for c in isolation_rules.RATIOS], axis=1)
+    fold = np.array([zlib.crc32(str(i).encode()) % 5 for i, _ in docs])
+    use = np.array([not got[i].base_failed for i, _ in docs])
+    train = use & (fold != 0) & (np.arange(600) <= 500)
+    quality = np.array([q for _, q in marked])
+    measure = isolation_rules.Excess(x[train & (quality == 1)])
+    out = measure(x)
+    score = np.array([got[i].anomaly for i, _ in docs])
+    drawn = [r.doc_id for r in frame.orderBy(F.xxhash64("doc_id", F.lit(isolation_rules.SEED))).select("doc_id").collect()]
+    forest = isolation_rules.Forest(out[[i for i in drawn if use[i]]])
+    assert np.allclose(score[:60], [slow_score(forest, r) for r in out[:60]])
+    cut = isolation_rules.threshold(score[train], quality[train] == 1)
+    assert [got[i].kept for i, _ in docs] == [bool(u and s <= cut) for u, s in zip(use, score, strict=True)]
+    held = use & (fold == 0)
+    assert not any(got[i].kept for i in np.flatnonzero(held & (quality == 0)))
+    odd = use & (quality == 1) & (out > 0).any(axis=1)
+    assert odd.any() and any(got[i].kept for i in np.flatnonzero(odd))
+
+
+def test_repeated_labelled_ids_do_not_depend_on_the_layout(spark):
+    rows = [(i % 40, prose(i, 80) + (" ###" * 40 if i % 7 == 0 else "")) for i in range(200)]
+    known = spark.createDataFrame([(i, i % 2) for i in range(40)] * 2, "doc_id long, quality int")
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    a = sorted((r.doc_id, r.n_symbols, r.anomaly, r.kept) for r in isolation_rules.quality_rules(frame.coalesce(1), known, labelled_rows=30).collect())
+    b = sorted((r.doc_id, r.n_symbols, r.anomaly, r.kept) for r in isolation_rules.quality_rules(frame.repartition(6), known, labelled_rows=30).collect())
+    assert a == b
+
+
 def test_quality_rules(spark, odd, odd_rows, none, labels):
     got = isolation_rules.quality_rules(odd, labels).collect()
     assert len(got) == len(odd_rows)
