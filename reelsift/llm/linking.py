@@ -1,4 +1,4 @@
-"""From band keys to groups: candidates, exact confirmation and components, linear in documents and links."""
+"""From band keys to groups: candidates, exact confirmation and components, without pairing the rows of a bucket."""
 
 from __future__ import annotations
 
@@ -6,13 +6,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelsift.llm.graph import components, jump
 from reelsift.llm.scratch import written
 from reelsift.llm.textkit import distinct_sets, hash_spans, long_list, mix, shingles, slices, words
 
+CLASS = 1.02  # ratio of neighbouring size classes
+
 
 def shingle_sets(text: pa.Array, k: int, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     w = words(text)
@@ -55,6 +57,41 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(F.when(near, 100 * both >= percent * (size - both)).otherwise(False)).select("a", "b")
 
 
+def _prefix_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``rows`` (main, id, comp, minor) under one ``main``, of different ``comp``, one of them ``minor``,
+    that can have 100 * intersection >= percent * union: no such pair is left out, and rows that share only a core too
+    small for it never meet.
+
+    Under one ``main`` all sets are read in one order: shingles outside main's own set, rare ones first, then those of
+    main.  Two sets whose first common shingle has ``at`` others before it share ``n - at`` at most, which bounds the
+    partner's size by ``top``.  They meet at that shingle and at the partner's size class, so a family under the
+    threshold, whose rows have too many shingles of their own before the core, makes no pairs.
+    """
+    pivot, own = sets.select(F.col("id").alias("main"), F.col("shingles").alias("p")), sets.select("id", F.col("shingles").alias("s"))
+    n = F.size("s")
+    about = rows.join(pivot, "main").join(own, "id").select(
+        "main", "id", "comp", "minor", n.alias("n"), F.array_except("s", "p").alias("r"), F.array_sort(F.array_intersect("s", "p")).alias("c")
+    )
+    size = F.col("n").cast("long")
+    least, most = F.ceil(size * percent / 100 - F.lit(1e-9)), F.floor(size * 100 / percent + F.lit(1e-9))
+    about = written(about.withColumn("least", least).withColumn("most", most).withColumn("reach", F.col("n") - F.col("least") + 1))
+    outside = written(about.select("main", "id", F.explode("r").alias("e")))
+    often = outside.groupBy("main", "e").agg(F.count("*").alias("f"))
+    order = Window.partitionBy("main", "id").orderBy("f", "e")
+    outside = outside.join(written(often.where("f > 1")), ["main", "e"], "left").select("main", "id", "e", F.coalesce("f", F.lit(1)).alias("f"))
+    outside = outside.withColumn("at", F.row_number().over(order) - 1).where("f > 1")
+    inside = about.where(F.size("r") < F.col("reach")).select("main", "id", F.size("r").alias("before"), F.posexplode(F.slice("c", F.lit(1), (F.col("reach") - F.size("r")).cast("int"))).alias("k", "e"))
+    entry = outside.select("main", "id", "e", "at").unionByName(inside.select("main", "id", "e", (F.col("before") + F.col("k")).alias("at")))
+    entry = entry.join(about.select("main", "id", "comp", "minor", "n", "least", "most"), ["main", "id"])
+    entry = entry.withColumn("top", F.least("most", F.floor((F.col("n") - F.col("at")) * (100 + percent) / percent - F.col("n") + F.lit(1e-9)))).where("top >= least")
+    entry = written(entry.select("main", "e", "id", "comp", "minor", "n", "least", "top"))
+    size_class = lambda c: F.floor(F.log(c) / float(np.log(CLASS))).cast("int")
+    left = entry.where("minor").select("main", "e", F.explode(F.sequence(size_class(F.col("least")), size_class(F.col("top")))).alias("class"), *(F.col(x).alias(x + "i") for x in ("id", "comp", "n", "top")))
+    right = entry.select("main", "e", size_class(F.col("n")).alias("class"), *(F.col(x).alias(x + "j") for x in ("id", "comp", "n", "top")))
+    met = left.join(right, ["main", "e", "class"]).where("compi <> compj and ni <= topj and nj <= topi")
+    return met.select(F.least("idi", "idj").alias("a"), F.greatest("idi", "idj").alias("b")).distinct()
+
+
 def link_groups(docs: DataFrame, base: DataFrame, to_sets: Callable, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id, kept from documents and their sketches (see ``sketch_batch``).
 
@@ -84,21 +121,8 @@ def link_groups(docs: DataFrame, base: DataFrame, to_sets: Callable, percent: in
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
     main = written(sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).select("key", F.col("m.comp").alias("main")))
     rows = written(rows.join(main, "key"))
-    # against the largest component's first document: the shingles shared with it, and those beside (few, in a family
-    # of copies).  Two rows share at most the smaller count of the former and what their latter have in common.
-    pair = written(rows.select("main", "id").distinct())
-    pivot, own = sets.select(F.col("id").alias("main"), F.col("shingles").alias("p")), sets.select("id", F.col("shingles").alias("s"))
-    about = pair.join(pivot, "main").join(own, "id").select("main", "id", F.size("s").alias("n"), F.size(F.array_intersect("s", "p")).alias("c"), F.array_except("s", "p").alias("r"))
-    rows = written(rows.join(written(about), ["main", "id"]))
-    minor = rows.where("comp <> main").select("key", *(F.col(x).alias(x + "i") for x in ("id", "comp", "n", "c", "r")))
-    rest = rows.select("key", *(F.col(x).alias(x + "j") for x in ("id", "comp", "n", "c", "r")))
-    need = F.ceil(percent * (F.col("ni") + F.col("nj")) / F.lit(100.0 + percent) - F.lit(1e-9)) - F.least("ci", "cj")
-    reach = F.when(need <= 0, True).when(F.least(F.size("ri"), F.size("rj")) < need, False).otherwise(F.size(F.array_intersect("ri", "rj")) >= need)
-    apart = (
-        written(minor).join(rest, "key").where(F.col("compi") != F.col("compj")).where(reach)
-        .select(F.least("idi", "idj").alias("a"), F.greatest("idi", "idj").alias("b"))
-        .distinct()
-    )
+    rows = written(rows.select("main", "id", (F.col("comp") != F.col("main")).alias("minor"), "comp").groupBy("main", "id", "comp").agg(F.max("minor").alias("minor")))
+    apart = _prefix_pairs(rows, sets, percent)
     apart = apart.join(written(first), ["a", "b"], "left_anti")
     links = _verified(apart, sets, percent)
     more = written(links.join(label.select(F.col("id").alias("a"), F.col("comp").alias("x")), "a", "left").join(label.select(F.col("id").alias("b"), F.col("comp").alias("y")), "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")).distinct())

@@ -4,8 +4,9 @@ Each document's distinct word shingles go through ``3 * bands`` universal hash p
 *and* the maximum under three of them, so half the hash evaluations give six values a band.  With 46 bands a pair of
 Jaccard 0.8 shares no band with a probability of about 1e-6 (1e-5 for sets of a handful of shingles).
 
-Work is linear in documents and links: equal sets collapse first, a bucket is linked through one leader, and only what
-a leader leaves apart is compared further, across components, so a huge group of copies never becomes all its pairs.
+Equal sets collapse first, a bucket is linked through one leader, and only what a leader leaves apart is compared
+further, across components, so a huge group of copies never becomes all its pairs.  That comparison meets rows at rare
+shingles within exact size bounds, so a family just under the threshold makes no pairs either.
 Every link is confirmed on full shingle sets.
 """
 

@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import zlib
 from collections import Counter
 
@@ -8,7 +10,9 @@ import pytest
 from llm_helpers import prose, split
 from pyspark.sql import functions as F
 
-from reelsift.llm import chat_format, isolation_rules, minhash, minmax_dedup, packing, quality_classifier, tag_paths, textkit, toxicity
+from reelsift.llm import chat_format, isolation_rules, linking, minhash, minmax_dedup, packing, quality_classifier, tag_paths, textkit, toxicity
+from reelsift.llm.subword import labelled_sample
+
 
 def lower(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
@@ -315,6 +319,56 @@ def test_scores_of_odd_rows(spark, odd, odd_rows, none, labels, module, run):
     assert getattr(module, run)(odd, labels.limit(0)).count() == len(odd_rows)
 
 
+def test_repeated_ids_teach_their_smallest_text(spark):
+    docs = [(i % 8, f"text {i:03d}") for i in range(400)] + [(3, None), (None, "x")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    seen = set()
+    for parts in (1, 7):
+        texts, label = labelled_sample(spark.createDataFrame(docs, "doc_id long, text string").repartition(parts), labels, "quality", 1_500, 200_000, 41)
+        seen.add((tuple(texts), tuple(label)))
+    [(texts, label)] = seen
+    learnt = [i for i in range(8) if zlib.crc32(str(i).encode()) % 5]
+    assert list(texts) == ["" if i == 3 else f"text {i:03d}" for i in learnt] and list(label) == [i % 2 for i in learnt]
+
+
+def slow_word_features(word, lower):
+    """Hash buckets of a word and its 3 to 5 character windows with edge marks, by arithmetic on Python integers."""
+    low = "".join(chr(ord(c) + 32) if lower and "A" <= c <= "Z" else c for c in word)
+    marked = f"<{low}>"
+    out = [int(textkit.hash_spans(textkit.words(pa.array([word], pa.large_string())), lower)[0])]
+    for k in (3, 4, 5):
+        for i in range(len(marked) - k + 1):
+            acc = 0
+            for c in marked[i : i + k]:
+                acc = int(textkit.mix(np.array([(acc * 0x9E3779B97F4A7C15 + ord(c)) % 2**64], np.uint64))[0])
+            out.append((acc + k) % 2**64)
+    return [x % quality_classifier.BUCKETS for x in out]
+
+
+def test_scores_equal_plain_averages():
+    """Both classifiers' scores against averages of the folded table, taken word by word."""
+    r = np.random.default_rng(1)
+    folded = r.standard_normal(quality_classifier.BUCKETS + quality_classifier.REPEATS)
+    texts = ["", " ", "One two three", "a bb a bb a bb ccc", "same same same word", "ß é🙂 Word, again\tand again and again", "w" * 40, " ".join(f"Term{i} of" for i in range(40))]
+    value = lambda w, lower: float(np.mean([folded[f] for f in slow_word_features(w, lower)]))
+    quality, toxic = [], []
+    for t in texts:
+        w = split(t)
+        windows = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        total = 0.0
+        for i, x in enumerate(w):
+            total += value(x, False)
+            total += folded[quality_classifier.BUCKETS] * (i > 0 and w[i - 1] == x)
+            total += folded[quality_classifier.BUCKETS + 1] * any(windows[tuple(w[j : j + 3])] > 1 for j in range(max(0, i - 2), min(i, len(w) - 3) + 1))
+        quality.append(1 / (1 + math.exp(-(total / max(len(w), 1) + 0.25))))
+        runs = [x for i, x in enumerate(w) if not i or lower(w[i - 1]) != lower(x)]
+        bags = [runs[i : i + toxicity.BAG] for i in range(0, len(runs), toxicity.BAG)]
+        toxic.append(max((1 / (1 + math.exp(-(np.mean([value(x, True) for x in b]) + 0.25))) for b in bags), default=0.0))
+    column = pa.array(texts, pa.large_string())
+    assert np.allclose(quality_classifier.score_texts(column, folded, 0.25), quality, atol=1e-9)
+    assert np.allclose(toxicity.score_texts(column, folded[: toxicity.BUCKETS], 0.25), toxic, atol=1e-9)
+
+
 def test_held_out_labels_are_not_learnt(spark, odd, labels):
     from pyspark.sql import functions as F
 
@@ -449,6 +503,25 @@ def test_groups_match_brute_force(spark, module, k, fold):
     assert got == slow_groups(rows, k, 80, fold)
 
 
+def test_families_under_the_threshold_make_no_pairs(spark):
+    """Sets of one core and own shingles: no pair at Jaccard 0.78, and with sizes around the threshold
+    little but links; no link is left out, whatever else the sets share."""
+    core = list(range(89))
+    same = {i: core + [1000 + 100 * i + j for j in range(12)] for i in range(300)}
+    r = random.Random(3)
+    sizes = {i: core + [1000 + 100 * i + j for j in range(r.randint(6, 20) if i else 0)] for i in range(300)}
+    mixed = {i: s + r.sample(range(500, 520), 6) for i, s in sizes.items()}
+    some = {i: r.sample(range(30), r.randint(1, 30)) for i in range(300)}
+    for sets in (same, sizes, mixed, some):
+        rows = spark.createDataFrame([(0, i, i, i > 0) for i in sets], "main long, id long, comp long, minor boolean")
+        table = spark.createDataFrame([(i, s) for i, s in sets.items()], "id long, shingles array<long>")
+        got = {(p.a, p.b) for p in linking._prefix_pairs(rows, table, 80).collect()}
+        whole = {i: set(s) for i, s in sets.items()}
+        want = {(a, b) for a in sets for b in sets if a < b and 100 * len(whole[a] & whole[b]) >= 80 * len(whole[a] | whole[b])}
+        assert want <= got
+        assert sets not in (same, sizes) or len(got) <= 1.1 * len(want)
+
+
 def test_groups_of_odd_rows(spark, odd, odd_rows, none):
     got = minmax_dedup.near_duplicates(odd).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in odd_rows)
