@@ -246,3 +246,18 @@ def test_genre_index_does_not_depend_on_id_size(spark):
     items = spark.createDataFrame([(1, "A|B"), (250_000, "A"), (9_000_000_000, "A|A")], "item_id bigint, genres string")
     got = sorted(tuple(r) for r in genre_index(items).collect())
     assert got == [("A", 1, 3), ("A", 250_000, 3), ("A", 9_000_000_000, 3), ("B", 1, 1)]
+
+
+def test_cross_validation_blocks_hold_part_of_one_fold(spark, monkeypatch):
+    """No block of the joint fit holds more than about BLOCK_RATINGS ratings, and none mixes folds."""
+    from reelsift.operators import cf
+
+    r = cv.ratings(spark, SF)
+    whole = {x.fold: x.n for x in cf.cv_fold_metrics(r, folds=4).collect()}
+    made, make = [], cf.als_estimator
+    monkeypatch.setattr(cf, "als_estimator", lambda *a, **k: made.append(make(*a, **k)) or made[-1])
+    monkeypatch.setattr(cf, "BLOCK_RATINGS", 500)
+    small = cf.cv_fold_metrics(r, folds=4).collect()
+    blocks = made[0].getNumUserBlocks()
+    assert blocks == made[0].getNumItemBlocks() and blocks % 4 == 0 and blocks >= 4 * (r.count() * 3 / 4) / 500
+    assert {x.fold: x.n for x in small} == whole and all(0 < x.rmse < 4.5 for x in small)
