@@ -80,10 +80,11 @@ def add_item_features(samples: DataFrame, items: DataFrame, numeric: bool = Fals
     """W9 (J1, P4, P7, A2, J2): append item columns and item statistics to rating samples.
 
     Items and the per-item statistics meet first, one row an item (every sample's
-    item has statistics), so the samples are joined once.
+    item has statistics), so the samples are joined once.  Titles take many times the bytes of their Parquet files:
+    they are shuffled, never broadcast by the files' size.
     """
     stats = item_stats(samples.select("item_id", "rating"), numeric)
-    per_item = stats.join(items.select("item_id", "title", "genres"), "item_id", "left")
+    per_item = stats.join(items.select("item_id", "title", "genres").hint("shuffle_merge"), "item_id", "left")
     twins = ["movie_avg_rating_num", "movie_rating_stddev_num"] if numeric else []
     return samples.join(per_item, "item_id", "left").select(
         *[c for c in samples.columns],

@@ -219,7 +219,7 @@ def join_kv_features(spark, d):
     path = scratch_dir(spark) + "/kv"
     skv.write_kv(skv.item_feature_kv(itf.latest_item_features(training_samples(spark, d))), path)
     f = skr.read_kv_features(spark, path, skv.ITEM_FEATURE_PREFIX, "item_id")
-    return cv.items(spark, d).select("item_id").join(f, "item_id", "left").select("item_id", F.explode_outer("features").alias("field", "value"))
+    return skr.join_features(cv.items(spark, d).select("item_id"), f).select("item_id", F.explode_outer("features").alias("field", "value"))
 
 
 @query("join_kv_user_features",
@@ -228,7 +228,7 @@ def join_kv_features(spark, d):
 def join_kv_user_features(spark, d):
     f = skr.read_kv_features(spark, _user_kv(spark, d), skv.USER_FEATURE_PREFIX, "user_id")
     users = cv.ratings(spark, d).select("user_id").distinct()
-    return users.join(f, "user_id", "left").select("user_id", F.explode_outer("features").alias("field", "value"))
+    return skr.join_features(users, f, "user_id").select("user_id", F.explode_outer("features").alias("field", "value"))
 
 
 @query("src_feature_switch", f"SELECT true AS enabled, key, field, value FROM ({_ITEM_KV_SQL}) u", *_FEATS)

@@ -39,6 +39,12 @@ def read_kv_features(spark: SparkSession, path: str, prefix: str, id_col: str =
     return kv.select(F.get(F.split("key", ":"), 1).try_cast("bigint").alias(id_col), "features").where(F.col(id_col).isNotNull())
 
 
+def join_features(ids: DataFrame, features: DataFrame, id_col: str = "item_id") -> DataFrame:
+    """``ids`` with the feature map of each id (null: none).  Both sides are shuffled: maps take many times the bytes of
+    their Parquet files, from which Spark would take a large store for one to broadcast through the driver."""
+    return ids.join(features.hint("shuffle_merge"), id_col, "left")
+
+
 def load_embeddings(spark: SparkSession, source: str, path: str, prefix: str | None = None, id_col: str = "item_id",
                     as_of: int | None = None) -> DataFrame:
     """One entry point for both embedding sources (``file`` or ``kv``)."""

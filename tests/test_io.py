@@ -142,3 +142,22 @@ def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
     sc = types.SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_base(types.SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_stored_features_are_joined_without_the_driver(spark):
+    """Neither of the two joins broadcasts the feature maps, however small their files look."""
+    import __spark_entry__ as e
+
+    for name, id_col in (("join_kv_features", "item_id"), ("join_kv_user_features", "user_id")):
+        df = e.queries()[name](spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "features" in plan
+        assert f"BroadcastHashJoin [{id_col}" not in plan, name
+
+
+def test_item_columns_of_samples_are_not_broadcast(spark):
+    import __spark_entry__ as e
+
+    plan = e.queries()["item_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    titles = plan.index("part.parquet")
+    assert "SortMergeJoin [item_id" in plan and "BroadcastExchange" not in plan[plan.index("SortMergeJoin [item_id") : titles]
