@@ -522,6 +522,24 @@ def test_families_under_the_threshold_make_no_pairs(spark):
         assert sets not in (same, sizes) or len(got) <= 1.1 * len(want)
 
 
+def test_families_around_the_threshold_are_not_compared_in_full(spark, monkeypatch):
+    """Copies that missed their leader: rounds of few pairs link most of them, with the groups of all pairs."""
+    r, rows = random.Random(5), []
+    for fam in range(2):
+        core = [f"w{fam}x{i}" for i in range(150)]
+        for _ in range(200):
+            t = list(core)
+            for _ in range(r.randint(0, 9)):
+                t[r.randrange(150)] = f"z{r.randrange(10**6)}"
+            rows.append((len(rows), " ".join(t)))
+    compared, verified = [], linking._verified
+    monkeypatch.setattr(linking, "_verified", lambda pairs, *rest: compared.append(pairs.count()) or verified(pairs, *rest))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in minmax_dedup.near_duplicates(docs).collect()}
+    assert got == slow_groups(rows, 2, 80, True)
+    assert sum(compared) < 10_000  # all pairs of rows apart: about 20,000
+
+
 def test_groups_of_odd_rows(spark, odd, odd_rows, none):
     got = minmax_dedup.near_duplicates(odd).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in odd_rows)
