@@ -26,7 +26,10 @@ from reelsift.functions import dot
 from reelsift.operators.embedding import ITEM2VEC_DIM, ITEM2VEC_WINDOW, SENTENCE_ITEMS
 from reelsift.session import scratch_dir, written
 
-BLOCK_ITEMS = 4096  # items of a block: a cell has at most its square of counts
+BLOCK_ITEMS = 4096  # items of a block, as long as there are no more than ROUND_BLOCKS of them
+ROUND_BLOCKS = 24  # blocks, and so rounds of an epoch, beyond which blocks grow instead
+CELL_PAIRS = 4_000_000  # counts of a cell on average, and
+MOST_BLOCK_ITEMS = 400_000  # items of a block, at most: what a task holds
 NEGATIVE = 5  # drawn contexts a pair
 EPOCHS = 5
 PASSES = 2  # over a cell while its blocks are at hand: ten passes in all, like ITEM2VEC_ITERATIONS
@@ -121,6 +124,17 @@ def _cell_fn(all_p: int, seed: int, epoch: int, shift: int, negative: int, passe
     return fn
 
 
+def block_count(items: int, pairs: int, block_items: int = BLOCK_ITEMS) -> int:
+    """Blocks for ``items`` and ``pairs`` (of both directions).
+
+    An epoch has as many rounds as blocks, and every cell draws for each item of its centre block: with blocks of a fixed
+    size rounds and draws would grow with the square of the items.  So blocks grow beyond ROUND_BLOCKS of them, until a
+    cell or its two blocks reach what a task may hold.
+    """
+    few = min(math.ceil(items / block_items), ROUND_BLOCKS)
+    return max(1, few, math.ceil(items / MOST_BLOCK_ITEMS), min(math.ceil(math.sqrt(pairs / CELL_PAIRS)), math.ceil(items / block_items)))
+
+
 def train_item2vec_blocks(
     pairs: DataFrame,
     dim: int = ITEM2VEC_DIM,
@@ -144,7 +158,7 @@ def train_item2vec_blocks(
     power = F.greatest(F.round(F.pow(F.col("n").cast("double"), F.lit(POWER)) * POWER_UNIT).cast("bigint"), F.lit(1))
     items = written(directed.groupBy(F.col("a").alias("item_id")).agg(F.sum("n").alias("n")).withColumn("p", power))
     count, all_p = items.agg(F.count(F.lit(1)), F.sum("p")).first()
-    blocks = max(1, math.ceil(count / block_items))
+    blocks = block_count(count, 2 * pairs.count(), block_items)
     block = lambda c: F.pmod(F.xxhash64(F.col(c), F.lit(seed)), F.lit(blocks)).cast("int")
 
     cells = directed.withColumn("cell", block("a")).withColumn("shift", F.pmod(block("b") - F.col("cell"), F.lit(blocks)).cast("int"))

@@ -167,3 +167,11 @@ def test_grid_leaves_no_place_with_all_rows_of_a_key(spark, monkeypatch):
     assert "_salt" in plan and "_piece" in plan
     per = many.where("key is not null").groupBy(F.pmod(F.xxhash64("user_id"), F.lit(16)).alias("s")).count().agg(F.max("count")).first()[0]
     assert per < 3000 / 16 * 1.5
+
+
+def test_rounds_do_not_grow_with_the_items():
+    """Blocks grow with the vocabulary until a task's bounds: rounds times items, not the square of the items."""
+    assert i2v.block_count(20_000, 2_000_000) == 5 and i2v.block_count(0, 0) == 1
+    assert i2v.block_count(200_000, 20_000_000) == i2v.block_count(1_200_000, 140_000_000) == 24
+    assert i2v.block_count(40_000_000, 5_000_000_000) == 100  # a block's items
+    assert i2v.block_count(1_000_000, 40_000_000_000) == 100  # a cell's counts
