@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Word2Vec
+import math
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelsift.functions import POSITIVE_THRESHOLD
+from reelsift.functions import POSITIVE_THRESHOLD, cosine100
 from reelsift.operators.positions import HEAVY_ROWS, heavy_keys, heavy_positions, split_heavy
 from reelsift.plans.joins import broadcast_within, row_bytes
+from reelsift.session import written
 
 # item2vec settings of the reference's embedding job.
 ITEM2VEC_DIM = 10
 ITEM2VEC_WINDOW = 5
 ITEM2VEC_ITERATIONS = 10
-# Spark's Word2Vec cuts sentences at this length anyway; only its input is cut, never a result.
+ITEM2VEC_PASSES = 5  # iterations over a pair of blocks while they are at hand
+# Word2Vec cuts sentences at this length anyway; only its input is cut, never a result.
 SENTENCE_ITEMS = 1000
 
 
@@ -101,31 +104,39 @@ def train_item2vec(
     seed: int = 42,
     min_count: int = 5,
     partitions: int = 1,
-):
-    """Skip-gram item2vec with Spark ML's Word2Vec on the ``sentences`` of ``item_sequences``.
+) -> DataFrame:
+    """Skip-gram item2vec of ``item_sequences``: (item_id, emb ARRAY<FLOAT>) of every item seen ``min_count`` times.
 
-    ``partitions``: Word2Vec trains one model per partition and averages them
-    each iteration, so the vectors depend on it; it is an argument with a fixed
-    default (Spark's own), never the cluster's size.  The model (vocabulary x
-    dimension) is held by the driver: Spark ML's limit.
+    Trained by blocks of the vocabulary (``item2vec_blocks``), so neither the driver nor a task holds all of it:
+    ``iterations`` passes over all pairs, ITEM2VEC_PASSES of them each time two blocks meet.  Items without a neighbour
+    keep their first vector, as in Word2Vec.  ``partitions``: the least number of blocks, which train side by side; the
+    vectors depend on it, so it is an argument with a fixed default, never the cluster's size.
     """
-    w2v = Word2Vec(
-        vectorSize=dim, windowSize=window, maxIter=iterations, minCount=min_count, seed=seed,
-        numPartitions=partitions, inputCol="items", outputCol="_w2v", maxSentenceLength=SENTENCE_ITEMS,
+    from reelsift.operators import item2vec_blocks as blocks
+
+    sequences = written(sequences)
+    epochs = math.ceil(iterations / ITEM2VEC_PASSES)
+    vectors = blocks.train_item2vec_blocks(
+        blocks.cooccurrence(sequences, window, min_count), dim, seed, epochs=epochs, passes=math.ceil(iterations / max(epochs, 1)), least_blocks=partitions
     )
-    # Word2Vec deals sentences to its partitions in the order they come: sorted, the same data give the same vectors
-    return w2v.fit(sentences(sequences).orderBy("user_id", "chunk").select("items"))
+    often = sequences.where(F.col("item_id").isNotNull()).groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
+    emb = F.coalesce("emb", blocks.first_vector(dim, seed)).alias("emb")
+    return written(often.select("item_id").join(vectors.select("item_id", "emb"), "item_id", "left").select("item_id", emb))
 
 
-def item_vectors(model) -> DataFrame:
+def item_vectors(model: DataFrame) -> DataFrame:
     """All item vectors of a trained item2vec model as (item_id, emb ARRAY<FLOAT>)."""
-    v = model.getVectors()
-    return v.select(F.col("word").cast("bigint").alias("item_id"), vector_to_array("vector", "float32").alias("emb"))
+    return model.select("item_id", "emb")
 
 
-def synonyms(model, item_id, n: int = 20) -> DataFrame:
-    """T5 on a trained model: the n most similar items of one item (Word2Vec.findSynonyms)."""
-    return model.findSynonyms(str(item_id), n).select(F.col("word").cast("bigint").alias("item_id"), F.col("similarity"))
+def synonyms(model: DataFrame, item_id, n: int = 20) -> DataFrame:
+    """T5 on a trained model: the n most similar items of one item (item_id, similarity): one pass over the vectors, of
+    which each task keeps its n best."""
+    item_id = int(item_id)
+    seed = model.where(F.col("item_id") == item_id).select(F.col("emb").cast("array<double>").alias("seed_emb"))
+    others = model.where(F.col("item_id") != item_id).join(F.broadcast(seed))  # one row
+    scored = others.select("item_id", (cosine100(F.col("emb").cast("array<double>"), F.col("seed_emb")) / 100).alias("similarity"))
+    return scored.orderBy(F.col("similarity").desc(), "item_id").limit(n)
 
 
 def embedding_job(ratings: DataFrame, dim: int = ITEM2VEC_DIM, seed: int = 42, partitions: int = 1,

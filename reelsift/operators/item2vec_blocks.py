@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelsift.functions import dot
@@ -30,11 +30,13 @@ BLOCK_ITEMS = 4096  # items of a block, as long as there are no more than ROUND_
 ROUND_BLOCKS = 24  # blocks, and so rounds of an epoch, beyond which blocks grow instead
 CELL_PAIRS = 4_000_000  # counts of a cell on average, and
 MOST_BLOCK_ITEMS = 400_000  # items of a block, at most: what a task holds
+TASKS_A_CELL = 3  # partitions of a round for each cell: few cells share one by their hash
 NEGATIVE = 5  # drawn contexts a pair
 EPOCHS = 5
 PASSES = 2  # over a cell while its blocks are at hand: ten passes in all, like ITEM2VEC_ITERATIONS
-RATE = 0.15  # of Adagrad, one accumulator a vector
-BATCH = 2048
+RATE = 0.3  # of Adagrad, one accumulator a vector
+BATCH = 512  # pairs of a step, at most
+TILE = 128  # centres and contexts that meet beside them
 MIN_COUNT = 5
 POWER = 0.75  # contexts are drawn in proportion to count ** POWER
 POWER_UNIT = 1024  # the powers are kept as whole numbers of 1 / POWER_UNIT, so that sums are exact in any order
@@ -61,46 +63,58 @@ def cooccurrence(sequences: DataFrame, window: int = ITEM2VEC_WINDOW, min_count:
 
 def _adagrad(vec: np.ndarray, acc: np.ndarray, rows: np.ndarray, grad: np.ndarray, rate: float) -> None:
     """One step of the rows named in ``rows`` (repeats are summed), in place."""
+    if len(vec) <= 1 << 16:
+        rows = rows.astype(np.uint16)  # sorted by radix
     order = np.argsort(rows, kind="stable")
     sorted_rows = rows[order]
     first = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
     total, at = np.add.reduceat(grad[order], first, axis=0), sorted_rows[first]
-    acc[at] += (total * total).mean(axis=1)
+    acc[at] += np.einsum("ij,ij->i", total, total) / vec.shape[1]
     vec[at] -= rate * total / np.sqrt(acc[at] + 1e-12)[:, None]
 
 
 def train_cell(centre, context, centre_acc, context_acc, a, b, n, centre_n, context_p, all_p, rng,
-               negative: int = NEGATIVE, passes: int = PASSES, rate: float = RATE, batch: int = BATCH) -> None:
+               negative: int = NEGATIVE, passes: int = PASSES, rate: float = RATE, batch: int = BATCH, tile: int = TILE) -> None:
     """Train two blocks of vectors on their cell, in place.
 
     ``a``, ``b``, ``n``: rows of the centre and context block and their counts.  The loss is that of skip-gram with
     ``negative`` drawn contexts a pair: a centre with count N meets contexts of this block with a weight of
-    negative x N x (its part of ``all_p``), drawn with replacement and weighted alike, also where the cell has no pair.
+    negative x N x (its part of ``all_p``), also where the cell has no pair.  A step takes ``batch`` pairs and their share
+    of that weight: blocks of at most ``tile`` items meet whole, with the expected weights; of larger ones ``tile``
+    centres and ``tile`` contexts are drawn in proportion to their weights, and all of the former meet all of the latter.
     """
     centre_to, context_to = np.cumsum(centre_n), np.cumsum(context_p)
     if not len(centre_to) or not len(context_to):
         return
-    draws = negative * max(len(a), len(centre_n))
     mass = negative * float(centre_to[-1]) * float(context_to[-1]) / float(all_p)
-    weight = np.concatenate([n.astype(np.float64), np.full(draws, mass / draws)])
-    met = np.concatenate([np.ones(len(a)), np.zeros(draws)])
+    weight = n.astype(np.float64)
+
+    def drawn(upto: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(own) <= tile:
+            return np.arange(len(own)), own / float(upto[-1])
+        return np.searchsorted(upto, rng.integers(0, upto[-1], tile), "right"), np.full(tile, 1 / tile)
+
+    # a cell without pairs, or with few, has a step for the items of its centre block all the same
+    steps = max(1, -(-len(a) // batch), -(-len(centre_n) // batch))
     for _ in range(passes):
-        rows = np.concatenate([a, np.searchsorted(centre_to, rng.integers(0, centre_to[-1], draws), "right")])
-        cols = np.concatenate([b, np.searchsorted(context_to, rng.integers(0, context_to[-1], draws), "right")])
-        order = rng.permutation(len(rows))
-        for at in range(0, len(order), batch):
-            o = order[at : at + batch]
-            u, v = centre[rows[o]], context[cols[o]]
-            score = np.clip((u * v).sum(axis=1), -30, 30)
-            g = ((1 / (1 + np.exp(-score)) - met[o]) * weight[o])[:, None]
-            _adagrad(centre, centre_acc, rows[o], g * v, rate)
-            _adagrad(context, context_acc, cols[o], g * u, rate)
-
-
-def _cell_fn(all_p: int, seed: int, epoch: int, shift: int, negative: int, passes: int, rate: float, batch: int):
+        order = rng.permutation(len(a))
+        for step in range(steps):
+            o = order[step * len(a) // steps : (step + 1) * len(a) // steps]
+            rows, cols = a[o], b[o]
+            u, v = centre[rows], context[cols]
+            g = ((1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", u, v), -30, 30))) - 1) * weight[o])[:, None]
+            (far_rows, row_part), (far_cols, col_part) = drawn(centre_to, centre_n), drawn(context_to, context_p)
+            far_u, far_v = centre[far_rows], context[far_cols]
+            h = 1 / (1 + np.exp(-np.clip(far_u @ far_v.T, -30, 30)))
+            h *= (row_part * (mass / steps))[:, None] * col_part
+            _adagrad(centre, centre_acc, np.concatenate([rows, far_rows]), np.concatenate([g * v, h @ far_v]), rate)
+            _adagrad(context, context_acc, np.concatenate([cols, far_cols]), np.concatenate([g * u, h.T @ far_u]), rate)
+
+
+def _cell_fn(dim: int, all_p: int, seed: int, epoch: int, shift: int, negative: int, passes: int, rate: float, batch: int):
     def block(rows: pa.Table, side: int):
         rows = rows.filter(pa.array(rows.column("side").to_numpy() == side)).sort_by("item_id")
-        vec = rows.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1)
+        vec = rows.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)
         ids, n, p, acc = (rows.column(c).to_numpy().copy() for c in ("item_id", "n", "p", "acc"))
         return rows, ids, n, p, vec, acc
 
@@ -124,15 +138,21 @@ def _cell_fn(all_p: int, seed: int, epoch: int, shift: int, negative: int, passe
     return fn
 
 
-def block_count(items: int, pairs: int, block_items: int = BLOCK_ITEMS) -> int:
-    """Blocks for ``items`` and ``pairs`` (of both directions).
+def block_count(items: int, pairs: int, block_items: int = BLOCK_ITEMS, least: int = 1) -> int:
+    """Blocks for ``items`` and ``pairs`` (of both directions), at least ``least`` as far as there are items.
 
     An epoch has as many rounds as blocks, and every cell draws for each item of its centre block: with blocks of a fixed
     size rounds and draws would grow with the square of the items.  So blocks grow beyond ROUND_BLOCKS of them, until a
     cell or its two blocks reach what a task may hold.
     """
     few = min(math.ceil(items / block_items), ROUND_BLOCKS)
-    return max(1, few, math.ceil(items / MOST_BLOCK_ITEMS), min(math.ceil(math.sqrt(pairs / CELL_PAIRS)), math.ceil(items / block_items)))
+    return max(1, min(least, items), few, math.ceil(items / MOST_BLOCK_ITEMS), min(math.ceil(math.sqrt(pairs / CELL_PAIRS)), math.ceil(items / block_items)))
+
+
+def first_vector(dim: int, seed: int, side: int = 0) -> Column:
+    """An item's vector before training: hashes of (item, side, place) in (-1/2, 1/2) / dim."""
+    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: (
+        (F.pmod(F.xxhash64("item_id", F.lit(side), k, F.lit(seed)), F.lit(1 << 20)) / float(1 << 20) - 0.5) / dim).cast("float"))
 
 
 def train_item2vec_blocks(
@@ -145,6 +165,7 @@ def train_item2vec_blocks(
     passes: int = PASSES,
     rate: float = RATE,
     batch: int = BATCH,
+    least_blocks: int = 1,
 ) -> DataFrame:
     """(item_id, n, emb ARRAY<FLOAT>, context ARRAY<FLOAT>) of every item of ``cooccurrence`` pairs.
 
@@ -158,7 +179,7 @@ def train_item2vec_blocks(
     power = F.greatest(F.round(F.pow(F.col("n").cast("double"), F.lit(POWER)) * POWER_UNIT).cast("bigint"), F.lit(1))
     items = written(directed.groupBy(F.col("a").alias("item_id")).agg(F.sum("n").alias("n")).withColumn("p", power))
     count, all_p = items.agg(F.count(F.lit(1)), F.sum("p")).first()
-    blocks = block_count(count, 2 * pairs.count(), block_items)
+    blocks = block_count(count, 2 * pairs.count(), block_items, least_blocks)
     block = lambda c: F.pmod(F.xxhash64(F.col(c), F.lit(seed)), F.lit(blocks)).cast("int")
 
     cells = directed.withColumn("cell", block("a")).withColumn("shift", F.pmod(block("b") - F.col("cell"), F.lit(blocks)).cast("int"))
@@ -166,18 +187,17 @@ def train_item2vec_blocks(
     cells.repartition("shift", "cell").write.partitionBy("shift").parquet(path)
     cells = spark.read.schema("a bigint, b bigint, n bigint, cell int, shift int").parquet(path)
 
-    # first vectors: hashes of (item, side, place) in (-1/2, 1/2) / dim
-    small = lambda side: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: (
-        (F.pmod(F.xxhash64("item_id", F.lit(side), k, F.lit(seed)), F.lit(1 << 20)) / float(1 << 20) - 0.5) / dim).cast("float"))
+    small = lambda side: first_vector(dim, seed, side)
     side = lambda s: items.select(F.lit(s).alias("side"), "item_id", block("item_id").alias("block"), "n", "p", small(s).alias("vec"), F.lit(0.0).alias("acc"))
     state = written(side(0).unionByName(side(1)))
     if count:
         for epoch in range(epochs):
             for shift in range(blocks):
                 home = F.when(F.col("side") == 0, F.col("block")).otherwise(F.pmod(F.col("block") - F.lit(shift), F.lit(blocks))).cast("int")
-                now = cells.where(F.col("shift") == shift).select("a", "b", "n", "cell").groupBy("cell")
-                fn = _cell_fn(int(all_p), seed, epoch, shift, negative, passes, rate, batch)
-                state = written(now.cogroup(state.withColumn("cell", home).groupBy("cell")).applyInArrow(fn, _STATE))
+                # a given number of partitions: small cells would be put together and train one after the other
+                now = cells.where(F.col("shift") == shift).select("a", "b", "n", "cell").repartition(TASKS_A_CELL * blocks, "cell").groupBy("cell")
+                fn = _cell_fn(dim, int(all_p), seed, epoch, shift, negative, passes, rate, batch)
+                state = written(now.cogroup(state.withColumn("cell", home).repartition(TASKS_A_CELL * blocks, "cell").groupBy("cell")).applyInArrow(fn, _STATE))
     centre = state.where(F.col("side") == 0).select("item_id", "n", F.col("vec").alias("emb"))
     return centre.join(state.where(F.col("side") == 1).select("item_id", F.col("vec").alias("context")), "item_id")
 

@@ -175,3 +175,20 @@ def test_rounds_do_not_grow_with_the_items():
     assert i2v.block_count(200_000, 20_000_000) == i2v.block_count(1_200_000, 140_000_000) == 24
     assert i2v.block_count(40_000_000, 5_000_000_000) == 100  # a block's items
     assert i2v.block_count(1_000_000, 40_000_000_000) == 100  # a cell's counts
+
+
+def test_item2vec_has_every_frequent_item_without_the_drivers_vocabulary(spark, monkeypatch):
+    """Items alone in their sequences have a vector too, and Spark ML's Word2Vec, whose vectors pass the driver, is not called."""
+    from pyspark.ml import feature
+
+    from reelsift.operators import embedding as emb
+
+    def refuse(*a, **k):
+        raise AssertionError("Word2Vec")
+
+    monkeypatch.setattr(feature.Word2Vec, "fit", refuse)
+    lists = [[1 + (u + i) % 3 for i in range(4)] for u in range(6)] + [[50]] * 5 + [[60]] * 4
+    model = emb.train_item2vec(_sequences(spark, lists), partitions=4, iterations=2)
+    got = {r.item_id: r.emb for r in emb.item_vectors(model).collect()}
+    assert sorted(got) == [1, 2, 3, 50] and all(len(v) == 10 and any(v) for v in got.values())
+    assert [r.item_id for r in emb.synonyms(model, 1, 2).collect()][0] in (2, 3, 50)
