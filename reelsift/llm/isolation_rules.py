@@ -3,8 +3,10 @@
 Every text gives a few rule statistics (word and symbol counts, repeated lines and word windows, capitals, ...).  They are
 measured by what they exceed: nothing within the range of the labelled good rows, beyond it the distance in units of that
 range, on a log scale; otherwise trees would split within the noise of ordinary texts before they split off anything odd.
-A forest of random splits, grown on a bounded hash sample of these, isolates unusual documents on short paths; the
-path-length threshold is calibrated on labelled rows.  The forest is a few hundred kilobytes and goes to every task.
+A forest of random splits isolates unusual documents on short paths; each of its trees grows, as the method has it, on a
+few hundred rows drawn from the whole table.  Ranges and the path-length threshold come from all labelled rows, which stay
+a table: the driver sees counts by score and the values next to a quantile.  The forest is a few hundred kilobytes and
+goes to every task.
 """
 
 from __future__ import annotations
@@ -22,8 +24,7 @@ from reelsift.llm.textkit import Words, buffers, hash_spans, mix, shingles, slic
 
 TREES = 200
 TREE_ROWS = 256
-SAMPLE_ROWS = 20_000  # rows the trees draw from
-LABELLED_ROWS = 20_000  # rows the threshold is calibrated on
+SCORE_PLACES = 6  # to which labelled rows are counted by score
 FALSE_REJECTS = 0.005  # share of good labelled rows that a threshold may reject at most
 SEED = 29
 
@@ -129,14 +130,54 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_batches, schema)
 
 
+def exact_quantiles(df: DataFrame, columns: list[str], qs: list[float]) -> np.ndarray | None:
+    """(quantile, column) values as ``np.quantile`` has them, over all rows of ``df``; None without rows.
+
+    A sketch brackets each quantile; exact counts below the bracket and by value inside it then settle it.
+    """
+    n = df.count()
+    if not n:
+        return None
+    accuracy = max(10_000, min(1_000_000, n // 1000))
+    margin = 3 / accuracy + 2 / n  # the sketch's error, and the ranks next to a quantile
+    edges = [max(0.0, q - margin) for q in qs] + [min(1.0, q + margin) for q in qs]
+    near = df.agg(*[F.percentile_approx(c, edges, accuracy).alias(c) for c in columns]).first()
+    places = [(c, q, near[c][i], near[c][i + len(qs)]) for i, q in enumerate(qs) for c in columns]
+    below = df.agg(*[F.sum((F.col(c) < lo).cast("bigint")).alias(f"b{j}") for j, (c, _, lo, _) in enumerate(places)]).first()
+    marked = F.array(*[F.struct(F.lit(j).alias("j"), F.when(F.col(c).between(lo, hi), F.col(c)).alias("v")) for j, (c, _, lo, hi) in enumerate(places)])
+    inside = df.select(F.explode(marked).alias("m")).where("m.v is not null").groupBy("m.j", "m.v").count().toPandas().sort_values(["j", "v"])
+    out = []
+    for j, (_, q, lo, _) in enumerate(places):
+        part = inside[inside["j"] == j]
+        v, upto = part["v"].to_numpy(), below[f"b{j}"] + np.cumsum(part["count"].to_numpy())
+        at = q * (n - 1)
+        a, b = (v[min(np.searchsorted(upto, i, "right"), len(v) - 1)] for i in (int(np.floor(at)), int(np.ceil(at))))
+        t = at - np.floor(at)
+        out.append(a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t))  # to the last bit as numpy: a row on the edge lies inside
+    return np.array(out).reshape(len(qs), len(columns))
+
+
 class Excess:
     """How far statistics lie outside the range of good rows: log(1 + distance / width of that side), 0 inside."""
 
     def __init__(self, good: np.ndarray):
         if not len(good):
             good = np.zeros((1, len(RATIOS)))
-        self.low, middle, self.high = (np.quantile(good, q, axis=0) for q in (1 - RANGE, 0.5, RANGE))
-        self.above, self.below = np.maximum(self.high - middle, LEAST_RANGE), np.maximum(middle - self.low, LEAST_RANGE)
+        self._set(*(np.quantile(good, q, axis=0) for q in (1 - RANGE, 0.5, RANGE)))
+
+    @classmethod
+    def of(cls, good: DataFrame) -> Excess:
+        """The same from a table of all good rows."""
+        quantiles = exact_quantiles(good, RATIOS, [1 - RANGE, 0.5, RANGE])
+        if quantiles is None:
+            return cls(np.zeros((0, len(RATIOS))))
+        new = cls.__new__(cls)
+        new._set(*quantiles)
+        return new
+
+    def _set(self, low: np.ndarray, middle: np.ndarray, high: np.ndarray) -> None:
+        self.low, self.high = low, high
+        self.above, self.below = np.maximum(high - middle, LEAST_RANGE), np.maximum(middle - low, LEAST_RANGE)
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         both = [RATIOS.index(c) for c in BOTH_SIDES]
@@ -145,7 +186,8 @@ class Excess:
 
 
 class Forest:
-    """Isolation trees in flat arrays (node 2i+1 and 2i+2 below node i)."""
+    """Isolation trees in flat arrays (node 2i+1 and 2i+2 below node i).  Each draws ``rows`` rows of ``x``, other ones
+    than every other tree if there are enough."""
 
     def __init__(self, x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED):
         rng = np.random.default_rng(seed)
@@ -156,8 +198,10 @@ class Forest:
         self.split = np.full((trees, nodes), np.nan)
         self.length = np.zeros((trees, nodes))
         self.norm = _average(rows)
+        dealt = rng.permutation(len(x)) if len(x) >= trees * max(rows, 1) else None
         for t in range(trees):
-            self._grow(rng, t, 0, 0, x[rng.choice(len(x), rows, replace=False)] if rows else x)
+            own = rng.choice(len(x), rows, replace=False) if dealt is None else dealt[t * rows : (t + 1) * rows]
+            self._grow(rng, t, 0, 0, x[own] if rows else x)
 
     def _grow(self, rng: np.random.Generator, t: int, node: int, level: int, x: np.ndarray) -> None:
         low, high = (x.min(axis=0), x.max(axis=0)) if len(x) else (np.zeros(0), np.zeros(0))
@@ -193,11 +237,15 @@ def _average(n: int) -> float:
 def threshold(score: np.ndarray, good: np.ndarray, false_rejects: float = FALSE_REJECTS) -> float:
     """The score above which a row is rejected: the cut with the most bad rows caught less good rows lost, among those
     that lose at most ``false_rejects`` of the good rows.  Without both kinds of labels nothing is rejected."""
-    if good.all() or not good.any():
+    cuts, at = np.unique(score, return_inverse=True)
+    return counted_threshold(cuts, np.bincount(at[good], minlength=len(cuts)), np.bincount(at[~good], minlength=len(cuts)), false_rejects)
+
+
+def counted_threshold(cuts: np.ndarray, good: np.ndarray, bad: np.ndarray, false_rejects: float = FALSE_REJECTS) -> float:
+    """``threshold`` from the numbers of good and bad rows at each of the scores ``cuts`` (ascending)."""
+    if not good.sum() or not bad.sum():
         return np.inf
-    cuts = np.unique(score)
-    lost = 1 - np.searchsorted(np.sort(score[good]), cuts, "right") / good.sum()
-    caught = 1 - np.searchsorted(np.sort(score[~good]), cuts, "right") / (~good).sum()
+    lost, caught = 1 - np.cumsum(good) / good.sum(), 1 - np.cumsum(bad) / bad.sum()
     gain = np.where(lost <= false_rejects, caught - lost, -1)
     i = int(np.argmax(gain))
     above = cuts[i + 1] if i + 1 < len(cuts) else cuts[i]
@@ -208,27 +256,36 @@ def base_failed():
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, trees: int = TREES, sample_rows: int = SAMPLE_ROWS, labelled_rows: int = LABELLED_ROWS, false_rejects: float = FALSE_REJECTS) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, trees: int = TREES, labelled_rows: int | None = None, false_rejects: float = FALSE_REJECTS) -> DataFrame:
     """doc_id, the five counts, base_failed, anomaly, kept for every row of ``docs`` (doc_id, text).
 
     A null or empty text has zero counts and fails the base rules.  Repeated rows and null doc_ids give a row each.
     Labels: doc_id, quality; rows with nulls are ignored, of an id with several labels the smallest counts; without
-    labels of both kinds only the base rules decide.  Calibration leaves out rows with crc32(doc_id) mod 5 = 0.
-    An empty table gives no rows.
+    labels of both kinds only the base rules decide.  Calibration leaves out rows with crc32(doc_id) mod 5 = 0 and takes
+    all others, unless the caller bounds them by ``labelled_rows``.  An empty table gives no rows.
     """
     stats = written(rule_statistics(docs).withColumn("base_failed", base_failed()))
     usable = stats.where("not base_failed")
     known = labels.where("doc_id is not null and quality is not null").where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    ids = smallest(known, F.xxhash64("doc_id", F.lit(SEED + 1)), labelled_rows)
-    # one row an id: at most labelled_rows of them
-    rows = usable.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.struct("quality", *RATIOS)).alias("r")).select("doc_id", "r.*").toPandas().sort_values("doc_id")
-    good = rows["quality"].to_numpy() == 1
-    measured = rows[RATIOS].to_numpy(np.float64)
-    excess = Excess(measured[good])
-    pick = smallest(usable, F.xxhash64("doc_id", F.lit(SEED)), sample_rows, *RATIOS).select(*RATIOS).toPandas()
+    if labelled_rows is not None:
+        known = smallest(known, F.xxhash64("doc_id", F.lit(SEED + 1)), labelled_rows)
+    # one row an id
+    rows = written(usable.join(known, "doc_id").groupBy("doc_id").agg(F.min(F.struct("quality", *RATIOS)).alias("r")).select("r.*"))
+    excess = Excess.of(rows.where("quality = 1"))
+    # as many rows of the whole table as the trees take
+    pick = smallest(usable, F.xxhash64("doc_id", F.lit(SEED)), trees * TREE_ROWS, *RATIOS).select(*RATIOS).toPandas()
     forest = Forest(excess(pick.to_numpy(np.float64)), trees)
-    cut = threshold(forest.score(excess(measured)), good, false_rejects) if len(rows) else np.inf
+
+    def score_labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.stack([b.column(c).to_numpy() for c in RATIOS], axis=1)
+            good = b.column("quality").to_numpy(zero_copy_only=False) == 1
+            yield pa.RecordBatch.from_arrays([pa.array(np.round(forest.score(excess(x)), SCORE_PLACES)), pa.array(good)], names=["score", "good"])
+
+    counts = rows.mapInArrow(score_labelled, "score double, good boolean").groupBy("score").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    counts = counts.toPandas().sort_values("score")  # at most 10 ** SCORE_PLACES rows, whatever the table's size
+    cut = counted_threshold(*(counts[c].to_numpy() for c in ("score", "good", "bad")), false_rejects)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

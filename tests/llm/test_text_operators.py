@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from llm_helpers import prose, split
@@ -626,3 +627,31 @@ def test_deal_keeps_the_mixture():
     assert (got == amounts).all()
     assert packing.tail(2 * 1024 + 7, 1024) == [1024, 1024, 4, 2, 1]
     assert packing.tail(0, 1024) == []
+
+
+def test_quantiles_of_all_rows_equal_numpys(spark):
+    rng = np.random.default_rng(4)
+    rows = pd.DataFrame({"a": rng.normal(size=4000), "b": np.where(rng.random(4000) < 0.9, 0.0, rng.random(4000)), "c": np.ones(4000)})
+    qs = [0.001, 0.5, 0.999]
+    for n in (1, 2, 330, 4000):
+        got = isolation_rules.exact_quantiles(spark.createDataFrame(rows[:n]).repartition(5), list("abc"), qs)
+        assert (got == np.quantile(rows[:n].to_numpy(), qs, axis=0)).all()
+
+
+def test_trees_draw_rows_of_their_own_and_labels_are_not_bounded():
+    import inspect
+
+    x = np.arange(200 * isolation_rules.TREE_ROWS, dtype=float)[:, None]
+    seen = []
+    grow = isolation_rules.Forest._grow
+
+    class Watched(isolation_rules.Forest):
+        def _grow(self, rng, t, node, level, part):
+            if not level:
+                seen.append(part[:, 0])
+                return grow(self, rng, t, node, self.depth, part)
+
+    Watched(x)
+    assert len(seen) == 200 and len(np.unique(np.concatenate(seen))) == len(x)
+    options = inspect.signature(isolation_rules.quality_rules).parameters
+    assert "sample_rows" not in options and options["labelled_rows"].default is None
