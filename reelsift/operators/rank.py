@@ -13,7 +13,7 @@ from reelsift.functions import cosine100, dot, round6, uniform, unit_vector
 from reelsift.operators.embedding import user_embeddings, vector_bounds
 from reelsift.operators.item_features import item_profile
 from reelsift.operators.recall import catalog_bounds, channel_bound, channel_table, meet_channels, recall, user_channel_keys, with_seen
-from reelsift.plans.joins import broadcast_within, row_bytes
+from reelsift.plans.joins import MAX_BROADCAST_BYTES, broadcast_within, row_bytes
 
 MISSING_SCORE = -1.0  # fixed value: sentinel score when a vector is missing
 RECOMMENDATIONS = 5  # fixed value: recommendations per user
@@ -195,6 +195,21 @@ def banded_fallback(rating="rating", u: Column | None = None) -> Column:
     return expr
 
 
+def pair_cosines(pairs: DataFrame, items: DataFrame, user_emb: DataFrame, item_emb: DataFrame) -> DataFrame:
+    """(user_id, item_id, cosine) of pairs whose item is known; null where a vector cannot be used.
+
+    Pairs go to their users without any vector, and item vectors within the broadcast bound then meet them in place, so no
+    row travels with a vector.  Beyond the bound the pairs get the item vectors (floats) first, and travel with these.
+    """
+    rows, width = vector_bounds(item_emb)
+    known = pairs.select("user_id", "item_id").join(broadcast_within(items.select("item_id"), catalog_bounds(items)[0]), "item_id", "left_semi")
+    users, vectors = user_emb.withColumnRenamed("emb", "u_emb"), item_emb.select("item_id", F.col("emb").alias("i_emb"))
+    per_row = row_bytes() + 4 * width
+    small = rows * per_row <= MAX_BROADCAST_BYTES
+    joined = known.join(users, "user_id", "left").join(F.broadcast(vectors), "item_id", "left") if small else known.join(vectors, "item_id", "left").join(users, "user_id", "left")
+    return joined.select("user_id", "item_id", cosine100("u_emb", "i_emb").alias("cosine"))
+
+
 def score_pairs(pairs: DataFrame, ratings: DataFrame, items: DataFrame, user_emb: DataFrame, item_emb: DataFrame,
                 banded: bool = False, seed: int = 0) -> DataFrame:
     """R10 (J11 + R2) [+ R11]: score rated (user, item, rating) pairs whose user and item are known.
@@ -224,6 +239,6 @@ def score_pairs(pairs: DataFrame, ratings: DataFrame, items: DataFrame, user_emb
 
 
 __all__ = [
-    "banded_fallback", "content_score", "emb_score", "fallback_score", "rank_for_users", "rank_items",
+    "banded_fallback", "content_score", "emb_score", "fallback_score", "pair_cosines", "rank_for_users", "rank_items",
     "rank_within", "recommend", "score_candidates", "score_pairs", "unit_dot100",
 ]

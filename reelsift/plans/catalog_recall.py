@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reelsift.functions import cosine100
 from reelsift.operators import embedding as emb
 from reelsift.operators import rank as rk
 from reelsift.operators import recall as rc
@@ -162,9 +161,7 @@ def _pair_frames(spark, d):
 @query("cosine_scores", f"SELECT user_id, item_id, round({sql_cos100('u_emb', 'i_emb')}, 6) AS cosine FROM pairs", UEMB_SQL, PAIRS_SQL)
 def cosine_scores(spark, d):
     r, i, ie, ue = _pair_frames(spark, d)
-    known = r.join(i.select("item_id"), "item_id", "left_semi")
-    j = known.join(ue.withColumnRenamed("emb", "u_emb"), "user_id", "left").join(ie.withColumnRenamed("emb", "i_emb"), "item_id", "left")
-    return j.select("user_id", "item_id", cosine100("u_emb", "i_emb").alias("cosine"))
+    return rk.pair_cosines(r, i, ue, ie)
 
 
 @query("pair_scores",

@@ -95,3 +95,24 @@ def test_recommend_whole_history_never_recommends_rated_items(spark):
     recs = rk.recommend(r, i, e, k=5, history="all")
     assert recs.join(r, ["user_id", "item_id"]).count() == 0
     assert recs.groupBy("user_id").count().where("count > 5").count() == 0
+
+
+def test_pairs_meet_item_vectors_in_place(spark):
+    """Even where Spark would not broadcast by itself, only the narrow pairs are shuffled to their users."""
+    from reelsift.operators.rank import pair_cosines
+
+    rows = [(u, i, 1.0, 0) for u in range(4) for i in range(5)]
+    r = spark.createDataFrame(rows, "user_id long, item_id long, rating double, ts long")
+    items = spark.createDataFrame([(i, "t", "g") for i in range(4)], "item_id long, title string, genres string")
+    ie = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)], "item_id long, emb array<float>")
+    ue = spark.createDataFrame([(u, [1.0, 0.0]) for u in range(3)], "user_id long, emb array<double>")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = pair_cosines(r, items, ue, ie)
+        got = {(x.user_id, x.item_id): x.cosine for x in out.collect()}
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert len(got) == 16 and abs(got[0, 0] - 100) < 1e-9 and got[3, 0] is None and got[0, 3] is None
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
