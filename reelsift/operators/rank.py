@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from reelsift.functions import cosine100, dot, round6, uniform, unit_vector
 from reelsift.operators.embedding import user_embeddings, vector_bounds
 from reelsift.operators.item_features import item_profile
-from reelsift.operators.recall import catalog_bounds, channel_bound, channel_table, meet_channels, recall, user_channel_keys, with_seen
+from reelsift.operators.recall import (
+    catalog_bounds, channel_bound, channel_table, listed_items, meet_users, recall, spread_users, user_channel_keys, with_seen,
+)
 from reelsift.plans.joins import MAX_BROADCAST_BYTES, broadcast_within, row_bytes
+from reelsift.session import written
 
 MISSING_SCORE = -1.0  # fixed value: sentinel score when a vector is missing
 RECOMMENDATIONS = 5  # fixed value: recommendations per user
@@ -48,33 +51,38 @@ def rank_within(df: DataFrame, key: str, score: str = "score", rank_col: str = "
     return df.withColumn(rank_col, F.row_number().over(w))
 
 
+def item_sides(items: DataFrame, ratings: DataFrame, item_emb: DataFrame, mode: str = "embedding") -> tuple[DataFrame, int]:
+    """What ``rank_items`` needs of an item as (item_id, side), and the bytes of a row: its unit vector (embedding), its
+    genres and average rating (content).  Broadcast when all of its bytes are within the limit."""
+    if mode == "embedding":
+        rows, width = vector_bounds(item_emb)
+        per_row = row_bytes(width)
+        return broadcast_within(item_emb.select("item_id", unit_vector("emb").alias("side")), rows, per_row), per_row
+    n_items, _, chars = catalog_bounds(items)
+    per_row = row_bytes(1, 2 * chars)
+    return broadcast_within(item_profile(items, ratings).select("item_id", F.struct("genre_list", "average_rating").alias("side")), n_items, per_row), per_row
+
+
 def rank_items(pairs: DataFrame, items: DataFrame, ratings: DataFrame, item_emb: DataFrame, mode: str = "embedding",
                rounded: bool = False) -> DataFrame:
     """Score each (user_id, history_item, item_id) candidate against the history item.
 
     embedding: cosine of the two item vectors (-1 when either is missing);
     content: genre overlap and the candidate's average rating.
-    The per-item lookups (vectors or profiles) are broadcast when their bytes
-    (rows and lengths from the items side, never the pairs) are within the
-    limit, so the pairs keep their user partitioning for the per-user rank.
+    Pairs that come with their ``history_side`` and ``item_side`` (``recall`` with ``item_sides``) are scored in place,
+    however many items there are.  Others look them up: broadcast when their bytes (rows and lengths from the items side,
+    never the pairs) are within the limit, so the pairs keep their user partitioning for the per-user rank.
     """
+    if "item_side" not in pairs.columns:
+        sides, _ = item_sides(items, ratings, item_emb, mode)
+        h = sides.select(F.col("item_id").alias("history_item"), F.col("side").alias("history_side"))
+        pairs = pairs.join(h, "history_item", "left").join(sides.withColumnRenamed("side", "item_side"), "item_id", "left")
     if mode == "embedding":
-        e = broadcast_within(item_emb.select("item_id", unit_vector("emb").alias("u")), (b := vector_bounds(item_emb))[0], row_bytes(b[1]))
-        scored = pairs.join(e.select(F.col("item_id").alias("history_item"), F.col("u").alias("h_u")), "history_item", "left").join(
-            e, "item_id", "left"
-        )
-        score = F.coalesce(unit_dot100(F.col("h_u"), F.col("u")), F.lit(MISSING_SCORE))
-        scored = scored.select("user_id", "history_item", "item_id", score.alias("score"))
+        score = F.coalesce(unit_dot100(F.col("history_side"), F.col("item_side")), F.lit(MISSING_SCORE))
     else:
-        n_items, _, chars = catalog_bounds(items)
-        prof = broadcast_within(item_profile(items, ratings).select("item_id", "genre_list", "average_rating"), n_items, row_bytes(1, 2 * chars))
-        h = prof.select(F.col("item_id").alias("history_item"), F.col("genre_list").alias("h_genres"))
         empty = F.array().cast("array<string>")
-        scored = pairs.join(h, "history_item", "left").join(prof, "item_id", "left").select(
-            "user_id", "history_item", "item_id",
-            content_score(F.coalesce("h_genres", empty), F.coalesce("genre_list", empty), F.coalesce("average_rating", F.lit(0.0))).alias("score"),
-        )
-    return rank_within(scored, "user_id", rounded=rounded)
+        score = content_score(F.coalesce("history_side.genre_list", empty), F.coalesce("item_side.genre_list", empty), F.coalesce("item_side.average_rating", F.lit(0.0)))
+    return rank_within(pairs.select("user_id", "history_item", "item_id", score.alias("score")), "user_id", rounded=rounded)
 
 
 def rank_for_users(candidates: DataFrame, user_emb: DataFrame | None, item_emb: DataFrame | None, mode: str = "embedding",
@@ -116,29 +124,37 @@ def score_candidates(ratings: DataFrame, items: DataFrame, item_emb: DataFrame,
     genuine score of -1 is never mistaken for it.
 
     Item unit vectors ride on the small channel table (broadcast when its
-    bound, 20 x genres + 200 rows, is within the limit); channel keys and
-    user unit vectors are both aggregated by
-    user, so their join needs no new shuffle, and neither does the
-    (user, item) de-duplication nor the per-user rank after it: the
-    candidate pairs are never shuffled.
+    bound, 20 x genres + 200 rows, is within the limit), user unit vectors on
+    the users' rows, which are written once and spread over partitions by the
+    pairs that arise from them.  The candidate pairs are never shuffled,
+    neither for their union nor for the per-user rank after it.
     """
     bounds = catalog_bounds(items)
     bound = channel_bound(bounds[1])
-    profile = item_profile(items, ratings)
-    unit_items = item_emb.select("item_id", unit_vector("emb").alias("i_unit"))
-    channels = channel_table(profile).select("key", "item_id").join(unit_items, "item_id", "left")
-    per_row = row_bytes(vector_bounds(item_emb)[1], bounds[2])
-    keys = user_channel_keys(ratings, items, bounds=bounds, history=history)
-    users = user_emb.select("user_id", unit_vector("emb").alias("u_unit"))
+    channels = written(channel_table(item_profile(items, ratings)).select("key", "item_id"))
+    few = item_emb.join(broadcast_within(channels.select("item_id").distinct(), bound), "item_id", "left_semi")
+    vectors = written(few.select("item_id", unit_vector("emb").alias("i_unit")))
+    lists = listed_items(channels).join(broadcast_within(vectors, *(b := vector_bounds(item_emb))[:1], row_bytes(b[1])), "item_id", "left")
+    per_row = row_bytes(b[1], 2 * bounds[2])
+    users = user_channel_keys(ratings, items, bounds=bounds, history=history)
     if history == "all":  # every rated item leaves the candidates
-        keys = with_seen(keys, ratings, channels, bound)
-    pairs = meet_channels(keys.join(users, "user_id", "left"), channels, bound, per_row)
+        users = with_seen(users, ratings, channels, bound)
+    users = written(users.join(user_emb.select("user_id", unit_vector("emb").alias("u_unit")), "user_id", "left"))
+    pairs = meet_users(spread_users(users), lists, bound, per_row)
     pairs = pairs.where(~F.array_contains("seen", F.col("item_id")) if history == "all" else F.col("item_id") != F.col("history_item"))
     cos = unit_dot100(F.col("u_unit"), F.col("i_unit"))
-    scored = pairs.select("user_id", "item_id", F.coalesce(cos, F.lit(MISSING_SCORE)).alias("score"), cos.isNull().alias("missing"))
+    scored = pairs.select("user_id", "item_id", cos.alias("cos")).select("user_id", "item_id", F.coalesce("cos", F.lit(MISSING_SCORE)).alias("score"), F.col("cos").isNull().alias("missing"))
+    if not (_repeats(vectors, "item_id") or _repeats(users, "user_id")):
+        return scored
+    # an id with several vectors: the best score counts
     return scored.groupBy("user_id", "item_id").agg(F.max("score").alias("score"), F.max("missing").alias("missing"))
 
 
+def _repeats(df: DataFrame, col: str) -> bool:
+    rows, ids = df.where(F.col(col).isNotNull()).agg(F.count(F.lit(1)), F.count_distinct(col)).first()
+    return rows > ids
+
+
 def recommend(
     ratings: DataFrame,
     items: DataFrame,
@@ -239,6 +255,6 @@ def score_pairs(pairs: DataFrame, ratings: DataFrame, items: DataFrame, user_emb
 
 
 __all__ = [
-    "banded_fallback", "content_score", "emb_score", "fallback_score", "pair_cosines", "rank_for_users", "rank_items",
+    "banded_fallback", "content_score", "emb_score", "fallback_score", "item_sides", "pair_cosines", "rank_for_users", "rank_items",
     "rank_within", "recommend", "score_candidates", "score_pairs", "unit_dot100",
 ]

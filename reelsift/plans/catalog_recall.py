@@ -68,6 +68,11 @@ def _recall(spark, d, **kw):
     return rc.recall(r, i, **kw)
 
 
+def _candidates(r, i, ie, mode):
+    sides, per_row = rk.item_sides(i, r, ie, mode)
+    return rc.recall(r, i, with_channels=False, sides=sides, side_bytes=per_row)
+
+
 def _chan(c="channels"):
     return F.array_join(c, ",").alias("channels")
 
@@ -259,8 +264,7 @@ item_scored AS (
 @query("item_item_scores", "SELECT user_id, item_id, round(score, 6) AS score FROM item_scored", *RECALL_CTES, _ITEM_PAIR_SQL)
 def item_item_scores(spark, d):
     r, i = kept_views(spark, d)
-    c = rc.recall(r, i, with_channels=False)
-    return rk.rank_items(c, i, r, cv.item_emb(spark, d), "embedding").select("user_id", "item_id", "score")
+    return rk.rank_items(_candidates(r, i, cv.item_emb(spark, d), "embedding"), i, r, cv.item_emb(spark, d), "embedding").select("user_id", "item_id", "score")
 
 
 @query("rank_items_embedding",
@@ -269,8 +273,7 @@ def item_item_scores(spark, d):
        *RECALL_CTES, _ITEM_PAIR_SQL)
 def rank_items_embedding(spark, d):
     r, i = kept_views(spark, d)
-    c = rc.recall(r, i, with_channels=False)
-    return rk.rank_items(c, i, r, cv.item_emb(spark, d), "embedding", rounded=True).select("user_id", "item_id", "score", "rank")
+    return rk.rank_items(_candidates(r, i, cv.item_emb(spark, d), "embedding"), i, r, cv.item_emb(spark, d), "embedding", rounded=True).select("user_id", "item_id", "score", "rank")
 
 
 _CONTENT_SQL = """
@@ -289,8 +292,7 @@ content AS (
        *RECALL_CTES, _CONTENT_SQL)
 def rank_items_content(spark, d):
     r, i = kept_views(spark, d)
-    c = rc.recall(r, i, with_channels=False)
-    return rk.rank_items(c, i, r, cv.item_emb(spark, d), "content", rounded=True).select("user_id", "item_id", "score", "rank")
+    return rk.rank_items(_candidates(r, i, cv.item_emb(spark, d), "content"), i, r, cv.item_emb(spark, d), "content", rounded=True).select("user_id", "item_id", "score", "rank")
 
 
 @query("content_similarity", "SELECT user_id, item_id, round(score, 6) AS score FROM content", *RECALL_CTES, _CONTENT_SQL)

@@ -116,3 +116,59 @@ def test_pairs_meet_item_vectors_in_place(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     assert len(got) == 16 and abs(got[0, 0] - 100) < 1e-9 and got[3, 0] is None and got[0, 3] is None
     assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+
+
+def _small_catalog(spark):
+    r = spark.createDataFrame([(u, 1 + (u + j) % 6, 1.0 + (u * j) % 5, j) for u in range(40) for j in range(3)] + [(None, 2, 3.0, 1)], "user_id long, item_id long, rating double, ts long")
+    i = spark.createDataFrame([(n, f"t{n} ({1990 + n})", ("A|B", "B", "A|B|C", None, "C", "A|")[n - 1]) for n in range(1, 7)], "item_id long, title string, genres string")
+    e = spark.createDataFrame([(n, [float(n), 1.0, -float(n % 2)]) for n in (1, 2, 3, 5)], "item_id long, emb array<float>")
+    return r, i, e
+
+
+def test_pairs_are_united_row_by_row_in_partitions_that_follow_them(spark, monkeypatch):
+    """The users' rows are few bytes, but hundreds of pairs arise from each: their number sets the partitions, and no
+    aggregate, sort or shuffle of the pairs unites what several channels found."""
+    r, i, _ = _small_catalog(spark)
+    monkeypatch.setattr(rc, "PAIR_ROWS", 1000)
+    got = rc.recall(r, i)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    above = plan[: plan.index("BroadcastHashJoin")]
+    assert "Aggregate" not in above and "Sort" not in above and "Exchange" not in above
+    keys = rc.user_channel_keys(r, i).agg(F.sum(F.size("keys")), F.count("*")).first()
+    assert got.rdd.getNumPartitions() == math.ceil((keys[0] * 20 + keys[1] * 200) / 1000) > 8
+    users = {x.user_id: (x.history_item, set(x["keys"])) for x in rc.user_channel_keys(r, i).collect()}
+    from reelsift.operators.item_features import item_profile
+
+    want = {}
+    for c in rc.channel_table(item_profile(i, r)).collect():
+        for u, (h, keys) in users.items():
+            if c.key in keys and c.item_id != h:
+                want.setdefault((u, h, c.item_id), set()).add(c.channel)
+    rows = got.collect()
+    assert {(x.user_id, x.history_item, x.item_id): x.channels for x in rows} == {k: sorted(v) for k, v in want.items()} and len(rows) == len(want)
+
+
+def test_items_are_looked_up_for_users_and_channel_items_not_for_pairs(spark):
+    """Where no item table is broadcast too, the pairs of a recall meet none and give the scores of the lookup."""
+    r, i, e = _small_catalog(spark)
+    rows = lambda df: sorted((x.user_id is None, x.user_id or 0, x.item_id, round(x.score, 9), x["rank"]) for x in df.collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for mode in ("embedding", "content"):
+            looked_up = rows(rk.rank_items(rc.recall(r, i, with_channels=False), i, r, e, mode, rounded=True))
+            sides, per_row = rk.item_sides(i, r, e, mode)
+            sides = sides.hint("shuffle_merge")  # an item table that is not broadcast
+            ranked = rk.rank_items(rc.recall(r, i, with_channels=False, sides=sides, side_bytes=per_row), i, r, e, mode, rounded=True)
+            plan = ranked._jdf.queryExecution().sparkPlan().toString()
+            assert "SortMergeJoin" not in plan[: plan.index("BroadcastHashJoin")] and rows(ranked) == looked_up
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_of_several_vectors_of_an_item_the_best_score_counts(spark):
+    r, i, e = _small_catalog(spark)
+    users = spark.createDataFrame([(u, [1.0, 0.5, 0.0]) for u in range(40)], "user_id long, emb array<double>")
+    twice = e.unionByName(e.select("item_id", F.transform("emb", lambda x: -x).alias("emb")))
+    one = {(x.user_id, x.item_id): x.score for x in rk.score_candidates(r, i, e, users).where("not missing").collect()}
+    two = rk.score_candidates(r, i, twice, users).where("not missing").collect()
+    assert len(two) == len(one) and all(abs(x.score - abs(one[x.user_id, x.item_id])) < 1e-9 for x in two)
