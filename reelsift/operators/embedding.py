@@ -75,21 +75,19 @@ def user_embeddings(ratings: DataFrame, item_emb: DataFrame, dim: int | None = N
 
     ``divisor="all"`` divides by every rating, including items without a
     vector (the reference's rule); ``"matched"`` only by those with one.
-    One pass over the ratings: the sum is ``Summarizer.sum`` over ML vectors (a
-    zero vector where the item has none), a JVM aggregate with a map-side
-    partial, so nothing is exploded per dimension and a heavy user is combined
-    in every map task before the shuffle.  A user none of whose items has a
+    The sum is ``Summarizer.sum`` over ML vectors, a JVM aggregate with a
+    map-side partial, so nothing is exploded per dimension and a heavy user is
+    combined in every map task before the shuffle; only ratings whose item has
+    a vector go into it, the others are only counted.  A user none of whose items has a
     vector gets a zero vector of ``dim`` when given (the reference writes
     zeros), else null.
     """
     rows, width = vector_bounds(item_emb)
-    vecs = broadcast_within(item_emb.select("item_id", F.col("emb").cast("array<double>").alias("e")), rows, row_bytes(width))
-    rated = ratings.select("user_id", "item_id").join(vecs, "item_id", "left")
-    zero = F.array_repeat(F.lit(0.0), width)
-    sums = rated.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_all"), F.count("e").alias("n_matched"),
-        Summarizer.sum(array_to_vector(F.coalesce("e", zero))).alias("s"),
-    )
+    vecs = broadcast_within(item_emb.select("item_id", F.col("emb").cast("array<double>").alias("e")).where("e is not null"), rows, row_bytes(width))
+    rated = ratings.select("user_id", "item_id")
+    every = rated.join(broadcast_within(item_emb.select("item_id"), rows), "item_id", "left").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_all"))
+    sums = rated.join(vecs, "item_id").groupBy(F.col("user_id").alias("_user")).agg(F.count(F.lit(1)).alias("n_matched"), Summarizer.sum(array_to_vector("e")).alias("s"))
+    sums = every.join(sums, F.col("user_id").eqNullSafe(F.col("_user")), "left")
     n = F.col("n_all") if divisor == "all" else F.col("n_matched")
     missing = F.array_repeat(F.lit(0.0), dim) if dim is not None else F.lit(None).cast("array<double>")
     total = F.when(F.col("n_matched") > 0, F.transform(vector_to_array("s"), lambda x: x / n)).otherwise(missing)

@@ -172,3 +172,16 @@ def test_of_several_vectors_of_an_item_the_best_score_counts(spark):
     one = {(x.user_id, x.item_id): x.score for x in rk.score_candidates(r, i, e, users).where("not missing").collect()}
     two = rk.score_candidates(r, i, twice, users).where("not missing").collect()
     assert len(two) == len(one) and all(abs(x.score - abs(one[x.user_id, x.item_id])) < 1e-9 for x in two)
+
+
+def test_only_ratings_with_a_vector_are_summed(spark):
+    """Ratings without a vector are counted and do not pass through the vector aggregate as zeros."""
+    rows = [(1, 10), (1, 11), (1, 12), (None, 10), (None, 11), (2, 11), (3, 13)]
+    r = spark.createDataFrame([(u, i, 4.0, 1) for u, i in rows], "user_id long, item_id long, rating double, ts long")
+    e = spark.createDataFrame([(10, [1.0, 2.0]), (12, [4.0, 0.0]), (13, None)], "item_id long, emb array<float>")
+    out = user_embeddings(r, e)
+    assert {x.user_id: x.emb for x in out.collect()} == {1: [5 / 3, 2 / 3], None: [0.5, 1.0], 2: None, 3: None}
+    assert {x.user_id: x.emb for x in user_embeddings(r, e, dim=2, divisor="matched").collect()} == {1: [2.5, 1.0], None: [1.0, 2.0], 2: [0.0, 0.0], 3: [0.0, 0.0]}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Summarizer") if "Summarizer" in plan else plan.index("aggregate_metrics") :]
+    assert below.index("Join Inner") < (below.index("Join LeftOuter") if "Join LeftOuter" in below else len(below))
