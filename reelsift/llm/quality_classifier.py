@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsift.llm.subword import BUCKETS, SLICE, Bags, Model, bags, labelled_sample, sigmoid
+from reelsift.llm.subword import BUCKETS, SLICE, Bags, Model, bags, sigmoid, trained
 from reelsift.llm.textkit import mix, shingles, slices
 
 PER_CLASS = 1_500  # labelled texts of each class to learn from
@@ -102,8 +102,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
     Only the text is scored; a text without words gets the model's bias.  Null doc_ids are not held out; repeated rows
     give a row each.  Labels (doc_id, quality) outside 0 and 1 are ignored, the smallest counts where they contradict.
     """
-    folded, bias = train(*labelled_sample(docs, labels, "quality", per_class, MOST_CHARS, SEED))
-    folded = folded.astype(np.float32)
+    folded, bias = trained(train, docs, labels, "quality", per_class, MOST_CHARS, SEED)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", SLICE):
             s = score_texts(b.column("text"), folded, bias)
@@ -115,8 +115,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
 
 def accepted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` (with all their columns) that score ``threshold`` or more: one map over the table."""
-    folded, bias = train(*labelled_sample(docs, labels, "quality", per_class, MOST_CHARS, SEED))
-    folded = folded.astype(np.float32)
+    folded, bias = trained(train, docs, labels, "quality", per_class, MOST_CHARS, SEED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", SLICE):

@@ -8,6 +8,7 @@ batch of texts costs one pass over its different words.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -99,9 +100,9 @@ def word_features(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes:
     return (found[order] % np.uint64(buckets)).astype(np.int32), np.concatenate([[0], np.cumsum(counts)])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int, seed: int) -> tuple[list[str], np.ndarray]:
-    """Texts and labels to learn from: of each class the ``per_class`` rows of smallest hash, without the held-out fold
-    (crc32 of the doc_id as text mod 5 = 0), without texts over ``most_chars``.  Bounded, so the driver can hold it; the
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int, seed: int) -> DataFrame:
+    """doc_id, label, text to learn from: of each class the ``per_class`` rows of smallest hash, without the held-out fold
+    (crc32 of the doc_id as text mod 5 = 0), without texts over ``most_chars``.  Bounded, so one task can hold it; the
     ids are picked from the labels alone and the texts come by one map-side join.  A repeated id teaches its smallest text,
     so the sample does not depend on the layout."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
@@ -110,10 +111,35 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     ids = smallest(known.where("label = 0"), order, per_class).unionByName(smallest(known.where("label = 1"), order, per_class))
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).where(F.length("text") <= most_chars).join(F.broadcast(ids), "doc_id")
-    rows = sorted((r["doc_id"], r["text"], r["label"]) for r in rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect())
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
+def _in_order(rows: Iterable[tuple]) -> tuple[list[str], np.ndarray]:
+    rows = sorted(rows)
     return [r[1] for r in rows], np.array([r[2] for r in rows], np.int64)
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int, seed: int) -> tuple[list[str], np.ndarray]:
+    """Texts and labels of ``labelled_rows``, in the order of their ids."""
+    return _in_order((r["doc_id"], r["text"], r["label"]) for r in labelled_rows(docs, labels, label, per_class, most_chars, seed).collect())
+
+
+def trained(train: Callable[[list[str], np.ndarray], tuple[np.ndarray, float]], *sample) -> tuple[np.ndarray, float]:
+    """The folded model that ``train`` makes of the ``labelled_sample``, in one task: neither the texts nor the training's
+    memory, of which Python gives little back, come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = [b.select(["doc_id", "text", "label"]).to_pydict() for b in batches]
+        folded, bias = train(*_in_order(r for c in columns for r in zip(c["doc_id"], c["text"], c["label"], strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array([folded.astype(np.float32).tobytes()]), pa.array([float(bias)])], names=["folded", "bias"])
+
+    rows = labelled_rows(*sample).coalesce(1).mapInArrow(run, "folded binary, bias double").collect()
+    if not rows:  # no sample at all: Spark runs no task
+        folded, bias = train(*_in_order(()))
+        return folded.astype(np.float32), bias
+    return np.frombuffer(bytes(rows[0]["folded"]), np.float32), rows[0]["bias"]
+
+
 class Model:
     """Feature vectors and a two-class softmax, trained by stochastic gradient descent (Adagrad steps)."""
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsift.llm.subword import SLICE, Bags, Model, bags, labelled_sample, sigmoid, without_runs
+from reelsift.llm.subword import SLICE, Bags, Model, bags, sigmoid, trained, without_runs
 from reelsift.llm.textkit import slices
 
 PER_CLASS = 3_000
@@ -121,8 +121,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
     Only the text is scored; a text without words scores 0.  Null doc_ids are not held out; repeated rows give a row
     each.  Labels (doc_id, toxic) outside 0 and 1 are ignored, the smallest counts where they contradict.
     """
-    folded, bias = train(*labelled_sample(docs, labels, "toxic", per_class, MOST_CHARS, SEED))
-    folded = folded.astype(np.float32)
+    folded, bias = trained(train, docs, labels, "toxic", per_class, MOST_CHARS, SEED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", SLICE):
@@ -135,8 +134,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
 
 def harmless(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` (with all their columns) that score under ``threshold``: one map over the table."""
-    folded, bias = train(*labelled_sample(docs, labels, "toxic", per_class, MOST_CHARS, SEED))
-    folded = folded.astype(np.float32)
+    folded, bias = trained(train, docs, labels, "toxic", per_class, MOST_CHARS, SEED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", SLICE):

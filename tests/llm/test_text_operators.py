@@ -1,5 +1,6 @@
 import hashlib
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -655,3 +656,24 @@ def test_trees_draw_rows_of_their_own_and_labels_are_not_bounded():
     assert len(seen) == 200 and len(np.unique(np.concatenate(seen))) == len(x)
     options = inspect.signature(isolation_rules.quality_rules).parameters
     assert "sample_rows" not in options and options["labelled_rows"].default is None
+
+
+def test_models_are_trained_in_a_task_and_not_in_the_driver(spark, monkeypatch):
+    """Neither the sample's texts nor the training come to the driver; the model is that of ``train`` over the sample."""
+    from reelsift.llm import quality_classifier
+    from reelsift.llm.subword import labelled_sample, trained
+
+    rows = [(i, f"good plain words number {i % 7}" if i % 2 else f"buy buy cheap {i % 5} now now", i % 2) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    sample = (docs, labels, "quality", 20, 1000, 41)
+    folded, bias = quality_classifier.train(*labelled_sample(*sample))
+    got, got_bias = trained(quality_classifier.train, *sample)
+    assert np.array_equal(got, folded.astype(np.float32)) and got_bias == bias
+    assert trained(quality_classifier.train, docs, labels.limit(0), *sample[2:])[1] == 0.0
+    here = os.getpid()
+
+    def elsewhere(texts, label):
+        return np.array([float(os.getpid() != here)]), float(len(texts))
+
+    assert trained(elsewhere, *sample)[0][0] == 1.0
