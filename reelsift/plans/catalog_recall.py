@@ -130,7 +130,7 @@ def recall_multi(spark, d):
 
 @query("user_embedding", "SELECT user_id, d - 1 AS dim, round(v, 6) AS value FROM uemb_long", UEMB_SQL)
 def user_embedding(spark, d):
-    r = cv.ratings(spark, d)
+    r, _ = kept_views(spark, d)
     ie = cv.item_emb(spark, d)
     u = emb.user_embeddings(r, ie, dim=emb.embedding_dim(ie))
     return u.select("user_id", F.posexplode("emb").alias("dim", "value"))
