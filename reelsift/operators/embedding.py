@@ -146,6 +146,7 @@ def embedding_job(ratings: DataFrame, dim: int = ITEM2VEC_DIM, seed: int = 42, p
     """
     from reelsift.sinks.files import write_embeddings
 
+    ratings = written(ratings.select("user_id", "item_id", "rating", "ts"))  # read by the sequences and the user vectors
     model = train_item2vec(item_sequences(ratings), dim=dim, seed=seed, partitions=partitions)
     iv = item_vectors(model)
     uv = user_embeddings(ratings, iv, dim=dim)  # dim is known: zero vectors for users without vectors

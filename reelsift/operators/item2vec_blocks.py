@@ -14,6 +14,7 @@ over rows in id order, so the vectors are equal on any cluster and any layout of
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from reelsift.functions import dot
 from reelsift.operators.embedding import ITEM2VEC_DIM, ITEM2VEC_WINDOW, SENTENCE_ITEMS
-from reelsift.session import scratch_dir, written
+from reelsift.session import removed, written, written_at
 
 BLOCK_ITEMS = 4096  # items of a block, as long as there are no more than ROUND_BLOCKS of them
 ROUND_BLOCKS = 24  # blocks, and so rounds of an epoch, beyond which blocks grow instead
@@ -37,11 +38,13 @@ PASSES = 2  # over a cell while its blocks are at hand: ten passes in all, like
 RATE = 0.3  # of Adagrad, one accumulator a vector
 BATCH = 512  # pairs of a step, at most
 TILE = 128  # centres and contexts that meet beside them
+PIECE_ITEMS, PIECE_PAIRS = 16_384, 262_144  # items, or counts, of a packed row
+TILES_AT_ONCE = 16  # tiles whose products are held (1 MB in single precision)
 MIN_COUNT = 5
 POWER = 0.75  # contexts are drawn in proportion to count ** POWER
 POWER_UNIT = 1024  # the powers are kept as whole numbers of 1 / POWER_UNIT, so that sums are exact in any order
 
-_STATE = "side int, item_id bigint, block int, n bigint, p bigint, vec array<float>, acc double"
+_STATE = "side int, block int, part int, n binary, p binary, vec binary, acc binary"
 
 
 def cooccurrence(sequences: DataFrame, window: int = ITEM2VEC_WINDOW, min_count: int = MIN_COUNT, max_len: int = SENTENCE_ITEMS) -> DataFrame:
@@ -61,16 +64,21 @@ def cooccurrence(sequences: DataFrame, window: int = ITEM2VEC_WINDOW, min_count:
     return pair.groupBy("item_a", "item_b").agg(F.sum("n").alias("n"))
 
 
-def _adagrad(vec: np.ndarray, acc: np.ndarray, rows: np.ndarray, grad: np.ndarray, rate: float) -> None:
-    """One step of the rows named in ``rows`` (repeats are summed), in place."""
-    if len(vec) <= 1 << 16:
-        rows = rows.astype(np.uint16)  # sorted by radix
-    order = np.argsort(rows, kind="stable")
-    sorted_rows = rows[order]
-    first = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
-    total, at = np.add.reduceat(grad[order], first, axis=0), sorted_rows[first]
-    acc[at] += np.einsum("ij,ij->i", total, total) / vec.shape[1]
-    vec[at] -= rate * total / np.sqrt(acc[at] + 1e-12)[:, None]
+def _adagrad(vec: np.ndarray, acc: np.ndarray, rows: np.ndarray, grad: np.ndarray, far: np.ndarray, far_grad: np.ndarray, rate: float) -> None:
+    """One step, in place: the columns of ``vec`` named in ``rows`` and ``far`` go against their summed gradients."""
+    total = np.empty_like(vec)
+    for k in range(len(vec)):
+        total[k] = np.bincount(rows, grad[k], vec.shape[1])
+        total[k] += np.bincount(far, far_grad[k], vec.shape[1])
+    acc += np.einsum("ij,ij->j", total, total) / len(vec)
+    vec -= total * (rate / np.sqrt(acc + 1e-12)).astype(vec.dtype)
+
+
+def _dealt(own: np.ndarray, draws: int, rng) -> np.ndarray:
+    """``draws`` rows in random order, each as often as its part of ``own`` but for less than one."""
+    upto = np.minimum(np.floor(np.cumsum(own) * (draws / float(own.sum())) + rng.random()).astype(np.int64), draws)
+    upto[-1] = draws
+    return rng.permutation(np.repeat(np.arange(len(own)), np.diff(upto, prepend=0)))
 
 
 def train_cell(centre, context, centre_acc, context_acc, a, b, n, centre_n, context_p, all_p, rng,
@@ -79,65 +87,129 @@ def train_cell(centre, context, centre_acc, context_acc, a, b, n, centre_n, cont
 
     ``a``, ``b``, ``n``: rows of the centre and context block and their counts.  The loss is that of skip-gram with
     ``negative`` drawn contexts a pair: a centre with count N meets contexts of this block with a weight of
-    negative x N x (its part of ``all_p``), also where the cell has no pair.  A step takes ``batch`` pairs and their share
-    of that weight: blocks of at most ``tile`` items meet whole, with the expected weights; of larger ones ``tile``
-    centres and ``tile`` contexts are drawn in proportion to their weights, and all of the former meet all of the latter.
+    negative x N x (its part of ``all_p``), also where the cell has no pair.  ``batch`` pairs take their share of that
+    weight: blocks of at most ``tile`` items meet whole, with the expected weights; of larger ones ``tile`` centres and
+    ``tile`` contexts are drawn in proportion to their weights, and all of the former meet all of the latter.  A step
+    takes as many batches, with a tile each, as the smaller block holds times ``batch`` items: an item is met about once.
     """
-    centre_to, context_to = np.cumsum(centre_n), np.cumsum(context_p)
-    if not len(centre_to) or not len(context_to):
+    if not len(centre_n) or not len(context_p):
         return
-    mass = negative * float(centre_to[-1]) * float(context_to[-1]) / float(all_p)
-    weight = n.astype(np.float64)
-
-    def drawn(upto: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    mass = negative * float(centre_n.sum()) * float(context_p.sum()) / float(all_p)
+    weight = n.astype(centre.dtype)
+    tiles = max(1, min(len(centre_n), len(context_p)) // batch)
+    # a cell without pairs, or with few, has a batch for the items of its centre block all the same
+    steps = -(-max(1, -(-len(a) // batch), -(-len(centre_n) // batch)) // tiles)
+
+    def drawn(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of each step's tiles, and the weight of each in its tile."""
         if len(own) <= tile:
-            return np.arange(len(own)), own / float(upto[-1])
-        return np.searchsorted(upto, rng.integers(0, upto[-1], tile), "right"), np.full(tile, 1 / tile)
+            return np.broadcast_to(np.arange(len(own)), (steps, tiles, len(own))), (own / float(own.sum())).astype(centre.dtype)
+        return _dealt(own, steps * tiles * tile, rng).reshape(steps, tiles, tile), np.full(tile, 1 / tile, centre.dtype)
 
-    # a cell without pairs, or with few, has a step for the items of its centre block all the same
-    steps = max(1, -(-len(a) // batch), -(-len(centre_n) // batch))
+    def part(m: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """(tiles, items, places) of the rows' vectors."""
+        return np.ascontiguousarray(np.take(m, rows, axis=1).transpose(1, 2, 0))
+
+    # places first: a step's work runs along the items
+    u_all, v_all = np.ascontiguousarray(centre.T), np.ascontiguousarray(context.T)
     for _ in range(passes):
         order = rng.permutation(len(a))
+        (far_rows, row_part), (far_cols, col_part) = drawn(centre_n), drawn(context_p)
+        share = (row_part * (mass / steps / tiles))[:, None] * col_part
         for step in range(steps):
-            o = order[step * len(a) // steps : (step + 1) * len(a) // steps]
+            o = np.sort(order[step * len(a) // steps : (step + 1) * len(a) // steps])  # rows in turn lie together
             rows, cols = a[o], b[o]
-            u, v = centre[rows], context[cols]
-            g = ((1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", u, v), -30, 30))) - 1) * weight[o])[:, None]
-            (far_rows, row_part), (far_cols, col_part) = drawn(centre_to, centre_n), drawn(context_to, context_p)
-            far_u, far_v = centre[far_rows], context[far_cols]
-            h = 1 / (1 + np.exp(-np.clip(far_u @ far_v.T, -30, 30)))
-            h *= (row_part * (mass / steps))[:, None] * col_part
-            _adagrad(centre, centre_acc, np.concatenate([rows, far_rows]), np.concatenate([g * v, h @ far_v]), rate)
-            _adagrad(context, context_acc, np.concatenate([cols, far_cols]), np.concatenate([g * u, h.T @ far_u]), rate)
+            u, v = np.take(u_all, rows, axis=1), np.take(v_all, cols, axis=1)
+            g = (1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->j", u, v), -30, 30))) - 1) * weight[o]
+            far_u, far_v = part(u_all, far_rows[step]), part(v_all, far_cols[step])
+            u_grad, v_grad = np.empty_like(far_u), np.empty_like(far_v)
+            for t in range(0, tiles, TILES_AT_ONCE):
+                now = slice(t, t + TILES_AT_ONCE)
+                h = far_u[now] @ far_v[now].transpose(0, 2, 1)
+                with np.errstate(over="ignore"):  # beyond the largest number the quotient is 0, as it should be
+                    np.exp(np.negative(h, out=h), out=h)
+                h += 1
+                np.divide(share, h, out=h)
+                u_grad[now], v_grad[now] = h @ far_v[now], h.transpose(0, 2, 1) @ far_u[now]
+            flat = lambda x: np.ascontiguousarray(x.reshape(-1, x.shape[2]).T)
+            _adagrad(u_all, centre_acc, rows, v * g, far_rows[step].ravel(), flat(u_grad), rate)
+            _adagrad(v_all, context_acc, cols, u * g, far_cols[step].ravel(), flat(v_grad), rate)
+    centre[:], context[:] = u_all.T, v_all.T
+
+
+def _packed(column) -> pa.Array:
+    """One row with all values of a column, as bytes."""
+    return pa.array([np.ascontiguousarray(column).tobytes()], pa.binary())
+
+
+def _unpacked(rows: pa.Table, column: str, dtype) -> np.ndarray:
+    """The values of all rows, one after the other."""
+    return np.frombuffer(b"".join(rows.column(column).to_pylist()), dtype).copy()
+
+
+def _pieces(keys: dict[str, int], columns: dict[str, np.ndarray], size: int) -> pa.Table:
+    """``columns`` (of one length) as rows of at most ``size`` values: the keys, ``part`` and bytes."""
+    length = len(next(iter(columns.values())))
+    tables = []
+    for part, at in enumerate(range(0, length, size)):
+        fixed = {k: pa.array([v], pa.int32()) for k, v in (keys | {"part": part}).items()}
+        tables.append(pa.table(fixed | {k: _packed(v[at : at + size]) for k, v in columns.items()}))
+    fixed = {k: pa.array([], pa.int32()) for k in (*keys, "part")}
+    return pa.concat_tables(tables) if tables else pa.table(fixed | {k: pa.array([], pa.binary()) for k in columns})
+
+
+def _pack_block(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """A block's items of one side in id order."""
+    rows = rows.sort_by("item_id")
+    vec = rows.column("vec").combine_chunks()
+    vec = vec.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(len(rows), -1)
+    columns = {c: rows.column(c).to_numpy() for c in ("item_id", "n", "p")}
+    return _pieces({"side": key[0].as_py(), "block": key[1].as_py()}, columns | {"vec": vec, "acc": np.zeros(len(rows))}, PIECE_ITEMS)
+
+
+def _pack_cell(key: tuple[pa.Scalar, ...], pairs: pa.Table, ids: pa.Table) -> pa.Table:
+    """A cell's counts, each named by the places of its items in their blocks, in the order of places."""
+    ids = ids.sort_by("part")
+    first, second = (_unpacked(ids.filter(pa.array(ids.column("side").to_numpy() == side)), "item_id", np.int64) for side in (0, 1))
+    a, b = np.searchsorted(first, pairs.column("a").to_numpy()), np.searchsorted(second, pairs.column("b").to_numpy())
+    order = np.argsort(a * max(1, len(second)) + b)  # no two are equal
+    columns = {"a": a[order].astype(np.int32), "b": b[order].astype(np.int32), "n": pairs.column("n").to_numpy()[order]}
+    return _pieces({"shift": key[0].as_py(), "cell": key[1].as_py()}, columns, PIECE_PAIRS)
 
 
 def _cell_fn(dim: int, all_p: int, seed: int, epoch: int, shift: int, negative: int, passes: int, rate: float, batch: int):
     def block(rows: pa.Table, side: int):
-        rows = rows.filter(pa.array(rows.column("side").to_numpy() == side)).sort_by("item_id")
-        vec = rows.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)
-        ids, n, p, acc = (rows.column(c).to_numpy().copy() for c in ("item_id", "n", "p", "acc"))
-        return rows, ids, n, p, vec, acc
-
-    def out(rows: pa.Table, vec: np.ndarray, acc: np.ndarray) -> pa.Table:
-        flat = pa.array(vec.astype(np.float32).ravel())
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * vec.shape[1], pa.int32()), flat)
-        keep = [rows.column(c) for c in ("side", "item_id", "block", "n", "p")]
-        return pa.table([*keep, lists, pa.array(acc)], names=["side", "item_id", "block", "n", "p", "vec", "acc"])
+        rows = rows.filter(pa.array(rows.column("side").to_numpy() == side)).sort_by("part")
+        n, p = (_unpacked(rows, c, np.int64) for c in ("n", "p"))
+        return (rows.column("block")[0].as_py() if len(rows) else 0), n, p, _unpacked(rows, "vec", np.float32).reshape(-1, dim), _unpacked(rows, "acc", np.float64)
 
     def fn(key, pairs: pa.Table, rows: pa.Table) -> pa.Table:
         cell = key[0].as_py()
-        (cr, ids, n, _, u, ua), (xr, xids, _, p, v, va) = block(rows, 0), block(rows, 1)
-        a, b, count = (pairs.column(c).to_numpy() for c in ("a", "b", "n"))
-        order = np.lexsort((b, a))
-        a, b, count = np.searchsorted(ids, a[order]), np.searchsorted(xids, b[order]), count[order]
+        (i, n, p, u, ua), (j, xn, xp, v, va) = block(rows, 0), block(rows, 1)
+        pairs = pairs.sort_by("part")
+        a, b, count = (_unpacked(pairs, c, t) for c, t in (("a", np.int32), ("b", np.int32), ("n", np.int64)))
         rng = np.random.default_rng([seed & 0x7FFFFFFF, epoch, shift, cell])
-        train_cell(u, v, ua, va, a, b, count, n, p, all_p, rng, negative, passes, rate, batch)
-        tables = [out(r, vec, acc) for r, vec, acc in ((cr, u, ua), (xr, v, va)) if len(r)]
-        return pa.concat_tables(tables)
+        train_cell(u, v, ua, va, a, b, count, n, xp, all_p, rng, negative, passes, rate, batch)
+        return pa.concat_tables([
+            _pieces({"side": 0, "block": i}, {"n": n, "p": p, "vec": u, "acc": ua}, PIECE_ITEMS), _pieces({"side": 1, "block": j}, {"n": xn, "p": xp, "vec": v, "acc": va}, PIECE_ITEMS)
+        ])
 
     return fn
 
 
+def _vectors_fn(dim: int):
+    def lists(flat: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dim, dtype=np.int32)), pa.array(flat))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, n = (pa.array(np.frombuffer(row[c], np.int64)) for c in ("item_id", "n"))
+                yield pa.RecordBatch.from_arrays([ids, n, *(lists(np.frombuffer(row[c], np.float32)) for c in ("emb", "context"))], names=["item_id", "n", "emb", "context"])
+
+    return run
+
+
 def block_count(items: int, pairs: int, block_items: int = BLOCK_ITEMS, least: int = 1) -> int:
     """Blocks for ``items`` and ``pairs`` (of both directions), at least ``least`` as far as there are items.
 
@@ -181,25 +253,41 @@ def train_item2vec_blocks(
     count, all_p = items.agg(F.count(F.lit(1)), F.sum("p")).first()
     blocks = block_count(count, 2 * pairs.count(), block_items, least_blocks)
     block = lambda c: F.pmod(F.xxhash64(F.col(c), F.lit(seed)), F.lit(blocks)).cast("int")
-
-    cells = directed.withColumn("cell", block("a")).withColumn("shift", F.pmod(block("b") - F.col("cell"), F.lit(blocks)).cast("int"))
-    path = scratch_dir(spark)
-    cells.repartition("shift", "cell").write.partitionBy("shift").parquet(path)
-    cells = spark.read.schema("a bigint, b bigint, n bigint, cell int, shift int").parquet(path)
-
-    small = lambda side: first_vector(dim, seed, side)
-    side = lambda s: items.select(F.lit(s).alias("side"), "item_id", block("item_id").alias("block"), "n", "p", small(s).alias("vec"), F.lit(0.0).alias("acc"))
-    state = written(side(0).unionByName(side(1)))
+    whole = lambda c, n: F.pmod(c, F.lit(n)).cast("int")
+
+    # a block is a few rows of bytes, its items in id order: rounds move those, not a row an item
+    side = lambda s: items.select(F.lit(s).alias("side"), block("item_id").alias("block"), "item_id", "n", "p", first_vector(dim, seed, s).alias("vec"))
+    first = written(side(0).unionByName(side(1)).groupBy("side", "block").applyInArrow(_pack_block, _STATE + ", item_id binary"))
+    ids = first.where("side = 0").select("block", "part", "item_id")
+
+    # a cell is its mirror read the other way round: only shifts of up to half of the blocks are kept
+    half = blocks // 2
+    cells = directed.select("a", "b", "n", block("a").alias("cell"), block("b").alias("to")).withColumn("shift", whole(F.col("to") - F.col("cell"), blocks))
+    cells = cells.where(F.col("shift") <= half).select("shift", "cell", "a", "b", "n")
+    at = ids.withColumn("shift", F.explode(F.sequence(F.lit(0), F.lit(half)))).withColumn("side", F.explode(F.array(F.lit(0), F.lit(1))))
+    at = at.select("shift", whole(F.when(F.col("side") == 0, F.col("block")).otherwise(F.col("block") - F.col("shift")), blocks).alias("cell"), "side", "part", "item_id")
+    tasks = (half + 1) * blocks
+    packed = cells.repartition(tasks, "shift", "cell").groupBy("shift", "cell").cogroup(at.repartition(tasks, "shift", "cell").groupBy("shift", "cell"))
+    cells = written(packed.applyInArrow(_pack_cell, "shift int, cell int, part int, a binary, b binary, n binary"), "shift")
+
+    state, path = first.drop("item_id"), None
     if count:
         for epoch in range(epochs):
             for shift in range(blocks):
-                home = F.when(F.col("side") == 0, F.col("block")).otherwise(F.pmod(F.col("block") - F.lit(shift), F.lit(blocks))).cast("int")
+                home = whole(F.when(F.col("side") == 0, F.col("block")).otherwise(F.col("block") - F.lit(shift)), blocks)
+                if shift <= half:
+                    now = cells.where(F.col("shift") == shift).select("part", "a", "b", "n", "cell")
+                else:
+                    now = cells.where(F.col("shift") == blocks - shift).select("part", F.col("b").alias("a"), F.col("a").alias("b"), "n", whole(F.col("cell") - F.lit(shift), blocks).alias("cell"))
                 # a given number of partitions: small cells would be put together and train one after the other
-                now = cells.where(F.col("shift") == shift).select("a", "b", "n", "cell").repartition(TASKS_A_CELL * blocks, "cell").groupBy("cell")
+                now = now.repartition(TASKS_A_CELL * blocks, "cell").groupBy("cell")
                 fn = _cell_fn(dim, int(all_p), seed, epoch, shift, negative, passes, rate, batch)
-                state = written(now.cogroup(state.withColumn("cell", home).repartition(TASKS_A_CELL * blocks, "cell").groupBy("cell")).applyInArrow(fn, _STATE))
-    centre = state.where(F.col("side") == 0).select("item_id", "n", F.col("vec").alias("emb"))
-    return centre.join(state.where(F.col("side") == 1).select("item_id", F.col("vec").alias("context")), "item_id")
+                old, (state, path) = path, written_at(now.cogroup(state.withColumn("cell", home).repartition(TASKS_A_CELL * blocks, "cell").groupBy("cell")).applyInArrow(fn, _STATE))
+                if old:
+                    removed(spark, old)  # read by this round only
+    one = lambda s, name: state.where(F.col("side") == s).select("block", "part", "n", F.col("vec").alias(name))
+    vectors = ids.join(one(0, "emb"), ["block", "part"]).join(one(1, "context").drop("n"), ["block", "part"])
+    return vectors.select("item_id", "n", "emb", "context").mapInArrow(_vectors_fn(dim), "item_id bigint, n bigint, emb array<float>, context array<float>")
 
 
 def product_gap(vectors: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -192,3 +193,62 @@ def test_item2vec_has_every_frequent_item_without_the_drivers_vocabulary(spark,
     got = {r.item_id: r.emb for r in emb.item_vectors(model).collect()}
     assert sorted(got) == [1, 2, 3, 50] and all(len(v) == 10 and any(v) for v in got.values())
     assert [r.item_id for r in emb.synonyms(model, 1, 2).collect()][0] in (2, 3, 50)
+
+
+def test_rounds_move_a_few_rows_a_block_and_leave_only_the_last_state(spark, monkeypatch):
+    """A block travels as rows of many items, and a round's table goes when the next is written."""
+    import os
+
+    made, write = [], i2v.written_at
+    monkeypatch.setattr(i2v, "written_at", lambda *a: made.append(write(*a)) or made[-1])
+    rows = _vectors(i2v.train_item2vec_blocks(i2v.cooccurrence(_groups(spark)), block_items=14, epochs=2))
+    blocks = i2v.block_count(40, 0, 14)
+    assert len(rows) == 40 and blocks == 3 and len(made) == 2 * blocks
+    paths = [p.removeprefix("file:") for _, p in made]
+    assert [os.path.exists(p) for p in paths] == [False] * (len(made) - 1) + [True]
+    assert made[-1][0].count() == 2 * blocks
+
+
+def test_larger_blocks_take_larger_steps(monkeypatch):
+    """Steps of a block are as many as its items are met, not one for each batch of pairs."""
+    steps, step = [], i2v._adagrad
+    monkeypatch.setattr(i2v, "_adagrad", lambda vec, *a: steps.append(vec.shape[1]) or step(vec, *a))
+    rng = np.random.default_rng(0)
+    for size, pairs, want in ((100, 2000, 4), (4096, 8192, 2), (8192, 8192, 1)):
+        a, b = np.divmod(rng.choice(size * size, pairs, replace=False), size)
+        u, v = (rng.normal(0, 0.1, (size, 10)).astype(np.float32) for _ in range(2))
+        of = np.full(size, 7)
+        steps.clear()
+        i2v.train_cell(u, v, np.zeros(size), np.zeros(size), a, b, np.ones(pairs, np.int64), of, of, int(of.sum()), rng, passes=1)
+        assert steps == [size] * 2 * want and np.isfinite(u).all() and np.isfinite(v).all()
+
+
+def test_drawn_rows_are_dealt_in_proportion():
+    own = np.array([0, 1, 10, 100, 889])
+    for seed in range(20):
+        got = np.bincount(i2v._dealt(own, 500, np.random.default_rng(seed)), minlength=5)
+        assert got.sum() == 500 and (np.abs(got - own / 2) < 1).all()
+
+
+def test_written_tables_leave_no_shuffle_files_and_the_session_as_it_was(spark):
+    from reelsift import session
+
+    key, before = session._CLEAN_UP, spark.conf.get(session._CLEAN_UP, None)
+    seen, folders = [], spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(folders.getAllFiles()) if f.getName().startswith("shuffle_")}
+    had = shuffled()
+    with session._shuffles_removed(spark), session._shuffles_removed(spark):
+        seen.append(spark.conf.get(key))
+    out = session.written(spark.range(1000).repartition(4, "id"))
+    assert out.count() == 1000 and seen == ["true"] and spark.conf.get(key, None) == before
+    for _ in range(50):
+        if shuffled() <= had:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= had
+    spark.conf.set(key, "false")
+    try:
+        session.written(spark.range(10))
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.unset(key)
