@@ -39,7 +39,7 @@ RATE = 0.3  # of Adagrad, one accumulator a vector
 BATCH = 512  # pairs of a step, at most
 TILE = 128  # centres and contexts that meet beside them
 PIECE_ITEMS, PIECE_PAIRS = 16_384, 262_144  # items, or counts, of a packed row
-TILES_AT_ONCE = 16  # tiles whose products are held (1 MB in single precision)
+TILES_AT_ONCE = 4  # tiles whose products are held (256 kB in single precision)
 MIN_COUNT = 5
 POWER = 0.75  # contexts are drawn in proportion to count ** POWER
 POWER_UNIT = 1024  # the powers are kept as whole numbers of 1 / POWER_UNIT, so that sums are exact in any order
@@ -64,12 +64,11 @@ def cooccurrence(sequences: DataFrame, window: int = ITEM2VEC_WINDOW, min_count:
     return pair.groupBy("item_a", "item_b").agg(F.sum("n").alias("n"))
 
 
-def _adagrad(vec: np.ndarray, acc: np.ndarray, rows: np.ndarray, grad: np.ndarray, far: np.ndarray, far_grad: np.ndarray, rate: float) -> None:
-    """One step, in place: the columns of ``vec`` named in ``rows`` and ``far`` go against their summed gradients."""
+def _adagrad(vec: np.ndarray, acc: np.ndarray, rows: np.ndarray, grad: np.ndarray, rate: float) -> None:
+    """One step, in place: the columns of ``vec`` named in ``rows`` go against their summed gradients."""
     total = np.empty_like(vec)
     for k in range(len(vec)):
         total[k] = np.bincount(rows, grad[k], vec.shape[1])
-        total[k] += np.bincount(far, far_grad[k], vec.shape[1])
     acc += np.einsum("ij,ij->j", total, total) / len(vec)
     vec -= total * (rate / np.sqrt(acc + 1e-12)).astype(vec.dtype)
 
@@ -110,6 +109,13 @@ def train_cell(centre, context, centre_acc, context_acc, a, b, n, centre_n, cont
         """(tiles, items, places) of the rows' vectors."""
         return np.ascontiguousarray(np.take(m, rows, axis=1).transpose(1, 2, 0))
 
+    def both(near: np.ndarray, g: np.ndarray, far: np.ndarray) -> np.ndarray:
+        """The gradients of a step's pairs and of its tiles, places first."""
+        out = np.empty((len(near), len(g) + far.shape[0] * far.shape[1]), near.dtype)
+        np.multiply(near, g, out=out[:, : len(g)])
+        out[:, len(g) :] = far.reshape(-1, far.shape[2]).T
+        return out
+
     # places first: a step's work runs along the items
     u_all, v_all = np.ascontiguousarray(centre.T), np.ascontiguousarray(context.T)
     for _ in range(passes):
@@ -118,8 +124,8 @@ def train_cell(centre, context, centre_acc, context_acc, a, b, n, centre_n, cont
         share = (row_part * (mass / steps / tiles))[:, None] * col_part
         for step in range(steps):
             o = np.sort(order[step * len(a) // steps : (step + 1) * len(a) // steps])  # rows in turn lie together
-            rows, cols = a[o], b[o]
-            u, v = np.take(u_all, rows, axis=1), np.take(v_all, cols, axis=1)
+            rows, cols = a[o].astype(np.intp), b[o].astype(np.intp)
+            u, v = np.take(u_all, rows, axis=1, mode="clip"), np.take(v_all, cols, axis=1, mode="clip")  # clip: none to check
             g = (1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->j", u, v), -30, 30))) - 1) * weight[o]
             far_u, far_v = part(u_all, far_rows[step]), part(v_all, far_cols[step])
             u_grad, v_grad = np.empty_like(far_u), np.empty_like(far_v)
@@ -131,9 +137,8 @@ def train_cell(centre, context, centre_acc, context_acc, a, b, n, centre_n, cont
                 h += 1
                 np.divide(share, h, out=h)
                 u_grad[now], v_grad[now] = h @ far_v[now], h.transpose(0, 2, 1) @ far_u[now]
-            flat = lambda x: np.ascontiguousarray(x.reshape(-1, x.shape[2]).T)
-            _adagrad(u_all, centre_acc, rows, v * g, far_rows[step].ravel(), flat(u_grad), rate)
-            _adagrad(v_all, context_acc, cols, u * g, far_cols[step].ravel(), flat(v_grad), rate)
+            _adagrad(u_all, centre_acc, np.concatenate([rows, far_rows[step].ravel()]), both(v, g, u_grad), rate)
+            _adagrad(v_all, context_acc, np.concatenate([cols, far_cols[step].ravel()]), both(u, g, v_grad), rate)
     centre[:], context[:] = u_all.T, v_all.T
 
 
