@@ -261,3 +261,21 @@ def test_cross_validation_blocks_hold_part_of_one_fold(spark, monkeypatch):
     blocks = made[0].getNumUserBlocks()
     assert blocks == made[0].getNumItemBlocks() and blocks % 4 == 0 and blocks >= 4 * (r.count() * 3 / 4) / 500
     assert {x.fold: x.n for x in small} == whole and all(0 < x.rmse < 4.5 for x in small)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_exact_top_k_in_rounds_has_the_same_rows(spark, monkeypatch, kind):
+    """Many seeds meet the blocks round by round, each of bounded copies."""
+    rng = np.random.default_rng(3)
+    cast = f"cast(vec as array<{kind}>) as vec"
+    seeds = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(60, 4)))], "seed_id bigint, vec array<double>").selectExpr("seed_id", cast)
+    cands = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(90, 4)))], "item_id bigint, vec array<double>").selectExpr("item_id", cast)
+    rows = lambda **kw: sorted((r.seed_id, r["rank"], r.item_id, r.score) for r in neighbors.exact_top_k(spark, seeds, cands, 3, "euclidean", False, **kw).collect())
+    want = rows()
+    made, write = [], neighbors.written
+    monkeypatch.setattr(neighbors, "written", lambda df: made.append(df.columns) or write(df))
+    monkeypatch.setattr(neighbors, "WIDER", 1)
+    monkeypatch.setattr(neighbors, "ROUND_COPIES", 120)  # two blocks a round
+    got = rows(block_rows=18, part_rows=25)
+    assert [r[:3] for r in got] == [r[:3] for r in want] and np.allclose([r[3] for r in got], [r[3] for r in want])
+    assert len(want) == 180 and len([c for c in made if "score" in c]) == 3
